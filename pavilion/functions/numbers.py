@@ -4,9 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-# Fixed patterns: what counts as a number. The JVM alone would also read ``12d`` and hexadecimal.
+# Fixed pattern: what counts as a number. The JVM alone would also read ``12d`` and hexadecimal.
 _NUMBER = r"(?i)^\s*[+-]?(?:(?:\d+\.?\d*|\.\d+)(?:e[+-]?\d+)?|inf(?:inity)?)\s*$"
-_DIGITS = r"^\s*[+-]?\d+\s*$"
 
 
 def safe_double(value: Column) -> Column:
@@ -19,9 +18,11 @@ def safe_double(value: Column) -> Column:
     return F.when(text.rlike(_NUMBER), text).try_cast("double")
 
 
+def whole(number: Column) -> Column:
+    """Long value of a double without fraction, else null; infinity has no remainder and drops out."""
+    return F.when(number % 1 == 0, number).try_cast("bigint")
+
+
 def safe_int(value: Column) -> Column:
     """Whole number of a text or number (``452.0`` is 452); fractions and junk become null."""
-    text = value.cast("string")
-    plain = F.when(text.rlike(_DIGITS), text).try_cast("bigint")
-    number = safe_double(value)  # infinity has no remainder and drops out
-    return F.coalesce(plain, F.when(number % 1 == 0, number).try_cast("bigint"))
+    return whole(safe_double(value))

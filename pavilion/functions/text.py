@@ -9,15 +9,10 @@ from pavilion.functions.numbers import safe_int
 # Fixed patterns: trailing bracketed tag, year span, numbered JSON file.
 # (?U) makes \s cover no-break spaces, which scraped names contain.
 TAG_PATTERN = r"(?U)\s*\(([^)]+)\)\s*$"
-SPAN_PATTERN = r"^(\d{4})-(\d{4})$"
+SPAN_PATTERN = r"^\d{4}-\d{4}$"
 FILE_KEY_PATTERN = r"(\d+)\.json"
 
 
-def _matched(text: Column, pattern: str, group: int) -> Column:
-    """The group's text, or null where the pattern does not match."""
-    return F.nullif(F.regexp_extract(text, pattern, group), F.lit(""))
-
-
 def strip_space(text: Column) -> Column:
     return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
 
@@ -29,21 +24,28 @@ def clean_name(text: Column) -> Column:
 
 def name_tag(text: Column) -> Column:
     """Lower-case text of the trailing bracket, or null."""
-    return F.lower(_matched(text.cast("string"), TAG_PATTERN, 1))
+    found = F.regexp_extract(text.cast("string"), TAG_PATTERN, 1)
+    return F.lower(F.when(found != "", found))
 
 
 def span_years(text: Column) -> tuple[Column, Column]:
     """Start and end year of ``YYYY-YYYY``; both null for anything else."""
-    text = text.cast("string")
-    start, end = (_matched(text, SPAN_PATTERN, i).try_cast("bigint") for i in (1, 2))
-    return start, end
+    span = F.when(text.cast("string").rlike(SPAN_PATTERN), text.cast("string"))
+    return F.substring(span, 1, 4).try_cast("bigint"), F.substring(span, 6, 4).try_cast("bigint")
+
+
+def has_mark(text: Column, mark: str) -> Column:
+    """Whether the text ends in the mark; false for null."""
+    return F.coalesce(text.cast("string").endswith(mark), F.lit(False))
+
+
+def without_mark(text: Column, mark: str) -> Column:
+    return F.rtrim(text.cast("string"), F.lit(mark))
 
 
 def marked_number(text: Column, mark: str) -> tuple[Column, Column]:
     """Number with an optional trailing mark, and whether the mark was there."""
-    text = text.cast("string")
-    flag = F.coalesce(text.endswith(mark), F.lit(False))
-    return safe_int(F.rtrim(text, F.lit(mark))), flag
+    return safe_int(without_mark(text, mark)), has_mark(text, mark)
 
 
 def file_key(path: Column) -> Column:

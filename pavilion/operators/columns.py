@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from typing import Any
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from pavilion.functions.numbers import safe_double
 
@@ -15,6 +15,15 @@ def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def computed_once(value: Column) -> Column:
+    """The same value behind a one-element explode, for expensive parsing.
+
+    Catalyst copies a projected expression into every filter it pushes down, which
+    would parse each row several times; it does not look into a generator.
+    """
+    return F.explode(F.array(value))
+
+
 def drop_index_columns(df: DataFrame, prefixes: Sequence[str] = ("Unnamed", "_c")) -> DataFrame:
     """Drop columns left by a saved row index; ``_c<n>`` is Spark's name for a blank header."""
 

@@ -112,16 +112,24 @@ def report_rows(aggregated: DataFrame, rows: Sequence[Column]) -> DataFrame:
     return aggregated.select(F.inline(F.array(*rows)))
 
 
+def _value_counts(df: DataFrame) -> list[Column]:
+    """Row count ``n`` and the number of values ``v<i>`` of each column."""
+    values = [f"count({quoted(c)}) as v{i}" for i, c in enumerate(df.columns)]
+    return [F.expr("count(1) as n"), *map(F.expr, values)]
+
+
+def _null_ratio(i: int) -> Column:
+    """Share of nulls in column ``i``; null on an empty frame."""
+    return F.expr(f"if(n = 0, null, (n - v{i}) / n)")
+
+
 def null_ratios(df: DataFrame) -> DataFrame:
     """(column_name, null_ratio) for every column, from one aggregate; null ratio on an empty frame."""
-    measures = [
-        F.avg(F.col(quoted(c)).isNull().cast("int")).alias(f"n{i}") for i, c in enumerate(df.columns)
-    ]
     rows = [
-        F.struct(F.lit(c).alias("column_name"), F.col(f"n{i}").alias("null_ratio"))
+        F.struct(F.lit(c).alias("column_name"), _null_ratio(i).alias("null_ratio"))
         for i, c in enumerate(df.columns)
     ]
-    return report_rows(df.agg(*measures), rows)
+    return report_rows(df.agg(*_value_counts(df)), rows)
 
 
 def null_ratio_gate(
@@ -198,10 +206,7 @@ def gate_report(
     """
     needed = rule.rows_needed(fixtures)
     checks = contract_checks(contract, df)
-    measures = [F.count(F.lit(1)).alias("rows")]
-    measures += [
-        F.avg(F.col(quoted(c)).isNull().cast("int")).alias(f"n{i}") for i, c in enumerate(df.columns)
-    ]
+    measures = _value_counts(df)
     measures += [F.count_if(c.fails).alias(f"c{i}") for i, c in enumerate(checks)]
 
     def entry(layer: str, column: str, check: str, observed: Column, allowed: float, ok: Column):
@@ -215,9 +220,9 @@ def gate_report(
             ok.alias("passed"),
         )
 
-    rows = [entry("row_count", "", "min_rows", F.col("rows"), needed, F.col("rows") >= needed)]
+    rows = [entry("row_count", "", "min_rows", F.col("n"), needed, F.col("n") >= needed)]
     for i, c in enumerate(df.columns):
-        ratio = F.col(f"n{i}")
+        ratio = _null_ratio(i)
         ok = ratio <= rule.max_null_ratio
         if c in contract.may_be_all_null:
             ok = ok | (ratio == 1.0)

@@ -6,9 +6,9 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from pavilion.functions.numbers import safe_double, safe_int
-from pavilion.functions.text import clean_name, marked_number, name_tag, span_years
-from pavilion.operators.columns import complete_schema, drop_index_columns, quoted, rename_known
+from pavilion.functions.numbers import safe_double, whole
+from pavilion.functions.text import clean_name, has_mark, name_tag, span_years, without_mark
+from pavilion.operators.columns import complete_schema, drop_index_columns, rename_known
 from pavilion.operators.dedupe import dedupe_max
 from pavilion.schemas import SILVER_BATTING, SILVER_BOWLING
 
@@ -60,17 +60,13 @@ BOWLING_ALIASES = {
     "5": "five_wicket_hauls",
 }
 NATURAL_KEY = ["player", "career_start_year"]
-_FLAGS = {"fours_is_lower_bound": False, "sixes_is_lower_bound": False, "high_score_not_out": False}
-
-
-def _plain_columns(df: DataFrame, schema: T.StructType) -> dict[str, Column]:
-    """Numeric and text columns that only need a cast to their Silver type."""
-    casts = {T.LongType(): safe_int, T.DoubleType(): safe_double}
-    return {
-        f.name: casts.get(f.dataType, lambda c: c.cast("string"))(F.col(quoted(f.name)))
-        for f in schema.fields
-        if f.name in df.columns and f.name != "player"
-    }
+# Columns whose trailing mark becomes a flag.
+_MARKS = {
+    "fours": ("+", "fours_is_lower_bound"),
+    "sixes": ("+", "sixes_is_lower_bound"),
+    "high_score": ("*", "high_score_not_out"),
+}
+_FLAGS = {flag: False for _, flag in _MARKS.values()}
 
 
 def _identity_columns(df: DataFrame) -> dict[str, Column]:
@@ -81,25 +77,21 @@ def _identity_columns(df: DataFrame) -> dict[str, Column]:
         if explicit in df.columns:
             out["country_tag"] = F.col(explicit).cast("string")
     if "span_raw" in df.columns:
-        start, end = span_years(F.col("span_raw"))
-        out |= {"career_start_year": start, "career_end_year": end}
+        out["career_start_year"], out["career_end_year"] = span_years(F.col("span_raw"))
     else:
         for name in ("career_start", "career_end"):
             if f"{name}_raw" in df.columns:
-                out[f"{name}_year"] = safe_int(F.col(f"{name}_raw"))
+                out[f"{name}_year"] = safe_double(F.col(f"{name}_raw"))
     return out
 
 
 def _marked_columns(df: DataFrame) -> dict[str, Column]:
-    """Values whose trailing mark becomes a flag."""
     out = {}
-    for name, mark, flag in (
-        ("fours", "+", "fours_is_lower_bound"),
-        ("sixes", "+", "sixes_is_lower_bound"),
-        ("high_score", "*", "high_score_not_out"),
-    ):
+    for name, (mark, flag) in _MARKS.items():
         if f"{name}_raw" in df.columns:
-            out[name], out[flag] = marked_number(F.col(f"{name}_raw"), mark)
+            text = F.col(f"{name}_raw")
+            out[name] = safe_double(without_mark(text, mark))
+            out[flag] = has_mark(text, mark)
     if "high_score_not_out_raw" in df.columns:
         explicit = F.col("high_score_not_out_raw").cast("string").try_cast("boolean")
         out["high_score_not_out"] = F.coalesce(explicit, F.lit(False))
@@ -111,12 +103,19 @@ def _conform(df: DataFrame, aliases: Mapping[str, str], schema: T.StructType) ->
     if "player_raw" not in renamed.columns:
         # Already conformed spelling, for instance a Silver table passed again.
         renamed = renamed.withColumnRenamed("player", "player_raw")
-    columns = {
-        **_plain_columns(renamed, schema),
-        **_identity_columns(renamed),
-        **_marked_columns(renamed),
+    numeric = (T.LongType(), T.DoubleType())
+    read = {
+        f.name: safe_double(F.col(f.name)) if f.dataType in numeric else F.col(f.name)
+        for f in schema.fields
+        if f.name in renamed.columns
     }
-    typed = renamed.select(*[value.alias(name) for name, value in columns.items()])
+    read |= _identity_columns(renamed) | _marked_columns(renamed)
+    # Two projections: parsing and checking for whole numbers in one would make a
+    # method too large for the JVM to compile.
+    parsed = renamed.select(*[value.alias(name) for name, value in read.items()])
+    doubles = {name for name, dtype in parsed.dtypes if dtype == "double"}
+    wholes = [f.name for f in schema.fields if f.dataType == T.LongType() and f.name in doubles]
+    typed = parsed.withColumns({name: whole(F.col(name)) for name in wholes})
     return complete_schema(typed, schema, _FLAGS)
 
 

@@ -11,6 +11,8 @@ import pandas as pd
 import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from pavilion.operators.columns import computed_once
+
 _BATCH_BYTES = 8 << 20
 _LOCAL_HEADER = struct.Struct("<4s5H3L2H")  # fixed layout of a zip entry's local header
 
@@ -91,5 +93,6 @@ def scan_zip_json(
     """The documents in the archives, parsed, with the entry's base name as ``key``."""
     entries = scan_zip_entries(spark, path)
     base = F.regexp_replace(F.element_at(F.split("entry", "/"), -1), r"\.json$", "")
-    parsed = entries.select(base.alias(key), F.from_json("text", schema).alias("doc"))
+    doc = computed_once(F.from_json("text", schema))
+    parsed = entries.select(base.alias(key), doc.alias("doc"))
     return parsed.select(key, "doc.*")

@@ -12,6 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pavilion.functions.text import strip_space
+from pavilion.operators.columns import computed_once
 
 SIGNATURE = ("player", "runs")  # fixed default: header texts that mark a career table
 
@@ -87,8 +88,7 @@ def find_table(
     def matches(table: Column) -> Column:
         return reduce(lambda a, b: a & b, [has_column(table, text) for text in signature])
 
-    # Exploding a single value keeps later filters from repeating the parsing below it.
-    parsed = F.explode(F.array(parsed_tables(F.col(html))))
+    parsed = computed_once(parsed_tables(F.col(html)))
     tables = pages.select(*keep, parsed.alias("tables"))
     chosen = F.get(F.filter("tables", matches), F.lit(0))
     if third_table_fallback:

@@ -7,12 +7,12 @@ from pyspark.sql import functions as F, types as T
 from pavilion.config import GateRule
 from pavilion.operators import quality
 from pavilion.operators.quality import FieldRule
-from pavilion.plans import contracts, marts
+from pavilion.plans import contracts, marts, staging
 from pavilion.session import materialize
 from pavilion.workload import inputs
 from pavilion.workload.ctes import SILVER_BATTING, SILVER_BOWLING, with_tables
 from pavilion.workload.registry import query
-from pavilion.workload.rules import LAST_YEAR, RANKED
+from pavilion.workload.rules import LAST_YEAR, RANKED, ROLES
 
 _EVENT_COLUMNS = ["event_id", "user_id", "event_type", "value", "ts"]
 
@@ -355,14 +355,17 @@ def _tests_sql() -> str:
 )
 def test_report(src):
     # Tables that several tests read are written once, as the daily job does.
-    dim = materialize(src.dim_player, "dim_player")
+    batting = materialize(src.silver_batting, "batting")
+    bowling = materialize(src.silver_bowling, "bowling")
+    stg_batting, stg_bowling = staging.stg_batting(batting), staging.stg_bowling(bowling)
+    dim = materialize(marts.dim_player(stg_batting, stg_bowling, ROLES), "dim_player")
     tables = {
-        "batting": src.silver_batting,
-        "bowling": src.silver_bowling,
-        "stg_batting": src.stg_batting,
-        "stg_bowling": src.stg_bowling,
+        "batting": batting,
+        "bowling": bowling,
+        "stg_batting": stg_batting,
+        "stg_bowling": stg_bowling,
         "dim_player": dim,
-        "fact_career_stats": src.fact_long,
+        "fact_career_stats": marts.fact_career_stats(stg_batting, stg_bowling),
         "mart_top_batsmen": materialize(marts.mart_top_batsmen(dim, RANKED), "mart"),
         "mart_top_bowlers": materialize(marts.mart_top_bowlers(dim, RANKED), "mart"),
     }

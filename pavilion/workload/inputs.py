@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from pavilion.operators.columns import computed_once
 from pavilion.schemas import BRONZE_BATTING, BRONZE_BOWLING, MATCH_DOCUMENT, WEATHER_DOCUMENT
 
 
@@ -167,10 +168,8 @@ def match_docs(orders: DataFrame) -> DataFrame:
         "struct(if(k % 31 = 0, array(), array(match_date)) as dates, venue, city, "
         "array(team1, team2) as teams, match_type)"
     )
-    shaped = header.select("match_id", F.expr(info).alias("info"), F.expr(innings).alias("innings"))
-    return shaped.select(
-        "match_id", *[F.col(f.name).cast(f.dataType).alias(f.name) for f in MATCH_DOCUMENT.fields]
-    )
+    shaped = F.expr(f"struct({info} as info, {innings} as innings)").cast(MATCH_DOCUMENT)
+    return header.select("match_id", computed_once(shaped).alias("doc")).select("match_id", "doc.*")
 
 
 def weather_docs(orders: DataFrame) -> DataFrame:

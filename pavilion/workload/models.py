@@ -196,7 +196,7 @@ _SKEWED = """select l_orderkey, l_linenumber, l_quantity, s.k, p_name, p_brand,
     from skewed s left join part p on s.k = p.p_partkey"""
 
 
-def _skew_sides(src):
+def skew_sides(src):
     rows = inputs.skewed(read_with_row_id(src.spark, src.path("lineitem")))
     left = rows.select("l_orderkey", "l_linenumber", "l_quantity", "k", "row_id")
     right = src["part"].selectExpr("p_partkey as k", "p_name", "p_brand", "p_retailprice")
@@ -205,13 +205,13 @@ def _skew_sides(src):
 
 @query("salted_join", with_tables(_SKEWED, "skewed"))
 def salted_join(src):
-    left, right = _skew_sides(src)
+    left, right = skew_sides(src)
     return joins.salted_join(left, right, "k", salt_by=["row_id"]).drop("row_id")
 
 
 @query("hot_key_join", with_tables(_SKEWED, "skewed"))
 def hot_key_join(src):
-    left, right = _skew_sides(src)
+    left, right = skew_sides(src)
     joined = joins.hot_key_join(left, right, "k", rows_per_task=5000, salt_by=["row_id"])
     return joined.drop("row_id")
 
