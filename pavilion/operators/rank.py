@@ -15,31 +15,41 @@ _BEFORE = "__before"
 _ROW_BITS = 33  # monotonically_increasing_id: partition number above, row number below
 
 
-def global_rank(df: DataFrame, *order: Column, name: str = "rank") -> DataFrame:
-    """Exact 1-based row number over the whole frame, without a one-task window.
+def sorted_slices(df: DataFrame, *order: Column) -> DataFrame:
+    """Rows range-partitioned and sorted by ``order``, with their slice and place in it.
 
-    Rows are range-partitioned and sorted by ``order``, which must tell all rows
-    apart (end it with a unique key, so that equal scores spread out too). The
-    sorted slices are written once, because two evaluations could draw different
-    range bounds. Each row's rank is its place in its slice plus the row counts
-    of the slices before, one number per slice.
+    The slices are written once, because two evaluations could draw different
+    range bounds.
     """
     ranged = (
         df.repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .withColumn(_POSITION, F.monotonically_increasing_id())
     )
-    stored = materialize(ranged, "rank")
-    slice_no = F.shiftright(F.col(_POSITION), _ROW_BITS)
-    row_no = F.col(_POSITION).bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
-    sizes = stored.groupBy(slice_no.alias(_SLICE)).agg(F.count(F.lit(1)).alias("__n"))
+    position = F.col(_POSITION)
+    return materialize(ranged, "rank").withColumns(
+        {
+            _SLICE: F.shiftright(position, _ROW_BITS),
+            _POSITION: position.bitwiseAND(F.lit((1 << _ROW_BITS) - 1)),
+        }
+    )
+
+
+def global_rank(df: DataFrame, *order: Column, name: str = "rank") -> DataFrame:
+    """Exact 1-based row number over the whole frame, without a one-task window.
+
+    ``order`` must tell all rows apart (end it with a unique key, so that equal
+    scores spread over slices too). Each row's rank is its place in its slice plus
+    the row counts of the slices before, one number per slice.
+    """
+    stored = sorted_slices(df, *order)
+    sizes = stored.groupBy(_SLICE).agg(F.count(F.lit(1)).alias("__n"))
     # One row per slice: the window and the broadcast are bounded by the partition count.
     earlier = Window.orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(_SLICE, F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias(_BEFORE))
     return (
-        stored.withColumn(_SLICE, slice_no)
-        .join(F.broadcast(offsets), _SLICE)
-        .select((F.col(_BEFORE) + row_no + 1).alias(name), *df.columns)
+        stored.join(F.broadcast(offsets), _SLICE)
+        .select((F.col(_BEFORE) + F.col(_POSITION) + 1).alias(name), *df.columns)
     )
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import struct
 import zipfile
 import zlib
@@ -14,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pavilion.operators.columns import computed_once
 
 _BATCH_BYTES = 8 << 20
+_MAX_TASKS = 50_000  # beyond it, tasks read more than one chunk each
 _LOCAL_HEADER = struct.Struct("<4s5H3L2H")  # fixed layout of a zip entry's local header
 
 
@@ -71,19 +73,23 @@ def _read_entries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         file.close()
 
 
-def scan_zip_entries(spark: SparkSession, path: str, chunk_bytes: int = 32 << 20) -> DataFrame:
+def scan_zip_entries(spark: SparkSession, path: str, chunk_bytes: int = 128 << 20) -> DataFrame:
     """(archive, entry, text) of every ``*.json`` entry of the archives under ``path``.
 
     One step reads only the archives' directories; the entries are then spread in
     chunks of neighbouring entries, so that one large archive is read by many
-    tasks and no archive is ever held whole.
+    tasks and no archive is ever held whole. The number of tasks follows the
+    archives' sizes: the shuffled entry list is far smaller than the data behind
+    it, and Spark would merge its partitions if left to choose.
     """
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(path)
+    packed_bytes = files.agg(F.sum("length")).first()[0] or 0  # file listing only
+    tasks = min(max(math.ceil(packed_bytes / chunk_bytes), spark.sparkContext.defaultParallelism), _MAX_TASKS)
     entries = files.select(F.col("path").alias("archive")).mapInPandas(
         _list_entries, "archive string, entry string, start bigint, packed bigint, method int"
     )
     chunk = F.floor(F.col("start") / F.lit(chunk_bytes))
-    spread = entries.repartition("archive", chunk).sortWithinPartitions("archive", "start")
+    spread = entries.repartition(tasks, "archive", chunk).sortWithinPartitions("archive", "start")
     return spread.mapInPandas(_read_entries, "archive string, entry string, text string")
 
 
