@@ -14,6 +14,7 @@ from pavilion.operators.reshape import flatten_balls, flatten_matches, flatten_w
 from pavilion.plans import conform, marts, staging
 from pavilion.plans.contracts import model_tests, silver_contracts, source_tests
 from pavilion.schemas import SILVER_BATTING, SILVER_BOWLING
+from pavilion.session import materialize
 from pavilion.sources import tables
 
 _CONFORM = {"batting": conform.conform_batting, "bowling": conform.conform_bowling}
@@ -61,10 +62,11 @@ def bronze_to_silver(spark: SparkSession, layers: Layers, date: dt.date) -> list
 
 def documents_to_silver(docs: DataFrame, weather: DataFrame | None, layers: Layers) -> None:
     """Flatten match and weather documents into full-refresh Silver tables."""
-    tables.write_full_refresh(flatten_matches(docs), f"{layers.silver}/matches")
-    tables.write_full_refresh(flatten_balls(docs), f"{layers.silver}/balls")
+    tables.write_full_refresh(flatten_matches(docs), f"{layers.silver}/matches", given=docs)
+    tables.write_full_refresh(flatten_balls(docs), f"{layers.silver}/balls", given=docs)
     if weather is not None:
-        tables.write_full_refresh(flatten_weather(weather), f"{layers.silver}/weather")
+        path = f"{layers.silver}/weather"
+        tables.write_full_refresh(flatten_weather(weather), path, given=weather)
 
 
 def silver_tables(spark: SparkSession, layers: Layers) -> dict[str, DataFrame]:
@@ -101,23 +103,25 @@ def silver_to_gold(
 ) -> None:
     """Write the career tables of Gold; with ``check`` their declared tests gate the marts.
 
-    Each table is written before the next reads it, so nothing is computed twice.
+    Each table is written before the next reads it, staging included, so nothing
+    is computed twice.
     """
     silver = silver_tables(spark, layers)
-    players = {n: df.drop(tables.DATE_COLUMN) for n, df in silver.items()}
-    tables.write_full_refresh(
-        marts.player_stats_wide(players["batting"], players["bowling"]),
-        f"{layers.gold}/player_stats",
+    batting = tables.read_with_row_id(spark, tables.table_path(layers.silver, "batting"))
+    wide = marts.player_stats_wide(
+        batting.drop(tables.DATE_COLUMN),
+        silver["bowling"].drop(tables.DATE_COLUMN),
+        salt_by=["row_id"],
     )
+    tables.write_full_refresh(wide.drop("row_id"), f"{layers.gold}/player_stats")
     staged = {
-        "stg_batting": staging.stg_batting(silver["batting"]),
-        "stg_bowling": staging.stg_bowling(silver["bowling"]),
+        "stg_batting": materialize(staging.stg_batting(silver["batting"]), "stg_batting"),
+        "stg_bowling": materialize(staging.stg_bowling(silver["bowling"]), "stg_bowling"),
     }
 
     def publish(name: str, df: DataFrame) -> DataFrame:
         path = f"{layers.gold}/{name}"
-        if not tables.write_full_refresh(df, path):
-            return df
+        tables.write_full_refresh(df, path)
         return spark.read.schema(df.schema).parquet(path)
 
     built = dict(staged)

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 
-from pavilion.config import SALT_BUCKETS, MartRule, RoleRule
+from pavilion.config import MartRule, RoleRule
 from pavilion.functions.keys import surrogate_key
 from pavilion.functions.scores import (
     batting_score,
@@ -15,7 +17,12 @@ from pavilion.functions.scores import (
 )
 from pavilion.functions.text import clean_name
 from pavilion.operators.columns import first_present
-from pavilion.operators.joins import full_outer_null_safe, prefixed, salted_join
+from pavilion.operators.joins import (
+    full_outer_null_safe,
+    hot_key_join,
+    prefixed,
+    salted_join,
+)
 from pavilion.operators.rank import global_rank
 from pavilion.operators.reshape import distinct_values, unpivot_metrics
 
@@ -167,14 +174,25 @@ def mart_top_bowlers(dim: DataFrame, rule: MartRule = MartRule()) -> DataFrame:
 
 
 def player_stats_wide(
-    batting: DataFrame, bowling: DataFrame, buckets: int = SALT_BUCKETS
+    batting: DataFrame,
+    bowling: DataFrame,
+    buckets: int | None = None,
+    salt_by: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Batting rows with the player's bowling row, salted because few players hold many rows."""
+    """Batting rows with the player's bowling rows, salted because few players hold many rows.
+
+    Hot players get as many salts as their rows ask for; ``buckets`` salts every
+    player alike instead. ``salt_by`` names the columns that tell batting rows apart.
+    """
     bat_name = first_present(batting, ["player", "Player"])
     bowl_name = first_present(bowling, ["player", "Player"])
     left = batting.withColumn("player_clean", clean_name(F.col(bat_name)))
     right = prefixed(bowling.withColumn("player_clean", clean_name(F.col(bowl_name))), "bowl_", ["player_clean"])
-    return salted_join(left, right, "player_clean", buckets).drop("player_clean")
+    if buckets is None:
+        joined = hot_key_join(left, right, "player_clean", salt_by=salt_by)
+    else:
+        joined = salted_join(left, right, "player_clean", buckets, salt_by)
+    return joined.drop("player_clean")
 
 
 # ------------------------------------------------------------------- ball by ball

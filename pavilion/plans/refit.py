@@ -8,6 +8,8 @@ from pyspark.ml import Pipeline
 from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
 from pyspark.sql import DataFrame, functions as F
 
+from pavilion.session import materialize
+
 
 def refit_weights(df: DataFrame, features: Sequence[str], positive: str) -> DataFrame:
     """(feature, weight) of the first component of the standardised features.
@@ -18,9 +20,9 @@ def refit_weights(df: DataFrame, features: Sequence[str], positive: str) -> Data
     reaches the driver.
     """
     numbers = df.select(*[F.coalesce(F.col(c), F.lit(0)).cast("double").alias(c) for c in features])
-    finite = numbers.where(
-        F.forall(F.array(*features), lambda v: F.abs(v) < F.lit(float("inf")))
-    )
+    bounded = F.forall(F.array(*features), lambda v: F.abs(v) < F.lit(float("inf")))
+    # Scaling and rotation each read the features, so they are written once.
+    finite = materialize(numbers.where(bounded), "refit")
     stages = [
         VectorAssembler(inputCols=list(features), outputCol="raw"),
         StandardScaler(inputCol="raw", outputCol="scaled", withMean=True, withStd=True),

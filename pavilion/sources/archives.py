@@ -20,7 +20,8 @@ _LOCAL_HEADER = struct.Struct("<4s5H3L2H")  # fixed layout of a zip entry's loca
 
 
 def _open(path: str):
-    filesystem, inner = pyarrow.fs.FileSystem.from_uri(path)
+    # Arrow knows the object store by its plain scheme.
+    filesystem, inner = pyarrow.fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
     return filesystem.open_input_file(inner)
 
 

@@ -50,7 +50,7 @@ def parsed_tables(html: Column) -> Column:
     The header is the first row that has ``<th>`` cells only; without one it is empty.
     """
     visible = F.regexp_replace(html, r"(?is)<!--.*?-->|<script\b.*?</script\s*>", "")
-    tables = _each(visible, r"(?is)<table\b[^>]*>(.*?)</table\s*>")
+    tables = _each(visible, r"(?is)<table\b[^>]*>(.*?)(?:</table\s*>|\z)")
 
     def is_header(row: Column) -> Column:
         return row.rlike(r"(?i)<th\b") & ~row.rlike(r"(?i)<td\b")

@@ -100,12 +100,15 @@ def read_with_row_id(spark: SparkSession, path: str, name: str = "row_id") -> Da
     return df.select(*df.columns, row.alias(name))
 
 
-def write_full_refresh(df: DataFrame, path: str, compression: str = "snappy") -> bool:
-    """Replace a table; an empty input writes nothing. Returns whether it wrote.
+def write_full_refresh(
+    df: DataFrame, path: str, given: DataFrame | None = None, compression: str = "snappy"
+) -> bool:
+    """Replace a table, unless ``given`` is passed and empty. Returns whether it wrote.
 
-    The emptiness test reads one row, not the whole input.
+    ``given`` is the raw input: testing that reads one row, whereas testing a
+    joined result would run its shuffles a second time.
     """
-    if df.isEmpty():
+    if given is not None and given.isEmpty():
         return False
     _writer(df, compression, True).mode("overwrite").parquet(path)
     return True

@@ -14,7 +14,7 @@ from pavilion.operators.rank import newest
 from pavilion.operators.reshape import flatten_balls, flatten_matches, flatten_weather
 from pavilion.plans.daily import conform_audited
 from pavilion.schemas import BRONZE_BATTING, MATCH_DOCUMENT, WEATHER_DOCUMENT, with_key
-from pavilion.session import new_folder
+from pavilion.session import materialize, new_folder
 from pavilion.sources import archives, enrich, html, tables
 from pavilion.workload.ctes import with_tables
 from pavilion.workload.registry import query
@@ -141,7 +141,8 @@ def write_full_refresh(src):
     orders = _orders(src)
     tables.write_full_refresh(orders, path)
     tables.write_full_refresh(orders.where("o_orderkey % 2 = 1"), path)
-    tables.write_full_refresh(orders.where("o_orderkey < 0"), path)  # empty: nothing happens
+    nothing = orders.where("o_orderkey < 0")
+    tables.write_full_refresh(nothing, path, given=nothing)
     return src.spark.read.schema(orders.schema).parquet(path)
 
 
@@ -264,5 +265,6 @@ def page_drift_mixed(src):
 )
 def paged_union(src):
     pages = html.find_table(src.html_pages.withColumnRenamed("page_id", "page"), ["source", "page"])
-    rows = html.paged_union(pages.where("status = 'ok'"))
+    # Read twice below, so the parsed rows are kept rather than the pages parsed again.
+    rows = html.paged_union(materialize(pages.where("status = 'ok'"), "pages"))
     return rows.select("source", "page", "row_idx", F.get("cells", F.lit(0)).alias("player"))

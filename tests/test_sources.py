@@ -78,8 +78,11 @@ def test_codecs(spark, tmp_path):
 def test_full_refresh_keeps_the_table_on_empty_input(spark, tmp_path):
     path = str(tmp_path / "t")
     assert tables.write_full_refresh(spark.range(4), path)
-    assert not tables.write_full_refresh(spark.range(0), path)
+    nothing = spark.range(0)
+    assert not tables.write_full_refresh(nothing.distinct(), path, given=nothing)
     assert spark.read.parquet(path).count() == 4
+    assert tables.write_full_refresh(spark.range(3), path, given=spark.range(1))
+    assert spark.read.parquet(path).count() == 3
 
 
 def test_samples_and_csv(spark, tmp_path):
