@@ -50,14 +50,20 @@ _SHARED = ("country_tag", "career_end_year", "matches", "innings")
 # ------------------------------------------------------------------- career stats
 
 
-def joined_careers(batting: DataFrame, bowling: DataFrame) -> DataFrame:
+def joined_careers(
+    batting: DataFrame, bowling: DataFrame, same_start: bool = True
+) -> DataFrame:
     """Batting and bowling careers side by side; the batting side's shared values win.
 
-    Both staging tables hold one row per player, so no join key is hot.
+    A player whose two careers start in different years gets two rows, unless
+    ``same_start`` is off. Both staging tables hold one row per player, so no join
+    key is hot.
     """
+    year = ["career_start_year"]
+    keys, shared = (year, _SHARED) if same_start else ([], (*year, *_SHARED))
     bat = batting.select(
         "player",
-        "career_start_year",
+        *year,
         *_SHARED,
         "runs",
         F.col("average").alias("batting_average"),
@@ -69,16 +75,16 @@ def joined_careers(batting: DataFrame, bowling: DataFrame) -> DataFrame:
     )
     bowl = bowling.select(
         "player",
-        "career_start_year",
-        *[F.col(c).alias(f"bowl_{c}") for c in _SHARED],
+        *keys,
+        *[F.col(c).alias(f"bowl_{c}") for c in shared],
         "wickets",
         "bowling_average",
         "economy_rate",
         "bowling_strike_rate",
     )
-    joined = full_outer_null_safe(bat, bowl, ["player"], ["career_start_year"])
-    merged = {c: F.coalesce(F.col(c), F.col(f"bowl_{c}")) for c in _SHARED}
-    return joined.withColumns(merged).drop(*[f"bowl_{c}" for c in _SHARED])
+    joined = full_outer_null_safe(bat, bowl, ["player"], keys)
+    merged = {c: F.coalesce(F.col(c), F.col(f"bowl_{c}")) for c in shared}
+    return joined.withColumns(merged).drop(*[f"bowl_{c}" for c in shared])
 
 
 def dim_player(batting: DataFrame, bowling: DataFrame, rule: RoleRule = RoleRule()) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 
@@ -22,12 +23,28 @@ _DEFAULTS = {
 _local_folders: dict[str, str] = {}
 
 
-def build_session(app: str = "pavilion", master: str | None = None, **conf: str) -> SparkSession:
-    """Session with the defaults the jobs assume; keyword names use ``__`` for dots."""
+def shuffle_partitions(data_bytes: int, partition_bytes: int = 512 << 20) -> int:
+    """Partitions that keep each shuffled one near ``partition_bytes``; Spark merges small ones."""
+    return min(max(math.ceil(data_bytes / partition_bytes), 200), 100_000)
+
+
+def build_session(
+    app: str = "pavilion",
+    master: str | None = None,
+    data_bytes: int | None = None,
+    **conf: str,
+) -> SparkSession:
+    """Session with the defaults the jobs assume; keyword names use ``__`` for dots.
+
+    ``data_bytes``, the size of the largest input, sets the number of shuffle partitions.
+    """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    settings = {**_DEFAULTS, **{k.replace("__", "."): v for k, v in conf.items()}}
+    settings = dict(_DEFAULTS)
+    if data_bytes is not None:
+        settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions(data_bytes))
+    settings |= {k.replace("__", "."): v for k, v in conf.items()}
     for key, value in settings.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()

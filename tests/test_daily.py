@@ -171,6 +171,9 @@ def test_dim_player_roles_and_fallbacks(spark):
     )
     rows = {(r["player"], r["career_start_year"]): r for r in marts.dim_player(bat, bowl).collect()}
     assert len(rows) == 4  # 'a' twice: the start years differ
+    merged = marts.joined_careers(bat, bowl, same_start=False)
+    assert {r["player"]: r["career_start_year"] for r in merged.collect()} == {"a": 2000, "b": None, "c": 2002}
+    assert sorted(merged.columns) == sorted(marts.joined_careers(bat, bowl).columns)
     both = rows[("b", None)]
     assert (both["player_role"], both["country_tag"], both["career_end_year"], both["matches"]) == ("all_rounder", "y", 2003, 30)
     assert both["pca_score"] == both["pca_batting_score"]
@@ -192,6 +195,18 @@ def test_long_facts(spark):
     assert sorted(r["n"] for r in distinct_values(names, ["x", "y", "z"], "n").collect()) == ["a", "b", "c"]
 
 
+def test_refit_equals_the_eigenvector_of_the_correlations(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(7)
+    values = rng.normal(size=(300, 4)) @ rng.normal(size=(4, 4))
+    df = spark.createDataFrame([tuple(map(float, v)) for v in values], "a double, b double, c double, d double")
+    weights = {r["feature"]: r["weight"] for r in refit.refit_weights(df, list("abcd"), "b").collect()}
+    vector = np.linalg.eigh(np.corrcoef(values.T))[1][:, -1]
+    vector = vector if vector[1] > 0 else -vector
+    assert np.allclose([weights[c] for c in "abcd"], vector, atol=1e-9)
+
+
 def test_refit_finds_the_common_direction(spark):
     df = spark.range(500).selectExpr(
         "double(id) as a", "double(id) * 2 + (id * 7919 % 13) as b", "-double(id) + (id * 104729 % 17) as c",
