@@ -8,7 +8,12 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from pavilion.functions.numbers import safe_double, whole
 from pavilion.functions.text import clean_name, has_mark, name_tag, span_years, without_mark
-from pavilion.operators.columns import complete_schema, drop_index_columns, rename_known
+from pavilion.operators.columns import (
+    complete_schema,
+    drop_index_columns,
+    first_present,
+    rename_known,
+)
 from pavilion.operators.dedupe import dedupe_max
 from pavilion.schemas import SILVER_BATTING, SILVER_BOWLING
 
@@ -130,19 +135,22 @@ def type_bowling(df: DataFrame) -> DataFrame:
     return _conform(df, BOWLING_ALIASES, SILVER_BOWLING)
 
 
-def valid_batting(df: DataFrame) -> DataFrame:
-    return df.where(F.col("player").isNotNull() & F.col("runs").isNotNull())
+def named(df: DataFrame) -> DataFrame:
+    """Rows with a player.
 
-
-def valid_bowling(df: DataFrame) -> DataFrame:
-    """Rows with a player and at least one wicket."""
-    return df.where(F.col("player").isNotNull() & (F.col("wickets") > 0))
+    Testing the raw column lets the scan drop the rows; the same test on the
+    cleaned name would clean every name twice.
+    """
+    return df.where(F.col(first_present(df, ["Player", "player"])).isNotNull())
 
 
 def conform_batting(df: DataFrame, with_high_score: bool = False) -> DataFrame:
-    typed = valid_batting(type_batting(df, with_high_score))
+    """Rows with a player and runs, one per natural key."""
+    typed = type_batting(named(df), with_high_score).where("runs is not null")
     return dedupe_max(typed, NATURAL_KEY, "matches")
 
 
 def conform_bowling(df: DataFrame) -> DataFrame:
-    return dedupe_max(valid_bowling(type_bowling(df)), NATURAL_KEY, "matches")
+    """Rows with a player and at least one wicket, one per natural key."""
+    typed = type_bowling(named(df)).where("wickets > 0")
+    return dedupe_max(typed, NATURAL_KEY, "matches")

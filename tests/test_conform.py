@@ -95,6 +95,14 @@ def test_bowling_without_span_keeps_the_schema(spark):
     assert out.first()["career_start_year"] is None
 
 
+def test_rows_without_a_player_are_dropped_by_the_scan(spark, tmp_path):
+    path = str(tmp_path / "bronze")
+    frame(spark, MIXED, {**MIXED, "Player": None}).write.parquet(path)
+    out = conform.conform_batting(spark.read.parquet(path))
+    assert out.count() == 1
+    assert "PushedFilters: [IsNotNull(Player)]" in out._jdf.queryExecution().executedPlan().toString()
+
+
 def test_column_helpers(spark):
     df = spark.createDataFrame([(1, 2, 3, "x")], ["Unnamed: 0", "_c0", "_code", "a"])
     assert columns.drop_index_columns(df).columns == ["_code", "a"]
