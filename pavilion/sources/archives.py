@@ -4,19 +4,24 @@ from __future__ import annotations
 
 import math
 import struct
+import sys
 import zipfile
 import zlib
 from collections.abc import Iterator
 
 import pandas as pd
 import pyarrow.fs
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from pavilion.operators.columns import computed_once
 
 _BATCH_BYTES = 8 << 20
 _MAX_TASKS = 50_000  # beyond it, tasks read more than one chunk each
-_LOCAL_HEADER = struct.Struct("<4s5H3L2H")  # fixed layout of a zip entry's local header
+_LOCAL_HEADER = "<4s5H3L2H"  # fixed layout of a zip entry's local header
+
+# Send these functions to the executors by value, so the package need not be installed there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 def _open(path: str):
@@ -43,8 +48,9 @@ def _list_entries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def _read_entry(file, start: int, packed: int, method: int) -> str:
     file.seek(start)
-    *_, name_length, extra_length = _LOCAL_HEADER.unpack(file.read(_LOCAL_HEADER.size))
-    file.seek(start + _LOCAL_HEADER.size + name_length + extra_length)
+    size = struct.calcsize(_LOCAL_HEADER)
+    *_, name_length, extra_length = struct.unpack(_LOCAL_HEADER, file.read(size))
+    file.seek(start + size + name_length + extra_length)
     data = file.read(packed)
     if method == zipfile.ZIP_DEFLATED:
         data = zlib.decompress(data, -zlib.MAX_WBITS)
