@@ -187,7 +187,7 @@ PAGE = """<html><body>
   <script>var t = "<table><tr><th>Player Runs</th></tr></table>";</script>
   <table><tr><td>Link 1</td><td>Link 2</td></tr></table>
   <TABLE id="target"><thead><tr><th>Player</th><th class="x">Runs&nbsp;</th><th>Ave</th></tr></thead>
-    <tr><td><a href="/p">N Theba</a> (IND)</td><td>10500<td> 50.5
+    <tr><td><a href="/p">N Player</a> (IND)</td><td>10500<td> 50.5
     <tr><td>O &amp; P</td><td></td><td>-</td></tr></TABLE>
 </body></html>"""
 
@@ -201,7 +201,7 @@ def test_table_is_found_by_its_columns(spark):
     assert tuple(found.select("status", "n_tables").first()) == ("ok", 3)
     rows = html.rows_to_columns(html.table_rows(found, ["id"]), ["row_idx"], ["Player", "Runs", "Ave", "HS"])
     assert [tuple(r) for r in rows.orderBy("row_idx").collect()] == [
-        (0, "N Theba (IND)", "10500", "50.5", None),
+        (0, "N Player (IND)", "10500", "50.5", None),
         (1, "O & P", "", "-", None),
     ]
 
