@@ -76,12 +76,20 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
+def materialize(df: DataFrame, label: str, folder: str | None = None) -> DataFrame:
     """Write ``df`` once to the shared folder and continue from the written table.
 
     Used where a result must not be computed twice with different task layouts.
-    The table outlives lost executors and cuts the lineage.
+    The table outlives lost executors and cuts the lineage. ``folder`` puts it under
+    a folder of the caller's, which the caller discards.
     """
-    path = new_folder(df.sparkSession, label)
+    path = f"{folder}/{label}-{uuid.uuid4().hex}" if folder else new_folder(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard(spark: SparkSession, *folders: str) -> None:
+    """Delete folders that ``new_folder`` named, once nothing reads them any more."""
+    for folder in folders:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
