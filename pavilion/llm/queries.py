@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pavilion.llm.neardup import near_duplicates
+from pavilion.llm.rlz import remove_repeats
 from pavilion.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -28,3 +29,21 @@ from documents left join n using (doc_id) join r on r.id = documents.doc_id
 @query("op5_minmax_near_duplicates", OP5)
 def op5(spark, folder):
     return near_duplicates(table(spark, folder, "documents"), shingle_words=2)
+
+
+OP9 = r"""
+with d as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),
+p as (select doc_id, unnest(range(1, len(w) - 33)) as i, w from d where len(w) >= 35),
+k as (select doc_id, i, md5(array_to_string(w[i:i + 34], ' ')) as k from p),
+h as (select doc_id, i from k qualify count(*) over (partition by k) > 1),
+c as (select distinct doc_id, i + j as i from h, (select unnest(range(35)) as j)),
+x as (select doc_id, list(i) as gone from c group by doc_id)
+select d.doc_id, len(w)::bigint as n_words, coalesce(len(gone), 0)::bigint as n_removed,
+  sha256(coalesce(array_to_string(list_transform(list_filter(range(1, len(w) + 1), lambda i: gone is null or not list_contains(gone, i)), lambda i: w[i]), ' '), '')) as kept_sha256
+from d left join x using (doc_id)
+"""
+
+
+@query("op9_relative_lempel_ziv", OP9)
+def op9(spark, folder):
+    return remove_repeats(table(spark, folder, "documents"), with_text=False).select("doc_id", "n_words", "n_removed", "kept_sha256")
