@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pavilion.llm.neardup import near_duplicates
+from pavilion.llm.rindex import remove_repeated_bytes
 from pavilion.llm.rlz import remove_repeats
 from pavilion.llm.registry import ORACLES, QUERIES, query, table
 
@@ -47,3 +48,27 @@ from d left join x using (doc_id)
 @query("op9_relative_lempel_ziv", OP9)
 def op9(spark, folder):
     return remove_repeats(table(spark, folder, "documents"), with_text=False).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+OP4 = r"""
+with d as (select doc_id, hex(encode(coalesce(text, ''))) as h, strlen(coalesce(text, '')) as n from documents),
+p as (select doc_id, unnest(range(n - 49)) as i, h from d where n >= 50),
+k as (select doc_id, i, hash(substr(h, 2 * i + 1, 100)) as k1, md5_number_lower(substr(h, 2 * i + 1, 100)) as k2 from p),
+f as (select k1, k2, min(doc_id) as lo from k group by k1, k2 having count(distinct doc_id) > 1),
+m as (select k.doc_id, k.i from k join f using (k1, k2) where k.doc_id > lo),
+b as (select doc_id, i, i > coalesce(max(i) over (partition by doc_id order by i rows between unbounded preceding and 1 preceding) + 50, -1) as fresh from m),
+r as (select doc_id, i, sum(fresh::int) over (partition by doc_id order by i) as g from b),
+s as (select doc_id, g, min(i) as a, max(i) + 50 as z from r group by doc_id, g),
+t as (select doc_id, a, z, lag(z, 1, 0) over (partition by doc_id order by a) as before from s),
+u as (select doc_id, count(*) as n_spans, sum(z - a) as gone, max(z) as z,
+  string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' order by a) as kept from t join d using (doc_id) group by doc_id)
+select d.doc_id, n::bigint as n_bytes, coalesce(gone, 0)::bigint as n_removed, coalesce(n_spans, 0)::bigint as n_spans,
+  sha256(unhex(coalesce(kept, '') || substr(h, 2 * coalesce(z, 0) + 1))) as kept_sha256
+from d left join u using (doc_id)
+"""
+
+
+@query("op4_run_length_index", OP4)
+def op4(spark, folder):
+    found = remove_repeated_bytes(table(spark, folder, "documents"), with_text=False)
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
