@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pavilion.llm.decontaminate import benchmark_hits
 from pavilion.llm.neardup import near_duplicates
 from pavilion.llm.rindex import remove_repeated_bytes
 from pavilion.llm.rlz import remove_repeats
@@ -72,3 +73,33 @@ from d left join u using (doc_id)
 def op4(spark, folder):
     found = remove_repeated_bytes(table(spark, folder, "documents"), with_text=False)
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+OP1 = r"""
+with d as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+  from documents),
+b as (
+  select item_id::varchar as item, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+  from benchmark),
+i as (
+  select distinct item, least(len(w), 10) as n, array_to_string(w[p:p + least(len(w), 10) - 1], ' ') as k
+  from (select item, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) as p from b where len(w) > 0)),
+z as (select distinct n from i),
+h as (
+  select doc_id, p, n, array_to_string(w[p:p + n - 1], ' ') as k
+  from (select doc_id, w, n, unnest(range(1, len(w) - n + 2)) as p from d, z where len(w) >= n)
+  where k in (select k from i)),
+x as (select distinct doc_id, p, h.n, item from h join i on i.n = h.n and i.k = h.k),
+c as (select doc_id, count(distinct q) as n_hit from (select doc_id, unnest(range(p, p + n)) as q from x) group by doc_id),
+m as (select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as items from (select distinct doc_id, item from x) group by doc_id)
+select d.doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(n_items, 0)::bigint as n_items,
+  sha256(coalesce(items, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from d left join c using (doc_id) left join m using (doc_id)
+"""
+
+
+@query("op1_prefix_filtered_containment", OP1)
+def op1(spark, folder):
+    found = benchmark_hits(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
