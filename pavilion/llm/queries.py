@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pavilion.llm.cascade import quality_report
 from pavilion.llm.decontaminate import benchmark_hits
 from pavilion.llm.neardup import near_duplicates
 from pavilion.llm.rindex import remove_repeated_bytes
@@ -103,3 +104,29 @@ from d left join c using (doc_id) left join m using (doc_id)
 def op1(spark, folder):
     found = benchmark_hits(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
+OP7 = r"""
+with d as (
+  select doc_id, coalesce(text, '') as t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) as l
+  from documents),
+g as (select doc_id, unnest(range(1, len(w) - 1)) as i, w from d where len(w) >= 3),
+k as (select doc_id, i from g qualify count(*) over (partition by doc_id, array_to_string(w[i:i + 2], ' ')) > 1),
+r as (select doc_id, count(distinct i + j) as n from k, (select unnest(range(3)) as j) group by doc_id),
+m as (
+  select d.doc_id, len(w)::bigint as n_words, length(array_to_string(w, ''))::bigint as word_chars,
+    (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::bigint as n_symbols,
+    (len(l) - len(list_distinct(l)))::bigint as n_dup_lines, coalesce(r.n, 0)::bigint as n_repeat_words, len(l) as n_lines,
+    regexp_matches(t, '\p{Ll}|\p{Lo}') as lower_case
+  from d left join r using (doc_id)),
+b as (select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed from m)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  not (base_failed or 10 * n_symbols > 3 * n_words or 100 * n_dup_lines > 50 * n_lines or word_chars > 25 * n_words or not lower_case) as kept
+from b
+"""
+
+
+@query("op7_short_circuit_cascade", OP7)
+def op7(spark, folder):
+    return quality_report(table(spark, folder, "documents"))
