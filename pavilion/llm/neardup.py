@@ -6,9 +6,10 @@ buckets in which documents meet; every pair that may matter is then checked on t
 documents' full shingle sets.
 
 Documents with equal sets are one class from the start, so copies cost one row each. In a
-bucket all classes are first checked against its least one; only pairs that lie in one
-bucket but not yet in one component are checked after that. A large group of near copies
-thus needs about one check per member, and no link between components is left out.
+bucket all classes of other components are first checked against one of its classes, in a
+few rounds with another one each; only pairs that lie in one bucket but not yet in one
+component are checked after that. A large group of near copies thus needs a few checks per
+member, and no link between components is left out.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from pavilion.llm import textkeys as tk
 from pavilion.llm.graph import components
+from pavilion.llm.keyfilter import may_repeat, repeated_keys
 from pavilion.session import materialize, new_folder
 
 _U = np.uint64
@@ -71,6 +73,25 @@ def _signer(k: int, bands: int, rows: int):
     return sign
 
 
+def _bucket_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+    for batch in batches:
+        yield batch.column(0).flatten().to_numpy().view(np.uint64)
+
+
+def _bucket_rows(shared):
+    """Buckets that more than one document may be in, one row for each."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(3)
+            keys = lists.flatten().to_numpy()
+            at = np.flatnonzero(may_repeat(shared.value, keys.view(np.uint64)))
+            of = pa.array(np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))[at])
+            yield pa.RecordBatch.from_arrays([*(batch.column(i).take(of) for i in range(3)), pa.array(keys[at])], ["class", "id", "n", "bucket"])
+
+    return rows
+
+
 def _set_reader(k: int):
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keyer = tk.Keyer()
@@ -103,16 +124,12 @@ def _linker(percent: int):
     return link
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame, k: int, percent: int, folder: str) -> DataFrame:
+def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) of classes whose full sets are similar enough."""
-    ends = pairs.select(F.col("a").alias("class")).unionByName(pairs.select(F.col("b").alias("class"))).distinct()
-    ids = ends.join(classes, "class").select(F.col("rep").alias("__id")).distinct()
-    texts = docs.join(ids, "__id", "left_semi").select("__text")
-    sets = materialize(texts.mapInArrow(_set_reader(k), "class bigint, shingles binary").join(ends, "class", "left_semi"), "sets", folder)
     both = pairs.join(sets.select(F.col("class").alias("a"), F.col("shingles").alias("sa")), "a").join(
         sets.select(F.col("class").alias("b"), F.col("shingles").alias("sb")), "b"
     )
-    return both.select("a", "b", "sa", "sb").mapInArrow(_linker(percent), "a bigint, b bigint").distinct()
+    return both.select("a", "b", "sa", "sb").mapInArrow(_linker(percent), "a bigint, b bigint")
 
 
 def near_duplicates(
@@ -121,16 +138,19 @@ def near_duplicates(
     text_col: str = "text",
     shingle_words: int = 5,
     percent: int = 80,
-    bands: int = 44,
-    rows: int = 5,
+    bands: int = 100,
+    rows: int = 8,
+    hub_rounds: int = 3,
+    filter_bits: int = 27,
 ) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept.
 
     Words are ``[^\\x20\\x09-\\x0D]+`` after lower-casing A-Z; a document's set has its distinct
     runs of ``shingle_words`` words, or its whole sequence where it has fewer. Documents are
     linked when ``100 * intersection >= percent * union``; ``component_id`` is the least id
-    reachable and ``kept`` marks the document that bears it. With 44 bands of 5 entries a
-    pair at 80 percent meets in no band with a probability of 3e-8, a closer pair less.
+    reachable and ``kept`` marks the document that bears it. With 100 bands of 8 entries a
+    pair at 80 percent meets in no band with a probability of 1e-8, a closer pair less.
+    ``hub_rounds`` only sets how many checks against single members come before the rest.
 
     A null or wordless text has an empty set and is linked with nothing. A row without an id
     is linked with nothing, has no component and is kept. Rows that repeat an id and a text
@@ -142,38 +162,49 @@ def near_duplicates(
     docs = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"))
     signed = materialize(docs.mapInArrow(_signer(shingle_words, bands, rows), "id bigint, n bigint, class bigint, bands array<bigint>"), "signed", folder)
     known = signed.where("n > 0 and id is not null")
-    classes = known.groupBy("class").agg(F.min("id").alias("rep"), F.min("n").alias("n"))
-    first = known.join(classes.select("class", F.col("rep").alias("id")), ["class", "id"], "left_semi").dropDuplicates(["class"])
-    members = first.select("class", "n", F.explode("bands").alias("bucket"))
-    shared = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("__n"), F.min("class").alias("hub")).where("__n > 1").drop("__n")
-    met = materialize(members.join(shared, "bucket"), "met", folder)
-    classes = materialize(classes, "classes", folder)
-
-    def alike(pairs: DataFrame) -> DataFrame:
-        """Sizes alone may rule a pair out."""
-        return pairs.where(f"100 * least(na, nb) >= {percent} * greatest(na, nb)").select("a", "b").distinct()
-
-    sizes = classes.select(F.col("class").alias("hub"), F.col("n").alias("nb"))
-    stars = met.where("class <> hub").select(F.col("class").alias("b"), F.col("n").alias("na"), "hub").distinct()
-    stars = materialize(alike(stars.join(sizes, "hub").withColumnRenamed("hub", "a")), "stars", folder)
-    links = materialize(_confirmed(stars, docs, classes, shingle_words, percent, folder), "links", folder)
-
-    labels = components(links, folder).select(F.col("node").alias("class"), "component")
-    named = met.select("bucket", "class", "n").join(labels, "class", "left").withColumn("component", F.coalesce("component", "class"))
-    named = materialize(named, "named", folder)
-    open_ = named.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("bucket")
-    named = named.join(open_, "bucket", "left_semi")
-    cells = named.select("bucket", "component").distinct()
-    across = cells.withColumnRenamed("component", "ca").join(cells.withColumnRenamed("component", "cb"), "bucket").where("ca < cb")
-    left = named.select("bucket", F.col("component").alias("ca"), F.col("class").alias("a"), F.col("n").alias("na"))
-    right = named.select("bucket", F.col("component").alias("cb"), F.col("class").alias("b"), F.col("n").alias("nb"))
-    rest = alike(across.join(left, ["bucket", "ca"]).join(right, ["bucket", "cb"]))
-    rest = rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(stars, ["a", "b"], "left_anti")
-    rest = materialize(rest, "rest", folder)
-    more = materialize(_confirmed(rest, docs, classes, shingle_words, percent, folder), "more", folder)
-
-    if not more.isEmpty():
-        labels = components(links.unionByName(more), folder).select(F.col("node").alias("class"), "component")
+    classes = materialize(known.groupBy("class").agg(F.min("id").alias("rep"), F.min("n").alias("n")), "classes", folder)
+    shared = repeated_keys(signed.select("bands"), _bucket_keys, filter_bits)
+    members = known.select("class", "id", "n", "bands").mapInArrow(_bucket_rows(shared), "class bigint, id bigint, n bigint, bucket bigint")
+    members = members.join(classes.select("class", F.col("rep").alias("id")), ["class", "id"], "left_semi").drop("id").distinct()
+    members = materialize(members, "members", folder)
+    # The full sets of all classes that share a bucket, read from the texts once.
+    crowded = members.groupBy("bucket").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo < hi").select("bucket")
+    members = materialize(members.join(crowded, "bucket"), "crowded", folder)
+    wanted = members.select("class").distinct().join(classes, "class").select("class", F.col("rep").alias("__id"))
+    wanted = materialize(wanted, "wanted", folder)
+    texts = docs.join(wanted.select("__id").distinct(), "__id", "left_semi").select("__text")
+    sets = texts.mapInArrow(_set_reader(shingle_words), "class bigint, shingles binary")
+    sets = materialize(sets.join(wanted, "class", "left_semi").dropDuplicates(["class"]), "sets", folder)
+    checked, links, labels = None, None, None
+    for turn in range(hub_rounds + 1):
+        if labels is None:
+            named = members.withColumn("component", F.col("class"))
+        else:
+            named = members.join(labels, "class", "left").withColumn("component", F.coalesce("component", "class"))
+        hub = F.min(F.struct(F.xxhash64("class", F.lit(turn)), "class", "n", "component"))
+        met = named.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), hub.alias("hub")).where("lo < hi")
+        met = materialize(named.join(met.select("bucket", "hub"), "bucket"), f"met-{turn}", folder)
+        if turn < hub_rounds:
+            pairs = met.where("component <> hub.component").select(
+                F.col("hub.class").alias("a"), F.col("hub.n").alias("na"), F.col("class").alias("b"), F.col("n").alias("nb")
+            )
+        else:
+            cells = met.select("bucket", "component").distinct()
+            across = cells.withColumnRenamed("component", "ca").join(cells.withColumnRenamed("component", "cb"), "bucket").where("ca < cb")
+            left = met.select("bucket", F.col("component").alias("ca"), F.col("class").alias("a"), F.col("n").alias("na"))
+            right = met.select("bucket", F.col("component").alias("cb"), F.col("class").alias("b"), F.col("n").alias("nb"))
+            pairs = across.join(left, ["bucket", "ca"]).join(right, ["bucket", "cb"])
+        # Sizes alone may rule a pair out.
+        pairs = pairs.where(f"100 * least(na, nb) >= {percent} * greatest(na, nb)")
+        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        if checked is not None:
+            pairs = pairs.join(checked, ["a", "b"], "left_anti")
+        pairs = materialize(pairs, f"pairs-{turn}", folder)
+        found = materialize(_confirmed(pairs, sets, percent), f"links-{turn}", folder)
+        checked = pairs if checked is None else checked.unionByName(pairs)
+        links = found if links is None else links.unionByName(found)
+        if labels is None or not found.isEmpty():
+            labels = components(links, folder).select(F.col("node").alias("class"), "component")
     rooted = classes.join(labels, "class", "left").withColumn("component", F.coalesce("component", "class"))
     roots = rooted.groupBy("component").agg(F.min("rep").alias("component_id"))
     named = materialize(rooted.join(roots, "component").select("class", "component_id"), "roots", folder)
