@@ -143,7 +143,7 @@ def _cutter(window: int, with_text: bool):
                 text = bytes(texts[i].as_buffer()) if texts[i].is_valid else b""
                 kept, spans = text, []
                 if ranges.is_valid:
-                    ends = np.array([(r["a"], r["b"]) for r in ranges.as_py()], np.int64)
+                    ends = np.array([(r["a"], r["b"]) for r in ranges.as_py()], np.int64).reshape(-1, 2)
                     hit = np.zeros(len(text) + 1, np.int64)
                     np.add.at(hit, ends[:, 0], 1)
                     np.add.at(hit, ends[:, 1] + window - 1, -1)

@@ -57,7 +57,7 @@ def _cutter(window: int, with_text: bool):
                 found, factors = bytes(text).split(), []
                 kept = found
                 if ranges.is_valid:
-                    ends = np.array([(r["a"], r["b"]) for r in ranges.as_py()], np.int64)
+                    ends = np.array([(r["a"], r["b"]) for r in ranges.as_py()], np.int64).reshape(-1, 2)
                     hit = np.zeros(len(found) + 1, np.int64)
                     np.add.at(hit, ends[:, 0], 1)
                     np.add.at(hit, ends[:, 1] + window - 1, -1)
@@ -117,7 +117,7 @@ def remove_repeats(
         F.transform(p["counts"], lambda c, i: F.when(c > 1, F.struct((F.col("start") + p["offset"] + i).alias("a"), (F.col("start") + p["offset"] + i + 1).alias("b")))),
         lambda x: x.isNotNull())))
     spans = pieces.select("row", F.when(F.col("copies") > 1, whole).otherwise(some).alias("spans"))
-    spans = spans.groupBy("row").agg(F.flatten(F.collect_list("spans")).alias("spans"))
+    spans = spans.where("size(spans) > 0").groupBy("row").agg(F.flatten(F.collect_list("spans")).alias("spans"))
     spans = materialize(spans, "spans", new_folder(spark, "rlz-spans"))
     discard(spark, folder)
     cut = docs.join(spans, "row", "left").select("id", "text", "spans").mapInArrow(
