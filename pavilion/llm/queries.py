@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pavilion.llm.cascade import quality_report
 from pavilion.llm.decontaminate import benchmark_hits
 from pavilion.llm.hilbert import hilbert_shards, text_code
+from pavilion.llm.lines import deduplicate_lines
 from pavilion.llm.mixture import mixed
 from pavilion.llm.neardup import near_duplicates
 from pavilion.llm.rindex import remove_repeated_bytes
@@ -150,3 +151,28 @@ def op6(spark, folder):
     axes = {"source": text_code(F.col("source")), "lang": text_code(F.col("lang")), "size": F.col("size")}
     placed = hilbert_shards(sized, axes, 24, [F.col("text_crc32"), F.col("doc_id")])
     return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+OP10 = r"""
+with l as (select doc_id, generate_subscripts(ls, 1) as i, unnest(ls) as l from (select doc_id, string_split(coalesce(text, ''), chr(10)) as ls from documents)),
+w as (select doc_id, i, l, regexp_extract_all(l, '[^\x20\x09-\x0D]+') as w from l),
+k as (select doc_id, i, w, array_to_string(w, ' ') as k, len(w) as n from w where len(w) > 0),
+f as (select k, any_value(w) as w, any_value(n) as n, min(struct_pack(d := doc_id, i := i)) as f from k group by k),
+v as (
+  select k, f, n, p, md5(array_to_string(w[1:p - 1] || w[p + 1:n], ' ')) as v
+  from (select *, unnest(range(1, n + 1)) as p from f where n >= 10)),
+near as (
+  select k from (select k, f, min(f) over (partition by v, p, n) as m from v) where m < f
+  union select v.k from v join f on md5(f.k) = v.v and f.n = v.n - 1 where f.n >= 10 and f.f < v.f
+  union select f.k from f join v on md5(f.k) = v.v and f.n = v.n - 1 where f.n >= 10 and v.f < f.f),
+stay as (select f.f.d as doc_id, f.f.i as i from f where k not in (select k from near)),
+o as (select w.doc_id, w.i, w.l, len(w.w) > 0 as filled, len(w.w) = 0 or stay.i is not null as kept from w left join stay on stay.doc_id = w.doc_id and stay.i = w.i)
+select doc_id, count(*) filter (filled)::bigint as n_lines, count(*) filter (not kept)::bigint as n_removed,
+  sha256(coalesce(string_agg(l, chr(10) order by i) filter (kept), '')) as kept_sha256
+from o group by doc_id
+"""
+
+
+@query("op10_deletion_neighbourhood_lines", OP10)
+def op10(spark, folder):
+    return deduplicate_lines(table(spark, folder, "documents"), with_text=False).select("doc_id", "n_lines", "n_removed", "kept_sha256")
