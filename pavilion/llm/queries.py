@@ -10,9 +10,11 @@ from pavilion.llm.hilbert import hilbert_shards, text_code
 from pavilion.llm.lines import deduplicate_lines
 from pavilion.llm.mixture import mixed
 from pavilion.llm.neardup import near_duplicates
+from pavilion.llm.registry import ORACLES, QUERIES, query, table
 from pavilion.llm.rindex import remove_repeated_bytes
 from pavilion.llm.rlz import remove_repeats
-from pavilion.llm.registry import ORACLES, QUERIES, query, table
+from pavilion.llm.warc import archive_round_trip
+
 
 __all__ = ["ORACLES", "QUERIES"]
 
@@ -176,3 +178,20 @@ from o group by doc_id
 @query("op10_deletion_neighbourhood_lines", OP10)
 def op10(spark, folder):
     return deduplicate_lines(table(spark, folder, "documents"), with_text=False).select("doc_id", "n_lines", "n_removed", "kept_sha256")
+
+
+OP8 = r"""
+with p as (select page_id, encode(coalesce(html, '')) as b from pages),
+d as (select page_id, octet_length(b)::bigint as n, sha1(b) as digest from p),
+m as (select *, max(page_id) over (partition by digest) as newest from d)
+select page_id, n as payload_bytes, digest as payload_digest,
+  case when n >= 1000 and page_id < newest then 'revisit' else 'response' end as record_type,
+  case when n >= 1000 and page_id < newest then newest end as refers_to
+from m
+"""
+
+
+@query("op8_capture_index", OP8)
+def op8(spark, folder):
+    found = archive_round_trip(table(spark, folder, "pages"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
