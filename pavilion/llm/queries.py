@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pavilion.llm.cascade import quality_report
 from pavilion.llm.decontaminate import benchmark_hits
 from pavilion.llm.hilbert import hilbert_shards, text_code
+from pavilion.llm.langid import identify_languages
 from pavilion.llm.lines import deduplicate_lines
 from pavilion.llm.mixture import mixed
 from pavilion.llm.neardup import near_duplicates
@@ -195,3 +196,8 @@ from m
 def op8(spark, folder):
     found = archive_round_trip(table(spark, folder, "pages"))
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op3_string_kernel_language")
+def op3(spark, folder):
+    return identify_languages(table(spark, folder, "documents"))

@@ -66,8 +66,8 @@ class Slice(NamedTuple):
         return len(self.offsets) - 1
 
 
-def slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[Slice]:
-    """The column in slices of about ``limit`` bytes; every text is whole in one slice."""
+def slices(texts: pa.Array, limit: int = SLICE_BYTES, most: int = SLICE_TEXTS) -> Iterator[Slice]:
+    """The column in slices of about ``limit`` bytes and ``most`` texts at most; every text is whole in one slice."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
     large = pa.types.is_large_string(texts.type) or pa.types.is_large_binary(texts.type)
@@ -81,7 +81,7 @@ def slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[Slice]:
     at = 0
     while at < len(texts):
         to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + limit, "right")) - 1)
-        to = min(to, at + SLICE_TEXTS)
+        to = min(to, at + most)
         yield Slice(at, offsets[at : to + 1] - offsets[at], data[offsets[at] : offsets[to]])
         at = to
 
