@@ -84,7 +84,7 @@ def materialize(df: DataFrame, label: str, folder: str | None = None) -> DataFra
     a folder of the caller's, which the caller discards.
     """
     path = f"{folder}/{label}-{uuid.uuid4().hex}" if folder else new_folder(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
