@@ -9,7 +9,7 @@ what is left. The order never changes a verdict: a text is kept when no rule rej
 from __future__ import annotations
 
 import time
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -71,19 +71,12 @@ def repeated_words(words: Column) -> Column:
                 s,
                 lambda x, i: (x["k"] == F.get(s, i + 1)["k"]) | ((i > 0) & (x["k"] == F.get(s, F.greatest(i - 1, F.lit(0)))["k"])),
             )
-            places = F.sort_array(F.transform(same, lambda x: x["i"]))
-            return F.when(
-                F.size(places) > 0,
-                _let(
-                    places,
-                    lambda p: F.aggregate(
-                        p,
-                        F.struct(F.lit(0).cast("bigint").alias("n"), F.lit(-3).alias("last")),
-                        lambda a, i: F.struct((a["n"] + F.least(F.lit(3), i - a["last"])).alias("n"), i.alias("last")),
-                        lambda a: a["n"],
-                    ),
-                ),
-            ).otherwise(F.lit(0).cast("bigint"))
+            return F.aggregate(
+                F.sort_array(F.transform(same, lambda x: x["i"])),
+                F.struct(F.lit(0).cast("bigint").alias("n"), F.lit(-3).alias("last")),
+                lambda a, i: F.struct((a["n"] + F.least(F.lit(3), i - a["last"])).alias("n"), i.alias("last")),
+                lambda a: a["n"],
+            )
 
         return _let(F.sort_array(keys), covered)
 
@@ -92,29 +85,45 @@ def repeated_words(words: Column) -> Column:
 
 @dataclass(frozen=True)
 class Rule:
-    """``rejects`` is true or false for a row with the columns of ``measured``; null rejects nothing."""
+    """``rejects`` is true or false for a row of ``measured``; null rejects nothing."""
 
     name: str
     rejects: Column
 
 
 def measured(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``docs`` with the arrays that rules and measures share: ``__words`` and ``__lines``."""
+    """``docs`` with the arrays that the measures share, ``__words`` and ``__lines``.
+
+    They stand behind a one-element generator, or the optimiser would split the text anew in
+    every rule of a pushed-down filter.
+    """
     text = F.col(text_col)
-    return docs.withColumns({"__words": words(text), "__lines": lines(text)})
+    return docs.select("*", F.inline(F.array(F.struct(words(text).alias("__words"), lines(text).alias("__lines")))))
+
+
+def measures(text: Column) -> dict[str, Column]:
+    """The measures as expressions on ``__words``, ``__lines`` and the text; computed only where used."""
+    w, rows = F.col("__words"), F.col("__lines")
+    return {
+        "n_words": F.size(w).cast("bigint"),
+        "word_chars": word_chars(w),
+        "n_symbols": symbols(text),
+        "n_dup_lines": duplicate_lines(rows),
+        "n_lines": F.size(rows),
+        "n_repeat_words": repeated_words(w),
+        "has_lower_case": F.coalesce(text, F.lit("")).rlike(r"\p{Ll}|\p{Lo}"),
+    }
 
 
-def default_rules(text_col: str = "text") -> list[Rule]:
-    """Rules on whole texts: length, repetition, symbols, repeated lines, letter case and word length."""
-    w, text = F.col("__words"), F.col(text_col)
-    n = F.size(w)
+def default_rules(m: Mapping[str, Column]) -> list[Rule]:
+    """Rules on whole texts: length, repetition, symbols, repeated lines, word length and letter case."""
     return [
-        Rule("few_words", n < 50),
-        Rule("repeated_words", 100 * repeated_words(w) > 50 * n),
-        Rule("many_symbols", 10 * symbols(text) > 3 * n),
-        Rule("duplicate_lines", 100 * duplicate_lines(F.col("__lines")) > 50 * F.size("__lines")),
-        Rule("long_words", word_chars(w) > 25 * n),
-        Rule("no_lower_case", ~F.coalesce(text, F.lit("")).rlike(r"\p{Ll}|\p{Lo}")),
+        Rule("few_words", m["n_words"] < 50),
+        Rule("repeated_words", 100 * m["n_repeat_words"] > 50 * m["n_words"]),
+        Rule("many_symbols", 10 * m["n_symbols"] > 3 * m["n_words"]),
+        Rule("duplicate_lines", 100 * m["n_dup_lines"] > 50 * m["n_lines"]),
+        Rule("long_words", m["word_chars"] > 25 * m["n_words"]),
+        Rule("no_lower_case", ~m["has_lower_case"]),
     ]
 
 
@@ -162,15 +171,15 @@ def verdict(rules: Sequence[Rule]) -> Column:
 
 
 def quality_cascade(
-    docs: DataFrame, text_col: str = "text", rules: Sequence[Rule] | None = None, sample_rows: int = 2000
+    docs: DataFrame, text_col: str = "text", rules: Sequence[Rule] | None = None, sample_rows: int = 2000, kept_col: str = "kept"
 ) -> DataFrame:
-    """``docs`` with ``kept``, the verdict of the ordered rules; all other columns stay as they are.
+    """``docs`` with ``kept_col``, the verdict of the ordered rules; all other columns stay as they are.
 
     A null, empty or wordless text fails the length rule. Equal texts get equal verdicts.
-    An empty table gives an empty table. A column named ``kept`` is replaced.
+    An empty table gives an empty table. A column named ``kept_col`` is replaced.
     """
-    ordered = [e.rule for e in estimate(docs, rules or default_rules(text_col), text_col, sample_rows)]
-    return measured(docs, text_col).withColumn("kept", verdict(ordered)).drop("__words", "__lines")
+    ordered = [e.rule for e in estimate(docs, rules or default_rules(measures(F.col(text_col))), text_col, sample_rows)]
+    return measured(docs, text_col).withColumn(kept_col, verdict(ordered)).drop("__words", "__lines")
 
 
 def quality_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample_rows: int = 2000) -> DataFrame:
@@ -181,15 +190,12 @@ def quality_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     A null text has no words and fails.
     """
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    w = F.col("__words")
-    judged = measured(quality_cascade(docs, "text", sample_rows=sample_rows), "text").select(
-        "doc_id",
-        F.size(w).cast("bigint").alias("n_words"),
-        word_chars(w).alias("word_chars"),
-        symbols(F.col("text")).alias("n_symbols"),
-        duplicate_lines(F.col("__lines")).alias("n_dup_lines"),
-        repeated_words(w).alias("n_repeat_words"),
-        "kept",
-    )
+    found = measures(F.col("text"))
+    order = [e.rule.name for e in estimate(docs, default_rules(found), "text", sample_rows)]
+    # All base measures are wanted for every row, so the cascade reads them instead of computing them again.
+    base = {name: found[name] for name in found if name != "has_lower_case"}
+    judged = measured(docs).select("doc_id", "text", *[c.alias(name) for name, c in base.items()])
+    rules = {r.name: r for r in default_rules({name: F.col(name) for name in base} | {"has_lower_case": found["has_lower_case"]})}
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    return judged.withColumn("base_failed", failed).withColumn("kept", F.col("kept") & ~failed)
+    judged = judged.select("*", failed.alias("base_failed"), verdict([rules[name] for name in order]).alias("kept"))
+    return judged.drop("text", "n_lines")

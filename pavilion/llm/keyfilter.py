@@ -1,10 +1,10 @@
 """Which keys occur twice or more in a corpus, as a bit filter of fixed size.
 
-Tasks deal their keys to buckets, packed into one binary row per bucket, five bytes a key, each
+Tasks deal their keys to buckets, packed into one binary row per bucket, four bytes a key, each
 key at most twice. A bucket's rows are counted together and answer with their own slice
 of the filter. The filter has ``2**bits`` bits whatever the input, so it can be sent to all
-tasks; a filter that fills up lets more keys through, which costs later stages work but
-never loses a key that repeats.
+tasks; a filter that fills up, or keys that agree in their upper bits only, let more keys
+through, which costs later stages work but never loses a key that repeats.
 """
 
 from __future__ import annotations
@@ -34,10 +34,10 @@ def _dealer(keys_of: Callable[[Iterator[pa.RecordBatch]], Iterator[np.ndarray]],
             keys = keys[np.concatenate([[True, True], (keys[2:] != keys[:-2])])]
         bucket = (keys >> _U(64 - n_bits)).astype(np.int64)
         heads = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
-        # The five bytes below the bucket's bits.
-        rest = ((keys << _U(n_bits)) >> _U(24)).view(np.uint8).reshape(-1, 8)[:, :5]
-        offsets = np.concatenate([heads, [len(keys)]]).astype(np.int32) * 5
-        blobs = pa.Array.from_buffers(pa.binary(), len(heads), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(rest))])
+        # The four bytes below the bucket's bits.
+        rest = ((keys << _U(n_bits)) >> _U(32)).astype(np.uint32)
+        offsets = np.concatenate([heads, [len(keys)]]).astype(np.int32) * 4
+        blobs = pa.Array.from_buffers(pa.binary(), len(heads), [None, pa.py_buffer(offsets), pa.py_buffer(rest)])
         return pa.RecordBatch.from_arrays([pa.array(bucket[heads]), blobs], ["bucket", "keys"])
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -56,12 +56,9 @@ def _dealer(keys_of: Callable[[Iterator[pa.RecordBatch]], Iterator[np.ndarray]],
 
 def _counter(n_bits: int, bits: int):
     def count(rows: pa.Table) -> pa.Table:
-        raw = np.frombuffer(b"".join(x.as_buffer() for x in rows.column("keys")), np.uint8).reshape(-1, 5)
-        keys = np.zeros((len(raw), 8), np.uint8)
-        keys[:, :5] = raw
-        keys = np.sort(keys.reshape(-1).view(np.uint64))
+        keys = np.sort(np.frombuffer(b"".join(x.as_buffer() for x in rows.column("keys")), np.uint32))
         twice = keys[1:][keys[1:] == keys[:-1]]
-        slot = (twice >> _U(40 - (bits - n_bits))).astype(np.int64)
+        slot = twice >> np.uint32(32 - (bits - n_bits))
         out = np.zeros(1 << (bits - n_bits), bool)
         out[slot] = True
         return pa.table({"bucket": rows.column("bucket")[:1], "bits": [np.packbits(out, bitorder="little").tobytes()]})
@@ -72,7 +69,7 @@ def _counter(n_bits: int, bits: int):
 def repeated_keys(df: DataFrame, keys_of: Callable[[Iterator[pa.RecordBatch]], Iterator[np.ndarray]], bits: int) -> Broadcast:
     """Filter of the keys that ``keys_of`` yields twice or more over all tasks; see ``may_repeat``."""
     n_bits = bucket_bits(df, bits)
-    if bits - n_bits > 40:
+    if bits - n_bits > 32:
         raise ValueError("the filter is too large for its buckets")
     dealt = df.mapInArrow(_dealer(keys_of, n_bits), "bucket bigint, keys binary")
     slices = dealt.groupBy("bucket").applyInArrow(_counter(n_bits, bits), "bucket bigint, bits binary")

@@ -63,11 +63,12 @@ def _signer(k: int, bands: int, rows: int):
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(part.first, part.n),
+                        batch.column(2).slice(part.first, part.n),
                         pa.array(counts, pa.int64()),
                         pa.array(name.view(np.int64)),
                         pa.ListArray.from_arrays(pa.array(lists), pa.array(keys.reshape(-1).view(np.int64))),
                     ],
-                    ["id", "n", "class", "bands"],
+                    ["id", "row", "n", "class", "bands"],
                 )
 
     return sign
@@ -143,7 +144,7 @@ def near_duplicates(
     hub_rounds: int = 3,
     filter_bits: int = 27,
 ) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id, kept.
+    """One row per document: doc_id, n_shingles, component_id, kept, and row, a key of (id, text).
 
     Words are ``[^\\x20\\x09-\\x0D]+`` after lower-casing A-Z; a document's set has its distinct
     runs of ``shingle_words`` words, or its whole sequence where it has fewer. Documents are
@@ -160,7 +161,8 @@ def near_duplicates(
     spark = docs.sparkSession
     folder = new_folder(spark, "neardup")
     docs = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"))
-    signed = materialize(docs.mapInArrow(_signer(shingle_words, bands, rows), "id bigint, n bigint, class bigint, bands array<bigint>"), "signed", folder)
+    keyed = docs.select("*", F.xxhash64("__id", "__text"))
+    signed = materialize(keyed.mapInArrow(_signer(shingle_words, bands, rows), "id bigint, row bigint, n bigint, class bigint, bands array<bigint>"), "signed", folder)
     known = signed.where("n > 0 and id is not null")
     classes = materialize(known.groupBy("class").agg(F.min("id").alias("rep"), F.min("n").alias("n")), "classes", folder)
     shared = repeated_keys(signed.select("bands"), _bucket_keys, filter_bits)
@@ -208,11 +210,12 @@ def near_duplicates(
     rooted = classes.join(labels, "class", "left").withColumn("component", F.coalesce("component", "class"))
     roots = rooted.groupBy("component").agg(F.min("rep").alias("component_id"))
     named = materialize(rooted.join(roots, "component").select("class", "component_id"), "roots", folder)
-    linked = signed.where("n > 0 and id is not null").select("id", "n", "class").join(named, "class").select("id", "n", "component_id")
-    alone = signed.where("n = 0 or id is null").select("id", "n", F.col("id").alias("component_id"))
+    linked = signed.where("n > 0 and id is not null").select("id", "row", "n", "class").join(named, "class").select("id", "row", "n", "component_id")
+    alone = signed.where("n = 0 or id is null").select("id", "row", "n", F.col("id").alias("component_id"))
     return linked.unionByName(alone).select(
         F.col("id").alias("doc_id"),
         F.col("n").alias("n_shingles"),
         "component_id",
         F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)).alias("kept"),
+        "row",
     )

@@ -39,7 +39,7 @@ from documents left join n using (doc_id) join r on r.id = documents.doc_id
 
 @query("op5_minmax_near_duplicates", OP5)
 def op5(spark, folder):
-    return near_duplicates(table(spark, folder, "documents"), shingle_words=2)
+    return near_duplicates(table(spark, folder, "documents"), shingle_words=2).drop("row")
 
 
 OP9 = r"""

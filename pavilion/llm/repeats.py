@@ -34,11 +34,15 @@ _U = np.uint64
 
 @dataclass(frozen=True)
 class Shape:
-    """A window of ``window`` units with seeds of ``seed`` units; units are words or bytes."""
+    """A window of ``window`` units with seeds of ``seed`` units; units are words or bytes.
+
+    ``within`` tells whether a window that repeats inside one document counts as repeated.
+    """
 
     window: int
     seed: int
     words: bool
+    within: bool
 
     def units(self, keyer: tk.Keyer, part: tk.Slice) -> tuple[np.ndarray, np.ndarray]:
         """Keys of the units of some texts, and the texts' bounds."""
@@ -54,8 +58,8 @@ class Shape:
         return tk.byte_keys(part), part.offsets
 
     def runs(self, keyer: tk.Keyer, values: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Runs of windows with one seed: first window, last one plus 1, seed, and whether the
-        seed lies in the run twice, so that windows may repeat inside it."""
+        """Runs of windows with one seed: first window, last one plus 1, seed, and, where repeats
+        inside a document count, whether the seed lies in the run twice, so that windows may repeat in it."""
         w = self.window - self.seed + 1
         x = keyer.rolling(values, self.seed)
         least = tk.window_min(x, w)
@@ -70,6 +74,8 @@ class Shape:
         end[:-1] &= ~ok[1:] | change
         first, last = np.flatnonzero(begin), np.flatnonzero(end) + 1
         value = least[first]
+        if not self.within:
+            return first, last, tk.mix(value), np.zeros(len(first), bool)
         at = np.zeros(len(first), np.int64)
         for o in range(w - 1, -1, -1):
             at[x[first + o] == value] = o
@@ -195,16 +201,33 @@ def _part_finder(shape: Shape, seeds, windows):
     return find
 
 
-#: What an index returns for each part: least document and count of each of its windows.
+#: What an index returns for each part: least document and count of its windows, see ``ranges``.
 Index = Callable[[pa.Table], pa.Table]
+_RANGE = pa.struct([("a", pa.int32()), ("b", pa.int32()), ("lo", pa.int64()), ("n", pa.int64())])
+
+
+def ranges(parts: pa.ChunkedArray, lists: np.ndarray, los: np.ndarray, counts: np.ndarray) -> pa.Table:
+    """An index's answer: runs of windows ``a`` to ``b - 1`` of a part with one least document and count.
+
+    Part ``i`` has the windows ``lists[i]`` to ``lists[i + 1] - 1``.
+    """
+    new = np.ones(len(los), bool)
+    new[1:] = (los[1:] != los[:-1]) | (counts[1:] != counts[:-1])
+    new[lists[:-1][np.diff(lists) > 0]] = True
+    at = np.flatnonzero(new)
+    end = np.concatenate([at[1:], [len(los)]]) if len(at) else at
+    part = np.searchsorted(lists, at, "right") - 1
+    fields = [pa.array((at - lists[part]).astype(np.int32)), pa.array((end - lists[part]).astype(np.int32)), pa.array(los[at]), pa.array(counts[at])]
+    offsets = pa.array(np.searchsorted(at, lists).astype(np.int32))
+    return pa.table({"part": parts.combine_chunks(), "ranges": pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays(fields, fields=list(_RANGE)))})
 
 
 def repeated_windows(docs: DataFrame, shape: Shape, index: Index, folder: str, filter_bits: int) -> DataFrame:
     """Pieces of ``docs`` (row, id, text) with windows that may repeat: row, id, start, n, copies, lo, parts.
 
     ``start`` and ``n`` number the piece's windows in its text, ``copies`` and ``lo`` are the
-    count and least id of its class, and ``parts`` (null where there are none) lists for
-    windows that classes share: offset in the piece, and count and least id of each window.
+    count and least id of its class, and ``parts`` (null where there are none) lists the windows
+    that classes share: runs of windows ``a`` to ``b - 1`` of the piece, their least id and count.
     """
     docs = docs.select("row", "id", "text")
     seeds = repeated_keys(docs.select("text"), _text_seeds(shape), filter_bits)
@@ -226,13 +249,14 @@ def repeated_windows(docs: DataFrame, shape: Shape, index: Index, folder: str, f
     indexed = (
         texts.withColumn("block", F.pmod(F.xxhash64("seed"), F.lit(blocks)))
         .groupBy("block")
-        .applyInArrow(index, "part bigint, los array<bigint>, counts array<bigint>")
+        .applyInArrow(index, "part bigint, ranges array<struct<a:int,b:int,lo:bigint,n:bigint>>")
     )
+    moved = F.transform("ranges", lambda r: F.struct((r["a"] + F.col("offset")).alias("a"), (r["b"] + F.col("offset")).alias("b"), r["lo"], r["n"]))
     found = (
         parts.select("class", "offset", "part")
         .join(materialize(indexed, "indexed", folder), "part")
         .groupBy("class")
-        .agg(F.collect_list(F.struct("offset", "los", "counts")).alias("parts"))
+        .agg(F.flatten(F.collect_list(moved)).alias("parts"))
     )
     described = classes.select("class", "copies", "lo").join(found, "class", "left").where("copies > 1 or parts is not null")
     return pieces.select("row", "id", "start", "n", "class").join(described, "class").drop("class")

@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from pavilion.llm.repeats import Shape, repeated_windows
+from pavilion.llm.repeats import Shape, ranges, repeated_windows
 from pavilion.session import discard, materialize, new_folder
 
 _U = np.uint64
@@ -126,10 +126,7 @@ def least_documents(window: int):
                 group = np.searchsorted(heads, row, "right") - 1
                 at = lists[live] + size[live] - length
                 los[at], counts[at] = least[group], total[group]
-        offsets = pa.array(lists.astype(np.int32))
-        return pa.table(
-            {"part": block.column("part").combine_chunks(), "los": pa.ListArray.from_arrays(offsets, pa.array(los)), "counts": pa.ListArray.from_arrays(offsets, pa.array(counts))}
-        )
+        return ranges(block.column("part"), lists, los, counts)
 
     return index
 
@@ -139,11 +136,11 @@ def _cutter(window: int, with_text: bool):
         for batch in batches:
             rows: list[tuple] = []
             texts = batch.column(1)
-            for i, ranges in enumerate(batch.column(2)):
+            for i, cuts in enumerate(batch.column(2)):
                 text = bytes(texts[i].as_buffer()) if texts[i].is_valid else b""
                 kept, spans = text, []
-                if ranges.is_valid:
-                    ends = np.array([(r["a"], r["b"]) for r in ranges.as_py()], np.int64).reshape(-1, 2)
+                if cuts.is_valid:
+                    ends = np.array([(r["a"], r["b"]) for r in cuts.as_py()], np.int64).reshape(-1, 2)
                     hit = np.zeros(len(text) + 1, np.int64)
                     np.add.at(hit, ends[:, 0], 1)
                     np.add.at(hit, ends[:, 1] + window - 1, -1)
@@ -187,12 +184,11 @@ def remove_repeated_bytes(
     spark = docs.sparkSession
     folder = new_folder(spark, "rindex")
     docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).withColumn("row", F.xxhash64("id", "text"))
-    pieces = repeated_windows(docs.where("id is not null"), Shape(window, seed_bytes, False), least_documents(window), folder, filter_bits)
+    pieces = repeated_windows(docs.where("id is not null"), Shape(window, seed_bytes, words=False, within=False), least_documents(window), folder, filter_bits)
     start = F.col("start")
     whole = F.array(F.struct(start.alias("a"), (start + F.col("n")).alias("b")))
-    some = F.flatten(F.transform("parts", lambda p: F.filter(
-        F.transform(p["los"], lambda lo, i: F.when(lo < F.col("id"), F.struct((start + p["offset"] + i).alias("a"), (start + p["offset"] + i + 1).alias("b")))),
-        lambda x: x.isNotNull())))
+    held = F.filter("parts", lambda p: p["lo"] < F.col("id"))
+    some = F.transform(held, lambda p: F.struct((start + p["a"]).alias("a"), (start + p["b"]).alias("b")))
     spans = pieces.where("lo < id or parts is not null").select("row", F.when(F.col("lo") < F.col("id"), whole).otherwise(some).alias("spans"))
     spans = spans.where("size(spans) > 0").groupBy("row").agg(F.flatten(F.collect_list("spans")).alias("spans"))
     spans = materialize(spans, "spans", new_folder(spark, "rindex-spans"))

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from pavilion.llm import textkeys as tk
-from pavilion.llm.repeats import Shape, repeated_windows
+from pavilion.llm.repeats import Shape, ranges, repeated_windows
 from pavilion.session import discard, materialize, new_folder
 
 
@@ -41,8 +41,8 @@ def window_index(window: int):
         los, counts = np.empty(len(at), np.int64), np.empty(len(at), np.int64)
         los[order] = np.minimum.reduceat(lo[text][order], heads)[group]
         counts[order] = np.add.reduceat(n[text][order], heads)[group]
-        lists = pa.array(np.concatenate([[0], np.cumsum(np.bincount(text, minlength=len(texts)))]).astype(np.int32))
-        return pa.table({"part": block.column("part").combine_chunks(), "los": pa.ListArray.from_arrays(lists, pa.array(los)), "counts": pa.ListArray.from_arrays(lists, pa.array(counts))})
+        lists = np.concatenate([[0], np.cumsum(np.bincount(text, minlength=len(texts)))])
+        return ranges(block.column("part"), lists, los, counts)
 
     return index
 
@@ -52,12 +52,12 @@ def _cutter(window: int, with_text: bool):
         for batch in batches:
             out: dict[str, list] = {"n_words": [], "n_removed": [], "kept_sha256": [], "kept_text": [], "factors": []}
             texts = batch.column(1)
-            for i, ranges in enumerate(batch.column(2)):
+            for i, spans in enumerate(batch.column(2)):
                 text = texts[i].as_buffer() if texts[i].is_valid else b""
                 found, factors = bytes(text).split(), []
                 kept = found
-                if ranges.is_valid:
-                    ends = np.array([(r["a"], r["b"]) for r in ranges.as_py()], np.int64).reshape(-1, 2)
+                if spans.is_valid:
+                    ends = np.array([(r["a"], r["b"]) for r in spans.as_py()], np.int64).reshape(-1, 2)
                     hit = np.zeros(len(found) + 1, np.int64)
                     np.add.at(hit, ends[:, 0], 1)
                     np.add.at(hit, ends[:, 1] + window - 1, -1)
@@ -111,11 +111,10 @@ def remove_repeats(
     folder = new_folder(spark, "rlz")
     docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     docs = docs.withColumn("row", F.xxhash64("id", "text"))
-    pieces = repeated_windows(docs, Shape(window, seed_words, True), window_index(window), folder, filter_bits)
+    pieces = repeated_windows(docs, Shape(window, seed_words, words=True, within=True), window_index(window), folder, filter_bits)
     whole = F.array(F.struct(F.col("start").alias("a"), (F.col("start") + F.col("n")).alias("b")))
-    some = F.flatten(F.transform("parts", lambda p: F.filter(
-        F.transform(p["counts"], lambda c, i: F.when(c > 1, F.struct((F.col("start") + p["offset"] + i).alias("a"), (F.col("start") + p["offset"] + i + 1).alias("b")))),
-        lambda x: x.isNotNull())))
+    held = F.filter("parts", lambda p: p["n"] > 1)
+    some = F.transform(held, lambda p: F.struct((F.col("start") + p["a"]).alias("a"), (F.col("start") + p["b"]).alias("b")))
     spans = pieces.select("row", F.when(F.col("copies") > 1, whole).otherwise(some).alias("spans"))
     spans = spans.where("size(spans) > 0").groupBy("row").agg(F.flatten(F.collect_list("spans")).alias("spans"))
     spans = materialize(spans, "spans", new_folder(spark, "rlz-spans"))
