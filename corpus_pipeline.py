@@ -23,18 +23,24 @@ SHARDS = 24
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that no quality rule rejects."""
-    judged = quality_cascade(docs.withColumn("__before", F.struct("*")), "text")
-    return judged.where("kept").select("__before.*")
+    return quality_cascade(docs, kept_col="__kept").where("__kept").drop("__kept")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group linked by 80 percent of their five-word shingles.
 
-    Of rows that repeat a kept id one stays.
+    Of rows that repeat a kept id and text one stays.
     """
-    keep = near_duplicates(docs, shingle_words=5).where("kept").select(F.col("doc_id").alias("__id")).distinct()
-    stay = docs.join(keep, docs["doc_id"].eqNullSafe(keep["__id"]), "left_semi")
-    return stay.where("doc_id is null").unionByName(stay.where("doc_id is not null").dropDuplicates(["doc_id"]))
+    kept = near_duplicates(docs, shingle_words=5).where("kept").groupBy(F.col("row").alias("__row")).agg(F.count(F.lit(1)).alias("__n"))
+    kept = materialize(kept, "kept")
+    row = F.xxhash64(docs["doc_id"], docs["text"])
+    once = kept.where("__n = 1")
+    single = docs.join(once, row == once["__row"], "left_semi")
+    repeated = kept.where("__n > 1")
+    if repeated.isEmpty():
+        return single
+    again = docs.join(repeated.select("__row"), row == repeated["__row"]).dropDuplicates(["__row"]).drop("__row")
+    return single.unionByName(again)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
