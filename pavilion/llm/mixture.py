@@ -83,7 +83,7 @@ def _laid_out(sized: DataFrame, n_docs: int) -> DataFrame:
     Documents are ordered by a hash. Their running sums are taken within hash buckets and the
     buckets' sums are run up per source, so no task sees a whole source.
     """
-    buckets = max(16, n_docs // 20_000)
+    buckets = max(256, n_docs // 20_000)
     bucketed = sized.withColumn("bucket", F.pmod("order", F.lit(buckets)))
     before = Window.partitionBy("s").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     sums = bucketed.groupBy("s", "bucket").agg(F.sum("size").alias("n"))
