@@ -15,11 +15,11 @@ def content_key(teams: Column, dates: Column) -> Column:
 
 
 def surrogate_key(*columns: Column) -> Column:
-    """MD5 of the columns' texts joined by ``-``; never null.
-
-    A double's text is the same in Spark and in ANSI warehouses for magnitudes
-    from 0.001 up to 10 million, which covers weather readings; cast columns
-    beyond that to a decimal first.
-    """
+    """MD5 of the columns' texts joined by ``-``; never null. Pass doubles as ``reading_text``."""
     parts = [F.coalesce(c.cast("string"), F.lit(NULL_TOKEN)) for c in columns]
     return F.md5(F.concat_ws("-", *parts))
+
+
+def reading_text(reading: Column) -> Column:
+    """A double as text with six decimals, so that equal readings have one text: -0.0 is 0.0."""
+    return (reading + F.lit(0.0)).try_cast("decimal(18,6)").cast("string")

@@ -23,6 +23,21 @@ def whole(number: Column) -> Column:
     return F.when(number % 1 == 0, number).try_cast("bigint")
 
 
+def number_text(value: Column) -> Column:
+    """The text of a number, null for NaN and junk."""
+    text = value.cast("string")
+    return F.when(text.rlike(_NUMBER), F.btrim(text))
+
+
+def exact_int(text: Column) -> Column:
+    """Whole number of a ``number_text``; digits are read exactly, other spellings as doubles."""
+    digits = F.when(text.rlike(r"^[+-]?\d{1,19}$"), text).try_cast("bigint")
+    return F.coalesce(digits, whole(text.try_cast("double")))
+
+
 def safe_int(value: Column) -> Column:
-    """Whole number of a text or number (``452.0`` is 452); fractions and junk become null."""
-    return whole(safe_double(value))
+    """Whole number of a text or number (``452.0`` is 452); fractions and junk become null.
+
+    Integers are exact over the whole range of a long.
+    """
+    return exact_int(number_text(value))

@@ -6,10 +6,11 @@ buckets in which documents meet; every pair that may matter is then checked on t
 documents' full shingle sets.
 
 Documents with equal sets are one class from the start, so copies cost one row each. In a
-bucket all classes of other components are first checked against one of its classes, in a
-few rounds with another one each; only pairs that lie in one bucket but not yet in one
-component are checked after that. A large group of near copies thus needs a few checks per
-member, and no link between components is left out.
+bucket all classes are first checked against one of its classes, which joins most of a group of near
+copies with one check per member. Pairs that lie in one bucket but not yet in one component
+are checked after that, so no link between components is left out. They are never listed as rows:
+classes that are connected through such buckets are dealt to blocks of bounded size, and each pair of
+blocks is compared in one task, which reports links only.
 """
 
 from __future__ import annotations
@@ -133,6 +134,65 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.select("a", "b", "sa", "sb").mapInArrow(_linker(percent), "a bigint, b bigint")
 
 
+def _block_linker(percent: int):
+    def link(block: pa.Table) -> pa.Table:
+        first, second = block.column("i")[0].as_py(), block.column("j")[0].as_py()
+        chunk = block.column("chunk").to_numpy()
+        component, size = block.column("component").to_numpy(), block.column("n").to_numpy()
+        lists = block.column("buckets").combine_chunks()
+        bucket = lists.flatten().to_numpy()
+        member = np.repeat(np.arange(len(size)), np.diff(lists.offsets.to_numpy()))
+        order = np.argsort(bucket, kind="stable")
+        bucket, member = bucket[order], member[order]
+        heads = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
+        met = np.zeros((len(size), len(size)), bool)
+        for a, b in zip(heads, np.append(heads[1:], len(bucket)), strict=True):
+            if b - a > 1:
+                met[np.ix_(member[a:b], member[a:b])] = True
+        contents = [np.frombuffer(x.as_buffer(), np.uint64) for x in block.column("shingles").combine_chunks()]
+        found: list[tuple[int, int]] = []
+        name = block.column("class").to_numpy()
+        for a in range(len(size) - 1):
+            others = np.flatnonzero(met[a, a + 1 :]) + a + 1
+            near = 100 * np.minimum(size[others], size[a]) >= percent * np.maximum(size[others], size[a])
+            # A pair of one chunk is compared in that chunk's own block.
+            near &= (component[others] != component[a]) & ((first == second) | (chunk[others] != chunk[a]))
+            others = others[near]
+            if not len(others):
+                continue
+            at = np.concatenate([contents[b] for b in others])
+            held = contents[a][np.minimum(np.searchsorted(contents[a], at), size[a] - 1)] == at
+            common = np.add.reduceat(held, np.concatenate([[0], np.cumsum(size[others])[:-1]]), dtype=np.int64)
+            found += [(name[a], name[b]) for b in others[100 * common >= percent * (size[others] + size[a] - common)]]
+        a, b = zip(*found, strict=True) if found else ((), ())
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return link
+
+
+def _compared_in_blocks(rest: DataFrame, percent: int, block_bytes: int) -> DataFrame:
+    """Links (a, b) between classes of one family and bucket but of different components.
+
+    A family larger than a block is cut into chunks by class, and every two chunks make a block;
+    small families share one.
+    """
+    size = F.octet_length("shingles") + 8 * F.size("buckets")
+    chunks = F.ceil(F.sum(size) / block_bytes).cast("int").alias("chunks")
+    sizes = rest.groupBy("family").agg(chunks, F.sum(size).alias("bytes"))
+    total = sizes.where("chunks = 1").agg(F.sum("bytes")).first()[0] or 0
+    bins = total // block_bytes + 1
+    place = F.when(F.col("chunks") == 1, F.pmod(F.xxhash64("family"), F.lit(bins))).otherwise(F.col("family"))
+    dealt = rest.join(sizes.select("family", "chunks"), "family").withColumns(
+        {"chunk": F.pmod(F.xxhash64("class"), F.col("chunks")).cast("int"), "place": place}
+    )
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    dealt = dealt.select(
+        "class", "component", "n", "buckets", "shingles", "chunk", "place", (F.col("chunks") > 1).alias("large"),
+        F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"),
+    )
+    return dealt.groupBy("large", "place", "i", "j").applyInArrow(_block_linker(percent), "a bigint, b bigint")
+
+
 def near_duplicates(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -141,8 +201,8 @@ def near_duplicates(
     percent: int = 80,
     bands: int = 100,
     rows: int = 8,
-    hub_rounds: int = 3,
     filter_bits: int = 27,
+    block_bytes: int = 8 << 20,
 ) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept, and row, a key of (id, text).
 
@@ -151,7 +211,7 @@ def near_duplicates(
     linked when ``100 * intersection >= percent * union``; ``component_id`` is the least id
     reachable and ``kept`` marks the document that bears it. With 100 bands of 8 entries a
     pair at 80 percent meets in no band with a probability of 1e-8, a closer pair less.
-    ``hub_rounds`` only sets how many checks against single members come before the rest.
+    ``block_bytes`` is the size of the blocks that are compared at once; it moves work, not results.
 
     A null or wordless text has an empty set and is linked with nothing. A row without an id
     is linked with nothing, has no component and is kept. Rows that repeat an id and a text
@@ -177,36 +237,31 @@ def near_duplicates(
     texts = docs.join(wanted.select("__id").distinct(), "__id", "left_semi").select("__text")
     sets = texts.mapInArrow(_set_reader(shingle_words), "class bigint, shingles binary")
     sets = materialize(sets.join(wanted, "class", "left_semi").dropDuplicates(["class"]), "sets", folder)
-    checked, links, labels = None, None, None
-    for turn in range(hub_rounds + 1):
-        if labels is None:
-            named = members.withColumn("component", F.col("class"))
-        else:
-            named = members.join(labels, "class", "left").withColumn("component", F.coalesce("component", "class"))
-        hub = F.min(F.struct(F.xxhash64("class", F.lit(turn)), "class", "n", "component"))
-        met = named.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), hub.alias("hub")).where("lo < hi")
-        met = materialize(named.join(met.select("bucket", "hub"), "bucket"), f"met-{turn}", folder)
-        if turn < hub_rounds:
-            pairs = met.where("component <> hub.component").select(
-                F.col("hub.class").alias("a"), F.col("hub.n").alias("na"), F.col("class").alias("b"), F.col("n").alias("nb")
-            )
-        else:
-            cells = met.select("bucket", "component").distinct()
-            across = cells.withColumnRenamed("component", "ca").join(cells.withColumnRenamed("component", "cb"), "bucket").where("ca < cb")
-            left = met.select("bucket", F.col("component").alias("ca"), F.col("class").alias("a"), F.col("n").alias("na"))
-            right = met.select("bucket", F.col("component").alias("cb"), F.col("class").alias("b"), F.col("n").alias("nb"))
-            pairs = across.join(left, ["bucket", "ca"]).join(right, ["bucket", "cb"])
-        # Sizes alone may rule a pair out.
-        pairs = pairs.where(f"100 * least(na, nb) >= {percent} * greatest(na, nb)")
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        if checked is not None:
-            pairs = pairs.join(checked, ["a", "b"], "left_anti")
-        pairs = materialize(pairs, f"pairs-{turn}", folder)
-        found = materialize(_confirmed(pairs, sets, percent), f"links-{turn}", folder)
-        checked = pairs if checked is None else checked.unionByName(pairs)
-        links = found if links is None else links.unionByName(found)
-        if labels is None or not found.isEmpty():
-            labels = components(links, folder).select(F.col("node").alias("class"), "component")
+    # In every bucket all classes meet one of them.
+    hub = F.min(F.struct(F.xxhash64("class"), "class", "n"))
+    hubs = members.groupBy("bucket").agg(hub.alias("hub"))
+    stars = members.join(hubs, "bucket").where("class <> hub.class").select(
+        F.col("hub.class").alias("a"), F.col("hub.n").alias("na"), F.col("class").alias("b"), F.col("n").alias("nb")
+    )
+    # Sizes alone may rule a pair out.
+    stars = stars.where(f"100 * least(na, nb) >= {percent} * greatest(na, nb)")
+    stars = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    links = materialize(_confirmed(stars, sets, percent), "links", folder)
+    labels = components(links, folder).select(F.col("node").alias("class"), "component")
+    labels = materialize(labels, "labels", folder)
+
+    # Buckets that still hold several components are compared in blocks.
+    named = members.join(labels, "class", "left").withColumn("component", F.coalesce("component", "class"))
+    named = materialize(named, "named", folder)
+    open_ = named.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.min("class").alias("a"))
+    named = materialize(named.join(open_.where("lo < hi").select("bucket", "a"), "bucket"), "open", folder)
+    families = components(named.select("a", F.col("class").alias("b")).distinct(), folder)
+    families = families.select(F.col("node").alias("class"), F.col("component").alias("family"))
+    rest = named.groupBy("class", "component", "n").agg(F.collect_list("bucket").alias("buckets"))
+    rest = rest.join(families, "class").join(sets, "class")
+    more = materialize(_compared_in_blocks(materialize(rest, "rest", folder), percent, block_bytes), "more", folder)
+    if not more.isEmpty():
+        labels = components(links.unionByName(more), folder).select(F.col("node").alias("class"), "component")
     rooted = classes.join(labels, "class", "left").withColumn("component", F.coalesce("component", "class"))
     roots = rooted.groupBy("component").agg(F.min("rep").alias("component_id"))
     named = materialize(rooted.join(roots, "component").select("class", "component_id"), "roots", folder)

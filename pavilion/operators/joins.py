@@ -28,6 +28,14 @@ def _row_hash(df: DataFrame, salt_by: Sequence[str] | None) -> Column:
     return F.xxhash64(*[F.col(c) for c in (salt_by or df.columns)])
 
 
+# Salts of rows with a null key, which match nothing and may lie anywhere.
+_NULL_SALTS = 1 << 20
+
+
+def _hinted(df: DataFrame, hint: str | None) -> DataFrame:
+    return df.hint(hint) if hint else df
+
+
 def salted_join(
     left: DataFrame,
     right: DataFrame,
@@ -35,35 +43,34 @@ def salted_join(
     buckets: int = SALT_BUCKETS,
     salt_by: Sequence[str] | None = None,
     how: str = "left",
+    hint: str | None = None,
 ) -> DataFrame:
     """Join on ``on`` with every key spread over ``buckets`` salts; same rows as the plain join.
 
+    Copies every right row ``buckets`` times, so ``hot_key_join`` is the better choice
+    unless most keys are hot. ``hint`` names the strategy of the join (``merge``,
+    ``shuffle_hash``); without it Spark chooses.
+
     ``salt_by`` names the columns that tell left rows apart (default: all). Where
     a table holds many identical rows, pass a row id such as
     ``sources.tables.read_with_row_id`` adds, or all copies get the same salt.
     """
     if how not in ("left", "inner"):
         raise ValueError("only the left side is salted, so the join is left or inner")
-    salted_left = left.withColumn(_SALT, F.pmod(_row_hash(left, salt_by), F.lit(buckets)).cast("int"))
+    salts = F.when(F.col(on).isNull(), F.lit(_NULL_SALTS)).otherwise(F.lit(buckets))
+    salted_left = left.withColumn(_SALT, F.pmod(_row_hash(left, salt_by), salts).cast("int"))
     salted_right = replicate(right, buckets, _SALT)
-    return salted_left.join(salted_right, [on, _SALT], how).drop(_SALT)
+    return salted_left.join(_hinted(salted_right, hint), [on, _SALT], how).drop(_SALT)
 
 
-def hot_keys(df: DataFrame, on: str, rows_per_task: int, max_keys: int = 10_000) -> DataFrame:
+def hot_keys(df: DataFrame, on: str, rows_per_task: int) -> DataFrame:
     """Keys with more than ``rows_per_task`` rows and the number of salts each needs.
 
-    Counts are combined before the shuffle and only the key column is read. At
-    most ``max_keys`` rows come back, so the result is safe to broadcast; a key
-    below the cut is still joined, without salt.
+    Counts are combined before the shuffle and only the key column is read.
     """
     counts = df.where(F.col(on).isNotNull()).groupBy(on).agg(F.count(F.lit(1)).alias("__rows"))
     salts = F.ceil(F.col("__rows") / F.lit(rows_per_task)).cast("int")
-    return (
-        counts.where(F.col("__rows") > rows_per_task)
-        .orderBy(F.col("__rows").desc(), F.col(on))
-        .limit(max_keys)
-        .select(on, salts.alias(_SALTS))
-    )
+    return counts.where(F.col("__rows") > rows_per_task).select(on, salts.alias(_SALTS))
 
 
 def hot_key_join(
@@ -73,18 +80,23 @@ def hot_key_join(
     rows_per_task: int = 1_000_000,
     salt_by: Sequence[str] | None = None,
     how: str = "left",
+    hint: str | None = None,
 ) -> DataFrame:
     """Join that salts hot keys only, with as many salts as their row counts ask for.
 
     Right rows of ordinary keys are not copied. Null keys match nothing, so left
-    rows with a null key take any salt and do not pile up in one task.
+    rows with a null key take any salt and do not pile up in one task. The left side
+    is read twice, once for its key counts, so pass a stored table. All hot keys are
+    salted, however many there are; Spark's own size check decides how their list is
+    joined. ``rows_per_task`` sets what is hot, never what is returned. ``hint`` names
+    the strategy of the last join.
     """
     if how not in ("left", "inner"):
         raise ValueError("only the left side is salted, so the join is left or inner")
-    hot = F.broadcast(hot_keys(left, on, rows_per_task))
+    hot = hot_keys(left, on, rows_per_task)
     row_hash = _row_hash(left, salt_by)
     salt = (
-        F.when(F.col(on).isNull(), F.pmod(row_hash, F.lit(1 << 20)))
+        F.when(F.col(on).isNull(), F.pmod(row_hash, F.lit(_NULL_SALTS)))
         .when(F.col(_SALTS).isNotNull(), F.pmod(row_hash, F.col(_SALTS)))
         .otherwise(F.lit(0))
         .cast("int")
@@ -92,7 +104,7 @@ def hot_key_join(
     salted_left = left.join(hot, on, "left").withColumn(_SALT, salt).drop(_SALTS)
     copies = F.coalesce(F.col(_SALTS), F.lit(1))
     salted_right = replicate(right.join(hot, on, "left"), copies, _SALT).drop(_SALTS)
-    return salted_left.join(salted_right, [on, _SALT], how).drop(_SALT)
+    return salted_left.join(_hinted(salted_right, hint), [on, _SALT], how).drop(_SALT)
 
 
 def full_outer_null_safe(

@@ -113,8 +113,11 @@ def report_rows(aggregated: DataFrame, rows: Sequence[Column]) -> DataFrame:
 
 
 def _value_counts(df: DataFrame) -> list[Column]:
-    """Row count ``n`` and the number of values ``v<i>`` of each column."""
-    values = [f"count({quoted(c)}) as v{i}" for i, c in enumerate(df.columns)]
+    """Row count ``n`` and the number of values ``v<i>`` of each column; NaN is no value."""
+    values = [
+        f"count({f'nanvl({quoted(c)}, null)' if dtype in ('double', 'float') else quoted(c)}) as v{i}"
+        for i, (c, dtype) in enumerate(df.dtypes)
+    ]
     return [F.expr("count(1) as n"), *map(F.expr, values)]
 
 
@@ -245,7 +248,8 @@ def first_failing_layer(report: DataFrame) -> list[str]:
         if found:
             return [
                 f"{r['table_name']}: {layer} {r['column_name']} {r['check_name']}: "
-                f"observed {r['observed']:g}, allowed {r['allowed']:g}"
+                f"observed {'nothing' if r['observed'] is None else format(r['observed'], 'g')}, "
+                f"allowed {r['allowed']:g}"
                 for r in found
             ]
     return []
@@ -302,7 +306,10 @@ def run_gate(
 
 @dataclass(frozen=True)
 class TableTest:
-    """A declared test: ``not_null``, ``unique``, ``accepted_values`` or ``accepted_range``."""
+    """A declared test: ``not_null``, ``unique``, ``accepted_values``, ``accepted_range`` or ``references``.
+
+    ``references`` names the table and column in which every value must occur.
+    """
 
     table: str
     column: str
@@ -311,6 +318,7 @@ class TableTest:
     low: Any = None
     high: Any = None
     where: str | None = None
+    to: tuple[str, str] | None = None
 
 
 def null_rows(df: DataFrame, column: str) -> DataFrame:
@@ -325,6 +333,30 @@ def duplicate_keys(df: DataFrame, column: str) -> DataFrame:
     return counts.agg(F.count(F.lit(1)).alias("n_rows")).where(F.col("n_rows") > 1)
 
 
+def repeated_keys(df: DataFrame, columns: Sequence[str], table: str = "table") -> DataFrame:
+    """(table_name, column_name, check_name, violations): keys that occur more than once in each column.
+
+    All columns are counted in one pass over (column, value); nulls are left out.
+    """
+    cells = [F.struct(F.lit(i).alias("i"), F.col(quoted(c)).cast("string").alias("v")) for i, c in enumerate(columns)]
+    values = df.select(F.inline(F.array(*cells))).where("v is not null")
+    repeated = values.groupBy("i", "v").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    counted = repeated.agg(*[F.count_if(F.col("i") == i).alias(f"c{i}") for i in range(len(columns))])
+    rows = [
+        F.struct(
+            F.lit(table).alias("table_name"), F.lit(c).alias("column_name"), F.lit("unique").alias("check_name"), F.col(f"c{i}").alias("violations")
+        )
+        for i, c in enumerate(columns)
+    ]
+    return report_rows(counted, rows)
+
+
+def orphans(df: DataFrame, column: str, other: DataFrame, key: str) -> DataFrame:
+    """Rows whose value does not occur in another table's key; nulls are left out."""
+    keys = other.select(F.col(quoted(key)).alias("__key")).distinct()
+    return df.where(F.col(quoted(column)).isNotNull()).join(keys, F.col(quoted(column)) == F.col("__key"), "left_anti")
+
+
 def unaccepted_values(df: DataFrame, column: str, accepted: Sequence[Any]) -> DataFrame:
     """(value, count) of values outside the accepted ones; nulls are left out."""
     value = F.col(quoted(column))
@@ -367,26 +399,24 @@ def _row_test(test: TableTest) -> Check:
 def run_tests(tables: Mapping[str, DataFrame], tests: Sequence[TableTest]) -> DataFrame:
     """(table_name, column_name, check_name, violations) for every declared test.
 
-    Row-level tests share one scan per table; a uniqueness test counts the keys
-    that occur more than once and costs one grouped count on its column.
+    Row-level tests share one scan per table, and its uniqueness tests, which count the keys that
+    occur more than once, one grouped count. A reference test counts the rows without a partner.
     """
     reports = []
     for table in dict.fromkeys(t.table for t in tests):
         df = tables[table]
         mine = [t for t in tests if t.table == table]
-        row_tests = [_row_test(t) for t in mine if t.kind != "unique"]
+        row_tests = [_row_test(t) for t in mine if t.kind not in ("unique", "references")]
         if row_tests:
             reports.append(count_violations(df, row_tests, table))
-        for t in (t for t in mine if t.kind == "unique"):
-            counted = duplicate_keys(df, t.column).agg(F.count(F.lit(1)).alias("violations"))
-            reports.append(
-                counted.select(
-                    F.lit(table).alias("table_name"),
-                    F.lit(t.column).alias("column_name"),
-                    F.lit("unique").alias("check_name"),
-                    "violations",
-                )
-            )
+        unique = [t.column for t in mine if t.kind == "unique"]
+        if unique:
+            reports.append(repeated_keys(df, unique, table))
+        for t in (t for t in mine if t.kind == "references"):
+            other, key = t.to
+            lost = orphans(df, t.column, tables[other], key).agg(F.count(F.lit(1)).alias("violations"))
+            names = (F.lit(x).alias(n) for x, n in ((table, "table_name"), (t.column, "column_name"), (t.kind, "check_name")))
+            reports.append(lost.select(*names, "violations"))
     return reduce(DataFrame.unionByName, reports)
 
 
@@ -403,23 +433,33 @@ def require_tests(tables: Mapping[str, DataFrame], tests: Sequence[TableTest]) -
 
 
 def contract_report(df: DataFrame, contract: Contract) -> DataFrame:
-    """(column_name, check_name, violations) of a data contract: types, required, bounds, unique."""
-    tests = [TableTest(contract.table, r.name, "unique") for r in contract.fields if r.unique]
-    reports = [count_violations(df, contract_checks(contract, df), contract.table)]
-    if tests:
-        reports.append(run_tests({contract.table: df}, tests))
-    typed = [
-        F.struct(
-            F.lit(contract.table).alias("table_name"),
-            F.lit(name).alias("column_name"),
-            F.lit("type").alias("check_name"),
-            F.when(F.lit(status != "ok"), F.col("n")).otherwise(F.lit(0)).cast("bigint").alias("violations"),
-        )
+    """(column_name, check_name, violations) of a data contract: types, required, bounds, unique.
+
+    A column that is missing or has another type is one violation of its type, whatever the number of
+    rows. Its other checks are skipped where it is missing. Two scans: one for rows, one for keys.
+    """
+    checks = contract_checks(contract, df)
+    rows = [
+        F.struct(F.lit(c.column).alias("column_name"), F.lit(c.name).alias("check_name"), F.col(f"c{i}").alias("violations"))
+        for i, c in enumerate(checks)
+    ]
+    rows += [
+        F.struct(F.lit(name).alias("column_name"), F.lit("type").alias("check_name"), F.lit(int(status != "ok")).cast("bigint").alias("violations"))
         for name, _, _, status in schema_diff(df.schema, contract)
     ]
-    if typed:
-        reports.append(report_rows(df.agg(F.count(F.lit(1)).alias("n")), typed))
-    return reduce(DataFrame.unionByName, reports).drop("table_name")
+    typed = {r.name for r in contract.fields if r.dtype is not None}
+    rows += [
+        F.struct(F.lit(r.name).alias("column_name"), F.lit("missing").alias("check_name"), F.lit(1).cast("bigint").alias("violations"))
+        for r in contract.fields
+        if r.name not in df.columns and r.name not in typed
+    ]
+    reports = [report_rows(df.agg(F.count(F.lit(1)).alias("n"), *[F.count_if(c.fails).alias(f"c{i}") for i, c in enumerate(checks)]), rows)] if rows else []
+    unique = [r.name for r in contract.fields if r.unique and r.name in df.columns]
+    if unique:
+        reports.append(repeated_keys(df, unique).drop("table_name"))
+    if not reports:
+        raise ValueError(f"the contract of {contract.table!r} has no rules")
+    return reduce(DataFrame.unionByName, reports)
 
 
 # -------------------------------------------------------------------- quarantine
@@ -431,6 +471,11 @@ def with_reasons(df: DataFrame, checks: Sequence[Check], name: str = "reasons")
     return df.withColumn(name, F.array_compact(F.array(*failed)))
 
 
+def sound_document() -> Check:
+    """Fails for documents that ``sources.tables.parsed_documents`` could not read."""
+    return Check("json", "document", F.col("corrupt").isNotNull())
+
+
 def quarantine(df: DataFrame, checks: Sequence[Check]) -> tuple[DataFrame, DataFrame]:
     """Valid rows, and invalid rows with their reasons. Together they are the input."""
     marked = with_reasons(df, checks)

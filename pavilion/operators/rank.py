@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from pavilion.config import RANKING_LIMIT, RANKING_LIMIT_MAX
+from pavilion.config import RANKING_LIMIT
 from pavilion.session import materialize
 
 _POSITION = "__position"
@@ -15,11 +16,11 @@ _BEFORE = "__before"
 _ROW_BITS = 33  # monotonically_increasing_id: partition number above, row number below
 
 
-def sorted_slices(df: DataFrame, *order: Column) -> DataFrame:
+def sorted_slices(df: DataFrame, *order: Column, folder: str | None = None) -> DataFrame:
     """Rows range-partitioned and sorted by ``order``, with their slice and place in it.
 
     The slices are written once, because two evaluations could draw different
-    range bounds.
+    range bounds; ``folder`` puts them where the caller can discard them.
     """
     ranged = (
         df.repartitionByRange(*order)
@@ -27,7 +28,7 @@ def sorted_slices(df: DataFrame, *order: Column) -> DataFrame:
         .withColumn(_POSITION, F.monotonically_increasing_id())
     )
     position = F.col(_POSITION)
-    return materialize(ranged, "rank").withColumns(
+    return materialize(ranged, "rank", folder).withColumns(
         {
             _SLICE: F.shiftright(position, _ROW_BITS),
             _POSITION: position.bitwiseAND(F.lit((1 << _ROW_BITS) - 1)),
@@ -35,14 +36,14 @@ def sorted_slices(df: DataFrame, *order: Column) -> DataFrame:
     )
 
 
-def global_rank(df: DataFrame, *order: Column, name: str = "rank") -> DataFrame:
+def global_rank(df: DataFrame, *order: Column, name: str = "rank", folder: str | None = None) -> DataFrame:
     """Exact 1-based row number over the whole frame, without a one-task window.
 
     ``order`` must tell all rows apart (end it with a unique key, so that equal
     scores spread over slices too). Each row's rank is its place in its slice plus
     the row counts of the slices before, one number per slice.
     """
-    stored = sorted_slices(df, *order)
+    stored = sorted_slices(df, *order, folder=folder)
     sizes = stored.groupBy(_SLICE).agg(F.count(F.lit(1)).alias("__n"))
     # One row per slice: the window and the broadcast are bounded by the partition count.
     earlier = Window.orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
@@ -57,8 +58,8 @@ def top_ranked(
     df: DataFrame, *order: Column, limit: int = RANKING_LIMIT, name: str = "rank"
 ) -> DataFrame:
     """First ``limit`` rows in order, ranked; the window sees only those rows."""
-    if not 1 <= limit <= RANKING_LIMIT_MAX:
-        raise ValueError(f"limit must lie in 1..{RANKING_LIMIT_MAX}")
+    if limit < 1:
+        raise ValueError("limit must be positive")
     top = df.orderBy(*order).limit(limit)
     return top.select(
         F.row_number().over(Window.orderBy(*order)).cast("bigint").alias(name), *df.columns
@@ -70,10 +71,31 @@ def newest(df: DataFrame, by: str, limit: int) -> DataFrame:
     return df.orderBy(F.col(by).desc()).limit(limit)
 
 
-def page(df: DataFrame, order: Sequence[Column], limit: int, offset: int) -> DataFrame:
+def page(df: DataFrame, order: Sequence[Column], limit: int, offset: int, folder: str | None = None) -> DataFrame:
     """Rows ``offset`` to ``offset + limit`` in order, each with the frame's row count.
 
-    ``order`` must tell all rows apart.
+    ``order`` must tell all rows apart. Rows are ranked by ``global_rank`` and written once, so a deep
+    page costs what the first one does, and the count comes from the written rows.
     """
-    total = df.agg(F.count(F.lit(1))).scalar()
-    return df.orderBy(*order).offset(offset).limit(limit).withColumn("total", total)
+    if limit < 1 or offset < 0:
+        raise ValueError("limit must be positive and offset not negative")
+    ranked = global_rank(df, *order, name="__rank", folder=folder)
+    total = ranked.agg(F.count(F.lit(1))).first()[0]
+    here = (F.col("__rank") > offset) & (F.col("__rank") <= offset + limit)
+    return ranked.where(here).drop("__rank").withColumn("total", F.lit(total).cast("bigint"))
+
+
+def page_after(df: DataFrame, keys: Sequence[str], last: Sequence[Any], limit: int) -> DataFrame:
+    """The ``limit`` rows that follow the row with the key values ``last``, in ascending order of ``keys``.
+
+    For walking through pages without counting: rows up to ``last`` are filtered out by key. Null
+    keys come last, and ``last`` may hold None.
+    """
+    if limit < 1:
+        raise ValueError("limit must be positive")
+    follows = F.lit(False)
+    for name, value in reversed(list(zip(keys, last, strict=True))):
+        column = F.col(name)
+        beyond = F.lit(False) if value is None else (column > F.lit(value)) | column.isNull()
+        follows = beyond | (column.eqNullSafe(F.lit(value)) & follows)
+    return df.where(follows).orderBy(*[F.col(k).asc_nulls_last() for k in keys]).limit(limit)

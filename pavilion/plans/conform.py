@@ -6,7 +6,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from pavilion.functions.numbers import safe_double, whole
+from pavilion.functions.numbers import exact_int, number_text, safe_double
 from pavilion.functions.text import clean_name, has_mark, name_tag, span_years, without_mark
 from pavilion.operators.columns import (
     complete_schema,
@@ -86,7 +86,7 @@ def _identity_columns(df: DataFrame) -> dict[str, Column]:
     else:
         for name in ("career_start", "career_end"):
             if f"{name}_raw" in df.columns:
-                out[f"{name}_year"] = safe_double(F.col(f"{name}_raw"))
+                out[f"{name}_year"] = number_text(F.col(f"{name}_raw"))
     return out
 
 
@@ -95,7 +95,7 @@ def _marked_columns(df: DataFrame) -> dict[str, Column]:
     for name, (mark, flag) in _MARKS.items():
         if f"{name}_raw" in df.columns:
             text = F.col(f"{name}_raw")
-            out[name] = safe_double(without_mark(text, mark))
+            out[name] = number_text(without_mark(text, mark))
             out[flag] = has_mark(text, mark)
     if "high_score_not_out_raw" in df.columns:
         explicit = F.col("high_score_not_out_raw").cast("string").try_cast("boolean")
@@ -108,19 +108,24 @@ def _conform(df: DataFrame, aliases: Mapping[str, str], schema: T.StructType) ->
     if "player_raw" not in renamed.columns:
         # Already conformed spelling, for instance a Silver table passed again.
         renamed = renamed.withColumnRenamed("player", "player_raw")
-    numeric = (T.LongType(), T.DoubleType())
-    read = {
-        f.name: safe_double(F.col(f.name)) if f.dataType in numeric else F.col(f.name)
-        for f in schema.fields
-        if f.name in renamed.columns
-    }
+    integral = {f.name for f in renamed.schema.fields if isinstance(f.dataType, T.IntegralType)}
+
+    def as_read(field: T.StructField) -> Column:
+        value = F.col(field.name)
+        if field.dataType == T.DoubleType():
+            return safe_double(value)
+        if field.dataType == T.LongType():
+            return value.cast("bigint") if field.name in integral else number_text(value)
+        return value
+
+    read = {f.name: as_read(f) for f in schema.fields if f.name in renamed.columns}
     read |= _identity_columns(renamed) | _marked_columns(renamed)
-    # Two projections: parsing and checking for whole numbers in one would make a
+    # Two projections: sorting out junk and reading whole numbers in one would make a
     # method too large for the JVM to compile.
     parsed = renamed.select(*[value.alias(name) for name, value in read.items()])
-    doubles = {name for name, dtype in parsed.dtypes if dtype == "double"}
-    wholes = [f.name for f in schema.fields if f.dataType == T.LongType() and f.name in doubles]
-    typed = parsed.withColumns({name: whole(F.col(name)) for name in wholes})
+    texts = {name for name, dtype in parsed.dtypes if dtype == "string"}
+    wholes = [f.name for f in schema.fields if f.dataType == T.LongType() and f.name in texts]
+    typed = parsed.withColumns({name: exact_int(F.col(name)) for name in wholes})
     return complete_schema(typed, schema, _FLAGS)
 
 

@@ -145,6 +145,22 @@ def model_tests() -> list[TableTest]:
     ]
 
 
+def ball_tests() -> list[TableTest]:
+    """Tests of the ball-by-ball tables: unique keys, and facts that find their dimensions."""
+    fact = "fact_ball_by_ball"
+    return [
+        *_not_null("matches", "match_id"),
+        *_unique("matches", "match_id"),
+        *_unique("dim_player_source", "player_id"),
+        *_unique("dim_venue", "venue_id"),
+        *_unique("dim_weather", "weather_id"),
+        *_not_null(fact, "match_id", "batter_id", "bowler_id"),
+        TableTest(fact, "match_id", "references", to=("matches", "match_id")),
+        TableTest(fact, "batter_id", "references", to=("dim_player_source", "player_id")),
+        TableTest(fact, "bowler_id", "references", to=("dim_player_source", "player_id")),
+    ]
+
+
 def transaction_contract(
     transaction_id: str = "transaction_id",
     user_id: str = "user_id",

@@ -1,72 +1,152 @@
-"""The daily job: Bronze to Silver, quality gate, Gold."""
+"""The daily job: Bronze to Silver, quality gate, Gold.
+
+Every layer is built aside in a run folder, tested there and published after that, so a failed
+gate or test leaves the tables of the day before as they were. Rejected rows are published as
+quarantine tables. The run folder is deleted at the end, also after a failure.
+"""
 
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
-from dataclasses import dataclass
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
+from dataclasses import dataclass, field
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
 from pavilion.config import GateRule, MartRule, RoleRule
-from pavilion.operators.quality import Contract, require_tests, run_gate
+from pavilion.operators.quality import Contract, contract_checks, quarantine, require_tests, run_gate, sound_document
 from pavilion.operators.reshape import flatten_balls, flatten_matches, flatten_weather
 from pavilion.plans import conform, marts, staging
-from pavilion.plans.contracts import model_tests, silver_contracts, source_tests
+from pavilion.plans.contracts import ball_tests, model_tests, silver_contracts, source_tests
 from pavilion.schemas import SILVER_BATTING, SILVER_BOWLING
-from pavilion.session import materialize
+from pavilion.session import discard, materialize, new_folder
 from pavilion.sources import tables
 
 _CONFORM = {"batting": conform.conform_batting, "bowling": conform.conform_bowling}
 _SILVER = {"batting": SILVER_BATTING, "bowling": SILVER_BOWLING}
+Contracts = Mapping[str, tuple[Contract, GateRule]]
 
 
 @dataclass(frozen=True)
 class Layers:
-    """Root folders of the three layers."""
+    """Root folders of the layers; ``quarantine`` defaults to a folder beside Silver."""
 
     bronze: str
     silver: str
     gold: str
+    quarantine: str | None = None
+
+    @property
+    def rejects(self) -> str:
+        return self.quarantine or f"{self.silver.rstrip('/')}_quarantine"
 
 
 @dataclass(frozen=True)
 class Audit:
-    """Row counts of one table's transform."""
+    """Row counts of one table's transform; ``quarantined`` rows are part of the dropped ones."""
 
     table: str
     rows_in: int
     rows_out: int
+    quarantined: int = 0
 
     @property
     def dropped(self) -> int:
         return self.rows_in - self.rows_out
 
 
-def conform_audited(bronze: DataFrame, source: str, root: str, date: dt.date) -> Audit:
-    """Conform one Bronze table into its Silver partition, counting rows in the same job."""
+@dataclass(frozen=True)
+class Settings:
+    """Rules of a run; ``salt_rows`` is the number of rows from which a player counts as hot."""
+
+    contracts: Contracts = field(default_factory=silver_contracts)
+    fixtures: bool = False
+    roles: RoleRule = RoleRule()
+    marts: MartRule = MartRule()
+    rain: float | None = None
+    salt_rows: int = 1_000_000
+
+
+@contextmanager
+def run_folder(spark: SparkSession) -> Iterator[str]:
+    """A folder for the tables of one run, deleted when the run ends."""
+    folder = new_folder(spark, "daily")
+    try:
+        yield folder
+    finally:
+        discard(spark, folder)
+
+
+def conform_audited(
+    bronze: DataFrame, source: str, root: str, date: dt.date, contract: Contract | None = None, folder: str | None = None, rejects: str | None = None
+) -> Audit:
+    """Conform one Bronze table into its Silver partition, counting rows in the same job.
+
+    With a ``contract``, rows that break one of its rules go to the partition under ``rejects``.
+    """
     counted, rows_in = tables.audited(bronze, "rows_in")
-    silver, rows_out = tables.audited(_CONFORM[source](counted), "rows_out")
+    conformed = _CONFORM[source](counted)
+    if contract is None:
+        silver, rows_out = tables.audited(conformed, "rows_out")
+        tables.write_partition(silver, root, date)
+        return Audit(source, rows_in.get["rows_in"], rows_out.get["rows_out"])
+    conformed = materialize(conformed, source, folder)
+    valid, invalid = quarantine(conformed, contract_checks(contract, conformed))
+    silver, rows_out = tables.audited(valid, "rows_out")
     tables.write_partition(silver, root, date)
-    return Audit(source, rows_in.get["rows_in"], rows_out.get["rows_out"])
+    bad, n_bad = tables.audited(invalid, "quarantined")
+    tables.write_partition(bad, rejects, date)
+    return Audit(source, rows_in.get["rows_in"], rows_out.get["rows_out"], n_bad.get["quarantined"])
 
 
-def bronze_to_silver(spark: SparkSession, layers: Layers, date: dt.date) -> list[Audit]:
-    audits = []
-    for source in _CONFORM:
+def bronze_to_silver(spark: SparkSession, layers: Layers, date: dt.date, settings: Settings, folder: str) -> list[Audit]:
+    """Conform the day's career tables aside, gate them and publish them."""
+    audits, built = [], {}
+    for source, schema in _SILVER.items():
         bronze = tables.read_partition(spark, tables.table_path(layers.bronze, source), date)
-        root = tables.table_path(layers.silver, source)
-        audits.append(conform_audited(bronze.drop(tables.DATE_COLUMN), source, root, date))
+        root, rejects = f"{folder}/silver/{source}", f"{folder}/rejects/{source}"
+        contract = settings.contracts[source][0]
+        audits.append(conform_audited(bronze.drop(tables.DATE_COLUMN), source, root, date, contract, folder, rejects))
+        built[source] = tables.read_partition(spark, root, date, schema).drop(tables.DATE_COLUMN)
+    for source in built:
+        bad = tables.read_partition(spark, f"{folder}/rejects/{source}", date)
+        tables.write_partition(bad, tables.table_path(layers.rejects, source), date)
+    run_gate(built, settings.contracts, settings.fixtures)
+    require_tests(built, source_tests())
+    for source, df in built.items():
+        tables.write_partition(df, tables.table_path(layers.silver, source), date)
     return audits
 
 
-def documents_to_silver(docs: DataFrame, weather: DataFrame | None, layers: Layers) -> None:
-    """Flatten match and weather documents into full-refresh Silver tables."""
-    tables.write_full_refresh(flatten_matches(docs), f"{layers.silver}/matches", given=docs)
-    tables.write_full_refresh(flatten_balls(docs), f"{layers.silver}/balls", given=docs)
-    if weather is not None:
-        path = f"{layers.silver}/weather"
-        tables.write_full_refresh(flatten_weather(weather), path, given=weather)
+def documents_to_silver(docs: DataFrame, weather: DataFrame | None, layers: Layers, date: dt.date, folder: str) -> list[Audit]:
+    """Flatten match and weather documents into full-refresh Silver tables; broken ones go to quarantine.
+
+    Each set is parsed once. Without documents the tables of the last run stay.
+    """
+    audits = []
+    for name, given, build in (
+        ("matches", docs, {"matches": flatten_matches, "balls": flatten_balls}),
+        ("weather", weather, {"weather": flatten_weather}),
+    ):
+        if given is None:
+            continue
+        counted, rows_in = tables.audited(given, "rows_in")
+        parsed = materialize(counted, name, folder)
+        if tables.CORRUPT in parsed.columns:
+            sound, broken = quarantine(parsed, [sound_document()])
+            broken, n_broken = tables.audited(broken.select("match_id", tables.CORRUPT, "reasons"), "quarantined")
+            tables.write_partition(broken, f"{layers.rejects}/{name}", date)
+            sound, lost = sound.drop(tables.CORRUPT), n_broken.get["quarantined"]
+        else:
+            sound, lost = parsed, 0
+        total = rows_in.get["rows_in"]
+        audits.append(Audit(name, total, total - lost, lost))
+        if total > lost:
+            for table, flatten in build.items():
+                tables.write_full_refresh(flatten(sound), f"{layers.silver}/{table}")
+    return audits
 
 
 def silver_tables(spark: SparkSession, layers: Layers) -> dict[str, DataFrame]:
@@ -76,32 +156,13 @@ def silver_tables(spark: SparkSession, layers: Layers) -> dict[str, DataFrame]:
     }
 
 
-def check_silver(
-    spark: SparkSession,
-    layers: Layers,
-    date: dt.date,
-    contracts: Mapping[str, tuple[Contract, GateRule]] | None = None,
-    fixtures: bool = False,
-) -> None:
-    """Raise unless every Silver partition of the date passes its contract."""
-    partitions = {
-        name: tables.read_partition(
-            spark, tables.table_path(layers.silver, name), date, schema
-        ).drop(tables.DATE_COLUMN)
-        for name, schema in _SILVER.items()
-    }
-    run_gate(partitions, contracts or silver_contracts(), fixtures)
-    require_tests(partitions, source_tests())
+def _publish(spark: SparkSession, built: Mapping[str, DataFrame], gold: str) -> None:
+    for name, df in built.items():
+        tables.write_full_refresh(df, f"{gold}/{name}")
 
 
-def silver_to_gold(
-    spark: SparkSession,
-    layers: Layers,
-    roles: RoleRule = RoleRule(),
-    mart_rule: MartRule = MartRule(),
-    check: bool = True,
-) -> None:
-    """Write the career tables of Gold; with ``check`` their declared tests gate the marts.
+def silver_to_gold(spark: SparkSession, layers: Layers, settings: Settings, folder: str) -> None:
+    """Build the career tables of Gold aside, test them and publish them.
 
     Each table is written before the next reads it, staging included, so nothing
     is computed twice.
@@ -109,60 +170,62 @@ def silver_to_gold(
     silver = silver_tables(spark, layers)
     batting = tables.read_with_row_id(spark, tables.table_path(layers.silver, "batting"))
     wide = marts.player_stats_wide(
-        batting.drop(tables.DATE_COLUMN),
-        silver["bowling"].drop(tables.DATE_COLUMN),
-        salt_by=["row_id"],
-    )
-    tables.write_full_refresh(wide.drop("row_id"), f"{layers.gold}/player_stats")
-    staged = {
-        "stg_batting": materialize(staging.stg_batting(silver["batting"]), "stg_batting"),
-        "stg_bowling": materialize(staging.stg_bowling(silver["bowling"]), "stg_bowling"),
-    }
-
-    def publish(name: str, df: DataFrame) -> DataFrame:
-        path = f"{layers.gold}/{name}"
-        tables.write_full_refresh(df, path)
-        return spark.read.schema(df.schema).parquet(path)
-
-    built = dict(staged)
-    built["dim_player"] = publish(
-        "dim_player", marts.dim_player(staged["stg_batting"], staged["stg_bowling"], roles)
-    )
-    built["fact_career_stats"] = publish(
-        "fact_career_stats", marts.fact_career_stats(staged["stg_batting"], staged["stg_bowling"])
+        batting, silver["bowling"], salt_by=["row_id"], rows_per_task=settings.salt_rows, by=tables.DATE_COLUMN
     )
-    for name, build in (
-        ("mart_top_batsmen", marts.mart_top_batsmen),
-        ("mart_top_bowlers", marts.mart_top_bowlers),
-    ):
-        built[name] = publish(name, build(built["dim_player"], mart_rule))
-    if check:
-        require_tests(built, model_tests())
 
+    def aside(name: str, df: DataFrame) -> DataFrame:
+        return materialize(df, name, folder)
 
-def balls_to_gold(spark: SparkSession, layers: Layers, rain: float | None = None) -> None:
-    """Write the ball-by-ball dimensions and fact."""
+    staged = {
+        "stg_batting": aside("stg_batting", staging.stg_batting(silver["batting"])),
+        "stg_bowling": aside("stg_bowling", staging.stg_bowling(silver["bowling"])),
+    }
+    sides = staged["stg_batting"], staged["stg_bowling"]
+    built = {"player_stats": aside("player_stats", wide.drop("row_id", tables.DATE_COLUMN))}
+    built["dim_player"] = aside("dim_player", marts.dim_player(*sides, settings.roles))
+    built["fact_career_stats"] = aside("fact_career_stats", marts.fact_career_stats(*sides))
+    for name, build in (("mart_top_batsmen", marts.mart_top_batsmen), ("mart_top_bowlers", marts.mart_top_bowlers)):
+        built[name] = aside(name, build(built["dim_player"], settings.marts, folder=folder))
+    require_tests(staged | built, model_tests())
+    _publish(spark, built, layers.gold)
+
+
+def balls_to_gold(spark: SparkSession, layers: Layers, settings: Settings, folder: str) -> None:
+    """Build the ball-by-ball dimensions and fact aside, test them and publish them."""
     matches = staging.stg_matches(spark.read.parquet(f"{layers.silver}/matches"))
     balls = staging.stg_balls(spark.read.parquet(f"{layers.silver}/balls"))
-    weather = staging.stg_weather(spark.read.parquet(f"{layers.silver}/weather"), rain=rain)
-    for name, df in (
-        ("dim_player_source", marts.dim_player_source(balls)),
-        ("dim_venue", marts.dim_venue(matches)),
-        ("dim_weather", marts.dim_weather(weather)),
-        ("fact_ball_by_ball", marts.fact_ball_by_ball(balls, matches, weather)),
-    ):
-        tables.write_full_refresh(df, f"{layers.gold}/{name}")
+    weather = staging.stg_weather(spark.read.parquet(f"{layers.silver}/weather"), rain=settings.rain)
+    plans = {
+        "dim_player_source": marts.dim_player_source(balls),
+        "dim_venue": marts.dim_venue(matches),
+        "dim_weather": marts.dim_weather(weather),
+        "fact_ball_by_ball": marts.fact_ball_by_ball(balls, matches, weather),
+    }
+    built = {name: materialize(df, name, folder) for name, df in plans.items()}
+    require_tests({"matches": matches, **built}, ball_tests())
+    _publish(spark, built, layers.gold)
 
 
 def run_daily(
     spark: SparkSession,
     layers: Layers,
     date: dt.date,
-    contracts: Mapping[str, tuple[Contract, GateRule]] | None = None,
-    fixtures: bool = False,
+    settings: Settings | None = None,
+    documents: DataFrame | None = None,
+    weather: DataFrame | None = None,
+    **options: Any,
 ) -> list[Audit]:
-    """Silver jobs, then the gate, then the career tables of Gold."""
-    audits = bronze_to_silver(spark, layers, date)
-    check_silver(spark, layers, date, contracts, fixtures)
-    silver_to_gold(spark, layers)
+    """The whole day: careers, then, where ``documents`` and ``weather`` are given, ball by ball.
+
+    Documents are frames as ``scan_json_docs`` or ``scan_zip_json`` return them. ``options`` are
+    fields of ``Settings``.
+    """
+    settings = settings or Settings(**options)
+    with run_folder(spark) as folder:
+        audits = bronze_to_silver(spark, layers, date, settings, folder)
+        if documents is not None:
+            audits += documents_to_silver(documents, weather, layers, date, folder)
+        silver_to_gold(spark, layers, settings, folder)
+        if documents is not None and weather is not None:
+            balls_to_gold(spark, layers, settings, folder)
     return audits

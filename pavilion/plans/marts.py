@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pavilion.config import MartRule, RoleRule
-from pavilion.functions.keys import surrogate_key
+from pavilion.functions.keys import reading_text, surrogate_key
 from pavilion.functions.scores import (
     batting_score,
     bowling_score,
@@ -171,12 +171,12 @@ def bowlers(dim: DataFrame, rule: MartRule = MartRule()) -> DataFrame:
     )
 
 
-def mart_top_batsmen(dim: DataFrame, rule: MartRule = MartRule()) -> DataFrame:
-    return global_rank(batsmen(dim, rule), *best_first())
+def mart_top_batsmen(dim: DataFrame, rule: MartRule = MartRule(), folder: str | None = None) -> DataFrame:
+    return global_rank(batsmen(dim, rule), *best_first(), folder=folder)
 
 
-def mart_top_bowlers(dim: DataFrame, rule: MartRule = MartRule()) -> DataFrame:
-    return global_rank(bowlers(dim, rule), *best_first())
+def mart_top_bowlers(dim: DataFrame, rule: MartRule = MartRule(), folder: str | None = None) -> DataFrame:
+    return global_rank(bowlers(dim, rule), *best_first(), folder=folder)
 
 
 def player_stats_wide(
@@ -184,18 +184,25 @@ def player_stats_wide(
     bowling: DataFrame,
     buckets: int | None = None,
     salt_by: Sequence[str] | None = None,
+    rows_per_task: int = 1_000_000,
+    by: str | None = None,
 ) -> DataFrame:
     """Batting rows with the player's bowling rows, salted because few players hold many rows.
 
-    Hot players get as many salts as their rows ask for; ``buckets`` salts every
-    player alike instead. ``salt_by`` names the columns that tell batting rows apart.
+    Players with more than ``rows_per_task`` rows get as many salts as their rows ask for; ``buckets``
+    salts every player alike instead. ``salt_by`` names the columns that tell batting rows apart.
+    ``by`` names a column that must agree on both sides besides the player, such as the ingestion date:
+    without it the rows of all days meet those of all days.
     """
-    bat_name = first_present(batting, ["player", "Player"])
-    bowl_name = first_present(bowling, ["player", "Player"])
-    left = batting.withColumn("player_clean", clean_name(F.col(bat_name)))
-    right = prefixed(bowling.withColumn("player_clean", clean_name(F.col(bowl_name))), "bowl_", ["player_clean"])
+
+    def keyed(df: DataFrame) -> DataFrame:
+        key = clean_name(F.col(first_present(df, ["player", "Player"])))
+        return df.withColumn("player_clean", F.concat(F.col(by).cast("string"), F.lit(" "), key) if by else key)
+
+    left = keyed(batting)
+    right = prefixed(keyed(bowling).drop(*([by] if by else [])), "bowl_", ["player_clean"])
     if buckets is None:
-        joined = hot_key_join(left, right, "player_clean", salt_by=salt_by)
+        joined = hot_key_join(left, right, "player_clean", rows_per_task, salt_by)
     else:
         joined = salted_join(left, right, "player_clean", buckets, salt_by)
     return joined.drop("player_clean")
@@ -220,19 +227,19 @@ def dim_venue(matches: DataFrame) -> DataFrame:
     )
 
 
+READINGS = ("temp_max_c", "precip_mm", "rain_mm")
+
+
+def weather_key() -> Column:
+    """Key of a set of readings, from all of them, at six decimals."""
+    return surrogate_key(*[reading_text(F.col(c)) for c in READINGS])
+
+
 def dim_weather(weather: DataFrame) -> DataFrame:
-    readings = (
-        weather.where(F.col("temp_max_c").isNotNull())
-        .select("temp_max_c", "precip_mm", "rain_mm")
-        .distinct()
-    )
-    return readings.select(
-        surrogate_key(F.col("temp_max_c"), F.col("precip_mm")).alias("weather_id"),
-        "temp_max_c",
-        "precip_mm",
-        "rain_mm",
-        weather_band(F.col("temp_max_c"), F.col("precip_mm")).alias("weather_condition"),
-    )
+    """One row per set of readings, with its key and band; readings without a temperature have none."""
+    keyed = weather.where(F.col("temp_max_c").isNotNull()).select(weather_key().alias("weather_id"), *READINGS)
+    readings = keyed.groupBy("weather_id").agg(*[(F.min(c) + F.lit(0.0)).alias(c) for c in READINGS])
+    return readings.withColumn("weather_condition", weather_band(F.col("temp_max_c"), F.col("precip_mm")))
 
 
 def fact_ball_by_ball(balls: DataFrame, matches: DataFrame, weather: DataFrame) -> DataFrame:
@@ -243,18 +250,18 @@ def fact_ball_by_ball(balls: DataFrame, matches: DataFrame, weather: DataFrame)
     match, not per ball.
     """
     venue_id = surrogate_key(F.col("venue"), F.col("city"))
-    weather_id = surrogate_key(F.col("temp_max_c"), F.col("precip_mm"))
     per_match = (
         matches.select("match_id", "match_date", "venue", "city")
-        .join(weather.select("match_id", "temp_max_c", "precip_mm"), "match_id", "full_outer")
-        .select("match_id", "match_date", venue_id.alias("venue_id"), weather_id.alias("weather_id"))
+        .join(weather.select("match_id", *READINGS), "match_id", "full_outer")
+        .select("match_id", "match_date", venue_id.alias("venue_id"), weather_key().alias("weather_id"))
     )
     no_venue = surrogate_key(F.lit(None), F.lit(None))
+    no_weather = surrogate_key(*[F.lit(None)] * len(READINGS))
     return balls.join(per_match, "match_id", "left").select(
         "match_id",
         "match_date",
         F.coalesce("venue_id", no_venue).alias("venue_id"),
-        F.coalesce("weather_id", no_venue).alias("weather_id"),
+        F.coalesce("weather_id", no_weather).alias("weather_id"),
         surrogate_key(F.col("batter")).alias("batter_id"),
         surrogate_key(F.col("bowler")).alias("bowler_id"),
         "batting_team",

@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from functools import reduce
+
 from pyspark.sql import DataFrame, functions as F
 
-from pavilion.config import RANKING_LIMIT, MartRule
+from pavilion.config import RANKING_LIMIT, RANKING_LIMIT_MAX
 from pavilion.functions.text import contains_text, same_text
-from pavilion.operators.quality import report_rows
 from pavilion.operators.rank import page, top_ranked
-from pavilion.plans.marts import best_first, is_ranked_batsman, is_ranked_bowler
+from pavilion.plans.marts import best_first
 
 
 def _rankings(mart: DataFrame, metric: str, limit: int) -> DataFrame:
+    if not 1 <= limit <= RANKING_LIMIT_MAX:
+        raise ValueError(f"limit must lie in 1..{RANKING_LIMIT_MAX}")
     top = top_ranked(mart, *best_first(), limit=limit)
     return top.select(
         "rank", "player", "country_tag", "pca_score", "matches", F.col(metric).alias("primary_metric")
@@ -85,14 +89,7 @@ def player_context(
     )
 
 
-def mart_counts(dim: DataFrame, rule: MartRule = MartRule()) -> DataFrame:
-    """(mart, n_rows) of both ranking marts from one pass over the dimension."""
-    counted = dim.agg(
-        F.count_if(is_ranked_batsman(rule)).alias("bat"),
-        F.count_if(is_ranked_bowler(rule)).alias("bowl"),
-    )
-    names = {"bat": "mart_top_batsmen", "bowl": "mart_top_bowlers"}
-    return report_rows(
-        counted,
-        [F.struct(F.lit(m).alias("mart"), F.col(c).alias("n_rows")) for c, m in names.items()],
-    )
+def mart_counts(marts: Mapping[str, DataFrame]) -> DataFrame:
+    """(mart, n_rows) of stored marts, by name; an empty one counts 0."""
+    counts = [df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("mart"), "n_rows") for name, df in marts.items()]
+    return reduce(DataFrame.unionByName, counts)

@@ -25,25 +25,27 @@ _local_folders: dict[str, str] = {}
 
 def shuffle_partitions(data_bytes: int, partition_bytes: int = 512 << 20) -> int:
     """Partitions that keep each shuffled one near ``partition_bytes``; Spark merges small ones."""
-    return min(max(math.ceil(data_bytes / partition_bytes), 200), 100_000)
+    return max(math.ceil(data_bytes / partition_bytes), 200)
 
 
 def build_session(
     app: str = "pavilion",
     master: str | None = None,
     data_bytes: int | None = None,
+    partition_bytes: int = 512 << 20,
     **conf: str,
 ) -> SparkSession:
     """Session with the defaults the jobs assume; keyword names use ``__`` for dots.
 
-    ``data_bytes``, the size of the largest input, sets the number of shuffle partitions.
+    ``data_bytes``, the size of the largest input, sets the number of shuffle partitions,
+    so that each holds about ``partition_bytes``.
     """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
     settings = dict(_DEFAULTS)
     if data_bytes is not None:
-        settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions(data_bytes))
+        settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions(data_bytes, partition_bytes))
     settings |= {k.replace("__", "."): v for k, v in conf.items()}
     for key, value in settings.items():
         builder = builder.config(key, value)
@@ -53,7 +55,7 @@ def build_session(
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, as the cluster names it in ``spark.checkpoint.dir``.
 
-    A local session without the setting gets a fresh temporary folder; a cluster
+    A local session without the setting, as in tests, gets a fresh temporary folder; a cluster
     session without it is an error, because a machine-local folder would not
     survive the loss of that machine.
     """

@@ -8,16 +8,18 @@ import sys
 import zipfile
 import zlib
 from collections.abc import Iterator
+from urllib.parse import quote
 
 import pandas as pd
 import pyarrow.fs
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from pavilion.operators.columns import computed_once
+from pavilion.sources.tables import parsed_documents
 
 _BATCH_BYTES = 8 << 20
-_MAX_TASKS = 50_000  # beyond it, tasks read more than one chunk each
+_SLICE = 10_000
+_ENTRY = ["archive", "entry", "start", "packed", "method", "crc"]
 _LOCAL_HEADER = "<4s5H3L2H"  # fixed layout of a zip entry's local header
 
 # Send these functions to the executors by value, so the package need not be installed there.
@@ -25,28 +27,28 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 def _open(path: str):
-    # Arrow knows the object store by its plain scheme.
-    filesystem, inner = pyarrow.fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
+    # File listings give plain paths, Arrow wants them encoded; it knows the object store by its plain scheme.
+    filesystem, inner = pyarrow.fs.FileSystem.from_uri(quote(path.replace("s3a://", "s3://", 1), safe="/:"))
     return filesystem.open_input_file(inner)
 
 
 def _list_entries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         for path in batch["archive"]:
+            # The zip reader holds one archive's directory; it is passed on in slices.
             with _open(path) as file, zipfile.ZipFile(file) as archive:
-                rows = [
-                    (path, e.filename, e.header_offset, e.compress_size, e.compress_type)
-                    for e in archive.infolist()
-                    if e.filename.endswith(".json")
-                ]
-            for start in range(0, len(rows), 10_000):
-                yield pd.DataFrame(
-                    rows[start : start + 10_000],
-                    columns=["archive", "entry", "start", "packed", "method"],
-                )
-
-
-def _read_entry(file, start: int, packed: int, method: int) -> str:
+                entries = archive.infolist()
+                for first in range(0, len(entries), _SLICE):
+                    rows = [
+                        (path, e.filename, e.header_offset, e.compress_size, e.compress_type, e.CRC)
+                        for e in entries[first : first + _SLICE]
+                        if e.filename.endswith(".json")
+                    ]
+                    if rows:
+                        yield pd.DataFrame(rows, columns=_ENTRY)
+
+
+def _read_entry(file, start: int, packed: int, method: int, crc: int) -> str:
     file.seek(start)
     size = struct.calcsize(_LOCAL_HEADER)
     *_, name_length, extra_length = struct.unpack(_LOCAL_HEADER, file.read(size))
@@ -56,6 +58,8 @@ def _read_entry(file, start: int, packed: int, method: int) -> str:
         data = zlib.decompress(data, -zlib.MAX_WBITS)
     elif method != zipfile.ZIP_STORED:
         raise ValueError(f"zip method {method} is not supported")
+    if zlib.crc32(data) != crc:
+        raise zipfile.BadZipFile("an entry's content does not match its checksum")
     return data.decode("utf-8")
 
 
@@ -68,7 +72,7 @@ def _read_entries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 if file is not None:
                     file.close()
                 current, file = row.archive, _open(row.archive)
-            text = _read_entry(file, row.start, row.packed, row.method)
+            text = _read_entry(file, row.start, row.packed, row.method, row.crc)
             rows.append((row.archive, row.entry, text))
             size += len(text)
             if size >= _BATCH_BYTES:
@@ -87,13 +91,15 @@ def scan_zip_entries(spark: SparkSession, path: str, chunk_bytes: int = 128 << 2
     chunks of neighbouring entries, so that one large archive is read by many
     tasks and no archive is ever held whole. The number of tasks follows the
     archives' sizes: the shuffled entry list is far smaller than the data behind
-    it, and Spark would merge its partitions if left to choose.
+    it, and Spark would merge its partitions if left to choose. Only the directory of one
+    archive at a time is held in a task. An entry whose checksum does not fit fails the job.
+    Archives are opened by Arrow's file systems: local or mounted paths, HDFS and S3.
     """
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(path)
     packed_bytes = files.agg(F.sum("length")).first()[0] or 0  # file listing only
-    tasks = min(max(math.ceil(packed_bytes / chunk_bytes), spark.sparkContext.defaultParallelism), _MAX_TASKS)
+    tasks = max(math.ceil(packed_bytes / chunk_bytes), spark.sparkContext.defaultParallelism)
     entries = files.select(F.col("path").alias("archive")).mapInPandas(
-        _list_entries, "archive string, entry string, start bigint, packed bigint, method int"
+        _list_entries, "archive string, entry string, start bigint, packed bigint, method int, crc bigint"
     )
     chunk = F.floor(F.col("start") / F.lit(chunk_bytes))
     spread = entries.repartition(tasks, "archive", chunk).sortWithinPartitions("archive", "start")
@@ -103,9 +109,10 @@ def scan_zip_entries(spark: SparkSession, path: str, chunk_bytes: int = 128 << 2
 def scan_zip_json(
     spark: SparkSession, path: str, schema: T.StructType, key: str = "match_id"
 ) -> DataFrame:
-    """The documents in the archives, parsed, with the entry's base name as ``key``."""
+    """The documents in the archives, parsed, with the entry's base name as ``key``.
+
+    ``corrupt`` has the text of a document that is no valid JSON; see ``tables.parsed_documents``.
+    """
     entries = scan_zip_entries(spark, path)
     base = F.regexp_replace(F.element_at(F.split("entry", "/"), -1), r"\.json$", "")
-    doc = computed_once(F.from_json("text", schema))
-    parsed = entries.select(base.alias(key), doc.alias("doc"))
-    return parsed.select(key, "doc.*")
+    return parsed_documents(entries, "text", schema, base.alias(key))

@@ -6,8 +6,9 @@ shuffle and without Python. Nested tables are not supported.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
+from html.entities import name2codepoint
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -16,8 +17,9 @@ from pavilion.operators.columns import computed_once
 
 SIGNATURE = ("player", "runs")  # fixed default: header texts that mark a career table
 
-# Entities that occur in scraped tables (fixed values); the ampersand comes last.
-_ENTITIES = {"&nbsp;": " ", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&amp;": "&"}
+# Named character references of HTML 4, from the standard library; the ampersand comes last.
+_NAMED = {name: chr(point) for name, point in name2codepoint.items() if name != "amp"}
+_SPAN_MAX = 1000  # fixed value: the largest colspan that HTML allows
 
 
 class SchemaDriftError(Exception):
@@ -33,21 +35,64 @@ def _element(tag: str, ends_at: str) -> str:
     return rf"(?is)<{tag}\b[^>]*>(.*?)(?=</{tag}\s*>|<{ends_at}\b|\z)"
 
 
+def _character(point: Column) -> Column:
+    """The character with a Unicode number, null outside the range."""
+
+    def utf16(number: Column) -> Column:
+        return F.lpad(F.hex(number), 4, "0")
+
+    beyond = point - 0x10000
+    units = F.when(point < 0x10000, utf16(point)).otherwise(
+        F.concat(utf16(F.shiftright(beyond, 10) + 0xD800), utf16(beyond.bitwiseAND(F.lit(0x3FF)) + 0xDC00))
+    )
+    surrogate = point.between(0xD800, 0xDFFF)
+    return F.when((point > 0) & (point <= 0x10FFFF) & ~surrogate, F.decode(F.unhex(units), "UTF-16BE"))
+
+
+def _replaced(text: Column, pattern: str, prefix: str, character: Callable[[Column], Column]) -> Column:
+    """Each reference ``prefix...;`` that ``pattern`` finds, replaced where its character is known."""
+    names = F.array_distinct(F.regexp_extract_all(text, F.lit(pattern), F.lit(1)))
+    return F.aggregate(
+        names,
+        text,
+        lambda done, name: F.coalesce(F.replace(done, F.concat(F.lit(prefix), name, F.lit(";")), character(name)), done),
+    )
+
+
+def unescaped(text: Column) -> Column:
+    """The text with its character references (named, decimal, hexadecimal) replaced."""
+    named = F.create_map(*[F.lit(x) for pair in _NAMED.items() for x in pair])
+    out = _replaced(text, r"&#(\d{1,7});", "&#", lambda n: _character(n.cast("int")))
+    for x in ("x", "X"):
+        out = _replaced(out, rf"&#{x}([0-9A-Fa-f]{{1,6}});", f"&#{x}", lambda n: _character(F.conv(n, 16, 10).cast("int")))
+    out = _replaced(out, r"&([A-Za-z]{2,8}\d{0,2});", "&", lambda n: F.try_element_at(named, n))
+    return F.when(F.contains(text, F.lit("&")), F.replace(out, F.lit("&amp;"), F.lit("&"))).otherwise(text)
+
+
 def _cell_text(cell: Column) -> Column:
-    text = F.regexp_replace(cell, r"<[^>]*>", "")
-    for entity, char in _ENTITIES.items():
-        text = F.replace(text, F.lit(entity), F.lit(char))
-    return strip_space(F.regexp_replace(text, r"\s+", " "))
+    content = F.regexp_extract(cell, r"(?is)^<[^>]*>(.*)$", 1)
+    text = unescaped(F.regexp_replace(content, r"<[^>]*>", ""))
+    return strip_space(F.regexp_replace(text, r"[\s\u00a0]+", " "))
 
 
 def _cells(row: Column) -> Column:
-    return F.transform(_each(row, _element("t[hd]", "t[hd]")), _cell_text)
+    """Texts of a row's cells; a cell that spans columns is repeated for each."""
+    cells = F.regexp_extract_all(row, F.lit(_element("t[hd]", "t[hd]")), F.lit(0))
+
+    def spread(cell: Column) -> Column:
+        span = F.regexp_extract(cell, r"(?is)^<[^>]*\bcolspan\s*=\s*[\"']?(\d{1,4})", 1)
+        times = F.least(F.greatest(F.coalesce(span.try_cast("int"), F.lit(1)), F.lit(1)), F.lit(_SPAN_MAX))
+        return F.array_repeat(_cell_text(cell), times)
+
+    return F.flatten(F.transform(cells, spread))
 
 
 def parsed_tables(html: Column) -> Column:
     """array<struct<header array<string>, rows array<array<string>>>> of a page.
 
-    The header is the first row that has ``<th>`` cells only; without one it is empty.
+    The header is the first row in ``<thead>``, whatever its cells; without one it is the first row
+    if that has ``<th>`` cells only, else empty. Further rows in ``<thead>`` and rows of ``<th>`` cells
+    only are dropped. Columns that a cell spans are filled; ``rowspan`` is not looked at.
     """
     visible = F.regexp_replace(html, r"(?is)<!--.*?-->|<script\b.*?</script\s*>", "")
     tables = _each(visible, r"(?is)<table\b[^>]*>(.*?)(?:</table\s*>|\z)")
@@ -56,8 +101,11 @@ def parsed_tables(html: Column) -> Column:
         return row.rlike(r"(?i)<th\b") & ~row.rlike(r"(?i)<td\b")
 
     def table(content: Column) -> Column:
-        rows = _each(content, _element("tr", "tr"))
-        header = F.get(F.filter(rows, is_header), F.lit(0))
+        top = r"(?is)<thead\b[^>]*>(.*?)(?:</thead\s*>|(?=<tbody\b)|\z)"
+        head = _each(F.regexp_extract(content, top, 1), _element("tr", "tr"))
+        rows = _each(F.regexp_replace(content, top, ""), _element("tr", "tr"))
+        first = F.get(rows, F.lit(0))
+        header = F.when(F.size(head) > 0, F.get(head, F.lit(0))).when(is_header(first), first)
         body = F.filter(rows, lambda r: ~is_header(r))
         empty = F.array().cast("array<string>")
         return F.struct(
@@ -138,8 +186,8 @@ def until_first_empty(
 ) -> DataFrame:
     """Pages of each source before its first page without rows."""
     is_empty = F.coalesce(F.size(rows), F.lit(0)) <= 0
-    # One row per source; the pages themselves are not grouped.
-    stops = pages.groupBy(source).agg(F.min(F.when(is_empty, F.col(page))).alias("__stop"))
+    # One row per source that has an empty page; the pages' content is not grouped.
+    stops = pages.where(is_empty).groupBy(source).agg(F.min(page).alias("__stop"))
     kept = pages.join(stops, source, "left").where(
         F.col("__stop").isNull() | (F.col(page) < F.col("__stop"))
     )
@@ -155,12 +203,17 @@ def paged_union(
     )
 
 
-def require_rows(pages: DataFrame, source: str = "source", page: str = "page") -> None:
-    """Raise when a source has no row before its first empty page."""
+def sources_without_rows(pages: DataFrame, source: str = "source", page: str = "page") -> DataFrame:
+    """Sources that have no row before their first empty page."""
     kept = until_first_empty(pages, source, page).select(source).distinct()
-    missing = pages.select(source).distinct().join(kept, source, "left_anti").limit(20).collect()
-    if missing:
-        raise RuntimeError(f"no rows scraped for sources {[r[0] for r in missing]}")
+    return pages.select(source).distinct().join(kept, source, "left_anti")
+
+
+def require_rows(pages: DataFrame, source: str = "source", page: str = "page") -> None:
+    """Raise with the number of ``sources_without_rows`` and one of them, if there are any."""
+    found = sources_without_rows(pages, source, page).agg(F.count(F.lit(1)).alias("n"), F.min(source).alias("first")).first()
+    if found["n"]:
+        raise RuntimeError(f"no rows scraped for {found['n']} sources, {found['first']!r} among them")
 
 
 def union_tables(frames: Mapping[str, DataFrame]) -> DataFrame:

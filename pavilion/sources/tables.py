@@ -4,18 +4,23 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from pavilion.config import CODECS
 from pavilion.functions.text import file_key
-from pavilion.operators.columns import drop_index_columns
+from pavilion.operators.columns import complete_schema, computed_once, drop_index_columns
 
 DATE_COLUMN = "ingestion_date"
+CORRUPT = "corrupt"
 
 
 def scan_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """CSV with a header. A missing path raises when the frame is defined."""
-    return spark.read.schema(schema).option("header", True).csv(path)
+    """CSV with a header, its columns taken by name; a column the header lacks is null.
+
+    A missing path raises when the frame is defined. Files whose headers differ in order fail the
+    read instead of being misread.
+    """
+    return complete_schema(spark.read.options(header=True, enforceSchema=False).csv(path), schema)
 
 
 def scan_sample(spark: SparkSession, folder: str, source: str) -> DataFrame:
@@ -36,12 +41,26 @@ def scan_json_docs(
 ) -> DataFrame:
     """JSON documents, one per file (``multi_line``) or one per line, with an explicit schema.
 
-    ``key`` adds the digits of the file name as a column.
+    ``key`` adds the digits of the file name as a column. ``corrupt`` has the text of a document
+    that is no valid JSON; see ``parsed_documents``.
     """
-    docs = spark.read.schema(schema).option("multiLine", multi_line).json(path)
+    texts = spark.read.text(path, wholetext=multi_line)
     if key is None:
-        return docs
-    return docs.select(file_key(F.col("_metadata.file_path")).alias(key), *docs.columns)
+        return parsed_documents(texts, "value", schema)
+    return parsed_documents(texts, "value", schema, file_key(F.col("_metadata.file_path")).alias(key))
+
+
+def parsed_documents(texts: DataFrame, column: str, schema: T.StructType, *keep: Column) -> DataFrame:
+    """``keep``, the fields of the JSON documents in ``column``, and ``corrupt``.
+
+    ``corrupt`` is null for a sound document. A document that is cut off or otherwise no JSON has
+    its text there and whatever fields could be read; ``quality.quarantine`` with
+    ``sound_document`` splits such rows off.
+    """
+    whole = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    doc = computed_once(F.from_json(column, whole, {"columnNameOfCorruptRecord": CORRUPT}))
+    parsed = texts.select(*keep, doc.alias("__doc"))
+    return parsed.select(*parsed.drop("__doc").columns, "__doc.*")
 
 
 def table_path(layer_root: str, table: str) -> str:
@@ -54,10 +73,12 @@ def partition_path(layer_root: str, table: str, date: dt.date | None = None) ->
     return f"{table_path(layer_root, table)}/{DATE_COLUMN}={date:%Y-%m-%d}"
 
 
-def _writer(df: DataFrame, compression: str, dictionary: bool):
+def _writer(df: DataFrame, compression: str, dictionary: bool, row_group_bytes: int | None = None):
     if compression not in CODECS:
         raise ValueError(f"compression must be one of {CODECS}")
     options = {"compression": compression, "parquet.enable.dictionary": str(dictionary).lower()}
+    if row_group_bytes is not None:
+        options["parquet.block.size"] = str(row_group_bytes)
     return df.write.options(**options)
 
 
@@ -67,12 +88,15 @@ def write_partition(
     date: dt.date | None = None,
     compression: str = "snappy",
     dictionary: bool = True,
+    row_group_bytes: int | None = None,
 ) -> None:
-    """Replace the partition of one ingestion date (default today, UTC); others stay."""
+    """Replace the partition of one ingestion date (default today, UTC); others stay.
+
+    The partition's own folder is overwritten, so an empty frame empties it.
+    """
     date = date or dt.datetime.now(dt.UTC).date()
-    dated = df.withColumn(DATE_COLUMN, F.lit(date))
-    writer = _writer(dated, compression, dictionary).mode("overwrite").partitionBy(DATE_COLUMN)
-    writer.option("partitionOverwriteMode", "dynamic").parquet(root)
+    writer = _writer(df.drop(DATE_COLUMN), compression, dictionary, row_group_bytes)
+    writer.mode("overwrite").parquet(f"{root.rstrip('/')}/{DATE_COLUMN}={date:%Y-%m-%d}")
 
 
 def read_table(spark: SparkSession, root: str, schema: T.StructType | None = None) -> DataFrame:

@@ -350,7 +350,7 @@ def _tests_sql() -> str:
 @query(
     "test_report",
     with_tables(
-        _tests_sql(), "silver_batting", "silver_bowling", "batsmen", "bowlers", "fact_long"
+        _tests_sql(), "silver_batting", "silver_bowling", "dim_player", "batsmen", "bowlers", "fact_long"
     ),
 )
 def test_report(src):
@@ -404,6 +404,29 @@ def contract_report(src):
     return quality.contract_report(src["events"], _events_contract(src))
 
 
+@query(
+    "contract_report_missing",
+    _violations("events", [("user_id", "not_null", "user_id is null"), ("ts", "not_null", "ts is null")])
+    + """ union all select * from (values ('event_id', 'type', 1), ('user_id', 'type', 0), ('value', 'type', 1),
+      ('ts', 'type', 0)) t""",
+)
+def contract_report_missing(src):
+    """The unique column and a bounded one are missing; each is one violation."""
+    return quality.contract_report(src["events"].drop("event_id", "value"), _events_contract(src))
+
+
+@query(
+    "contract_report_empty",
+    """select * from (values ('event_id', 'not_null', 0), ('user_id', 'not_null', 0), ('ts', 'not_null', 0),
+      ('event_id', 'type', 0), ('user_id', 'type', 0), ('value', 'type', 1), ('ts', 'type', 0),
+      ('event_id', 'unique', (select count(*) from events where false))) t(column_name, check_name, violations)""",
+)
+def contract_report_empty(src):
+    """No rows at all, and a missing column."""
+    nothing = src["events"].where("event_id < 0").drop("value")
+    return quality.contract_report(nothing, _events_contract(src))
+
+
 _REASONS = """concat_ws(',', case when player is null then 'player:not_null' end,
     case when runs is null then 'runs:not_null' end,
     case when runs > 3000 then 'runs:le' end,

@@ -10,6 +10,7 @@ import pandas as pd
 import pyarrow.fs
 from pyspark.sql import DataFrame, functions as F
 
+from pavilion.operators import quality
 from pavilion.operators.rank import newest
 from pavilion.operators.reshape import flatten_balls, flatten_matches, flatten_weather
 from pavilion.plans.daily import conform_audited
@@ -30,6 +31,68 @@ def scan_csv(src):
     return tables.scan_csv(src.spark, path, BRONZE_BATTING)
 
 
+@query(
+    "scan_csv_by_name",
+    with_tables(
+        """select "Player", "Span", null::varchar as "Mat", "Runs" from bat_raw""",
+        "bat_raw",
+    ),
+)
+def scan_csv_by_name(src):
+    """A file with other columns in another order than the schema's."""
+    path = new_folder(src.spark, "csv")
+    shuffled = src.bat_raw.select("Runs", "HS", "Span", "Player")
+    shuffled.write.option("header", True).option("ignoreTrailingWhiteSpace", False).csv(path)
+    return tables.scan_csv(src.spark, path, BRONZE_BATTING).select("Player", "Span", "Mat", "Runs")
+
+
+@query(
+    "corrupt_documents",
+    """select o_orderkey::varchar as match_id, 'document:json' as reasons from orders where o_orderkey % 5 = 0""",
+)
+def corrupt_documents(src):
+    """Every fifth document is cut off; it goes to quarantine and not into the balls."""
+    path = new_folder(src.spark, "broken")
+    body = F.to_json(F.struct(*[c for c in src.docs.columns if c != "match_id"]))
+    key = F.col("match_id").cast("bigint")
+    cut = F.when(key % 5 == 0, F.concat(F.lit('{"info": {"city": '), F.to_json(F.struct("match_id")))).otherwise(body)
+    packed = src.docs.select("match_id", cut.alias("text"))
+    pack_texts(packed, path)
+    docs = archives.scan_zip_json(src.spark, path, MATCH_DOCUMENT)
+    _, broken = quality.quarantine(docs, [quality.sound_document()])
+    return broken.select("match_id", F.concat_ws(",", "reasons").alias("reasons"))
+
+
+@query(
+    "loose_documents",
+    """select s_suppkey::varchar as match_id, '2024-06-15' as match_date, s_name as venue,
+      case when s_suppkey % 3 = 0 then null else 'C' || s_nationkey end as city, 'X' as team1, 'Y' as team2, 'ODI' as match_type
+    from supplier""",
+)
+def loose_documents(src):
+    """One file of several lines per document, keyed by the file's name."""
+    folder = new_folder(src.spark, "loose")
+    info = F.struct(
+        F.array(F.lit("2024-06-15")).alias("dates"), F.col("s_name").alias("venue"),
+        F.expr("if(s_suppkey % 3 = 0, null, concat('C', s_nationkey))").alias("city"),
+        F.array(F.lit("X"), F.lit("Y")).alias("teams"), F.lit("ODI").alias("match_type"),
+    )
+    text = F.to_json(F.struct(info.alias("info")), {"pretty": "true"})
+
+    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        filesystem, inner = pyarrow.fs.FileSystem.from_uri(folder)
+        filesystem.create_dir(inner, recursive=True)
+        for batch in batches:
+            for row in batch.itertuples(index=False):
+                with filesystem.open_output_stream(f"{inner}/{row.key}.json") as out:
+                    out.write(row.text.encode())
+            yield pd.DataFrame({"n": [len(batch)]})
+
+    rows = src["supplier"].select(F.col("s_suppkey").cast("string").alias("key"), text.alias("text"))
+    rows.mapInPandas(write, "n bigint").agg(F.sum("n")).first()
+    return flatten_matches(tables.scan_json_docs(src.spark, f"{folder}/*.json", MATCH_DOCUMENT))
+
+
 @query("scan_json_docs", with_tables("select * from doc_balls", "doc_balls"))
 def scan_json_docs(src):
     path = new_folder(src.spark, "docs")
@@ -40,8 +103,8 @@ def scan_json_docs(src):
     return flatten_balls(docs)
 
 
-def write_archives(docs: DataFrame, folder: str) -> int:
-    """Pack documents into one zip per partition; a retried task replaces its own archive."""
+def pack_texts(texts: DataFrame, folder: str) -> int:
+    """Pack (match_id, text) into one zip per partition; a retried task replaces its own archive."""
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
@@ -59,9 +122,13 @@ def write_archives(docs: DataFrame, folder: str) -> int:
                         count += 1
         yield pd.DataFrame({"n": [count]})
 
+    return texts.mapInPandas(pack, "n bigint").agg(F.sum("n")).first()[0]
+
+
+def write_archives(docs: DataFrame, folder: str) -> int:
+    """The documents as JSON, packed."""
     body = F.to_json(F.struct(*[c for c in docs.columns if c != "match_id"]))
-    packed = docs.select("match_id", body.alias("text")).mapInPandas(pack, "n bigint")
-    return packed.agg(F.sum("n")).first()[0]
+    return pack_texts(docs.select("match_id", body.alias("text")), folder)
 
 
 @query("scan_zip_json", with_tables("select * from doc_balls", "doc_balls"))
@@ -86,6 +153,12 @@ def _orders(src) -> DataFrame:
 
 
 _ORDERS = "o_orderkey, o_custkey, o_totalprice, o_orderstatus"
+_REVISED = "o_orderkey, o_custkey, o_totalprice, 'X' as o_orderstatus"
+
+
+def _revised(orders: DataFrame) -> DataFrame:
+    """The same orders with another status, to tell two writes apart."""
+    return orders.withColumn("o_orderstatus", F.lit("X"))
 
 
 def _dated(df: DataFrame) -> DataFrame:
@@ -95,12 +168,12 @@ def _dated(df: DataFrame) -> DataFrame:
 
 @query(
     "scan_partitions",
-    f"""select {_ORDERS}, '2024-06-15' as ingestion_date from orders where o_orderkey % 2 = 0
+    f"""select {_REVISED}, '2024-06-15' as ingestion_date from orders
     union all select {_ORDERS}, '2024-06-16' from orders""",
 )
 def scan_partitions(src):
     root = new_folder(src.spark, "partitions")
-    tables.write_partition(_orders(src).where("o_orderkey % 2 = 0"), root, DAY1)
+    tables.write_partition(_revised(_orders(src)), root, DAY1)
     tables.write_partition(_orders(src), root, DAY2)
     return _dated(tables.read_table(src.spark, root, _orders(src).schema))
 
@@ -108,14 +181,14 @@ def scan_partitions(src):
 @query("read_partition", f"select {_ORDERS}, '2024-06-16' as ingestion_date from orders")
 def read_partition(src):
     root = new_folder(src.spark, "partition")
-    tables.write_partition(_orders(src).where("o_orderkey % 2 = 0"), root, DAY1)
+    tables.write_partition(_revised(_orders(src)), root, DAY1)
     tables.write_partition(_orders(src), root, DAY2)
     return _dated(tables.read_partition(src.spark, root, DAY2, _orders(src).schema))
 
 
 @query(
     "write_partition_idempotent",
-    f"""select {_ORDERS}, '2024-06-15' as ingestion_date from orders where o_orderkey % 3 = 0
+    f"""select {_REVISED}, '2024-06-15' as ingestion_date from orders
     union all select {_ORDERS}, '2024-06-16' from orders""",
 )
 def write_partition_idempotent(src):
@@ -123,24 +196,35 @@ def write_partition_idempotent(src):
     orders = _orders(src)
     tables.write_partition(orders, root, DAY1)
     tables.write_partition(orders, root, DAY2)
-    for _ in range(2):  # the first date again, twice, with fewer rows
-        tables.write_partition(orders.where("o_orderkey % 3 = 0"), root, DAY1)
+    for _ in range(2):  # the first date again, twice, with other values
+        tables.write_partition(_revised(orders), root, DAY1)
+    return _dated(tables.read_table(src.spark, root, orders.schema))
+
+
+@query("write_partition_empty", f"select {_ORDERS}, '2024-06-16' as ingestion_date from orders")
+def write_partition_empty(src):
+    """A date that turns out empty on its second run; the other date stays."""
+    root = new_folder(src.spark, "emptied")
+    orders = _orders(src)
+    for date in (DAY1, DAY2):
+        tables.write_partition(orders, root, date)
+    tables.write_partition(orders.limit(0), root, DAY1)
     return _dated(tables.read_table(src.spark, root, orders.schema))
 
 
 @query("write_codec", f"select {_ORDERS}, '2024-06-15' as ingestion_date from orders")
 def write_codec(src):
     root = new_folder(src.spark, "codec")
-    tables.write_partition(_orders(src), root, DAY1, compression="zstd", dictionary=False)
+    tables.write_partition(_orders(src), root, DAY1, compression="zstd", dictionary=False, row_group_bytes=1 << 20)
     return _dated(tables.read_table(src.spark, root, _orders(src).schema))
 
 
-@query("write_full_refresh", f"select {_ORDERS} from orders where o_orderkey % 2 = 1")
+@query("write_full_refresh", f"select {_REVISED} from orders")
 def write_full_refresh(src):
     path = new_folder(src.spark, "refresh")
     orders = _orders(src)
     tables.write_full_refresh(orders, path)
-    tables.write_full_refresh(orders.where("o_orderkey % 2 = 1"), path)
+    tables.write_full_refresh(_revised(orders), path)
     nothing = orders.where("o_orderkey < 0")
     tables.write_full_refresh(nothing, path, given=nothing)
     return src.spark.read.schema(orders.schema).parquet(path)
@@ -251,20 +335,51 @@ def page_drift_mixed(src):
     return html.drift_status(src.html_pages, ["page_id"])
 
 
+_SOURCE = "case when page_id % 3 = 0 then 'S0' else 'S' || (page_id % 20) end"
+
+
 @query(
     "paged_union",
     with_tables(
-        """select r.source, r.page_id as page, row_idx, player from page_rows r
-        left join (select case when page_id % 3 = 0 then 'S0' else 'S' || (page_id % 20) end as source,
-            min(page_id) as stop from pages
+        f"""select r.source, r.page_id as page, 'ok' as status, row_idx, player from page_rows r
+        left join (select {_SOURCE} as source, min(page_id) as stop from pages
           where page_id % 37 <> 36 and page_id % 13 <> 12 and page_id % 241 = 240 group by 1) s
           on r.source = s.source
-        where stop is null or r.page_id < stop""",
+        where stop is null or r.page_id < stop
+        union all select {_SOURCE}, page_id, case when page_id % 37 = 36 then 'no_tables' else 'signature_missing' end,
+          null::integer, null from pages where page_id % 37 = 36 or page_id % 13 = 12""",
         "page_rows",
     ),
 )
 def paged_union(src):
+    """Rows of the pages that have their table, and a row for each page that has not."""
     pages = html.find_table(src.html_pages.withColumnRenamed("page_id", "page"), ["source", "page"])
-    # Read twice below, so the parsed rows are kept rather than the pages parsed again.
-    rows = html.paged_union(materialize(pages.where("status = 'ok'"), "pages"))
-    return rows.select("source", "page", "row_idx", F.get("cells", F.lit(0)).alias("player"))
+    # Read three times below, so the parsed rows are kept rather than the pages parsed again.
+    pages = materialize(pages, "pages")
+    rows = html.paged_union(pages.where("status = 'ok'"))
+    rows = rows.select("source", "page", F.lit("ok").alias("status"), "row_idx", F.get("cells", F.lit(0)).alias("player"))
+    drifted = pages.where("status <> 'ok'").select("source", "page", "status")
+    return html.union_tables({"rows": rows, "drifted": drifted})
+
+
+@query(
+    "html_headers_and_references",
+    """select page_id, case when page_id % 2 = 0 then 'Player' else 'Side' end as first_header, row_idx::integer as row_idx, cells from (
+      select page_id, 0 as row_idx, 'Zoë & Co €' || (page_id % 10) || ' 🏏|<b>|' || page_id || '|' || page_id as cells from pages
+      union all select page_id, 1, 'wide|wide|wide|end' from pages)""",
+)
+def html_headers_and_references(src):
+    """Headers of plain cells, the third table in default of a named one, references and spanning cells."""
+    head = F.expr(
+        "if(page_id % 2 = 0, '<thead><tr><td>Player</td><td>Total Runs</td><td>Note</td></tr></thead>', '<tr><th>Side</th></tr>')"
+    )
+    rows = F.expr(
+        "concat('<tr><td>Zo&euml; &amp;&nbsp;Co &#8364;', page_id % 10, ' &#x1F3CF;</td><td>&lt;b&gt;</td><td colspan=2>', page_id, '</td></tr>"
+        "<tr><td colspan=\"3\">wide</td><td>end</td></tr></table>')"
+    )
+    decoys = F.lit("<table><tr><td>x</td></tr></table><table><tr><td>y</td></tr></table><table>")
+    pages = src.spread("pages").select("page_id", F.concat(decoys, head, rows).alias("html"))
+    found = html.find_table(pages, ["page_id"], third_table_fallback=True)
+    return html.table_rows(found, ["page_id"]).select(
+        "page_id", F.get("header", F.lit(0)).alias("first_header"), "row_idx", F.array_join("cells", "|").alias("cells")
+    )

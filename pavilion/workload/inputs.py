@@ -29,14 +29,16 @@ def bat_raw(customer: DataFrame, nation: DataFrame, orders: DataFrame) -> DataFr
         F.count_if((price >= 200000) & (price <= 400000)).alias("mid"),
         F.count_if(price < 10000).alias("low"),
     )
-    people = customer.where("c_custkey % 4 <> 0").select(
-        F.col("c_custkey").alias("k"), "c_name", F.col("c_nationkey").alias("n_nationkey")
-    )
+    # Every fourth customer bats under a name that no bowler has.
+    name = F.expr("if(c_custkey % 4 = 0, replace(c_name, 'Customer', 'Batter'), c_name)").alias("c_name")
+    people = customer.select(F.col("c_custkey").alias("k"), name, F.col("c_nationkey").alias("n_nationkey"))
+    counts = ["n", "cents", "top", "high", "mid", "low"]
     rows = (
         people.join(nation.select("n_nationkey", "n_name"), "n_nationkey")
-        .join(careers, "k")
+        .join(careers, "k", "left")
+        .fillna(0, counts)
         .withColumn("copy", F.explode(F.expr("if(k % 6 = 0, array(0, 1), array(0))")))
-        .withColumn("ave", F.expr("(cents div n) % 6000"))
+        .withColumn("ave", F.expr("(cents div nullif(n, 0)) % 6000"))
         .withColumn("rate", F.expr("(k * 37) % 15000"))
     )
     text = {
@@ -66,8 +68,7 @@ def bowl_raw(lineitem: DataFrame) -> DataFrame:
     """Scraped bowling rows of the parts, under names that overlap the batting rows."""
     quantity = F.col("l_quantity").cast("bigint")
     careers = (
-        lineitem.where("l_partkey % 3 <> 0")
-        .groupBy(F.col("l_partkey").alias("k"))
+        lineitem.groupBy(F.col("l_partkey").alias("k"))
         .agg(
             F.count(F.lit(1)).alias("n"),
             F.min(F.year("l_shipdate")).alias("y0"),
@@ -86,7 +87,8 @@ def bowl_raw(lineitem: DataFrame) -> DataFrame:
         .withColumn("rate", F.expr("(balls * 100) div n"))
     )
     text = {
-        "Player": "concat('Customer#', lpad(k, 9, '0'), ' (NATION_', k % 25, ')')",
+        # Every third part bowls under a name that no batter has.
+        "Player": "concat(if(k % 3 = 0, 'Bowler#', 'Customer#'), lpad(k, 9, '0'), ' (NATION_', k % 25, ')')",
         "Span": "if(k % 41 = 0, string(y0), concat(y0, '-', y1))",
         "Mat": "if(copy = 1 and k % 20 = 0, '-', string(n - copy))",
         "Inns": "string(n)",
@@ -173,16 +175,18 @@ def match_docs(orders: DataFrame) -> DataFrame:
 
 
 def weather_docs(orders: DataFrame) -> DataFrame:
-    """A weather document for most orders; some have empty arrays or a missing reading."""
+    """A weather document per order; some have empty arrays, a missing reading or no match."""
     daily = (
         "struct(array(date_format(o_orderdate, 'yyyy-MM-dd')) as time, "
         "case when o_orderkey % 11 = 0 then array() when o_orderkey % 23 = 0 then array(null) "
         "else array(double(o_custkey % 40) + 0.5D) end as temperature_2m_max, "
-        "array(double(o_orderkey % 9)) as precipitation_sum, "
-        "array(double(o_orderkey % 3)) as rain_sum)"
+        # A dry day may come as minus zero; rain does not follow from the precipitation.
+        "array(if(o_orderkey % 9 = 0, double('-0.0'), double(o_orderkey % 9))) as precipitation_sum, "
+        "array(double(o_custkey % 3)) as rain_sum)"
     )
-    rows = orders.where("o_orderkey % 10 <> 0").selectExpr(
-        "string(o_orderkey) as match_id", f"{daily} as daily"
+    # Every tenth document belongs to no known match.
+    rows = orders.selectExpr(
+        "if(o_orderkey % 10 = 0, concat('x', o_orderkey), string(o_orderkey)) as match_id", f"{daily} as daily"
     )
     return rows.select(
         *[F.col(f.name).cast(f.dataType).alias(f.name) for f in WEATHER_DOCUMENT.fields]
@@ -207,7 +211,7 @@ def html_pages(pages: DataFrame) -> DataFrame:
         "'<!-- <table><tr><th>Player</th><th>Runs</th></tr></table> -->"
         "<table><tr><td>Ad</td></tr></table><TABLE class=\"nav\"><tr><td>A</td><td>B</td></tr></TABLE>'"
     )
-    header = "if(page_id % 13 = 12, 'Athlete', 'Player')"
+    header = "if(page_id % 13 = 12, 'Name', 'Player')"
     career = (
         f"concat('<table id=\"t\">\\n<thead><tr><th>', {header}, '</th><th>Runs</th><th>Ave</th></tr></thead>"
         f"<tbody>', {rows}, '</tbody></table>')"

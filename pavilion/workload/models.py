@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from pavilion.operators import dedupe, joins
-from pavilion.plans import marts, refit, serving, staging
+from pavilion.operators import dedupe, joins, quality
+from pavilion.plans import conform, contracts, marts, refit, serving, staging
+from pavilion.session import materialize
 from pavilion.sources.tables import read_with_row_id
 from pavilion.workload import ctes, inputs
 from pavilion.workload.ctes import with_tables
@@ -29,16 +30,82 @@ query("dim_weather", _all("dim_weather"))(lambda src: src.dim_weather)
 query("dim_player_src", _all("dim_player_src"))(lambda src: marts.dim_player_source(src.balls))
 
 
+query("dim_venue", _all("dim_venue"))(lambda src: marts.dim_venue(src.matches))
+
+
 @query(
-    "dim_venue",
+    "ball_tests",
     with_tables(
-        """select distinct md5(venue || '-' || coalesce(city, '_dbt_utils_surrogate_key_null_')) as venue_id,
-        venue as venue_name, city from matches where venue is not null""",
-        "matches",
+        """select 'matches' as table_name, 'match_id' as column_name, 'not_null' as check_name, 0 as violations
+        union all select 'matches', 'match_id', 'unique', count(*) from (select 1 from matches group by match_id having count(*) > 1)
+        union all select 'dim_player_source', 'player_id', 'unique', count(*) from (select 1 from dim_player_src group by player_id having count(*) > 1)
+        union all select 'dim_venue', 'venue_id', 'unique', count(*) from (select 1 from dim_venue group by venue_id having count(*) > 1)
+        union all select 'dim_weather', 'weather_id', 'unique', count(*) from (select 1 from dim_weather group by weather_id having count(*) > 1)
+        union all select 'fact_ball_by_ball', c, 'not_null', 0 from (values ('match_id'), ('batter_id'), ('bowler_id')) t(c)
+        union all select 'fact_ball_by_ball', 'match_id', 'references', count(*) from balls anti join matches using (match_id)
+        union all select 'fact_ball_by_ball', c, 'references', 0 from (values ('batter_id'), ('bowler_id')) t(c)""",
+        "dim_player_src",
+        "dim_venue",
+        "dim_weather",
     ),
 )
-def dim_venue(src):
-    return marts.dim_venue(src.matches)
+def ball_tests(src):
+    built = {
+        "matches": src.matches,
+        "dim_player_source": marts.dim_player_source(src.balls),
+        "dim_venue": marts.dim_venue(src.matches),
+        "dim_weather": src.dim_weather,
+        "fact_ball_by_ball": src.fact_ball,
+    }
+    return quality.run_tests(built, contracts.ball_tests())
+
+
+@query(
+    "weather_orphans",
+    with_tables(
+        """select count(*) as n_balls from fact_ball where weather_id not in (select weather_id from dim_weather)
+          and match_id in (select match_id from stg_weather)""",
+        "fact_ball",
+        "dim_weather",
+    ),
+)
+def weather_orphans(src):
+    """Balls of matches with weather whose weather key the dimension lacks."""
+    known = src.fact_ball.join(src.stg_weather, "match_id", "left_semi")
+    return quality.orphans(known, "weather_id", src.dim_weather, "weather_id").agg(F.count(F.lit(1)).alias("n_balls"))
+
+
+_SECOND = """select c_name || ' ' as "Player", case when c_custkey % 5 = 0 then null else n_name end as "Country",
+      case when c_custkey % 7 = 0 then null else 1980 + c_custkey % 20 end as "Start", 1999 + c_custkey % 20 as "End",
+      c_custkey % 300 as "Matches", (c_custkey % 400) || '.0' as "Innings",
+      case when c_custkey % 11 = 0 then null else c_custkey * 3 || '.0' end as "Runs",
+      (c_custkey % 150) || '.0' as "HighScore", c_custkey % 2 = 0 as "HighScoreNotOut",
+      case when c_custkey % 13 = 0 then 'inf' else (c_custkey % 60) || '.25' end as "Average"
+    from customer join nation on c_nationkey = n_nationkey"""
+
+
+@query(
+    "conform_second_spelling",
+    f"""select lower(trim("Player")) as player, "Country" as country_tag, "Start"::bigint as career_start_year,
+      "End"::bigint as career_end_year, "Matches"::bigint as matches, {ctes.as_int('"Innings"')} as innings,
+      {ctes.as_int('"Runs"')} as runs, {ctes.as_int('"HighScore"')} as high_score, "HighScoreNotOut" as high_score_not_out,
+      {ctes.as_double('"Average"')} as average
+    from ({_SECOND}) where "Runs" is not null""",
+)
+def conform_second_spelling(src):
+    """Rows under the headers of the sample files, with country and years in columns of their own."""
+    key = "c_custkey"
+    raw = src["customer"].join(src["nation"], F.expr("c_nationkey = n_nationkey")).selectExpr(
+        "concat(c_name, ' ') as Player", f"if({key} % 5 = 0, null, n_name) as Country",
+        f"if({key} % 7 = 0, null, 1980 + {key} % 20) as Start", f"1999 + {key} % 20 as End", f"{key} % 300 as Matches",
+        f"concat({key} % 400, '.0') as Innings", f"if({key} % 11 = 0, null, concat({key} * 3, '.0')) as Runs",
+        f"concat({key} % 150, '.0') as HighScore", f"{key} % 2 = 0 as HighScoreNotOut",
+        f"if({key} % 13 = 0, 'inf', concat({key} % 60, '.25')) as Average",
+    )
+    return conform.conform_batting(raw, with_high_score=True).select(
+        "player", "country_tag", "career_start_year", "career_end_year", "matches", "innings", "runs",
+        "high_score", "high_score_not_out", "average",
+    )
 
 
 @query("full_outer_nullsafe", with_tables("select * from careers", "careers"))
@@ -151,7 +218,12 @@ def players_page(src):
     ),
 )
 def mart_counts(src):
-    return serving.mart_counts(src.dim_player, RANKED)
+    return serving.mart_counts(
+        {
+            "mart_top_batsmen": marts.mart_top_batsmen(src.dim_player, RANKED),
+            "mart_top_bowlers": marts.mart_top_bowlers(src.dim_player, RANKED),
+        }
+    )
 
 
 def _context_sql(where: str = "true") -> str:
@@ -206,13 +278,14 @@ def skew_sides(src):
 @query("salted_join", with_tables(_SKEWED, "skewed"))
 def salted_join(src):
     left, right = skew_sides(src)
-    return joins.salted_join(left, right, "k", salt_by=["row_id"]).drop("row_id")
+    return joins.salted_join(left, right, "k", salt_by=["row_id"], hint="merge").drop("row_id")
 
 
 @query("hot_key_join", with_tables(_SKEWED, "skewed"))
 def hot_key_join(src):
     left, right = skew_sides(src)
-    joined = joins.hot_key_join(left, right, "k", rows_per_task=5000, salt_by=["row_id"])
+    left = materialize(left, "left")  # read for the counts and for the join
+    joined = joins.hot_key_join(left, right, "k", rows_per_task=5000, salt_by=["row_id"], hint="merge")
     return joined.drop("row_id")
 
 
@@ -229,7 +302,27 @@ _WIDE = ", ".join(f"w.{c} as bowl_{c}" for c in ctes.SILVER_BOWLING)
     ),
 )
 def player_stats_wide(src):
-    return marts.player_stats_wide(src.silver_batting, src.silver_bowling)
+    return marts.player_stats_wide(materialize(src.silver_batting, "batting"), src.silver_bowling)
+
+
+@query(
+    "player_stats_by_day",
+    with_tables(
+        f"""select b.*, '2024-06-1' || d as ingestion_date, {_WIDE} from silver_batting b
+        cross join (values (5), (6), (7)) t(d)
+        left join silver_bowling w on {ctes.clean_name('b.player')} = {ctes.clean_name('w.player')}""",
+        "silver_batting",
+        "silver_bowling",
+    ),
+)
+def player_stats_by_day(src):
+    """Three ingestion dates: a batting row meets the bowling row of its own date only."""
+
+    def daily(df, name):
+        days = F.explode(F.array(*[F.lit(f"2024-06-1{d}") for d in (5, 6, 7)])).alias("ingestion_date")
+        return materialize(df.select("*", days), name)
+
+    return marts.player_stats_wide(daily(src.silver_batting, "batting"), daily(src.silver_bowling, "bowling"), by="ingestion_date")
 
 
 @query(
@@ -270,7 +363,28 @@ def dedupe_max(src):
     return _with_day(dedupe.dedupe_max(_items(src), ["k"], "l_quantity"))
 
 
-@query("refit_weights")
+_FEATURES = ["runs", "average", "strike_rate", "fours", "sixes", "hundreds", "fifties"]
+
+
+def _refit_sql() -> str:
+    number = {f: f"(case when abs({f}::double) < 'inf'::double then {f}::double else 0 end)" for f in _FEATURES}
+    return " union all ".join(
+        f"select '{a}' as feature, '{b}' as other, round(corr({number[a]}, {number[b]}), 6) as correlation, true as solved from stg_batting"
+        for a in _FEATURES for b in _FEATURES
+    )
+
+
+@query("refit_weights", with_tables(_refit_sql(), "stg_batting"))
 def refit_weights(src):
-    features = ["runs", "average", "strike_rate", "fours", "sixes", "hundreds", "fifties"]
-    return refit.refit_weights(src.stg_batting, features, positive="runs")
+    """The correlations, and whether the weights solve the eigenvector equation in each feature's row."""
+    batting = materialize(src.stg_batting, "batting")
+    weights = {r["feature"]: r["weight"] for r in refit.refit_weights(batting, _FEATURES, positive="runs").collect()}
+    numbers = batting.select(*[refit.finite_or_zero(F.col(f)).alias(f) for f in _FEATURES])
+    row = numbers.agg(*[F.corr(a, b).alias(f"{a}__{b}") for a in _FEATURES for b in _FEATURES]).first()
+    image = {a: sum(row[f"{a}__{b}"] * weights[b] for b in _FEATURES) for a in _FEATURES}
+    largest = sum(image[a] * weights[a] for a in _FEATURES)
+    rows = [
+        (a, b, round(row[f"{a}__{b}"], 6), abs(image[a] - largest * weights[a]) < 1e-6)
+        for a in _FEATURES for b in _FEATURES
+    ]
+    return src.spark.createDataFrame(rows, "feature string, other string, correlation double, solved boolean")

@@ -101,6 +101,17 @@ def safe_int(src):
     return rows.select("l_orderkey", "l_linenumber", F.col("t").alias("raw"), value)
 
 
+@query(
+    "exact_int",
+    "select o_orderkey, '900719925474' || lpad((o_orderkey % 10000)::varchar, 4, '0') as raw, "
+    "('900719925474' || lpad((o_orderkey % 10000)::varchar, 4, '0'))::bigint as value from orders",
+)
+def exact_int(src):
+    """Integers that a double cannot hold."""
+    raw = F.expr("concat('900719925474', lpad(o_orderkey % 10000, 4, '0'))")
+    return src["orders"].select("o_orderkey", raw.alias("raw"), numbers.safe_int(raw).alias("value"))
+
+
 @query(
     "safe_double",
     f"""select l_orderkey, l_linenumber, t as raw, {ctes.as_double('t')} as value

@@ -90,8 +90,8 @@ def test_chains_of_near_duplicates(spark):
     base = prose(1, 100, 5000)
     rows = [(50 - i, " ".join([f"c{j}" if j < 4 * i else w for j, w in enumerate(base)])) for i in range(12)]
     rows += [(100 + i, " ".join([*base[:i], f"v{i}", *base[i + 1 :]])) for i in range(0, 100, 3)] + [(100, rows[3][1])]
-    for rounds in (0, 2):
-        found = neardup.near_duplicates(frame(spark, rows), shingle_words=2, bands=60, rows=5, hub_rounds=rounds, **SMALL)
+    for size in (4096, 8 << 20):  # several blocks for a family, and one for all
+        found = neardup.near_duplicates(frame(spark, rows), shingle_words=2, bands=60, rows=5, block_bytes=size, **SMALL)
         assert sorted_rows(found, "doc_id", "n_shingles", "component_id", "kept") == in_order(brute.near_duplicates(rows, 2))
 
 

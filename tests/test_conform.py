@@ -13,9 +13,8 @@ from pavilion.plans import conform, staging
 from pavilion.schemas import BRONZE_BOWLING, SILVER_BATTING, SILVER_BOWLING
 
 MIXED = {
-    "Player": "test player (test)", "Span": "2000-2020", "Mat": 100, "Inns": 90, "NO": 5,
-    "Runs": 4500, "HS": "150*", "Ave": 50.0, "BF": 5000, "SR": 90.0, "100": 10, "50": 25, "0": 3,
-    "4s": "400+", "6s": "80",
+    "Player": "Ruta Vale (ZED)", "Span": "1931-1947", "Mat": 61, "Inns": 77, "NO": 12, "Runs": 3107, "HS": "206*",
+    "Ave": 47.75, "BF": 6893, "SR": 45.07, "100": 8, "50": 11, "0": 6, "4s": "271+", "6s": "19",
 }
 
 
@@ -31,9 +30,9 @@ def explicit_spelling(spark):
         "BallsFaced string, StrikeRate string, Hundreds string, Fifties string, Ducks string"
     )
     rows = [
-        ("A One ", "Asia/ICC", 1989, 2012, 463, "452.0", "41.0", "18426.0", "200.0", True, "44.83", "21367.0", "86.23", "49.0", "96.0", "20.0"),
-        ("B Two", "IND", 1990, 1991, 3, None, None, None, None, False, None, None, None, None, None, None),
-        ("C Three", "AUS", 2000, 2001, 5, "2.0", "2.0", "30.0", "30.0", True, "inf", "20.0", "150.0", "0.0", "0.0", "0.0"),
+        ("Ilse Moor ", "North/NX", 1961, 1974, 88, "131.0", "17.0", "5204.0", "177.0", True, "45.64", "9911.0", "52.5", "12.0", "31.0", "7.0"),
+        ("Jory Pell", "SX", 1970, 1972, 4, None, None, None, None, False, None, None, None, None, None, None),
+        ("Kit Rowe", "EX", 1983, 1985, 6, "3.0", "3.0", "41.0", "41.0", True, "inf", "55.0", "74.5", "0.0", "0.0", "0.0"),
     ]
     return spark.createDataFrame(rows, header)
 
@@ -43,23 +42,23 @@ def test_marks_numbers_and_schema(spark):
     assert out.schema.simpleString() == SILVER_BATTING.simpleString()
     row = out.first().asDict()
     expected = {
-        "player": "test player", "country_tag": "test", "career_start_year": 2000, "high_score": 150,
-        "high_score_not_out": True, "fours": 400, "fours_is_lower_bound": True, "sixes": 80,
-        "sixes_is_lower_bound": False, "average": 50.0, "runs": 4500, "hundreds": 10, "ducks": 3,
+        "player": "ruta vale", "country_tag": "zed", "career_start_year": 1931, "high_score": 206,
+        "high_score_not_out": True, "fours": 271, "fours_is_lower_bound": True, "sixes": 19,
+        "sixes_is_lower_bound": False, "average": 47.75, "runs": 3107, "hundreds": 8, "ducks": 6,
     }
     assert {k: row[k] for k in expected} == expected
 
 
 def test_explicit_spelling(spark):
     rows = {r["player"]: r for r in conform.conform_batting(explicit_spelling(spark)).collect()}
-    assert set(rows) == {"a one", "c three"}  # the row without runs is dropped
-    first = rows["a one"]
-    assert (first["country_tag"], first["innings"], first["runs"]) == ("Asia/ICC", 452, 18426)
-    assert (first["career_start_year"], first["career_end_year"]) == (1989, 2012)
+    assert set(rows) == {"ilse moor", "kit rowe"}  # the row without runs is dropped
+    first = rows["ilse moor"]
+    assert (first["country_tag"], first["innings"], first["runs"]) == ("North/NX", 131, 5204)
+    assert (first["career_start_year"], first["career_end_year"]) == (1961, 1974)
     assert first["high_score"] is None and first["high_score_not_out"] is False
-    assert rows["c three"]["average"] == float("inf")
+    assert rows["kit rowe"]["average"] == float("inf")
     wide = conform.conform_batting(explicit_spelling(spark), with_high_score=True)
-    assert {(r["high_score"], r["high_score_not_out"]) for r in wide.collect()} == {(200, True), (30, True)}
+    assert {(r["high_score"], r["high_score_not_out"]) for r in wide.collect()} == {(177, True), (41, True)}
 
 
 def test_natural_key_is_unique_and_repeatable(spark):
@@ -78,15 +77,15 @@ def test_null_start_years_are_one_key(spark):
 
 def test_bowling(spark):
     rows = [
-        ("M One (Asia/SL)", "1993-2011", "350", "341", "18811", "12326", "534", "Jul-30", "23.08", "3.93", "35.2", "15", "10"),
-        ("N Two (IND)", "2000-2001", "2", "-", "-", "-", "-", "-", "-", "-", "-", "-", "-"),
-        ("O Three (IND)", "2000-2001", "2", "1", "6", "8", "0", "0/8", "-", "8.0", "-", "0", "0"),
+        ("Wim Ash (East/QP)", "1952-1966", "74", "139", "15020", "6105", "288", "6-41", "21.2", "2.44", "52.1", "13", "9"),
+        ("Xan Bly (QP)", "1958-1959", "3", "-", "-", "-", "-", "-", "-", "-", "-", "-", "-"),
+        ("Yva Cole (QP)", "1958-1959", "3", "2", "30", "25", "0", "0/25", "-", "5.0", "-", "0", "0"),
     ]
     out = conform.conform_bowling(spark.createDataFrame(rows, BRONZE_BOWLING))
     assert out.schema.simpleString() == SILVER_BOWLING.simpleString()
     (row,) = out.collect()
-    assert (row["player"], row["country_tag"], row["wickets"]) == ("m one", "asia/sl", 534)
-    assert (row["best_bowling_innings"], row["four_wicket_hauls"]) == ("Jul-30", 15)
+    assert (row["player"], row["country_tag"], row["wickets"]) == ("wim ash", "east/qp", 288)
+    assert (row["best_bowling_innings"], row["four_wicket_hauls"]) == ("6-41", 13)
 
 
 def test_bowling_without_span_keeps_the_schema(spark):
@@ -100,7 +99,7 @@ def test_rows_without_a_player_are_dropped_by_the_scan(spark, tmp_path):
     frame(spark, MIXED, {**MIXED, "Player": None}).write.parquet(path)
     out = conform.conform_batting(spark.read.parquet(path))
     assert out.count() == 1
-    assert "PushedFilters: [IsNotNull(Player)]" in out._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(Player)" in out._jdf.queryExecution().executedPlan().toString()
 
 
 def test_column_helpers(spark):
@@ -139,3 +138,11 @@ def test_a_hot_key_is_cut_before_the_shuffle(spark):
     assert deduped.where("k = 0").first()["v"] == 999
     plan = deduped._jdf.queryExecution().executedPlan().toString()
     assert plan.index("Final") < plan.index("Exchange hashpartitioning") < plan.index("Partial")
+
+
+def test_integers_are_exact(spark):
+    big = 9_007_199_254_740_993
+    rows = [{**MIXED, "Player": "A", "Runs": str(big)}, {**MIXED, "Player": "B", "Runs": f" {big} "}, {**MIXED, "Player": "C", "Runs": "12.0"}]
+    assert {r["player"]: r["runs"] for r in conform.conform_batting(frame(spark, *rows)).collect()} == {"a": big, "b": big, "c": 12}
+    (row,) = conform.conform_batting(frame(spark, {**MIXED, "Runs": big})).collect()
+    assert row["runs"] == big

@@ -3,16 +3,19 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 import os
 
 import pytest
 from pyspark.sql import functions as F
 
 from pavilion.config import GateRule, MartRule, RoleRule
-from pavilion.operators.quality import QualityGateFailure
+from pavilion.operators.quality import QualityGateFailure, TableTest
 from pavilion.operators.reshape import distinct_values, unpivot_metrics
 from pavilion.plans import daily, marts, refit, serving, staging
 from pavilion.plans.contracts import batting_contract, bowling_contract
+from pavilion.schemas import MATCH_DOCUMENT, WEATHER_DOCUMENT
+from pavilion.session import materialize, shared_folder
 from pavilion.sources import tables
 
 DAY = dt.date(2024, 6, 15)
@@ -40,84 +43,133 @@ def layers(spark, tmp_path):
     return layers
 
 
+def documents(spark):
+    """Three sound match documents and a broken one, with weather for two of them."""
+    deliveries = [{"batter": "ann", "bowler": "ben", "runs": {"batter": 4, "extras": 0, "total": 4}},
+                  {"batter": "ann", "bowler": "ben", "runs": {"batter": 0, "extras": 0, "total": 0},
+                   "wickets": [{"kind": "run out", "player_out": "cal"}]}]
+    texts = []
+    for key, venue in (("1", "V"), ("2", "V"), ("3", None)):
+        doc = {"info": {"dates": ["2024-06-15"], "venue": venue, "city": "Ulm", "teams": ["X", "Y"], "match_type": "T20"},
+               "innings": [{"team": "X", "overs": [{"over": 0, "deliveries": deliveries}]}]}
+        texts.append((key, json.dumps(doc)))
+    texts.append(("4", texts[0][1][:40]))
+    docs = tables.parsed_documents(spark.createDataFrame(texts, "match_id string, t string"), "t", MATCH_DOCUMENT, F.col("match_id"))
+    days = [("1", 32.0, -0.0, 1.0), ("2", 32.0, 0.0, 2.0), ("9", 20.0, 9.0, 0.0)]
+    daily_values = [(k, {"time": ["d"], "temperature_2m_max": [t], "precipitation_sum": [p], "rain_sum": [r]}) for k, t, p, r in days]
+    weather = spark.createDataFrame([(k, json.dumps({"match_id": k, "daily": d})) for k, d in daily_values], "k string, t string")
+    return docs, tables.parsed_documents(weather, "t", WEATHER_DOCUMENT)
+
+
+def gold(spark, layers, name):
+    return spark.read.parquet(f"{layers.gold}/{name}")
+
+
 def test_daily_run(spark, layers):
+    docs, weather = documents(spark)
     for _ in range(2):  # a second run of the same day changes nothing
-        audits = daily.run_daily(spark, layers, DAY, contracts(10))
-    assert [(a.table, a.rows_in, a.rows_out) for a in audits] == [("batting", 40, 40), ("bowling", 20, 19)]
-    dim = spark.read.parquet(f"{layers.gold}/dim_player")
+        audits = daily.run_daily(spark, layers, DAY, contracts=contracts(10), documents=docs, weather=weather)
+    assert [(a.table, a.rows_in, a.rows_out, a.quarantined) for a in audits] == [
+        ("batting", 40, 40, 0), ("bowling", 20, 19, 0), ("matches", 4, 3, 1), ("weather", 3, 3, 0),
+    ]
+    dim = gold(spark, layers, "dim_player")
     assert dim.count() == dim.select("player").distinct().count() == 40
     assert {r["player_role"] for r in dim.select("player_role").collect()} == {"batsman", "all_rounder"}
-    mart = spark.read.parquet(f"{layers.gold}/mart_top_batsmen")
+    mart = gold(spark, layers, "mart_top_batsmen")
     assert sorted(r["rank"] for r in mart.collect()) == list(range(1, mart.count() + 1))
     best = serving.rankings_batsmen(mart, 3).collect()
     assert [r["player"] for r in best] == ["player 39", "player 38", "player 37"]
-    bowlers = spark.read.parquet(f"{layers.gold}/mart_top_bowlers")
+    bowlers = gold(spark, layers, "mart_top_bowlers")
     assert serving.rankings_bowlers(bowlers, 1).first()["primary_metric"] == 152
-    wide = spark.read.parquet(f"{layers.gold}/player_stats")
+    wide = gold(spark, layers, "player_stats")
     assert wide.count() == 40 and wide.where("bowl_wickets is not null").count() == 19
+    broken = tables.read_partition(spark, f"{layers.rejects}/matches", DAY).collect()
+    assert [(r["match_id"], r["reasons"]) for r in broken] == [("4", ["document:json"])]
+    fact = gold(spark, layers, "fact_ball_by_ball")
+    assert fact.count() == 6 and fact.agg(F.sum("is_wicket")).first()[0] == 3
+    # Minus zero and zero are one reading, and rain tells readings apart.
+    readings = gold(spark, layers, "dim_weather")
+    assert readings.count() == readings.select("weather_id").distinct().count() == 3
+    known = fact.where("match_id <> '3'")
+    assert known.join(readings, "weather_id", "left_semi").count() == known.count() == 4
+    context = serving.player_context(fact, gold(spark, layers, "dim_player_source"), readings)
+    assert [tuple(r) for r in context.collect()] == [("ann", None, 2.0, 6)]
+    assert not [f for f in os.listdir(shared_folder(spark).removeprefix("file:")) if f.startswith("daily-")]
 
 
-def test_gate_halts_before_gold(spark, layers):
+def test_gate_halts_before_silver(spark, layers):
     with pytest.raises(QualityGateFailure, match="row_count"):
-        daily.run_daily(spark, layers, DAY, contracts(30))
-    assert not os.path.exists(layers.gold)
+        daily.run_daily(spark, layers, DAY, contracts=contracts(30))
+    assert not os.path.exists(layers.gold) and not os.path.exists(f"{layers.silver}/batting")
+
+
+def test_a_failed_test_leaves_the_tables_of_the_day_before(spark, layers, monkeypatch):
+    daily.run_daily(spark, layers, DAY, contracts=contracts(10))
+    before = {t: sorted(map(tuple, gold(spark, layers, t).collect()), key=str) for t in ("dim_player", "mart_top_batsmen", "player_stats")}
+    root = tables.table_path(layers.bronze, "batting")
+    more = tables.read_partition(spark, root, DAY).drop("ingestion_date").withColumn("Runs", F.lit("77"))
+    tables.write_partition(materialize(more, "bronze"), root, DAY)
+    strict = [TableTest("dim_player", "runs", "accepted_range", low=100)]
+    monkeypatch.setattr(daily, "model_tests", lambda: strict)
+    with pytest.raises(QualityGateFailure, match="dim_player.runs"):
+        daily.run_daily(spark, layers, DAY, contracts=contracts(10))
+    after = {t: sorted(map(tuple, gold(spark, layers, t).collect()), key=str) for t in before}
+    assert before == after
+    assert not [f for f in os.listdir(shared_folder(spark).removeprefix("file:")) if f.startswith("daily-")]
+
+
+def test_rejected_rows_are_published_as_quarantine(spark, layers):
+    root = tables.table_path(layers.bronze, "batting")
+    rows = materialize(tables.read_partition(spark, root, DAY).drop("ingestion_date"), "bronze")
+    bad = rows.limit(1).withColumns({"Player": F.lit("Too Many (IND)"), "Runs": F.lit("99999")})
+    tables.write_partition(rows.unionByName(bad), root, DAY)
+    audits = daily.run_daily(spark, layers, DAY, contracts=contracts(10))
+    assert (audits[0].rows_in, audits[0].rows_out, audits[0].quarantined) == (41, 40, 1)
+    (row,) = tables.read_partition(spark, f"{layers.rejects}/batting", DAY).collect()
+    assert (row["player"], row["reasons"]) == ("too many", ["runs:le"])
+    # The same day without the bad row empties the quarantine.
+    tables.write_partition(rows, root, DAY)
+    daily.run_daily(spark, layers, DAY, contracts=contracts(10))
+    assert tables.read_partition(spark, f"{layers.rejects}/batting", DAY).count() == 0
 
 
-def test_two_days_are_unioned(spark, layers):
+def test_days_meet_themselves_only(spark, layers):
+    days = [DAY + dt.timedelta(days=i) for i in range(3)]
     for name in ("batting", "bowling"):
         root = tables.table_path(layers.bronze, name)
-        day1 = tables.read_partition(spark, root, DAY).drop("ingestion_date")
-        tables.write_partition(day1, root, DAY + dt.timedelta(days=1))
-    for day in (DAY, DAY + dt.timedelta(days=1)):
-        daily.run_daily(spark, layers, day, contracts(10))
-    silver = daily.silver_tables(spark, layers)["batting"]
-    assert silver.count() == 80
-    assert spark.read.parquet(f"{layers.gold}/dim_player").count() == 40
+        day1 = materialize(tables.read_partition(spark, root, DAY).drop("ingestion_date"), "bronze")
+        for day in days[1:]:
+            tables.write_partition(day1, root, day)
+    for day in days:
+        daily.run_daily(spark, layers, day, contracts=contracts(10))
+    assert daily.silver_tables(spark, layers)["batting"].count() == 120
+    assert gold(spark, layers, "dim_player").count() == 40
+    assert gold(spark, layers, "player_stats").count() == 120
 
 
-def test_ball_by_ball(spark, tmp_path):
-    layers = daily.Layers(*(str(tmp_path / layer) for layer in ("bronze", "silver", "gold")))
-    silver = {
-        "matches": spark.createDataFrame(
-            [("1", "2024-06-15", "V", "Pune", "X", "Y", "T20"), ("2", "2024-06-16", None, None, "X", "Y", "T20")],
-            "match_id string, match_date string, venue string, city string, team1 string, team2 string, match_type string",
-        ),
-        "balls": spark.createDataFrame(
-            [("1", "X", 0, "a", "b", 4, 0, 4, None, None), ("1", "X", 0, "a", "b", 0, 0, 0, "run out", "c"),
-             ("2", "X", 1, "b", "a", 6, 0, 6, None, None), ("9", "X", 1, "a", "b", 1, 0, 1, None, None)],
-            "match_id string, batting_team string, over_num bigint, batter string, bowler string, runs_batter bigint, "
-            "runs_extras bigint, runs_total bigint, wicket_kind string, player_out string",
-        ),
-        "weather": spark.createDataFrame(
-            [("1", "2024-06-15", 32.0, 0.0, 0.0), ("2", "2024-06-16", 20.0, 9.0, 1.0), ("3", "d", 20.0, 9.0, 2.0)],
-            "match_id string, date string, temp_max_c double, precip_mm double, rain_mm double",
-        ),
-    }
-    for name, frame in silver.items():
-        tables.write_full_refresh(frame, f"{layers.silver}/{name}")
-    daily.balls_to_gold(spark, layers)
-    gold = {
-        n: spark.read.parquet(f"{layers.gold}/{n}")
-        for n in ("fact_ball_by_ball", "dim_player_source", "dim_venue", "dim_weather")
-    }
-    fact = gold["fact_ball_by_ball"]
-    assert fact.count() == 4 and fact.agg(F.sum("is_wicket")).first()[0] == 1
-    assert {r["player_name"] for r in gold["dim_player_source"].collect()} == {"a", "b", "c"}
-    assert gold["dim_venue"].count() == 1
-    # Rain differs within one weather key; the facts must not multiply.
-    assert gold["dim_weather"].count() == 3
-    context = serving.player_context(fact, gold["dim_player_source"], gold["dim_weather"])
-    assert sorted(map(tuple, context.collect())) == [("a", None, 2.0, 3), ("b", 6.0, None, 1)]
-    only = serving.player_context(fact, gold["dim_player_source"], gold["dim_weather"], "B")
+def test_ball_by_ball_without_partners(spark):
+    matches = spark.createDataFrame([("1", "2024-06-15", "V", "Pune"), ("2", "2024-06-16", None, None)], "match_id string, match_date string, venue string, city string")
+    weather = spark.createDataFrame([("1", 32.0, 0.0, 0.0), ("2", 20.0, 9.0, 1.0)], "match_id string, temp_max_c double, precip_mm double, rain_mm double")
+    balls = spark.createDataFrame(
+        [("1", "X", 0, "a", "b", 4, 0, 4, None, None), ("2", "X", 1, "b", "a", 6, 0, 6, None, None), ("9", "X", 1, "a", "b", 1, 0, 1, None, None)],
+        "match_id string, batting_team string, over_num bigint, batter string, bowler string, runs_batter bigint, "
+        "runs_extras bigint, runs_total bigint, wicket_kind string, player_out string",
+    )
+    fact = marts.fact_ball_by_ball(balls, matches, weather)
+    players, readings = marts.dim_player_source(balls), marts.dim_weather(weather)
+    assert marts.dim_venue(matches).count() == 1
+    context = serving.player_context(fact, players, readings)
+    assert sorted(map(tuple, context.collect())) == [("a", None, 4.0, 2), ("b", 6.0, None, 1)]
+    only = serving.player_context(fact, players, readings, "B")
     assert [r["player"] for r in only.collect()] == ["b"]
-    # A ball without match or weather still gets the keys of nulls.
+    # A ball without match or weather still gets keys, those of nulls.
     lost = fact.where("match_id = '9'").first()
-    assert lost["match_date"] is None and lost["venue_id"] == lost["weather_id"] is not None
+    assert lost["match_date"] is None and lost["venue_id"] and lost["weather_id"]
 
 
 def test_duplicate_match_rows_multiply_as_in_two_joins(spark):
     matches = spark.createDataFrame([("1", "d", "V", "C"), ("1", "e", "V", "C")], "match_id string, match_date string, venue string, city string")
-    weather = spark.createDataFrame([("1", 1.0, 2.0), ("1", 3.0, 4.0), ("5", 1.0, 1.0)], "match_id string, temp_max_c double, precip_mm double")
+    weather = spark.createDataFrame([("1", 1.0, 2.0, 0.0), ("1", 3.0, 4.0, 0.0), ("5", 1.0, 1.0, 0.0)], "match_id string, temp_max_c double, precip_mm double, rain_mm double")
     balls = spark.createDataFrame(
         [("1", "X", 0, "a", "b", 4, 0, 4, None, None), ("5", "X", 0, "a", "b", 4, 0, 4, None, None)],
         "match_id string, batting_team string, over_num bigint, batter string, bowler string, runs_batter bigint, "
@@ -136,7 +188,7 @@ def test_a_hot_match_is_split(spark, tmp_path):
         "1L as runs_total", "string(null) as wicket_kind", "string(null) as player_out",
     )
     matches = spark.range(5000).selectExpr("string(id) as match_id", "'d' as match_date", "'v' as venue", "'c' as city")
-    weather = matches.selectExpr("match_id", "1.0D as temp_max_c", "2.0D as precip_mm")
+    weather = matches.selectExpr("match_id", "1.0D as temp_max_c", "2.0D as precip_mm", "0.0D as rain_mm")
     settings = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
@@ -180,8 +232,9 @@ def test_dim_player_roles_and_fallbacks(spark):
     assert rows[("c", 2002)]["player_role"] == "bowler"
     assert rows[("c", 2002)]["pca_score"] == rows[("c", 2002)]["pca_bowling_score"]
     assert rows[("a", 1999)]["player_role"] == "batsman"
-    counts = serving.mart_counts(marts.dim_player(bat, bowl), MartRule())
-    assert sorted(map(tuple, counts.collect())) == [("mart_top_batsmen", 2), ("mart_top_bowlers", 2)]
+    dim = marts.dim_player(bat, bowl)
+    stored = {"mart_top_batsmen": marts.batsmen(dim, MartRule()), "mart_top_bowlers": marts.bowlers(dim, MartRule()), "none": dim.limit(0)}
+    assert sorted(map(tuple, serving.mart_counts(stored).collect())) == [("mart_top_batsmen", 2), ("mart_top_bowlers", 2), ("none", 0)]
     eager = marts.dim_player(bat, bowl, RoleRule(min_wickets=1, min_runs=1))
     assert eager.where("player_role = 'bowler'").count() == 2
 
@@ -215,3 +268,5 @@ def test_refit_finds_the_common_direction(spark):
     weights = {r["feature"]: r["weight"] for r in refit.refit_weights(df, ["a", "b", "c", "d"], "a").collect()}
     assert all(abs(abs(w) - 0.5) < 0.01 for w in weights.values())
     assert weights["a"] > 0 and weights["b"] > 0 > weights["c"]
+    undefined = {r["feature"]: r["undefined"] for r in refit.refit_weights(df, ["a", "b", "c", "d"], "a").collect()}
+    assert undefined == {"a": 0, "b": 0, "c": 0, "d": 1}

@@ -173,7 +173,7 @@ def test_transaction_contract(spark):
     assert all(v == 0 for (_, check), v in found.items() if check == "type")
     wrong = df.withColumn("amount", F.col("amount").cast("int"))
     report = quality.contract_report(wrong, contracts.transaction_contract())
-    assert {r["column_name"] for r in report.where("check_name = 'type' and violations = 4").collect()} == {"amount"}
+    assert {r["column_name"] for r in report.where("check_name = 'type' and violations = 1").collect()} == {"amount"}
 
 
 def test_quarantine_splits_the_input(spark):
@@ -185,3 +185,38 @@ def test_quarantine_splits_the_input(spark):
     reasons = sorted(",".join(r["reasons"]) for r in invalid.collect())
     assert reasons == ["player:not_null", "player:not_null,runs:not_null", "runs:not_null"]
     assert valid.unionByName(invalid.drop("reasons")).exceptAll(df).isEmpty()
+
+
+def test_an_empty_table_fails_its_gate_with_a_message(spark):
+    nothing = {"batting": batting(spark).limit(0), "bowling": batting(spark).limit(0)}
+    loose = {name: (contract, GateRule(0)) for name, (contract, _) in rules().items()}
+    with pytest.raises(QualityGateFailure, match="observed nothing") as failure:
+        quality.run_gate(nothing, loose)
+    assert "2 table(s)" in str(failure.value)
+
+
+def test_nan_is_no_value(spark):
+    df = spark.createDataFrame([(1.0, "a"), (float("nan"), None), (None, "b"), (float("inf"), "c")], "x double, y string")
+    assert {r["column_name"]: r["null_ratio"] for r in quality.null_ratios(df).collect()} == {"x": 0.5, "y": 0.25}
+
+
+def test_contract_of_missing_columns(spark):
+    contract = quality.Contract("t", (FieldRule("k", T.LongType(), required=True, unique=True), FieldRule("v", ge=0), FieldRule("w", T.StringType())))
+    for rows in (spark.range(3).select(F.col("id").cast("string").alias("w")), spark.range(0).select(F.col("id").alias("w"))):
+        found = {(r["column_name"], r["check_name"]): r["violations"] for r in quality.contract_report(rows, contract).collect()}
+        wrong = int(dict(rows.dtypes)["w"] != "string")
+        assert found == {("k", "type"): 1, ("w", "type"): wrong, ("v", "missing"): 1}
+    full = spark.createDataFrame([(1, 2, "a"), (1, -2, None)], "k bigint, v int, w string")
+    found = {(r["column_name"], r["check_name"]): r["violations"] for r in quality.contract_report(full, contract).collect()}
+    assert found == {("k", "not_null"): 0, ("v", "ge"): 1, ("k", "type"): 0, ("w", "type"): 0, ("k", "unique"): 1}
+    with pytest.raises(ValueError, match="no rules"):
+        quality.contract_report(full, quality.Contract("t", ()))
+
+
+def test_references_and_keys(spark):
+    facts = spark.createDataFrame([(1, "a"), (2, "a"), (3, None), (9, "b")], "k int, n string")
+    dims = spark.createDataFrame([(1,), (2,), (3,)], "id int")
+    tests = [TableTest("f", "k", "references", to=("d", "id")), TableTest("f", "n", "unique"), TableTest("f", "k", "unique")]
+    found = {(r["column_name"], r["check_name"]): r["violations"] for r in quality.run_tests({"f": facts, "d": dims}, tests).collect()}
+    assert found == {("k", "references"): 1, ("n", "unique"): 1, ("k", "unique"): 0}
+    assert [r["k"] for r in quality.orphans(facts, "k", dims, "id").collect()] == [9]

@@ -5,10 +5,10 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as entry
+from pavilion.workload import ORACLES, QUERIES
 from tests.compare import compare, connect
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -30,7 +30,20 @@ def test_entry(spark):
 
 
 # Read or write queries run jobs while they are built; their plans are covered by other tests.
-LAZY = [n for n in QUERIES if not n.startswith(("scan_", "write_", "read_", "mart_top", "test_report", "row_audit", "refit", "land_"))]
+LAZY = [n for n in QUERIES if not n.startswith(("scan_", "write_", "read_", "mart_", "test_report", "row_audit", "refit", "land_", "corrupt_", "loose_"))]
+
+
+@pytest.mark.parametrize("name", ["salted_join", "hot_key_join"])
+def test_skewed_joins_are_shuffled(spark, name):
+    """The queries show salting at work: their last join is no broadcast."""
+    df = QUERIES[name](spark, FOLDER)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "SortMergeJoin" in plan
+
+
+def test_entry_has_the_queries_of_the_library():
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", LAZY)

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import Window, functions as F
 
 from pavilion.operators import rank
+from pavilion.plans import serving
 
 
 def order():
@@ -52,9 +53,11 @@ def test_top_ranked(scores):
     rows = top.collect()
     assert [r["rank"] for r in rows] == list(range(1, 31))
     assert "TakeOrderedAndProject" in top._jdf.queryExecution().executedPlan().toString()
+    with pytest.raises(ValueError, match="limit"):
+        rank.top_ranked(scores, *order(), limit=0)
     for bad in (0, 201):
         with pytest.raises(ValueError, match="limit"):
-            rank.top_ranked(scores, *order(), limit=bad)
+            serving.rankings_batsmen(scores, bad)
 
 
 def test_pages_cover_the_frame(scores):
@@ -62,6 +65,22 @@ def test_pages_cover_the_frame(scores):
     pages = [rank.page(scores, [F.col("k")], 2000, o).collect() for o in (0, 2000, 4000, 6000)]
     assert [r["k"] for p in pages for r in p] == whole
     assert {r["total"] for p in pages for r in p} == {5000}
+    for limit, offset in ((0, 0), (5, -1)):
+        with pytest.raises(ValueError, match="limit"):
+            rank.page(scores, [F.col("k")], limit, offset)
+
+
+def test_walking_through_pages(spark):
+    rows = [(a, b) for a in ("x", "y", None) for b in (1, 2, 3, None)]
+    df = spark.createDataFrame(rows, "a string, b int")
+    seen, last = [], None
+    while True:
+        page = df.orderBy("a").where("a = 'x' and b = 1") if last is None else rank.page_after(df, ["a", "b"], last, 5)
+        found = [tuple(r) for r in page.collect()]
+        if not found:
+            break
+        seen, last = seen + found, found[-1]
+    assert seen == rows
 
 
 def test_newest(spark):

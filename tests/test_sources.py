@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import glob
 import json
+import os
 import zipfile
 
 import pytest
@@ -12,6 +13,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from pavilion import session
+from pavilion.operators import quality
 from pavilion.operators.reshape import flatten_balls, flatten_matches, flatten_weather
 from pavilion.schemas import BRONZE_BATTING, GEOCODE_DOCUMENT, MATCH_DOCUMENT, WEATHER_DOCUMENT
 from pavilion.sources import archives, enrich, html, tables
@@ -67,6 +69,38 @@ def test_partition_overwrite_is_idempotent(spark, tmp_path):
     assert "ReadSchema: struct<v:bigint>" in one.select("v")._jdf.queryExecution().executedPlan().toString()
 
 
+def test_an_empty_run_empties_its_date(spark, tmp_path):
+    root = str(tmp_path / "t")
+    for day in (DAY1, DAY2):
+        tables.write_partition(spark.range(10), root, day)
+    tables.write_partition(spark.range(0), root, DAY1)
+    schema = spark.range(0).schema
+    assert tables.read_partition(spark, root, DAY1, schema).count() == 0
+    assert tables.read_partition(spark, root, DAY2, schema).count() == 10
+
+
+def test_csv_columns_are_taken_by_name(spark, tmp_path):
+    (tmp_path / "one").mkdir()
+    (tmp_path / "one" / "a.csv").write_text("Runs,Extra,Player\n5,x,Ada\n")
+    row = tables.scan_csv(spark, str(tmp_path / "one"), BRONZE_BATTING).first()
+    assert (row["Player"], row["Runs"], row["Span"]) == ("Ada", "5", None)
+    assert tables.scan_csv(spark, str(tmp_path / "one"), BRONZE_BATTING).columns == BRONZE_BATTING.names
+    (tmp_path / "one" / "b.csv").write_text("Player,Extra,Runs\nBea,x,6\n")
+    with pytest.raises(Exception, match="CSV"):
+        tables.scan_csv(spark, str(tmp_path / "one"), BRONZE_BATTING).collect()
+
+
+def test_row_groups(spark, tmp_path):
+    import pyarrow.parquet as pq
+
+    sizes = {}
+    for size in (None, 64 << 10):
+        root = str(tmp_path / f"t{size}")
+        tables.write_partition(spark.range(200_000).coalesce(1).select(F.sha2(F.col("id").cast("string"), 256).alias("h")), root, DAY1, row_group_bytes=size)
+        sizes[size] = pq.ParquetFile(glob.glob(f"{root}/*/*.parquet")[0]).num_row_groups
+    assert sizes[None] < sizes[64 << 10]
+
+
 def test_codecs(spark, tmp_path):
     root = str(tmp_path / "t")
     tables.write_partition(spark.range(5), root, DAY1, compression="zstd", dictionary=False)
@@ -107,6 +141,12 @@ def test_audit_counts_in_the_same_job(spark, tmp_path):
 def test_shared_folder_follows_the_session(spark, monkeypatch):
     assert session.shared_folder(spark)
     assert session.new_folder(spark, "x") != session.new_folder(spark, "x")
+    folder = session.new_folder(spark, "x")
+    kept = session.materialize(spark.range(3), "t", folder)
+    assert kept.count() == 3 and os.path.exists(folder.removeprefix("file:"))
+    session.discard(spark, folder)
+    assert not os.path.exists(folder.removeprefix("file:"))
+    assert session.shuffle_partitions(100 << 40) == 204_800 and session.shuffle_partitions(1) == 200
 
 
 # --------------------------------------------------------------------- documents
@@ -153,6 +193,29 @@ def test_archives_are_split_by_entry(spark, tmp_path):
     assert flatten_balls(docs).count() == 2 * sum(i % 4 for i in range(40))
 
 
+def test_damaged_archives_are_noticed(spark, tmp_path):
+    folder = tmp_path / "with blank"
+    folder.mkdir()
+    with zipfile.ZipFile(folder / "a%20b.zip", "w", zipfile.ZIP_STORED) as archive:
+        archive.writestr("1.json", json.dumps(match(city="Aachen")))
+        archive.writestr("2.json", '{"info": {"city": "cut off')
+    docs = archives.scan_zip_json(spark, str(folder), MATCH_DOCUMENT)
+    sound, broken = quality.quarantine(docs, [quality.sound_document()])
+    assert [r["info"]["city"] for r in sound.collect()] == ["Aachen"]
+    assert [(r["match_id"], r["corrupt"]) for r in broken.collect()] == [("2", '{"info": {"city": "cut off')]
+    path = folder / "a%20b.zip"
+    path.write_bytes(path.read_bytes().replace(b"Aachen", b"Bachen"))
+    with pytest.raises(Exception, match="checksum"):
+        archives.scan_zip_json(spark, str(folder), MATCH_DOCUMENT).collect()
+
+
+def test_broken_documents_are_kept_apart(spark, tmp_path):
+    (tmp_path / "1.json").write_text(json.dumps(match(), indent=2))
+    (tmp_path / "2.json").write_text(json.dumps(match(), indent=2)[:80])
+    docs = tables.scan_json_docs(spark, f"{tmp_path}/*.json", MATCH_DOCUMENT)
+    assert {r["match_id"]: r["corrupt"] is None for r in docs.collect()} == {"1": True, "2": False}
+
+
 def test_archive_listing_does_not_read_contents(spark, tmp_path):
     with zipfile.ZipFile(tmp_path / "a.zip", "w") as archive:
         archive.writestr("1.json", "{}")
@@ -181,15 +244,14 @@ def test_weather_documents(spark, tmp_path):
 
 # -------------------------------------------------------------------------- html
 
-PAGE = """<html><body>
-  <table><tr><td>Ad Banner</td></tr></table>
-  <!-- <table><tr><th>Player</th><th>Runs</th></tr><tr><td>no</td><td>0</td></tr></table> -->
-  <script>var t = "<table><tr><th>Player Runs</th></tr></table>";</script>
-  <table><tr><td>Link 1</td><td>Link 2</td></tr></table>
-  <TABLE id="target"><thead><tr><th>Player</th><th class="x">Runs&nbsp;</th><th>Ave</th></tr></thead>
-    <tr><td><a href="/p">N Player</a> (IND)</td><td>10500<td> 50.5
-    <tr><td>O &amp; P</td><td></td><td>-</td></tr></TABLE>
-</body></html>"""
+PAGE = """<!doctype html><div class=menu><table class="m"><tr><td>Home<td>Scores<td>Log in</table></div>
+<!-- last year: <table><tr><th>Player</th><th>Runs</th></tr><tr><td>old</td><td>1</td></tr></table> -->
+<script>document.write("<table><tr><th>Player</th><th>Runs</th></tr></table>")</script>
+<table><caption>Weather</caption><tr><th>Day</th><th>Sky</th></tr><tr><td>Mon</td><td>grey</td></tr></table>
+<table border=0><thead><tr><td>No.</td><td><b>Player</b></td><td>Total&nbsp;Runs</td><td>Best</td></tr></thead>
+<tbody><tr><td>7<td><a href=x>Z&eacute;lie O&#8217;Ney</a> (QX)<td>1,204<td>88*</tr>
+<tr><td>9</td><td>Bo &amp; Co &lt;b&gt; &amp;eacute;</td><td></td><td>&#x2014;</td></tr>
+<tr><td colspan="2">did not bat</td><td>0</td><td>0</td></tr></table>"""
 
 
 def pages(spark, *htmls):
@@ -199,16 +261,39 @@ def pages(spark, *htmls):
 def test_table_is_found_by_its_columns(spark):
     found = html.find_table(pages(spark, PAGE), ["id"])
     assert tuple(found.select("status", "n_tables").first()) == ("ok", 3)
-    rows = html.rows_to_columns(html.table_rows(found, ["id"]), ["row_idx"], ["Player", "Runs", "Ave", "HS"])
+    rows = html.rows_to_columns(html.table_rows(found, ["id"]), ["row_idx"], ["No.", "Player", "Total Runs", "Best", "Born"])
     assert [tuple(r) for r in rows.orderBy("row_idx").collect()] == [
-        (0, "N Player (IND)", "10500", "50.5", None),
-        (1, "O & P", "", "-", None),
+        (0, "7", "Zélie O’Ney (QX)", "1,204", "88*", None),
+        (1, "9", "Bo & Co <b> &eacute;", "", "—", None),
+        (2, "did not bat", "did not bat", "0", "0", None),
     ]
 
 
+def test_character_references(spark):
+    texts = ["&Ouml;&ouml;&#65;&#x1F600;&#X41;", "&unknown; &#0; &#xD800; &#1114112; &", "a &amp;lt; b", "plain", None, "&euro;&frac12;&sup2;"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select(html.unescaped(F.col("t")))
+    assert [r[0] for r in df.collect()] == ["Ööa".replace("a", "A") + "\U0001f600A", "&unknown; &#0; &#xD800; &#1114112; &", "a &lt; b", "plain", None, "€½²"]
+
+
+@pytest.mark.parametrize(
+    ("table", "header", "n_rows"),
+    [
+        ("<tr><th>Player<th>Runs<tr><td>a<td>1", ["Player", "Runs"], 1),
+        ("<thead><tr><td>Player</td><td>Runs</td></tr><tr><td>x</td><td>y</td></tr></thead><tr><td>a</td><td>1</td></tr>", ["Player", "Runs"], 1),
+        ("<tr><td>Player</td><td>Runs</td></tr><tr><td>a</td><td>1</td></tr>", [], 2),
+        ("<tr><th>Player</th><td>a</td></tr><tr><th>Runs</th><td>1</td></tr>", [], 2),
+        ("<thead></thead><tr><th colspan=2>Player</th><th>Runs</th></tr>", ["Player", "Player", "Runs"], 0),
+    ],
+)
+def test_headers(spark, table, header, n_rows):
+    df = pages(spark, f"<table>{table}</table>").select(html.parsed_tables(F.col("html")).alias("t"))
+    (found,) = df.first()["t"]
+    assert found["header"] == header and len(found["rows"]) == n_rows
+
+
 def test_drift(spark):
-    drifted = "<table><tr><td>Athlete</td><td>Score</td></tr></table>"
-    frame = pages(spark, PAGE, drifted, "<p>nothing</p>", "", None, drifted * 3)
+    drifted = "<table><thead><tr><th>Rider</th><th>Points</th></tr></thead><tr><td>x</td><td>1</td></tr></table>"
+    frame = pages(spark, PAGE, drifted, "<p>no service today</p>", "", None, drifted * 3)
     status = {r["id"]: r["status"] for r in html.drift_status(frame, ["id"]).collect()}
     assert status == {
         0: "ok", 1: "signature_missing", 2: "no_tables", 3: "no_tables", 4: "no_tables", 5: "signature_missing",
@@ -232,7 +317,8 @@ def test_pages_until_the_first_empty_one(spark):
     )
     kept = html.paged_union(frame).groupBy("source", "page").count().collect()
     assert sorted(map(tuple, kept)) == [("a", 1, 2), ("b", 1, 1)]
-    with pytest.raises(RuntimeError, match="no rows scraped for sources"):
+    assert sorted(r["source"] for r in html.sources_without_rows(frame).collect()) == ["c", "d"]
+    with pytest.raises(RuntimeError, match="no rows scraped for 2 sources, 'c'"):
         html.require_rows(frame)
     html.require_rows(frame.where("source in ('a', 'b')"))
 
