@@ -222,6 +222,22 @@ def ranges(parts: pa.ChunkedArray, lists: np.ndarray, los: np.ndarray, counts: n
     return pa.table({"part": parts.combine_chunks(), "ranges": pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays(fields, fields=list(_RANGE)))})
 
 
+def window_runs(spans: pa.ListArray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Of each row of a list of (a, b) runs of windows: first windows, and last ones plus 1."""
+    offsets = spans.offsets.to_numpy()
+    first, last = (spans.values.field(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+    for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
+        yield first[a:b], last[a:b]
+
+
+def joined_runs(start: np.ndarray, stop: np.ndarray) -> tuple[list[int], list[int]]:
+    """The union of some ranges, as starts and stops of its maximal runs."""
+    order = np.argsort(start)
+    start, stop = start[order], np.maximum.accumulate(stop[order])
+    new = np.concatenate([[True], start[1:] > stop[:-1]])
+    return start[new].tolist(), stop[np.concatenate([new[1:], [True]])].tolist()
+
+
 def repeated_windows(docs: DataFrame, shape: Shape, index: Index, folder: str, filter_bits: int) -> DataFrame:
     """Pieces of ``docs`` (row, id, text) with windows that may repeat: row, id, start, n, copies, lo, parts.
 

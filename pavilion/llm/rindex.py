@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from pavilion.llm.repeats import Shape, ranges, repeated_windows
+from pavilion.llm.repeats import Shape, joined_runs, ranges, repeated_windows, window_runs
 from pavilion.session import discard, materialize, new_folder
 
 _U = np.uint64
@@ -34,8 +34,11 @@ def suffix_order(symbols: np.ndarray) -> np.ndarray:
         at = padded[j : j + n]
         key = (key << _U(9)) | np.where(live, at, _U(0))
         live &= at > 0
-    order = np.argsort(key, kind="stable")
+    order = np.argsort(key)
+    # Suffixes that end within the key are settled: equal ones sort by place.
     ended = ~live[order]
+    short = order[ended]
+    order[ended] = short[np.lexsort((short, key[short]))]
     new = np.concatenate([[True], (key[order][1:] != key[order][:-1]) | ended[1:] | ended[:-1]])
     while True:
         # A rank is the place of its group's first row, so finer ranks keep the coarser order.
@@ -50,7 +53,7 @@ def suffix_order(symbols: np.ndarray) -> np.ndarray:
         at = order[rows]
         after = rank[np.minimum(at + width, n - 1)]
         both = (rank[at].astype(_U) << _U(32)) | after.astype(_U)
-        by = np.argsort(both, kind="stable")
+        by = np.argsort(both)
         order[rows] = at[by]
         both = both[by]
         new[rows[1:]] |= (both[1:] != both[:-1]) & (rows[1:] == rows[:-1] + 1)
@@ -136,19 +139,15 @@ def _cutter(window: int, with_text: bool):
         for batch in batches:
             rows: list[tuple] = []
             texts = batch.column(1)
-            for i, cuts in enumerate(batch.column(2)):
+            for i, (first, last) in enumerate(window_runs(batch.column(2))):
                 text = bytes(texts[i].as_buffer()) if texts[i].is_valid else b""
-                kept, spans = text, []
-                if cuts.is_valid:
-                    ends = np.array([(r["a"], r["b"]) for r in cuts.as_py()], np.int64).reshape(-1, 2)
-                    hit = np.zeros(len(text) + 1, np.int64)
-                    np.add.at(hit, ends[:, 0], 1)
-                    np.add.at(hit, ends[:, 1] + window - 1, -1)
-                    covered = np.concatenate([[False], np.cumsum(hit)[:-1] > 0, [False]])
-                    starts, stops = np.flatnonzero(covered[1:] & ~covered[:-1]), np.flatnonzero(~covered[1:] & covered[:-1])
-                    spans = [{"start": int(a), "n_bytes": int(b - a)} for a, b in zip(starts, stops, strict=True)]
-                    kept = np.frombuffer(text, np.uint8)[~covered[1:-1]].tobytes()
-                rows.append((len(text), len(text) - len(kept), len(spans), hashlib.sha256(kept).hexdigest(), kept if with_text else None, spans))
+                kept, starts, stops = text, (), ()
+                if len(first):
+                    starts, stops = joined_runs(first, last + window - 1)
+                    gone = memoryview(text)
+                    kept = b"".join(gone[a:b] for a, b in zip([0, *stops], [*starts, len(text)], strict=True))
+                spans = [{"start": a, "n_bytes": b - a} for a, b in zip(starts, stops, strict=True)] if with_text else []
+                rows.append((len(text), len(text) - len(kept), len(starts), hashlib.sha256(kept).hexdigest(), kept if with_text else None, spans))
             columns = list(zip(*rows, strict=True)) if rows else [[]] * 6
             kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary(), pa.list_(pa.struct([("start", pa.int64()), ("n_bytes", pa.int64())]))]
             yield pa.RecordBatch.from_arrays(
@@ -172,8 +171,8 @@ def remove_repeated_bytes(
 
     Texts are UTF-8 bytes. A byte goes when a string of ``window`` bytes over it also starts in a
     document with a smaller id; strings are judged on the input and never cross documents.
-    ``spans`` lists the removed runs as first byte and length. ``kept_bytes`` (null unless
-    ``with_text``) need not be valid UTF-8, because a string may end inside a character.
+    ``spans`` lists the removed runs as first byte and length. ``kept_bytes`` (null, and ``spans`` empty,
+    unless ``with_text``) need not be valid UTF-8, because a string may end inside a character.
 
     A null text is empty. A row without an id is neither smaller nor larger than others: it
     loses nothing and is no source. Rows that repeat an id have no smaller id among them.

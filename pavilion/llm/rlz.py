@@ -12,14 +12,13 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from itertools import compress
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from pavilion.llm import textkeys as tk
-from pavilion.llm.repeats import Shape, ranges, repeated_windows
+from pavilion.llm.repeats import Shape, joined_runs, ranges, repeated_windows, window_runs
 from pavilion.session import discard, materialize, new_folder
 
 
@@ -52,19 +51,14 @@ def _cutter(window: int, with_text: bool):
         for batch in batches:
             out: dict[str, list] = {"n_words": [], "n_removed": [], "kept_sha256": [], "kept_text": [], "factors": []}
             texts = batch.column(1)
-            for i, spans in enumerate(batch.column(2)):
+            for i, (first, last) in enumerate(window_runs(batch.column(2))):
                 text = texts[i].as_buffer() if texts[i].is_valid else b""
                 found, factors = bytes(text).split(), []
                 kept = found
-                if spans.is_valid:
-                    ends = np.array([(r["a"], r["b"]) for r in spans.as_py()], np.int64).reshape(-1, 2)
-                    hit = np.zeros(len(found) + 1, np.int64)
-                    np.add.at(hit, ends[:, 0], 1)
-                    np.add.at(hit, ends[:, 1] + window - 1, -1)
-                    covered = np.concatenate([[False], np.cumsum(hit)[:-1] > 0, [False]])
-                    starts, stops = np.flatnonzero(covered[1:] & ~covered[:-1]), np.flatnonzero(~covered[1:] & covered[:-1])
-                    factors = [{"start": int(a), "n_words": int(b - a)} for a, b in zip(starts, stops, strict=True)]
-                    kept = list(compress(found, ~covered[1:-1]))
+                if len(first):
+                    starts, stops = joined_runs(first, last + window - 1)
+                    kept = [w for a, b in zip([0, *stops], [*starts, len(found)], strict=True) for w in found[a:b]]
+                    factors = [{"start": a, "n_words": b - a} for a, b in zip(starts, stops, strict=True)] if with_text else []
                 joined = b" ".join(kept)
                 out["n_words"].append(len(found))
                 out["n_removed"].append(len(found) - len(kept))
@@ -100,7 +94,7 @@ def remove_repeats(
     Words are ``[^\\x20\\x09-\\x0D]+``, unchanged. A word goes when a window of ``window``
     words over it occurs a second time anywhere, in another document or the same one; windows
     are judged on the input. ``factors`` lists the removed runs as first word and length.
-    ``kept_text`` joins the other words by one space (null unless ``with_text``).
+    ``kept_text`` joins the other words by one space (null, and ``factors`` empty, unless ``with_text``).
 
     A null or wordless text has no words and keeps the empty text. Rows repeated with id and
     text count as copies of each other, also those without an id. Other columns are not read.

@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text handled at once; a longer text makes a slice of its own.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 #: Most texts in a slice, so that a text's number fits into the spare bits of a key.
 SLICE_TEXTS = 1 << 12
 
@@ -110,7 +110,7 @@ class Keyer:
         """At least ``n`` powers of ``base``, and of its inverse, modulo 2**64."""
         have = self._tables.get(base)
         if have is None or len(have[0]) < n:
-            size, both = max(n, SLICE_BYTES + 1024), []
+            size, both = max(n, SLICE_BYTES + 8192), []
             for b in (base, pow(base, -1, 1 << 64)):
                 p = np.full(size, b, np.uint64)
                 p[0] = 1
