@@ -84,7 +84,7 @@ def _filter_bits(keys: DataFrame, bits: int) -> np.ndarray:
         F.bitmap_construct_agg(F.bitmap_bit_position(slot + 1)).alias("bits")
     )
     out = np.zeros(1 << (bits - 3), np.uint8)
-    for row in rows.toLocalIterator():
+    for row in rows.collect():  # the whole filter, whatever the input
         out[row["at"] << 12 : (row["at"] + 1) << 12] = np.frombuffer(row["bits"], np.uint8)
     return out
 

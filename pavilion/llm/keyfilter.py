@@ -75,7 +75,7 @@ def repeated_keys(df: DataFrame, keys_of: Callable[[Iterator[pa.RecordBatch]], I
     slices = dealt.groupBy("bucket").applyInArrow(_counter(n_bits, bits), "bucket bigint, bits binary")
     out = np.zeros(1 << (bits - 3), np.uint8)
     width = 1 << (bits - n_bits - 3)
-    for row in slices.toLocalIterator():
+    for row in slices.collect():  # the whole filter, whatever the input
         out[row["bucket"] * width : (row["bucket"] + 1) * width] = np.frombuffer(row["bits"], np.uint8)
     return df.sparkSession.sparkContext.broadcast(out)
 

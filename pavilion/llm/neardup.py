@@ -170,17 +170,16 @@ def _block_linker(percent: int):
     return link
 
 
-def _compared_in_blocks(rest: DataFrame, percent: int, block_bytes: int) -> DataFrame:
+def _compared_in_blocks(rest: DataFrame, percent: int, block_bytes: int, block_rows: int) -> DataFrame:
     """Links (a, b) between classes of one family and bucket but of different components.
 
     A family larger than a block is cut into chunks by class, and every two chunks make a block;
     small families share one.
     """
-    size = F.octet_length("shingles") + 8 * F.size("buckets")
-    chunks = F.ceil(F.sum(size) / block_bytes).cast("int").alias("chunks")
-    sizes = rest.groupBy("family").agg(chunks, F.sum(size).alias("bytes"))
-    total = sizes.where("chunks = 1").agg(F.sum("bytes")).first()[0] or 0
-    bins = total // block_bytes + 1
+    # A row's share of a block, by bytes or by rows, whichever is larger.
+    share = F.greatest((F.octet_length("shingles") + 8 * F.size("buckets")) / block_bytes, F.lit(1 / block_rows))
+    sizes = rest.groupBy("family").agg(F.ceil(F.sum(share)).cast("int").alias("chunks"), F.sum(share).alias("share"))
+    bins = int(sizes.where("chunks = 1").agg(F.sum("share")).first()[0] or 0) + 1
     place = F.when(F.col("chunks") == 1, F.pmod(F.xxhash64("family"), F.lit(bins))).otherwise(F.col("family"))
     dealt = rest.join(sizes.select("family", "chunks"), "family").withColumns(
         {"chunk": F.pmod(F.xxhash64("class"), F.col("chunks")).cast("int"), "place": place}
@@ -203,6 +202,7 @@ def near_duplicates(
     rows: int = 8,
     filter_bits: int = 27,
     block_bytes: int = 8 << 20,
+    block_rows: int = 4096,
 ) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept, and row, a key of (id, text).
 
@@ -211,7 +211,7 @@ def near_duplicates(
     linked when ``100 * intersection >= percent * union``; ``component_id`` is the least id
     reachable and ``kept`` marks the document that bears it. With 100 bands of 8 entries a
     pair at 80 percent meets in no band with a probability of 1e-8, a closer pair less.
-    ``block_bytes`` is the size of the blocks that are compared at once; it moves work, not results.
+    ``block_bytes`` and ``block_rows`` bound the blocks that are compared at once; they move work, not results.
 
     A null or wordless text has an empty set and is linked with nothing. A row without an id
     is linked with nothing, has no component and is kept. Rows that repeat an id and a text
@@ -259,7 +259,7 @@ def near_duplicates(
     families = families.select(F.col("node").alias("class"), F.col("component").alias("family"))
     rest = named.groupBy("class", "component", "n").agg(F.collect_list("bucket").alias("buckets"))
     rest = rest.join(families, "class").join(sets, "class")
-    more = materialize(_compared_in_blocks(materialize(rest, "rest", folder), percent, block_bytes), "more", folder)
+    more = materialize(_compared_in_blocks(materialize(rest, "rest", folder), percent, block_bytes, block_rows), "more", folder)
     if not more.isEmpty():
         labels = components(links.unionByName(more), folder).select(F.col("node").alias("class"), "component")
     rooted = classes.join(labels, "class", "left").withColumn("component", F.coalesce("component", "class"))

@@ -13,7 +13,8 @@ equal seeds, and neighbouring windows mostly share theirs, so seeds are few. The
 
 What a copy costs after step 2 is one short row, and a passage that a third of all documents
 share is one class. Nothing is gathered by a key whose rows are unbounded: blocks hold distinct
-texts of windows that really repeat. Filters only drop windows that surely occur once.
+texts of windows that repeat, and a seed with too many of them is split into single windows, which
+are spread by their own keys. Filters only drop windows that surely occur once.
 """
 
 from __future__ import annotations
@@ -238,7 +239,38 @@ def joined_runs(start: np.ndarray, stop: np.ndarray) -> tuple[list[int], list[in
     return start[new].tolist(), stop[np.concatenate([new[1:], [True]])].tolist()
 
 
-def repeated_windows(docs: DataFrame, shape: Shape, index: Index, folder: str, filter_bits: int) -> DataFrame:
+def _single_windows(shape: Shape):
+    """Every window of a part as a part of its own, under its own key."""
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keyer = tk.Keyer()
+        unit = 8 if shape.words else 1
+        for batch in batches:
+            for part in tk.slices(batch.column(4)):
+                values, bounds = shape.content(part)
+                keys = keyer.rolling(values, shape.window)
+                at = np.flatnonzero(tk.inside_one(bounds, shape.window, len(keys)))
+                text = np.searchsorted(bounds, at, "right") - 1
+                rows = pa.array(text + part.first)
+                key = pa.array(keys[at].view(np.int64))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        *(batch.column(i).take(rows) for i in range(3)),
+                        pa.array(batch.column(3).to_numpy()[text + part.first] + at - bounds[text]),
+                        key,
+                        key,
+                        _blobs(part.data, at * unit, (at + shape.window) * unit),
+                    ],
+                    ["class", "n", "lo", "offset", "seed", "part", "content"],
+                )
+
+    return split
+
+
+_PART = "class bigint, n bigint, lo bigint, offset bigint, seed bigint, part bigint, content binary"
+
+
+def repeated_windows(docs: DataFrame, shape: Shape, index: Index, folder: str, filter_bits: int, seed_rows: int) -> DataFrame:
     """Pieces of ``docs`` (row, id, text) with windows that may repeat: row, id, start, n, copies, lo, parts.
 
     ``start`` and ``n`` number the piece's windows in its text, ``copies`` and ``lo`` are the
@@ -254,12 +286,19 @@ def repeated_windows(docs: DataFrame, shape: Shape, index: Index, folder: str, f
     shared = repeated_keys(classes.select("content"), _class_seeds(shape), filter_bits)
     windows = repeated_keys(classes.select("content"), _class_windows(shape, shared), filter_bits)
     parts = classes.select("class", "content", "copies", "lo").mapInArrow(
-        _part_finder(shape, shared, windows), "class bigint, n bigint, lo bigint, offset bigint, seed bigint, part bigint, content binary"
+        _part_finder(shape, shared, windows), _PART
     )
     parts = materialize(parts, "parts", folder)
+    hot = parts.groupBy("seed").agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > seed_rows).select("seed")
+    hot = materialize(hot, "hot", folder)
+    if not hot.isEmpty():
+        # Parts of a very common seed are spread: each of their windows goes where its own key belongs.
+        common = parts.join(hot, "seed", "left_semi").select("class", "n", "lo", "offset", "content")
+        spread = common.mapInArrow(_single_windows(shape), _PART)
+        parts = materialize(parts.join(hot, "seed", "left_anti").select(*spread.columns).unionByName(spread), "spread", folder)
     texts = parts.groupBy("seed", "part", "content").agg(F.sum("n").alias("n"), F.min("lo").alias("lo"))
     texts = materialize(texts, "texts", folder)
-    # Blocks of about a megabyte; a seed's parts always share a block.
+    # Blocks of about a megabyte; a seed's parts, at most ``seed_rows`` of them, share a block.
     size = texts.agg(F.sum(F.octet_length("content"))).first()[0] or 0
     blocks = max(int(size) >> 20, 16)
     indexed = (

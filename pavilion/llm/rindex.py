@@ -165,6 +165,7 @@ def remove_repeated_bytes(
     window: int = 50,
     seed_bytes: int = 16,
     filter_bits: int = 27,
+    seed_rows: int = 50_000,
     with_text: bool = True,
 ) -> DataFrame:
     """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept_bytes, spans.
@@ -183,7 +184,7 @@ def remove_repeated_bytes(
     spark = docs.sparkSession
     folder = new_folder(spark, "rindex")
     docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).withColumn("row", F.xxhash64("id", "text"))
-    pieces = repeated_windows(docs.where("id is not null"), Shape(window, seed_bytes, words=False, within=False), least_documents(window), folder, filter_bits)
+    pieces = repeated_windows(docs.where("id is not null"), Shape(window, seed_bytes, words=False, within=False), least_documents(window), folder, filter_bits, seed_rows)
     start = F.col("start")
     whole = F.array(F.struct(start.alias("a"), (start + F.col("n")).alias("b")))
     held = F.filter("parts", lambda p: p["lo"] < F.col("id"))

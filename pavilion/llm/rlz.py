@@ -87,6 +87,7 @@ def remove_repeats(
     window: int = 35,
     seed_words: int = 8,
     filter_bits: int = 27,
+    seed_rows: int = 50_000,
     with_text: bool = True,
 ) -> DataFrame:
     """One row per document: doc_id, n_words, n_removed, kept_sha256, kept_text, factors.
@@ -105,7 +106,7 @@ def remove_repeats(
     folder = new_folder(spark, "rlz")
     docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     docs = docs.withColumn("row", F.xxhash64("id", "text"))
-    pieces = repeated_windows(docs, Shape(window, seed_words, words=True, within=True), window_index(window), folder, filter_bits)
+    pieces = repeated_windows(docs, Shape(window, seed_words, words=True, within=True), window_index(window), folder, filter_bits, seed_rows)
     whole = F.array(F.struct(F.col("start").alias("a"), (F.col("start") + F.col("n")).alias("b")))
     held = F.filter("parts", lambda p: p["n"] > 1)
     some = F.transform(held, lambda p: F.struct((F.col("start") + p["a"]).alias("a"), (F.col("start") + p["b"]).alias("b")))

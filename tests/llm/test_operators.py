@@ -32,6 +32,14 @@ def test_windows_of_words(docs, messy, empty):
     assert rlz.remove_repeats(empty, **SMALL).count() == 0
 
 
+@pytest.mark.parametrize("seed_rows", [0, 2])
+def test_common_seeds_are_spread(docs, messy, seed_rows):
+    words = rlz.remove_repeats(docs, window=12, seed_words=4, seed_rows=seed_rows, **SMALL)
+    assert sorted_rows(words, "doc_id", "n_words", "n_removed", "kept_sha256") == in_order(brute.repeated_words(messy, 12))
+    data = rindex.remove_repeated_bytes(docs, seed_rows=seed_rows, **SMALL)
+    assert sorted_rows(data, "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == in_order(brute.repeated_bytes(messy, 50))
+
+
 def test_windows_of_words_inside_one_document(spark):
     rows = [(1, "a b " * 40), (2, " ".join(prose(1, 30) * 2)), (3, " ".join(prose(2, 50))), (4, "x " * 11), (5, "x y " * 6)]
     found = rlz.remove_repeats(frame(spark, rows), window=12, seed_words=4, **SMALL)
