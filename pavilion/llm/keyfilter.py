@@ -1,16 +1,17 @@
 """Which keys occur twice or more in a corpus, as a bit filter of fixed size.
 
-Tasks deal their keys to buckets, packed into one binary row per bucket, four bytes a key, each
-key at most twice. A bucket's rows are counted together and answer with their own slice
-of the filter. The filter has ``2**bits`` bits whatever the input, so it can be sent to all
-tasks; a filter that fills up, or keys that agree in their upper bits only, let more keys
-through, which costs later stages work but never loses a key that repeats.
+A Bloom filter with three places a key. Tasks deal their keys to buckets, packed into one binary
+row per bucket, four bytes a key, each key at most twice. A bucket's rows are counted together and
+answer with their own slice of the filter. The filter has ``2**bits`` bits whatever the input, so it can
+be sent to all tasks; a filter that fills up, or keys that agree in their upper bits only, let
+more keys through, which costs later stages work but never loses a key that repeats.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +20,8 @@ from pyspark.sql import DataFrame
 
 _U = np.uint64
 _FLUSH = 1 << 20
+# Odd numbers; each gives a key one more place in the filter.
+_FACTORS = (1, 0x9E3779B1, 0x85EBCA77)
 
 
 def bucket_bits(df: DataFrame, bits: int) -> int:
@@ -54,13 +57,26 @@ def _dealer(keys_of: Callable[[Iterator[pa.RecordBatch]], Iterator[np.ndarray]],
     return deal
 
 
+class KeyFilter(NamedTuple):
+    """A Bloom filter in slices: the upper ``n_bits`` bits of a key choose the slice."""
+
+    bits: np.ndarray
+    n_bits: int
+
+
+def _slots(rest: np.ndarray, width: int) -> Iterator[np.ndarray]:
+    """A key's places in its slice of ``2**width`` bits, from the 32 bits below its bucket's."""
+    for factor in _FACTORS:
+        yield (rest * np.uint32(factor)) >> np.uint32(32 - width)
+
+
 def _counter(n_bits: int, bits: int):
     def count(rows: pa.Table) -> pa.Table:
         keys = np.sort(np.frombuffer(b"".join(x.as_buffer() for x in rows.column("keys")), np.uint32))
         twice = keys[1:][keys[1:] == keys[:-1]]
-        slot = twice >> np.uint32(32 - (bits - n_bits))
         out = np.zeros(1 << (bits - n_bits), bool)
-        out[slot] = True
+        for slot in _slots(twice, bits - n_bits):
+            out[slot] = True
         return pa.table({"bucket": rows.column("bucket")[:1], "bits": [np.packbits(out, bitorder="little").tobytes()]})
 
     return count
@@ -77,11 +93,16 @@ def repeated_keys(df: DataFrame, keys_of: Callable[[Iterator[pa.RecordBatch]], I
     width = 1 << (bits - n_bits - 3)
     for row in slices.collect():  # the whole filter, whatever the input
         out[row["bucket"] * width : (row["bucket"] + 1) * width] = np.frombuffer(row["bits"], np.uint8)
-    return df.sparkSession.sparkContext.broadcast(out)
+    return df.sparkSession.sparkContext.broadcast(KeyFilter(out, n_bits))
 
 
-def may_repeat(filter_bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+def may_repeat(found: KeyFilter, keys: np.ndarray) -> np.ndarray:
     """False for keys that surely occur once."""
-    bits = int(len(filter_bits)).bit_length() - 1 + 3
-    slot = keys >> _U(64 - bits)
-    return (filter_bits[slot >> _U(3)] >> (slot & _U(7)).astype(np.uint8)) & 1 == 1
+    width = int(len(found.bits)).bit_length() - 1 + 3 - found.n_bits
+    start = (keys >> _U(64 - found.n_bits)) << _U(width)
+    rest = ((keys << _U(found.n_bits)) >> _U(32)).astype(np.uint32)
+    held = np.ones(keys.shape, bool)
+    for slot in _slots(rest, width):
+        place = start + slot
+        held &= (found.bits[place >> _U(3)] >> (place & _U(7)).astype(np.uint8)) & 1 == 1
+    return held

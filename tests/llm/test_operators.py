@@ -323,3 +323,21 @@ def test_words_and_shingles():
     sets, bounds = textkeys.shingle_sets(keyer, part, 2)
     assert np.diff(bounds).tolist() == [2, 0, 0, 2, 2, 1, 2]
     assert textkeys.window_min(np.array([5, 3, 4, 1, 2], np.uint64), 3).tolist() == [3, 1, 1]
+
+
+def test_key_filter(spark):
+    """All repeated keys pass, few others do, and a key that comes twice in one task counts as one that comes in two."""
+    from pavilion.llm import keyfilter
+
+    keys = textkeys.mix(np.arange(40_000, dtype=np.uint64))
+    rows = np.concatenate([keys, keys[:2000], keys[:500], keys[:500]])
+    df = spark.createDataFrame([(int(k),) for k in rows.view(np.int64)], "k bigint").repartition(4)
+
+    def keys_of(batches):
+        for batch in batches:
+            yield batch.column(0).to_numpy().view(np.uint64)
+
+    found = keyfilter.repeated_keys(df, keys_of, 18).value
+    passed = keyfilter.may_repeat(found, keys)
+    assert passed[:2000].all() and passed[2000:].mean() < 0.01
+    assert not keyfilter.may_repeat(found, textkeys.mix(np.arange(50_000, 51_000, dtype=np.uint64))).mean() > 0.02
