@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from pavilion.llm import textkeys as tk
-from pavilion.session import materialize, new_folder
+from pavilion.session import discard, materialize, new_folder
 
 _U = np.uint64
 
@@ -168,7 +168,7 @@ def benchmark_hits(
         found = stored.join(n_hit.join(names, "row"), "row", "left").select(
             "id", "row", "n_words", F.coalesce("n_hit", F.lit(0)).alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items")
         )
-    return found.select(
+    result = found.select(
         F.col("id").alias("doc_id"),
         "row",
         "n_words",
@@ -178,3 +178,6 @@ def benchmark_hits(
         (F.col("n_hit") > 0).alias("contaminated"),
         "items",
     )
+    result = materialize(result, "result", new_folder(spark, "decontaminate-result"))
+    discard(spark, folder)
+    return result

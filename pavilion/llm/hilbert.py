@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pavilion.operators.rank import global_rank
-from pavilion.session import materialize, new_folder
+from pavilion.session import discard, materialize, new_folder
 
 
 def hilbert_index(axes: Sequence[np.ndarray], bits: int) -> np.ndarray:
@@ -79,6 +79,7 @@ def hilbert_shards(
     at = _place(bits)(*[cell(n, cuts) for n, cuts in zip(names, found[1:], strict=True)])
     placed = stored.withColumn("__curve", at)
     ranked = global_rank(placed, F.col("__curve"), *ties, name="__rank").withColumn("__rank", F.col("__rank") - 1)
+    discard(spark, folder)  # the ranked rows are written
     shard = F.expr(f"(__rank * {n_shards}) div {max(total, 1)}")
     first = F.expr(f"(shard * {total} + {n_shards - 1}) div {n_shards}")
     return (

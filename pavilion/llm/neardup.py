@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, functions as F
 from pavilion.llm import textkeys as tk
 from pavilion.llm.graph import components
 from pavilion.llm.keyfilter import may_repeat, repeated_keys
-from pavilion.session import materialize, new_folder
+from pavilion.session import discard, materialize, new_folder
 
 _U = np.uint64
 
@@ -267,10 +267,13 @@ def near_duplicates(
     named = materialize(rooted.join(roots, "component").select("class", "component_id"), "roots", folder)
     linked = signed.where("n > 0 and id is not null").select("id", "row", "n", "class").join(named, "class").select("id", "row", "n", "component_id")
     alone = signed.where("n = 0 or id is null").select("id", "row", "n", F.col("id").alias("component_id"))
-    return linked.unionByName(alone).select(
+    result = linked.unionByName(alone).select(
         F.col("id").alias("doc_id"),
         F.col("n").alias("n_shingles"),
         "component_id",
         F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)).alias("kept"),
         "row",
     )
+    result = materialize(result, "result", new_folder(spark, "neardup-result"))
+    discard(spark, folder)
+    return result
