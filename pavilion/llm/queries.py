@@ -62,8 +62,9 @@ def op9(spark, folder):
 
 OP4 = r"""
 with d as (select doc_id, hex(encode(coalesce(text, ''))) as h, strlen(coalesce(text, '')) as n from documents),
-p as (select doc_id, unnest(range(n - 49)) as i, h from d where n >= 50),
-k as (select doc_id, i, hash(substr(h, 2 * i + 1, 100)) as k1, md5_number_lower(substr(h, 2 * i + 1, 100)) as k2 from p),
+q as (select doc_id, b, n, substr(h, 2 * b + 1, 610) as h from (select doc_id, n, h, unnest(range(0, n - 49, 256)) as b from d where n >= 50)),
+p as (select doc_id, b + j as i, substr(h, 2 * j + 1, 100) as s from (select doc_id, b, h, unnest(range(least(256, n - 49 - b))) as j from q)),
+k as (select doc_id, i, hash(s) as k1, md5_number_lower(s) as k2 from p),
 f as (select k1, k2, min(doc_id) as lo from k group by k1, k2 having count(distinct doc_id) > 1),
 m as (select k.doc_id, k.i from k join f using (k1, k2) where k.doc_id > lo),
 b as (select doc_id, i, i > coalesce(max(i) over (partition by doc_id order by i rows between unbounded preceding and 1 preceding) + 50, -1) as fresh from m),
@@ -119,8 +120,9 @@ with d as (
   select doc_id, coalesce(text, '') as t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w,
     list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) as l
   from documents),
-g as (select doc_id, unnest(range(1, len(w) - 1)) as i, w from d where len(w) >= 3),
-k as (select doc_id, i from g qualify count(*) over (partition by doc_id, array_to_string(w[i:i + 2], ' ')) > 1),
+g as (select doc_id, unnest(range(1, len(w) - 1)) as i, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) as s
+  from d where len(w) >= 3),
+k as (select doc_id, i from g qualify count(*) over (partition by doc_id, s) > 1),
 r as (select doc_id, count(distinct i + j) as n from k, (select unnest(range(3)) as j) group by doc_id),
 m as (
   select d.doc_id, len(w)::bigint as n_words, length(array_to_string(w, ''))::bigint as word_chars,
