@@ -20,7 +20,7 @@ from pavilion.llm.warc import archive_round_trip
 __all__ = ["ORACLES", "QUERIES"]
 
 OP5 = r"""
-with d as (
+with d as materialized (
   select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w
   from documents),
 s as (
@@ -43,7 +43,7 @@ def op5(spark, folder):
 
 
 OP9 = r"""
-with d as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),
+with d as materialized (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),
 p as (select doc_id, unnest(range(1, len(w) - 33)) as i, w from d where len(w) >= 35),
 k as (select doc_id, i, md5(array_to_string(w[i:i + 34], ' ')) as k from p),
 h as (select doc_id, i from k qualify count(*) over (partition by k) > 1),
@@ -61,8 +61,8 @@ def op9(spark, folder):
 
 
 OP4 = r"""
-with d as (select doc_id, hex(encode(coalesce(text, ''))) as h, strlen(coalesce(text, '')) as n from documents),
-q as (select doc_id, b, n, substr(h, 2 * b + 1, 610) as h from (select doc_id, n, h, unnest(range(0, n - 49, 256)) as b from d where n >= 50)),
+with d as materialized (select doc_id, hex(encode(coalesce(text, ''))) as h, strlen(coalesce(text, '')) as n from documents),
+q as materialized (select doc_id, b, n, substr(h, 2 * b + 1, 610) as h from (select doc_id, n, h, unnest(range(0, n - 49, 256)) as b from d where n >= 50)),
 p as (select doc_id, b + j as i, substr(h, 2 * j + 1, 100) as s from (select doc_id, b, h, unnest(range(least(256, n - 49 - b))) as j from q)),
 k as (select doc_id, i, hash(s) as k1, md5_number_lower(s) as k2 from p),
 f as (select k1, k2, min(doc_id) as lo from k group by k1, k2 having count(distinct doc_id) > 1),
@@ -86,10 +86,10 @@ def op4(spark, folder):
 
 
 OP1 = r"""
-with d as (
+with d as materialized (
   select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
   from documents),
-b as (
+b as materialized (
   select item_id::varchar as item, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
   from benchmark),
 i as (
@@ -116,7 +116,7 @@ def op1(spark, folder):
 
 
 OP7 = r"""
-with d as (
+with d as materialized (
   select doc_id, coalesce(text, '') as t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w,
     list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) as l
   from documents),
@@ -160,7 +160,7 @@ def op6(spark, folder):
 
 OP10 = r"""
 with l as (select doc_id, generate_subscripts(ls, 1) as i, unnest(ls) as l from (select doc_id, string_split(coalesce(text, ''), chr(10)) as ls from documents)),
-w as (select doc_id, i, l, regexp_extract_all(l, '[^\x20\x09-\x0D]+') as w from l),
+w as materialized (select doc_id, i, l, regexp_extract_all(l, '[^\x20\x09-\x0D]+') as w from l),
 k as (select doc_id, i, w, array_to_string(w, ' ') as k, len(w) as n from w where len(w) > 0),
 f as (select k, any_value(w) as w, any_value(n) as n, min(struct_pack(d := doc_id, i := i)) as f from k group by k),
 v as (
