@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import math
 import tempfile
 import uuid
@@ -95,3 +96,13 @@ def discard(spark: SparkSession, *folders: str) -> None:
     for folder in folders:
         path = spark._jvm.org.apache.hadoop.fs.Path(folder)
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def release_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of frames that nothing refers to any more.
+
+    Spark's cleaner follows the driver's garbage collection, which may not come for a long time in a
+    job of many stages; meanwhile the executors' disks hold the files of every stage before.
+    """
+    gc.collect()
+    spark._jvm.System.gc()
