@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from pavilion.llm import textkeys as tk
 from pavilion.llm.keyfilter import may_repeat, repeated_keys
-from pavilion.session import materialize
+from pavilion.session import discard, materialize, release_shuffles
 
 _U = np.uint64
 
@@ -277,27 +277,38 @@ def repeated_windows(docs: DataFrame, shape: Shape, index: Index, folder: str, f
     count and least id of its class, and ``parts`` (null where there are none) lists the windows
     that classes share: runs of windows ``a`` to ``b - 1`` of the piece, their least id and count.
     """
+    spark = docs.sparkSession
     docs = docs.select("row", "id", "text")
     seeds = repeated_keys(docs.select("text"), _text_seeds(shape), filter_bits)
     pieces = docs.mapInArrow(_piece_finder(shape, seeds), "row bigint, id bigint, start bigint, n bigint, class bigint, content binary")
-    pieces = materialize(pieces, "pieces", folder)
+    # Tables with contents are deleted as soon as what follows needs only their keys.
+    pieces = materialize(pieces, "pieces", f"{folder}/pieces")
     classes = pieces.groupBy("class", "content").agg(F.count(F.lit(1)).alias("copies"), F.min("id").alias("lo"))
-    classes = materialize(classes, "classes", folder)
+    classes = materialize(classes, "classes", f"{folder}/classes")
+    pieces = materialize(pieces.drop("content"), "places", folder)
+    described = materialize(classes.drop("content"), "described", folder)
+    discard(spark, f"{folder}/pieces")
+    release_shuffles(spark)
     shared = repeated_keys(classes.select("content"), _class_seeds(shape), filter_bits)
     windows = repeated_keys(classes.select("content"), _class_windows(shape, shared), filter_bits)
     parts = classes.select("class", "content", "copies", "lo").mapInArrow(
         _part_finder(shape, shared, windows), _PART
     )
-    parts = materialize(parts, "parts", folder)
+    parts = materialize(parts, "parts", f"{folder}/parts")
+    discard(spark, f"{folder}/classes")
+    release_shuffles(spark)
     hot = parts.groupBy("seed").agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > seed_rows).select("seed")
     hot = materialize(hot, "hot", folder)
     if not hot.isEmpty():
         # Parts of a very common seed are spread: each of their windows goes where its own key belongs.
         common = parts.join(hot, "seed", "left_semi").select("class", "n", "lo", "offset", "content")
         spread = common.mapInArrow(_single_windows(shape), _PART)
-        parts = materialize(parts.join(hot, "seed", "left_anti").select(*spread.columns).unionByName(spread), "spread", folder)
+        parts = materialize(parts.join(hot, "seed", "left_anti").select(*spread.columns).unionByName(spread), "spread", f"{folder}/parts")
     texts = parts.groupBy("seed", "part", "content").agg(F.sum("n").alias("n"), F.min("lo").alias("lo"))
-    texts = materialize(texts, "texts", folder)
+    texts = materialize(texts, "texts", f"{folder}/texts")
+    parts = materialize(parts.select("class", "offset", "part"), "offsets", folder)
+    discard(spark, f"{folder}/parts")
+    release_shuffles(spark)
     # Blocks of about a megabyte; a seed's parts, at most ``seed_rows`` of them, share a block.
     size = texts.agg(F.sum(F.octet_length("content"))).first()[0] or 0
     blocks = max(int(size) >> 20, 16)
@@ -307,11 +318,13 @@ def repeated_windows(docs: DataFrame, shape: Shape, index: Index, folder: str, f
         .applyInArrow(index, "part bigint, ranges array<struct<a:int,b:int,lo:bigint,n:bigint>>")
     )
     moved = F.transform("ranges", lambda r: F.struct((r["a"] + F.col("offset")).alias("a"), (r["b"] + F.col("offset")).alias("b"), r["lo"], r["n"]))
+    indexed = materialize(indexed, "indexed", folder)
+    discard(spark, f"{folder}/texts")
+    release_shuffles(spark)
     found = (
-        parts.select("class", "offset", "part")
-        .join(materialize(indexed, "indexed", folder), "part")
+        parts.join(indexed, "part")
         .groupBy("class")
         .agg(F.flatten(F.collect_list(moved)).alias("parts"))
     )
-    described = classes.select("class", "copies", "lo").join(found, "class", "left").where("copies > 1 or parts is not null")
-    return pieces.select("row", "id", "start", "n", "class").join(described, "class").drop("class")
+    described = described.join(found, "class", "left").where("copies > 1 or parts is not null")
+    return pieces.join(described, "class").drop("class")

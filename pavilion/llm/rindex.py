@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from pavilion.llm.repeats import Shape, joined_runs, ranges, repeated_windows, window_runs
-from pavilion.session import discard, materialize, new_folder
+from pavilion.session import discard, materialize, new_folder, release_shuffles
 
 _U = np.uint64
 
@@ -193,6 +193,7 @@ def remove_repeated_bytes(
     spans = spans.where("size(spans) > 0").groupBy("row").agg(F.flatten(F.collect_list("spans")).alias("spans"))
     spans = materialize(spans, "spans", new_folder(spark, "rindex-spans"))
     discard(spark, folder)
+    release_shuffles(spark)
     return docs.join(spans, "row", "left").select("id", "text", "spans").mapInArrow(
         _cutter(window, with_text),
         "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept_bytes binary, spans array<struct<start:bigint,n_bytes:bigint>>",

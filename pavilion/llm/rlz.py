@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from pavilion.llm import textkeys as tk
 from pavilion.llm.repeats import Shape, joined_runs, ranges, repeated_windows, window_runs
-from pavilion.session import discard, materialize, new_folder
+from pavilion.session import discard, materialize, new_folder, release_shuffles
 
 
 def window_index(window: int):
@@ -114,6 +114,7 @@ def remove_repeats(
     spans = spans.where("size(spans) > 0").groupBy("row").agg(F.flatten(F.collect_list("spans")).alias("spans"))
     spans = materialize(spans, "spans", new_folder(spark, "rlz-spans"))
     discard(spark, folder)
+    release_shuffles(spark)
     cut = docs.join(spans, "row", "left").select("id", "text", "spans").mapInArrow(
         _cutter(window, with_text),
         "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string, kept_text string, factors array<struct<start:bigint,n_words:bigint>>",
