@@ -164,7 +164,7 @@ def remove_repeated_bytes(
     text_col: str = "text",
     window: int = 50,
     seed_bytes: int = 16,
-    filter_bits: int = 27,
+    filter_bits: int = 28,
     seed_rows: int = 50_000,
     with_text: bool = True,
 ) -> DataFrame:
