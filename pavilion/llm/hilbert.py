@@ -80,13 +80,15 @@ def hilbert_shards(
     placed = stored.withColumn("__curve", at)
     ranked = global_rank(placed, F.col("__curve"), *ties, name="__rank").withColumn("__rank", F.col("__rank") - 1)
     discard(spark, folder)  # the ranked rows are written
-    shard = F.expr(f"(__rank * {n_shards}) div {max(total, 1)}")
-    first = F.expr(f"(shard * {total} + {n_shards - 1}) div {n_shards}")
-    return (
-        ranked.withColumn("shard", shard.cast("int"))
-        .withColumn("slot", (F.col("__rank") - first).cast("bigint"))
-        .drop("__rank", "__curve", *names)
-    )
+    return equal_runs(ranked, total, n_shards).drop("__rank", "__curve", *names)
+
+
+def equal_runs(ranked: DataFrame, total: int, n_shards: int) -> DataFrame:
+    """``ranked`` with the ``shard`` and ``slot`` of each ``__rank`` (from 0, of ``total``)."""
+    shard = F.expr(f"(__rank * {n_shards}L) div {max(total, 1)}L")
+    # In 64 bits throughout: shard is an int, and its product with the total passes 2**31 early.
+    first = F.expr(f"(cast(shard as bigint) * {total}L + {n_shards - 1}L) div {n_shards}L")
+    return ranked.withColumn("shard", shard.cast("int")).withColumn("slot", (F.col("__rank") - first).cast("bigint"))
 
 
 def shard_documents(docs: DataFrame, n_shards: int = 24, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -269,6 +269,14 @@ def test_shards(spark, messy, empty):
     assert hilbert.shard_documents(docs.where("false"), 7).count() == 0
 
 
+@pytest.mark.parametrize("total", [90_000_000, 100_000_000, 3_000_000_000])
+def test_slots_of_large_tables(spark, total):
+    for rank in (0, total // 2, total - 1):
+        got = hilbert.equal_runs(spark.createDataFrame([(rank,)], "__rank bigint"), total, 24).first()
+        shard = rank * 24 // total
+        assert (got["shard"], got["slot"]) == (shard, rank - (shard * total + 23) // 24)
+
+
 def test_shards_prune(spark):
     rows = [(i, f"s{i % 8}", (i * 37) % 1000) for i in range(4096)]
     table = spark.createDataFrame(rows, "doc_id bigint, source string, size bigint")
