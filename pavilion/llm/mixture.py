@@ -5,8 +5,13 @@ length. The mix is a list of slots, one block each: every output shard draws how
 each source gets, multinomially from what the sources still have to give, and a source's slots
 run through a pseudorandom permutation of its blocks, one permutation per pass, so that no block
 is taken again before all have been taken. Slots and documents meet by block number.
+
+Shards are drawn in ranges. A permutation of all slots deals them to the ranges, which gives each range
+its quotas of the sources; within its range every shard draws from what these still have to give.
+Ranges are drawn in tasks of bounded size; sources and slots are tables, never lists on the driver.
 """
 
+import sys
 from collections.abc import Sequence
 
 import numpy as np
@@ -14,13 +19,18 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from pavilion.llm.cascade import words
+from pavilion.operators.rank import global_rank
 from pavilion.session import materialize, new_folder
 
 _U = np.uint64
+_RUN = 1 << 16  # slots or sources that one row or window stands for
 
 
 def targets(sizes: Sequence[int], weights: Sequence[float], most: float = 3.0) -> list[float]:
-    """Words for each source: all words shared by weight, none above ``most`` times its size."""
+    """Words for each source: all words shared by weight, none above ``most`` times its size.
+
+    The plain form, for lists; ``_share`` finds the same for a table of sources.
+    """
     left, found = float(sum(sizes)), [0.0] * len(sizes)
     active = list(range(len(sizes)))
     while active:
@@ -37,22 +47,29 @@ def targets(sizes: Sequence[int], weights: Sequence[float], most: float = 3.0) -
     return found
 
 
-def permuted(index: np.ndarray, size: np.ndarray, seed: np.ndarray) -> np.ndarray:
+def permuted(index: np.ndarray, size: np.ndarray, seed: np.ndarray, back: bool = False) -> np.ndarray:
     """Image of each ``index`` under a pseudorandom permutation of ``range(size)`` chosen by ``seed``.
 
     Four rounds on two halves of an even number of bits; a value that falls outside goes
-    through again until it lands inside.
+    through again until it lands inside. ``back`` takes the inverse.
     """
     half = np.maximum((np.ceil(np.log2(np.maximum(size, 2))).astype(np.int64) + 1) // 2, 1).astype(_U)
     low = (_U(1) << half) - _U(1)
     out, todo = index.astype(_U), np.arange(len(index))
     while len(todo):
         x, h, m, s = out[todo], half[todo], low[todo], seed.astype(_U)[todo]
+
+        def mix(part: np.ndarray, turn: int) -> np.ndarray:
+            y = (part + s + _U(turn + 1)) * _U(0x9E3779B97F4A7C15)
+            y = (y ^ (y >> _U(29))) * _U(0xBF58476D1CE4E5B9)
+            return (y >> _U(32)) & m
+
         left, right = x >> h, x & m
         for turn in range(4):
-            y = (right + s + _U(turn + 1)) * _U(0x9E3779B97F4A7C15)
-            y = (y ^ (y >> _U(29))) * _U(0xBF58476D1CE4E5B9)
-            left, right = right, left ^ ((y >> _U(32)) & m)
+            if back:
+                left, right = right ^ mix(left, 3 - turn), left
+            else:
+                left, right = right, left ^ mix(right, turn)
         out[todo] = (left << h) | right
         todo = todo[out[todo] >= size.astype(_U)[todo]]
     return out.astype(np.int64)
@@ -63,7 +80,12 @@ def _block(index: pd.Series, size: pd.Series, seed: pd.Series) -> pd.Series:
     return pd.Series(permuted(index.to_numpy(np.int64), size.to_numpy(np.int64), seed.to_numpy(np.int64)))
 
 
-def _draw(quota: np.ndarray, shard_slots: int, seed: int) -> list[tuple[int, int, int, int]]:
+@F.pandas_udf(T.LongType())
+def _slot_of(block: pd.Series, size: pd.Series, seed: pd.Series) -> pd.Series:
+    return pd.Series(permuted(block.to_numpy(np.int64), size.to_numpy(np.int64), seed.to_numpy(np.int64), back=True))
+
+
+def _draw(quota: np.ndarray, shard_slots: int, seed: int | Sequence[int]) -> list[tuple[int, int, int, int]]:
     """(shard, source, first slot, slots): multinomial counts until every quota is used up."""
     draw = np.random.Generator(np.random.PCG64(seed))
     left, given, out, shard = quota.copy(), np.zeros_like(quota), [], 0
@@ -77,6 +99,91 @@ def _draw(quota: np.ndarray, shard_slots: int, seed: int) -> list[tuple[int, int
     return out
 
 
+def _share(sources: DataFrame, weights: Sequence[float], most: float) -> float:
+    """Words per unit of weight, so that all ``sources`` take as many words as they have, none above ``most`` times its size.
+
+    Sources that are full at a share leave their words to the others, which raises it; a round is one
+    aggregate, and one row per weight reaches the driver.
+    """
+    share, full_before = 0.0, None
+    while True:
+        full = F.col("weight") * share > F.col("size") * float(most)
+        found = sources.groupBy("turn").agg(
+            F.sum("size").alias("size"), F.sum(F.when(full, F.col("size")).otherwise(0)).alias("gone"),
+            F.sum(F.when(full, 0).otherwise(1)).alias("open"), F.sum(F.when(full, 1).otherwise(0)).alias("full"),
+        ).collect()
+        n_full = sum(r["full"] for r in found)
+        if n_full == full_before:
+            return share
+        open_weight = sum(weights[r["turn"]] * r["open"] for r in sorted(found, key=lambda r: r["turn"]))
+        if not open_weight:
+            return sys.float_info.max
+        share = (sum(r["size"] for r in found) - most * sum(r["gone"] for r in found)) / open_weight
+        full_before = n_full
+
+
+def _quotas(sources: DataFrame, block_words: int, seed: int, most: float) -> DataFrame:
+    """Adds ``blocks``, ``quota`` (slots to take), ``cut`` (words left out at the end of the last one) and ``seed``.
+
+    What a source takes is whole passes over all its blocks and a rest that ends inside a block.
+    """
+    words_out = F.least(F.rint("target").cast("bigint"), (F.col("size") * float(most)).cast("bigint"))
+    out = sources.withColumns(
+        {
+            "blocks": F.expr(f"(size + {block_words - 1}) div {block_words}"),
+            "words_out": words_out,
+            "seed": F.col("s") * F.lit(1_000_003).cast("bigint") + seed,
+        }
+    )
+    out = out.withColumn("passes", F.expr("words_out div greatest(size, 1L)"))
+    out = out.withColumn("rest", F.expr("words_out - passes * size"))
+    # The short block's place in the last pass tells how many slots the rest takes.
+    last = F.greatest(F.col("blocks") - 1, F.lit(0))
+    place = _slot_of(last, F.greatest("blocks", F.lit(1)), F.col("seed") + 7919 * F.col("passes"))
+    out = out.withColumns({"place": place, "missing": F.expr(f"blocks * {block_words} - size")})
+    out = out.withColumn("at", F.expr(f"(rest + {block_words - 1}) div {block_words}"))
+    one_more = F.expr(f"place < at and at * {block_words} - missing < rest")
+    out = out.withColumn("at", F.col("at") + one_more.cast("bigint"))
+    got = F.expr(f"at * {block_words} - if(place < at, missing, 0L)")
+    return out.withColumns(
+        {"quota": F.expr("passes * blocks + at"), "cut": F.when(F.col("rest") > 0, got - F.col("rest")).otherwise(F.lit(0)).cast("bigint")}
+    ).drop("words_out", "passes", "rest", "place", "missing", "at")
+
+
+def _slots(sources: DataFrame, shard_slots: int, range_shards: int, seed: int) -> DataFrame:
+    """The draw: for each shard and source with slots there, ``first`` (of the source's slots) and ``n``."""
+    total = sources.agg(F.coalesce(F.sum("quota"), F.lit(0))).first()[0]
+    range_slots = shard_slots * range_shards
+    given = sources.where("quota > 0").select("s", "blocks", "quota", "cut", "seed")
+    # All slots are numbered through: running sums within runs of sources, and one number per run.
+    given = given.withColumn("run", F.expr(f"s div {_RUN}"))
+    runs = given.groupBy("run").agg(F.sum("quota").alias("n"))
+    runs = runs.select("run", F.coalesce(F.sum("n").over(Window.orderBy("run").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("base"))
+    within = Window.partitionBy("run").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
+    numbered = given.withColumn("within", F.coalesce(F.sum("quota").over(within), F.lit(0))).join(runs, "run")
+    numbered = numbered.withColumn("base", F.col("base") + F.col("within")).drop("run", "within")
+    keys = ["s", "blocks", "quota", "cut", "seed"]
+    part = numbered.select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr(f"(quota - 1) div {_RUN}"))).alias("part"))
+    part = part.repartition(total // (64 * _RUN) + 1, "s", "part")  # a row stands for many slots, which Spark cannot see
+    first = F.col("part") * _RUN
+    each = part.select(*keys, F.explode(F.sequence(F.col("base") + first, F.col("base") + F.least(first + _RUN, "quota") - 1)).alias("number"))
+    at = _block("number", F.lit(max(total, 1)).cast("bigint"), F.lit(seed).cast("bigint"))
+    ranges = each.select(*keys, at.alias("at")).withColumn("range", F.expr(f"at div {range_slots}")).groupBy("range", *keys).agg(F.count(F.lit(1)).alias("n"))
+    before = Window.partitionBy("s").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = ranges.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0)))
+
+    def draw(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("s", ignore_index=True)
+        which = int(rows["range"].iloc[0])
+        drawn = _draw(rows["n"].to_numpy(np.int64), shard_slots, [seed, which])
+        shard, source, first, n = np.array(drawn, np.int64).T
+        out = rows.loc[source, keys].reset_index(drop=True)
+        return out.assign(shard=which * range_shards + shard, first=rows["before"].to_numpy(np.int64)[source] + first, n=n)
+
+    schema = ", ".join(f"{c} bigint" for c in [*keys, "shard", "first", "n"])
+    return ranges.groupBy("range").applyInPandas(draw, schema)
+
+
 def _laid_out(sized: DataFrame, n_docs: int) -> DataFrame:
     """Adds ``start``, the document's first word in its source's row of words.
 
@@ -103,7 +210,7 @@ def mixed(
     block_words: int = 256,
     shard_slots: int = 4096,
     seed: int = 7,
-    max_sources: int = 100_000,
+    range_shards: int = 64,
     with_text: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """Documents with their share of the mix, and the mix itself as pieces of documents.
@@ -115,8 +222,8 @@ def mixed(
     to a word, because its last slot may end inside a block. A block is taken at most ``most`` times.
 
     Null and wordless texts have size 0 and are never taken. Rows that repeat are separate documents.
-    Draws depend on ids, texts and ``seed`` only, so reruns agree. Sources are listed on the driver;
-    more than ``max_sources`` is an error.
+    Draws depend on ids, texts and ``seed`` only, so reruns agree. ``range_shards`` shards are drawn in one
+    task. There may be any number of sources.
     """
     spark = docs.sparkSession
     folder = new_folder(spark, "mixture")
@@ -130,48 +237,23 @@ def mixed(
         *([F.struct("*").alias("doc")] if with_text else []),
     )
     sized = materialize(sized, "documents", folder)
-    names = sized.groupBy("source").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("docs")).limit(max_sources + 1).collect()
-    if len(names) > max_sources:
-        raise ValueError(f"more than {max_sources} sources")
-    names.sort(key=lambda r: (r["source"] is None, r["source"] or ""))
-    total = [r["size"] for r in names]
-    goal = targets(total, [weights[i % len(weights)] for i in range(len(names))], most)
-
-    # Words to take, as whole passes over all blocks and a rest that ends inside a block.
-    size = np.array(total, np.int64)
-    words_out = np.minimum(np.rint(goal).astype(np.int64), (most * size).astype(np.int64))
-    blocks = -(-size // block_words)
-    passes = np.where(size > 0, words_out // np.maximum(size, 1), 0)
-    rest = words_out - passes * size
-    short = size - (blocks - 1) * block_words  # words of a source's last block
-    seeds = np.arange(len(names), dtype=np.int64) * 1_000_003 + seed
-    quota, cut = passes * blocks, np.zeros(len(names), np.int64)
-    for i in np.flatnonzero(rest):
-        at = int(rest[i] // block_words)
-        # The short block's place in this pass tells how many slots the rest takes.
-        place = _place_of(int(blocks[i]) - 1, int(blocks[i]), int(seeds[i] + 7919 * passes[i]), at + 2)
-        got = at * block_words - (block_words - int(short[i]) if place is not None and place < at else 0)
-        while got < rest[i]:
-            got += int(short[i]) if place == at else block_words
-            at += 1
-        quota[i] += at
-        cut[i] = got - rest[i]
-
-    source_table = spark.createDataFrame(
-        [(i, r["source"], int(size[i]), float(goal[i])) for i, r in enumerate(names)], "s int, source string, source_size bigint, target double"
-    )
-    slots = spark.createDataFrame(
-        [
-            (shard, i, first, n, int(blocks[i]), int(quota[i]), int(cut[i]), int(seeds[i]))
-            for shard, i, first, n in _draw(quota, shard_slots, seed)
-        ],
-        "shard int, s int, first bigint, n bigint, blocks bigint, quota bigint, cut bigint, seed bigint",
-    )
+    names = sized.groupBy("source").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("docs"))
+    sources = global_rank(names, F.col("source").isNull(), F.col("source"), name="s", folder=folder).withColumn("s", F.col("s") - 1)
+    turn = F.col("s") % len(weights)
+    weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (turn + 1).cast("int"))
+    sources = materialize(sources.withColumns({"turn": turn.cast("int"), "weight": weight}), "sources", folder)
+    wish = F.col("weight") * _share(sources, weights, most)
+    all_of_it = F.col("size") * float(most)
+    sources = sources.withColumn("target", F.when(wish > all_of_it, all_of_it).otherwise(wish))
+    sources = materialize(_quotas(sources, block_words, seed, most), "quotas", folder)
+    n_docs = sources.agg(F.coalesce(F.sum("docs"), F.lit(0))).first()[0]
+    source_table = sources.select("s", "source", F.col("size").alias("source_size"), "target")
+    slots = _slots(sources, shard_slots, range_shards, seed)
     slots = slots.select("*", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("n") - 1)).alias("slot"))
     turn = F.expr("slot div blocks")
     slots = slots.select(
         "s",
-        "shard",
+        F.col("shard").cast("int").alias("shard"),
         "slot",
         turn.cast("int").alias("pass"),
         _block(F.col("slot") % F.col("blocks"), "blocks", F.col("seed") + 7919 * turn).alias("block"),
@@ -180,7 +262,7 @@ def mixed(
     )
     numbered = sized.join(source_table, sized["source"].eqNullSafe(source_table["source"])).drop(source_table["source"])
     numbered = numbered.select("uid", "id", "size", "order", "s", "source_size", "target")
-    numbered = materialize(_laid_out(numbered, sum(r["docs"] for r in names)), "layout", folder)
+    numbered = materialize(_laid_out(numbered, n_docs), "layout", folder)
     segments = numbered.where("size > 0").select(
         "uid", "s", "start", "size", "source_size",
         F.explode(F.sequence(F.expr(f"start div {block_words}"), F.expr(f"(start + size - 1) div {block_words}"))).alias("block"),
@@ -200,17 +282,6 @@ def mixed(
     return out, pieces
 
 
-def _place_of(block: int, blocks: int, seed: int, most: int) -> int | None:
-    """The slot among the first ``most`` of a pass that takes ``block``, if any."""
-    step = 1 << 20
-    for first in range(0, min(most, blocks), step):
-        index = np.arange(first, min(first + step, most, blocks))
-        at = np.flatnonzero(permuted(index, np.full(len(index), blocks), np.full(len(index), seed)) == block)
-        if len(at):
-            return first + int(at[0])
-    return None
-
-
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The mix as documents with the columns of ``docs``: one row per document and pass that takes words of it.
 

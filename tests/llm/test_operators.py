@@ -5,6 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.classic.dataframe import DataFrame
 
 from pavilion.llm import cascade, decontaminate, hilbert, langid, lines, mixture, neardup, rindex, rlz, textkeys, warc
 from pavilion.llm.graph import components
@@ -244,6 +245,39 @@ def test_permutations():
         assert size < 17 or (one != two).any()
 
 
+def test_permutations_back():
+    for size in (1, 2, 3, 17, 1000):
+        index, sizes, seeds = np.arange(size), np.full(size, size), np.full(size, 5)
+        assert list(mixture.permuted(mixture.permuted(index, sizes, seeds), sizes, seeds, back=True)) == list(index)
+
+
+def test_shards_drawn_in_ranges(spark):
+    rows = [r for r in mix_rows() if r[0] not in (502, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    found, pieces = mixture.mixed(docs, block_words=4, shard_slots=8, range_shards=2)
+    named = pieces.join(found.select("uid", F.col("id").alias("doc_id")), "uid").join(docs, "doc_id")
+    slots = named.select("source", "shard", "place").distinct().collect()
+    in_shard = brute.groups((r["shard"], r) for r in slots)
+    assert len(in_shard) > 4 and sorted(in_shard) == list(range(len(in_shard)))
+    assert {len(in_shard[s]) for s in range(len(in_shard) - 1)} == {8} and 1 <= len(in_shard[len(in_shard) - 1]) <= 8
+    for own in brute.groups((r["source"], (r["place"], r["shard"])) for r in slots).values():
+        own.sort()
+        assert [p for p, _ in own] == list(range(len(own))) and [s for _, s in own] == sorted(s for _, s in own)
+
+
+def test_mixture_of_many_sources(spark, monkeypatch):
+    n = 100_002
+    docs = spark.range(n).select(F.col("id").alias("doc_id"), F.lit("one two").alias("text"), F.concat(F.lit("https://host"), "id").alias("source"))
+    on_driver, collect = [], DataFrame.collect
+    monkeypatch.setattr(DataFrame, "collect", lambda self: on_driver.append(collect(self)) or on_driver[-1])
+    found, pieces = mixture.mixed(docs)
+    monkeypatch.undo()
+    assert max(map(len, on_driver), default=0) <= 3
+    got = found.agg(F.count("*"), F.sum("taken"), F.max("taken"), F.max(F.abs(F.col("taken") - F.col("target")))).first()
+    assert got[0] == n and abs(got[1] - 2 * n) <= n and got[2] <= 6 and got[3] <= 1
+    assert pieces.count() == found.where("taken > 0").agg(F.sum(F.expr("(taken + 1) div 2"))).first()[0]
+
+
 def test_hilbert_curve():
     for axes, bits in ((2, 4), (3, 3)):
         points = np.stack([g.ravel() for g in np.meshgrid(*[np.arange(1 << bits)] * axes, indexing="ij")])
