@@ -13,13 +13,17 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from pavilion.llm import textkeys as tk
+from pavilion.session import discard, materialize, new_folder
 
 #: Texts whose presence rows are held at once.
 _BATCH = 64
+#: Sample texts whose products one task sums.
+_SAMPLE_BLOCK = 2048
 
 
 @dataclass(frozen=True)
@@ -79,26 +83,69 @@ class Model:
         return kernel(presence, self.landmarks.astype(np.float32)) @ self.weights + self.bias
 
 
-def fit(spectrum: Spectrum, presence: np.ndarray, labels: list[str], landmarks: int, ridge: float) -> Model:
+def _unpacked(bits, width: int) -> np.ndarray:
+    return np.stack([np.unpackbits(np.frombuffer(b, np.uint8))[:width] for b in bits]).astype(np.float32)
+
+
+def _sums(fitting):
+    """Of the sample rows of a block: the weighted sum of x x' (one row per coordinate) and the sum of x of each language."""
+
+    def sums(rows: pd.DataFrame) -> pd.DataFrame:
+        width, marks, whiten, weight = fitting.value
+        rows = rows.sort_values(["place", "lang"], ignore_index=True)
+        square, own = np.zeros((whiten.shape[1],) * 2), {}
+        for first in range(0, len(rows), _BATCH):
+            part = rows.iloc[first : first + _BATCH]
+            x = kernel(_unpacked(part["bits"], width), marks.astype(np.float32)).astype(np.float64) @ whiten
+            square += (x * part["lang"].map(weight).to_numpy()[:, None]).T @ x
+            for lang, at in part.reset_index(drop=True).groupby("lang").indices.items():
+                own[lang] = own.get(lang, 0) + x[at].sum(0)
+        found = [(None, i, v) for i, v in enumerate(square)] + [(lang, None, v) for lang, v in own.items()]
+        return pd.DataFrame([(rows["block"].iloc[0], lang, i, v.tobytes()) for lang, i, v in found], columns=["block", "lang", "place", "sums"])
+
+    return sums
+
+
+def _added(rows: pd.DataFrame) -> pd.DataFrame:
+    # In the order of the blocks, so that reruns agree to the last bit.
+    parts = [np.frombuffer(b, np.float64) for b in rows.sort_values("block")["sums"]]
+    return rows.iloc[:1][["lang", "place"]].assign(sums=[np.sum(parts, axis=0).tobytes()])
+
+
+def fit(spectrum: Spectrum, sample: DataFrame, landmarks: int, ridge: float) -> Model | None:
     """Nyström coordinates of the sample and one ridge regression per language on them.
 
-    ``presence`` rows are in a fixed order, with the languages in turn; the first ``landmarks``
-    are the landmarks, so every language has its share of them.
+    ``sample``: lang, place (from 1 in each language) and bits. The languages in turn give the
+    ``landmarks``, more if there are more languages, so that every language has one. The products of the regression are summed in
+    tasks; landmarks, sums the size of the landmarks and one number per language reach the driver.
     """
-    languages = sorted(set(labels))
-    marks = presence[:landmarks]
-    own = kernel(marks, marks).astype(np.float64)
-    values, vectors = np.linalg.eigh(own)
+    counts = {r["lang"]: r["n"] for r in sample.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if not counts:
+        return None
+    languages, n = sorted(counts), sum(counts.values())
+    first = sample.orderBy("place", "lang").limit(max(landmarks, len(languages))).select("bits").collect()
+    marks = _unpacked([r["bits"] for r in first], spectrum.width)
+    values, vectors = np.linalg.eigh(kernel(marks, marks).astype(np.float64))
     keep = values > 1e-6 * values.max()
     whiten = vectors[:, keep] / np.sqrt(values[keep])
-    x = kernel(presence, marks).astype(np.float64) @ whiten
-    y = np.where(np.array(labels)[:, None] == np.array(languages)[None, :], 1.0, -1.0)
     # Languages weigh the same, whatever their share of the sample.
-    share = np.array([1.0 / labels.count(name) for name in labels])
-    share *= len(labels) / share.sum()
-    mean_x, mean_y = np.average(x, axis=0, weights=share), np.average(y, axis=0, weights=share)
-    x, y = x - mean_x, y - mean_y
-    solved = np.linalg.solve((x * share[:, None]).T @ x + ridge * np.eye(x.shape[1]), (x * share[:, None]).T @ y)
+    weight = {lang: n / len(languages) / counts[lang] for lang in languages}
+    sent = sample.sparkSession.sparkContext.broadcast((spectrum.width, marks.astype(np.uint8), whiten, weight))
+    blocks = sample.withColumn("block", F.pmod(F.xxhash64("lang", "place"), F.lit(n // _SAMPLE_BLOCK + 1)).cast("bigint"))
+    parts = blocks.groupBy("block").applyInPandas(_sums(sent), "block bigint, lang string, place bigint, sums binary")
+    found = parts.groupBy("lang", "place").applyInPandas(_added, "lang string, place bigint, sums binary").collect()
+    square, own = np.zeros((whiten.shape[1],) * 2), np.zeros((len(languages), whiten.shape[1]))
+    at = {lang: i for i, lang in enumerate(languages)}
+    for r in found:
+        value = np.frombuffer(r["sums"], np.float64)
+        if r["lang"] is None:
+            square[r["place"]] = value
+        else:
+            own[at[r["lang"]]] = value * weight[r["lang"]]
+    # Targets are 1 for the own language and -1 for all others; sums are moved to the means.
+    mean_x, mean_y = own.sum(0) / n, 2 / len(languages) - 1
+    product = 2 * own.T - own.sum(0)[:, None] - n * mean_x[:, None] * mean_y
+    solved = np.linalg.solve(square - n * np.outer(mean_x, mean_x) + ridge * np.eye(len(square)), product)
     bias = mean_y - mean_x @ solved
     return Model(spectrum, languages, marks.astype(np.uint8), (whiten @ solved).astype(np.float32), bias.astype(np.float32))
 
@@ -141,36 +188,32 @@ def train(
     lang_col: str = "lang",
     order: Column | None = None,
     sample_per_language: int = 300,
-    max_languages: int = 500,
     landmarks: int = 160,
     ridge: float = 1e-2,
     spectrum: Spectrum = Spectrum(),
 ) -> Model | None:
     """A model of the labelled texts, or None where there are none.
 
-    Fitted on at most ``sample_per_language`` texts of each of at most ``max_languages`` languages (the
-    commonest), those that come first in ``order`` (default: by a hash of the text); the sample is
-    bounded, so its bits may be fitted on the driver. Rows without text or language teach nothing.
+    Fitted on at most ``sample_per_language`` texts of every language, those that come first in ``order``
+    (default: by a hash of the text). Rows without text or language teach nothing.
     """
     rows = labelled.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"), (order if order is not None else F.xxhash64(text_col)).alias("order"))
     rows = rows.where("lang is not null and text is not null")
-    common = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.col("n").desc(), "lang").limit(max_languages).select("lang")
     place = F.row_number().over(Window.partitionBy("lang").orderBy("order"))
     # Ranks are taken without the texts; Spark keeps the first rows of each task only.
     chosen = rows.select("lang", "order").withColumn("place", place).where(F.col("place") <= sample_per_language)
-    chosen = chosen.join(common, "lang", "left_semi")
-    chosen = {(r["lang"], r["order"]): r["place"] for r in chosen.collect()}
-    if not chosen:
-        return None
-    keys = labelled.sparkSession.createDataFrame([(lang, o) for lang, o in chosen], "lang string, order bigint")
-    sample = rows.join(F.broadcast(keys), ["lang", "order"], "left_semi").select(F.concat_ws("\x00", F.col("order").cast("string"), "lang").alias("lang"), "text")
-    seen: dict[tuple[int, str], bytes] = {}
-    for row in sample.mapInArrow(_presence_rows(spectrum), "lang string, bits binary").collect():
-        o, _, lang = row["lang"].partition("\x00")
-        seen[chosen[lang, int(o)], lang] = bytes(row["bits"])
-    ordered = sorted(seen)
-    presence = np.stack([np.unpackbits(np.frombuffer(seen[k], np.uint8))[: spectrum.width] for k in ordered]).astype(np.float32)
-    return fit(spectrum, presence, [lang for _, lang in ordered], landmarks, ridge)
+    chosen = chosen.groupBy("lang", "order").agg(F.min("place").cast("bigint").alias("place"))
+    folder = new_folder(labelled.sparkSession, "languages")
+    chosen = materialize(chosen, "chosen", folder)
+    # Small for some hundred languages, when Spark copies it to the tasks; the texts are shuffled only beyond.
+    sample = rows.join(chosen, ["lang", "order"]).select(F.concat_ws("\x00", F.col("place").cast("string"), "lang").alias("lang"), "text")
+    sample = sample.mapInArrow(_presence_rows(spectrum), "lang string, bits binary")
+    sample = sample.select(F.expr("substring(lang, instr(lang, '\\u0000') + 1)").alias("lang"), F.substring_index("lang", "\x00", 1).cast("bigint").alias("place"), "bits")
+    # Rows that share a place have equal orders; one of them teaches.
+    sample = materialize(sample.groupBy("lang", "place").agg(F.min("bits").alias("bits")), "sample", folder)
+    model = fit(spectrum, sample, landmarks, ridge)
+    discard(labelled.sparkSession, folder)
+    return model
 
 
 def identify_languages(

@@ -191,6 +191,17 @@ def test_held_out_language_is_not_learned(spark):
     assert sorted_rows(one, "doc_id", "lang_pred", "score") == sorted_rows(two, "doc_id", "lang_pred", "score")
 
 
+def test_every_language_is_learned(spark):
+    draw, rows = np.random.Generator(np.random.PCG64(11)), []
+    for lang in range(520):
+        own = ["".join(draw.choice(list("abcdefghijklmnopqrstuvwxyz"), 7)) for _ in range(6)]
+        rows += [(4 * lang + i, " ".join(draw.choice(own, 12)), f"l{lang}") for i in range(4)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    got = {r["doc_id"]: r for r in langid.identify_languages(docs, held_out=F.col("doc_id") % 4 == 3).collect()}
+    held = [(got[i]["lang_pred"], lang) for i, _, lang in rows if got[i]["held_out"]]
+    assert len(held) == 520 and sum(a == b for a, b in held) >= 515
+
+
 def mix_rows():
     rows = [(i, " ".join(prose(i, 1 + 7 * i % 97)), f"s{i % 4}") for i in range(120)]
     return rows + [(500, None, "s0"), (501, "", None), (502, "a b c", None), (502, "a b c", None), (None, "d e", "s1"), (503, "x " * 3000, "s3"), (504, "y", "lone"), (505, None, "none")]
