@@ -9,7 +9,7 @@ from collections.abc import Mapping, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from pavilion.operators.rank import global_rank
 from pavilion.session import discard, materialize, new_folder
@@ -55,7 +55,8 @@ def hilbert_shards(
 ) -> DataFrame:
     """``rows`` with ``shard`` (0 to ``n_shards - 1``) and ``slot`` (gapless from 0 in each shard).
 
-    ``axes`` names the numeric dimensions; a null takes the lowest cell. Rows of one cell are
+    ``axes`` names the dimensions, numbers or texts; a text counts as its rank among the distinct values, in
+    code-point order, and a null takes the lowest cell. Rows of one cell are
     ordered by ``ties``, which should end in a unique key; rows that are equal in all of them are
     taken in any order. Row counts of shards differ by one at most; with fewer rows than shards some shards
     are empty, and an empty table gives an empty table. Columns named shard and slot are replaced.
@@ -65,8 +66,11 @@ def hilbert_shards(
     spark = rows.sparkSession
     folder = new_folder(spark, "hilbert")
     names = [f"__axis_{i}" for i in range(len(axes))]
-    stored = rows.drop("shard", "slot").withColumns(dict(zip(names, (c.cast("bigint") for c in axes.values()), strict=True)))
-    stored = materialize(stored, "rows", folder)
+    stored = rows.drop("shard", "slot").withColumns(dict(zip(names, axes.values(), strict=True)))
+    texts = [n for n in names if isinstance(stored.schema[n].dataType, T.StringType)]
+    stored = materialize(stored.withColumns({n: F.col(n).cast("bigint") for n in names if n not in texts}), "rows", folder)
+    for name in texts:
+        stored = _by_rank(stored, name, folder)
     cells = 1 << bits
     shares = [i / cells for i in range(1, cells)]
     found = stored.agg(F.count(F.lit(1)), *[F.percentile_approx(n, shares, 10_000) for n in names]).first()
@@ -83,6 +87,13 @@ def hilbert_shards(
     return equal_runs(ranked, total, n_shards).drop("__rank", "__curve", *names)
 
 
+def _by_rank(rows: DataFrame, name: str, folder: str) -> DataFrame:
+    """``rows`` with the text ``name`` replaced by its rank among the distinct texts; null stays null."""
+    values = rows.where(F.col(name).isNotNull()).select(F.col(name).alias("__value")).distinct()
+    ranks = global_rank(values, F.col("__value"), name="__code", folder=folder)
+    return rows.join(ranks, F.col(name) == F.col("__value"), "left").withColumn(name, F.col("__code")).drop("__value", "__code")
+
+
 def equal_runs(ranked: DataFrame, total: int, n_shards: int) -> DataFrame:
     """``ranked`` with the ``shard`` and ``slot`` of each ``__rank`` (from 0, of ``total``)."""
     shard = F.expr(f"(__rank * {n_shards}L) div {max(total, 1)}L")
@@ -98,5 +109,5 @@ def shard_documents(docs: DataFrame, n_shards: int = 24, id_col: str = "doc_id",
     """
     text = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
     sized = docs.withColumns({"size": (F.octet_length(text) + 8).cast("bigint"), "text_crc32": F.crc32(text)})
-    present = {c: text_code(F.col(c).cast("string")) if c in docs.columns else F.lit(0) for c in ("source", "lang")}
+    present = {c: F.col(c).cast("string") if c in docs.columns else F.lit(0) for c in ("source", "lang")}
     return hilbert_shards(sized, present | {"size": F.col("size")}, n_shards, [F.col("text_crc32"), F.col(id_col)])

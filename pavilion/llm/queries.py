@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from pavilion.llm.cascade import quality_report
 from pavilion.llm.decontaminate import benchmark_hits
-from pavilion.llm.hilbert import hilbert_shards, text_code
+from pavilion.llm.hilbert import hilbert_shards
 from pavilion.llm.langid import identify_languages
 from pavilion.llm.lines import deduplicate_lines
 from pavilion.llm.mixture import mixed
@@ -153,7 +153,7 @@ def op6(spark, folder):
     docs = table(spark, folder, "documents").select("doc_id", "text", "source", "lang")
     narrow = docs.select("doc_id", "source", "lang", F.coalesce("text", F.lit("")).cast("binary").alias("text"))
     sized = narrow.select("doc_id", "source", "lang", (F.octet_length("text") + 8).cast("bigint").alias("size"), F.crc32("text").alias("text_crc32"))
-    axes = {"source": text_code(F.col("source")), "lang": text_code(F.col("lang")), "size": F.col("size")}
+    axes = {"source": F.col("source"), "lang": F.col("lang"), "size": F.col("size")}
     placed = hilbert_shards(sized, axes, 24, [F.col("text_crc32"), F.col("doc_id")])
     return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 

@@ -331,6 +331,15 @@ def test_shards_prune(spark):
     assert max(r["s"] for r in spread) <= 4 and max(r["w"] for r in spread) <= 600
 
 
+def test_shards_prune_texts_with_a_common_start(spark):
+    rows = [(i, "x" * ((i * 37) % 1000), f"https://www.example.org/{i % 8}" if i % 9 else None, "en") for i in range(4096)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string, lang string")
+    found = hilbert.shard_documents(docs, 16)
+    assert found.columns == [*docs.columns, "size", "text_crc32", "shard", "slot"] and found.count() == len(rows)
+    spread = found.groupBy("shard").agg(F.countDistinct("source").alias("s"), (F.max("size") - F.min("size")).alias("w")).collect()
+    assert max(r["s"] for r in spread) <= 5 and max(r["w"] for r in spread) <= 800
+
+
 def test_archives(spark):
     big, other = "<p>é" * 400, "<q>\r\n\r\nWARC/1.1\r\n" * 100
     rows = [(1, "http://b.example.org/x?q=1", big), (9, "http://a.example.org/", big), (3, None, big), (4, "http://a.example.org/", "small"), (5, "not a url\r\nX: y", "small"), (6, "http://[bad", None), (7, "", ""), (None, "http://n.example.org", big), (8, "http://b.example.org/x?q=1", other), (8, "http://b.example.org/x?q=1", other)]
