@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from pavilion.operators import dedupe, joins, quality
@@ -374,17 +375,24 @@ def _refit_sql() -> str:
     )
 
 
+def _solved(correlation: np.ndarray, weights: np.ndarray, positive: int) -> np.ndarray:
+    """For each feature whether unit ``weights``, positive at ``positive``, solve the equation of the largest eigenvalue."""
+    largest = np.linalg.eigvalsh(correlation)[-1]
+    sound = weights[positive] > 0 and abs(weights @ weights - 1) < 1e-6
+    return (np.abs(correlation @ weights - largest * weights) < 1e-6) & sound
+
+
 @query("refit_weights", with_tables(_refit_sql(), "stg_batting"))
 def refit_weights(src):
-    """The correlations, and whether the weights solve the eigenvector equation in each feature's row."""
+    """The correlations, and whether the refit is right in each feature's row (``_solved``)."""
     batting = materialize(src.stg_batting, "batting")
-    weights = {r["feature"]: r["weight"] for r in refit.refit_weights(batting, _FEATURES, positive="runs").collect()}
+    fitted = {r["feature"]: r for r in refit.refit_weights(batting, _FEATURES, positive="runs").collect()}
     numbers = batting.select(*[refit.finite_or_zero(F.col(f)).alias(f) for f in _FEATURES])
     row = numbers.agg(*[F.corr(a, b).alias(f"{a}__{b}") for a in _FEATURES for b in _FEATURES]).first()
-    image = {a: sum(row[f"{a}__{b}"] * weights[b] for b in _FEATURES) for a in _FEATURES}
-    largest = sum(image[a] * weights[a] for a in _FEATURES)
-    rows = [
-        (a, b, round(row[f"{a}__{b}"], 6), abs(image[a] - largest * weights[a]) < 1e-6)
-        for a in _FEATURES for b in _FEATURES
-    ]
+    infinite = batting.select(*[F.expr(f"count_if(double({f}) in (double('inf'), double('-inf')))").alias(f) for f in _FEATURES]).first()
+    correlation = np.array([[row[f"{a}__{b}"] for b in _FEATURES] for a in _FEATURES])
+    weights = np.array([fitted[f]["weight"] for f in _FEATURES])
+    counted = np.array([fitted[f]["undefined"] == infinite[f] for f in _FEATURES])
+    solved = dict(zip(_FEATURES, _solved(correlation, weights, _FEATURES.index("runs")) & counted, strict=True))
+    rows = [(a, b, round(row[f"{a}__{b}"], 6), bool(solved[a])) for a in _FEATURES for b in _FEATURES]
     return src.spark.createDataFrame(rows, "feature string, other string, correlation double, solved boolean")
