@@ -2,10 +2,11 @@
 
 Each block of repeated passages (``repeats``) is indexed by its run-compressed Burrows-Wheeler
 transform: the runs' symbols, first rows and mapped rows, with the text positions of the rows
-at both ends of every run. Copies of a passage add length to runs, not runs. All texts of the block are
-streamed backwards through the index at once, one symbol a step; the row that a suffix
-arrives at lies in the interval of its matching statistic, and the interval of ``window`` bytes
-knows the least document that the string starts in.
+at both ends of every run. All texts of the block are streamed backwards through the index at once,
+one symbol a step, which gives each suffix its row. What decides is the block's plain suffix array:
+neighbouring rows with equal first ``window`` bytes form an interval, which knows the least document that the
+string starts in. Memory follows the block's bytes, not its runs; the run ends are not read and no
+matching statistics are computed.
 """
 
 from __future__ import annotations
