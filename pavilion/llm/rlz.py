@@ -1,11 +1,10 @@
-"""Duplicate substrings by relative Lempel-Ziv parsing.
+"""Duplicate substrings by window keys of reference blocks, in place of a relative Lempel-Ziv parse.
 
 The reference is the corpus itself, cut into blocks by seed (``repeats``): a document can share a
 window only with a block that holds the window's seed, so looking up each seed's own block is
-the same as looking in every block. Every block is indexed by the keys of its windows. A
-document is parsed from left to right: a factor starts at the first window that some block
-holds elsewhere and grows while the next window is held too. Windows across the end of a piece or
-a block's part are looked up as windows of their own, so a factor boundary hides none.
+the same as looking in every block. The keys of a block's windows are sorted and equal ones
+counted, every window on its own. There is no greedy parse from left to right: a factor is the union of
+overlapping repeated windows, so no factor boundary hides a window.
 """
 
 from __future__ import annotations
