@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
+from pavilion.llm.align import align_tokens, read_pair
+from pavilion.llm.bytebpe import decode_tokens, encode_texts
 from pavilion.llm.cascade import quality_report
 from pavilion.llm.decontaminate import benchmark_hits
 from pavilion.llm.hilbert import hilbert_shards
 from pavilion.llm.langid import identify_languages
 from pavilion.llm.lines import deduplicate_lines
+from pavilion.llm.merkle import fold_proof, merkle_proofs, proof_digest, tampered_digests
 from pavilion.llm.mixture import mixed
 from pavilion.llm.neardup import near_duplicates
 from pavilion.llm.registry import ORACLES, QUERIES, query, table
@@ -203,3 +207,90 @@ def op8(spark, folder):
 @query("op3_string_kernel_language")
 def op3(spark, folder):
     return identify_languages(table(spark, folder, "documents"))
+
+
+@query("op11_spill_counted_alignment")
+def op11(spark, folder):
+    pair = read_pair(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+    found = align_tokens(table(spark, folder, "documents"), pair, with_groups=False)
+    return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
+OP12 = r"""
+with recursive b as materialized (select range as i from range(256)),
+crc as materialized (
+  select list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end) order by i) as t from b),
+e as materialized (
+  select doc_id, source,
+    list_reduce(list_prepend(4294967295, list_transform(string_split(doc_id::varchar, ''), lambda c: ascii(c)::bigint)), lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])) as c,
+    coalesce(strlen(doc_id::varchar)::varchar || ':' || doc_id::varchar, '-') || coalesce(strlen(source)::varchar || ':' || source, '-') ||
+      coalesce(strlen(lang)::varchar || ':' || lang, '-') || coalesce(strlen(n_chars::varchar)::varchar || ':' || n_chars::varchar, '-') as h,
+    text, replace(text, chr(10), '') as x
+  from documents, crc),
+leaves as materialized (
+  select doc_id, source, row_number() over (partition by source order by doc_id nulls first) - 1 as i,
+    sha256(h || coalesce(strlen(text)::varchar || ':' || text, '-')) as leaf,
+    case when xor(c, 4294967295) % 2 = 0 then sha256(h || coalesce(strlen(x)::varchar || ':' || x, '-')) else sha256(h || coalesce(strlen(text)::varchar || ':' || text, '-')) end as tampered
+  from e),
+t as materialized (
+  with recursive t(source, level, i, d) as (
+    select source, 0, i, leaf from leaves
+    union all
+    select source, level + 1, i // 3, sha256(string_agg(d, '' order by i))
+    from (select *, count(*) over (partition by source) as n from t) where n > 1 group by source, level, i // 3)
+  select * from t),
+subs as materialized (select *, row_number() over (order by source nulls first) - 1 as i from (
+  select source, level as levels, d as subroot from t qualify level = max(level) over (partition by source))),
+r as materialized (
+  with recursive r(level, i, d) as (
+    select 0, i, subroot from subs
+    union all
+    select level + 1, i // 3, sha256(string_agg(d, '' order by i)) from (select *, count(*) over () as n from r) where n > 1 group by level, i // 3)
+  select * from r),
+st as materialized (
+  select source, t.level, i,
+    coalesce(string_agg(d, '') over (partition by source, t.level, i // 3 order by i rows between unbounded preceding and 1 preceding), '') as before,
+    coalesce(string_agg(d, '') over (partition by source, t.level, i // 3 order by i rows between 1 following and unbounded following), '') as after
+  from t where level < (select max(levels) from subs s where s.source is not distinct from t.source)),
+sr as materialized (
+  select level, i,
+    coalesce(string_agg(d, '') over (partition by level, i // 3 order by i rows between unbounded preceding and 1 preceding), '') as before,
+    coalesce(string_agg(d, '') over (partition by level, i // 3 order by i rows between 1 following and unbounded following), '') as after
+  from r where level < (select max(level) from r)),
+f as materialized (
+  with recursive f(doc_id, source, leaf, level, i, own, proof) as (
+    select doc_id, source, leaf, 0, i, tampered, '' from leaves
+    union all
+    select f.doc_id, f.source, f.leaf, f.level + 1, f.i // 3, sha256(before || own || after), proof || before || after
+    from f join st on st.source is not distinct from f.source and st.level = f.level and st.i = f.i)
+  select f.*, subroot, s.i as place from f join subs s on s.source is not distinct from f.source and s.levels = f.level),
+g as materialized (
+  with recursive g(doc_id, leaf, subroot, level, i, own, proof) as (
+    select doc_id, leaf, subroot, 0, place, own, proof from f
+    union all
+    select g.doc_id, g.leaf, g.subroot, g.level + 1, g.i // 3, sha256(before || own || after), proof || before || after
+    from g join sr on sr.level = g.level and sr.i = g.i)
+  select * from g where level = (select max(level) from r))
+select doc_id, leaf, subroot, root, sha256(proof) as proof_sha256, own as folded_root, own = root as verified
+from g, (select d as root from r where level = (select max(level) from r))
+"""
+
+
+@query("op12_time_forward_manifest", OP12)
+def op12(spark, folder):
+    columns = ["doc_id", "source", "lang", "n_chars", "text"]
+    leaves = tampered_digests(table(spark, folder, "documents").select(*columns), columns).select("doc_id", "source", "leaf", "tampered")
+    found = merkle_proofs(leaves, F.col("source"), [F.col("doc_id")])
+    folded = found.withColumns({"proof_sha256": proof_digest(F.col("proof")), "folded_root": fold_proof(F.col("tampered"), F.col("proof"))})
+    return folded.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+@query("op13_byte_level_bpe")
+def op13(spark, folder):
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    encoded = encode_texts(table(spark, folder, "documents"), ranks, public_tokenizers.PATTERN)
+    decoded = decode_tokens(encoded, ranks, public_tokenizers.PATTERN)
+    written = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return decoded.select(
+        "doc_id", F.size("ids").cast("bigint").alias("n_tokens"), F.sha2(written, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+    )

@@ -146,3 +146,96 @@ def groups(pairs):
     for k, v in pairs:
         out[k].append(v)
     return dict(out)
+
+
+def byte_pairs(text, ranks, pattern):
+    """Ids of a text: in every match of the pattern the pair of least rank is merged, leftmost first, until none is left."""
+    import regex
+
+    ids = []
+    for match in regex.findall(pattern, text or ""):
+        parts = [bytes([b]) for b in match.encode()]
+        while len(parts) > 1:
+            rank, i = min((ranks.get(parts[i] + parts[i + 1], len(ranks)), i) for i in range(len(parts) - 1))
+            if rank == len(ranks):
+                break
+            parts[i : i + 2] = [parts[i] + parts[i + 1]]
+        ids += [ranks[p] for p in parts]
+    return ids
+
+
+def alignment(docs, first, second, bytes_a, bytes_b):
+    """``first`` and ``second`` encode a text; per document (n_a, n_b, n_groups, n_links, n_best, count_sum, groups)."""
+    groups = []
+    for _, text in docs:
+        a, b = (first(" " + text), second(text)) if text else ([], [])
+        whole = (" " + text).encode() if text else b""
+        if b"".join(bytes_a[i] for i in a) != whole or b"".join(bytes_b[i] for i in b) != whole:
+            a, b = [], []
+        own, ends = [], [[], []]
+        for ids, table, out in ((a, bytes_a, ends[0]), (b, bytes_b, ends[1])):
+            at = 0
+            for i in ids:
+                at += len(table[i])
+                out.append(at)
+        start = [0, 0]
+        for end in sorted({*ends[0]} & {*ends[1]}):
+            to = [ends[0].index(end) + 1, ends[1].index(end) + 1]
+            own.append((a[start[0] : to[0]], b[start[1] : to[1]]))
+            start = to
+        groups.append(own)
+    count = Counter()
+    for own in groups:
+        count.update({(x, y) for a, b in own for x in a for y in b})
+    most = Counter()
+    for (x, _), n in count.items():
+        most[x] = max(most[x], n)
+    out = []
+    for (doc_id, _), own in zip(docs, groups, strict=True):
+        links = [(x, y) for a, b in own for x in a for y in b]
+        text = ";".join(f"{','.join(map(str, a))}|{','.join(map(str, b))}" for a, b in own)
+        out.append((
+            doc_id, sum(len(a) for a, _ in own), sum(len(b) for _, b in own), len(own), len(links),
+            sum(count[p] == most[p[0]] for p in links), sum(count[p] for p in links), sha(text) if text else "",
+        ))
+    return out
+
+
+def manifest(rows, arity=3):
+    """Rows of (doc_id, source, ..., text): (doc_id, leaf, subroot, root, proof_sha256, folded_root, verified)."""
+    import zlib
+
+    def field(v):
+        return "-" if v is None else f"{len(str(v).encode())}:{v}"
+
+    def levels(nodes):
+        out = [nodes]
+        while len(out[-1]) > 1:
+            last = out[-1]
+            out.append([sha("".join(last[i : i + arity])) for i in range(0, len(last), arity)])
+        return out
+
+    def path(tree, i):
+        for level in tree[:-1]:
+            first = i // arity * arity
+            yield "".join(level[first:i]), "".join(level[i + 1 : first + arity])
+            i //= arity
+
+    leaves = groups((r[1], (r[0] is not None, r[0] or 0, sha("".join(map(field, r))), r)) for r in rows)
+    names = sorted(leaves, key=lambda s: (s is not None, (s or "").encode()))
+    trees = {}
+    for s in names:
+        leaves[s].sort(key=lambda x: x[:3])
+        trees[s] = levels([x[2] for x in leaves[s]])
+    top = levels([trees[s][-1][0] for s in names])
+    out = []
+    for j, s in enumerate(names):
+        for i, (_, _, leaf, r) in enumerate(leaves[s]):
+            steps = [*path(trees[s], i), *path(top, j)]
+            bad = r[0] is not None and zlib.crc32(str(r[0]).encode()) % 2 == 0 and r[-1] is not None
+            own = sha("".join(map(field, (*r[:-1], r[-1].replace("\n", ""))))) if bad else leaf
+            for before, after in steps:
+                own = sha(before + own + after)
+            root = top[-1][0]
+            out.append((r[0], leaf, trees[s][-1][0], root, sha("".join(b + a for b, a in steps)), own, own == root))
+    return out
