@@ -145,12 +145,15 @@ def model_tests() -> list[TableTest]:
     ]
 
 
+def silver_ball_tests() -> list[TableTest]:
+    """Tests of the tables that the balls are joined with: one row per match."""
+    return [*_not_null("matches", "match_id"), *_unique("matches", "match_id"), *_unique("weather", "match_id")]
+
+
 def ball_tests() -> list[TableTest]:
     """Tests of the ball-by-ball tables: unique keys, and facts that find their dimensions."""
     fact = "fact_ball_by_ball"
     return [
-        *_not_null("matches", "match_id"),
-        *_unique("matches", "match_id"),
         *_unique("dim_player_source", "player_id"),
         *_unique("dim_venue", "venue_id"),
         *_unique("dim_weather", "weather_id"),

@@ -1,7 +1,7 @@
 """Tables in scraped HTML pages, found by the columns they must have.
 
 Everything is a row-local expression: a page is parsed where it lies, without
-shuffle and without Python. Nested tables are not supported.
+shuffle and without Python. Headers of all tables are read, cells of the chosen one only.
 """
 
 from __future__ import annotations
@@ -19,7 +19,9 @@ SIGNATURE = ("player", "runs")  # fixed default: header texts that mark a career
 
 # Named character references of HTML 4, from the standard library; the ampersand comes last.
 _NAMED = {name: chr(point) for name, point in name2codepoint.items() if name != "amp"}
-_SPAN_MAX = 1000  # fixed value: the largest colspan that HTML allows
+# The largest spans that HTML allows.
+_COLSPAN_MAX, _ROWSPAN_MAX = 1000, 65534
+_CELL = "array<struct<text: string, below: int>>"
 
 
 class SchemaDriftError(Exception):
@@ -75,60 +77,154 @@ def _cell_text(cell: Column) -> Column:
     return strip_space(F.regexp_replace(text, r"[\s\u00a0]+", " "))
 
 
-def _cells(row: Column) -> Column:
-    """Texts of a row's cells; a cell that spans columns is repeated for each."""
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _span(cell: Column, name: str, most: int) -> Column:
+    written = F.regexp_extract(cell, rf"(?is)^<[^>]*\b{name}\s*=\s*[\"']?(\d{{1,5}})", 1)
+    return F.least(F.greatest(F.coalesce(written.try_cast("int"), F.lit(1)), F.lit(1)), F.lit(most))
+
+
+def _row_cells(row: Column) -> Column:
+    """array<struct<text, below>> of a row: a cell for each column it spans, with the number of rows below it spans."""
     cells = F.regexp_extract_all(row, F.lit(_element("t[hd]", "t[hd]")), F.lit(0))
 
     def spread(cell: Column) -> Column:
-        span = F.regexp_extract(cell, r"(?is)^<[^>]*\bcolspan\s*=\s*[\"']?(\d{1,4})", 1)
-        times = F.least(F.greatest(F.coalesce(span.try_cast("int"), F.lit(1)), F.lit(1)), F.lit(_SPAN_MAX))
-        return F.array_repeat(_cell_text(cell), times)
+        below = _span(cell, "rowspan", _ROWSPAN_MAX) - 1
+        one = F.struct(_cell_text(cell).alias("text"), below.alias("below"))
+        return F.array_repeat(one, _span(cell, "colspan", _COLSPAN_MAX))
 
     return F.flatten(F.transform(cells, spread))
 
 
-def parsed_tables(html: Column) -> Column:
-    """array<struct<header array<string>, rows array<array<string>>>> of a page.
+def _texts(cells: Column) -> Column:
+    return F.transform(cells, lambda c: c["text"])
+
+
+def _filled(rows: Column) -> Column:
+    """array<array<string>> of rows of cells, each cell repeated in the rows below that it spans.
+
+    ``carry`` holds the cells that reach into the next row, by column. A row's own cells take the columns
+    that are free; where the row has too few, the carried cells follow at its end. Cells that
+    span more rows than there are make rows of their own.
+    """
+    start = F.struct(
+        F.array().cast("array<struct<at: int, text: string, below: int>>").alias("carry"),
+        F.array().cast("array<array<string>>").alias("grid"),
+    )
+
+    def placed(carry: Column, own: Column) -> Column:
+        def cell(at: Column) -> Column:
+            # In order: what reaches down to this column, the next own cell, what is left of the carried ones.
+            down = F.get(F.filter(carry, lambda c: c["at"] == at), F.lit(0))
+            place = at - F.size(F.filter(carry, lambda c: c["at"] < at))
+            rest = F.get(carry, at - F.size(own))
+            carried = F.coalesce(down, F.when(place >= F.size(own), rest))
+            return F.when(
+                carried.isNotNull(), F.struct(carried["text"].alias("text"), (carried["below"] - 1).alias("below"))
+            ).otherwise(F.get(own, place))
+
+        width = F.size(carry) + F.size(own)
+        columns = F.when(width > 0, F.sequence(F.lit(0), width - 1)).otherwise(F.array().cast("array<int>"))
+        return F.transform(columns, cell).cast(_CELL)
+
+    def step(state: Column, own: Column) -> Column:
+        def next_state(cells: Column) -> Column:
+            at = F.transform(cells, lambda c, i: F.struct(i.alias("at"), c["text"].alias("text"), c["below"].alias("below")))
+            carry = F.filter(at, lambda c: c["below"] > 0)
+            return F.struct(carry.alias("carry"), F.array_append(state["grid"], _texts(cells)).alias("grid"))
+
+        return _let(placed(state["carry"], own), next_state)
+
+    def finish(state: Column) -> Column:
+        most = F.array_max(F.transform(state["carry"], lambda c: c["below"]))
+        more = F.transform(F.sequence(F.lit(1), most), lambda n: _texts(F.filter(state["carry"], lambda c: c["below"] >= n)))
+        return F.when(F.size(state["carry"]) > 0, F.concat(state["grid"], more)).otherwise(state["grid"])
+
+    return F.aggregate(rows, start, step, finish)
+
+
+def _body_rows(rows: Column) -> Column:
+    """array<array<string>>: the cells' texts of a table's rows, with spans filled."""
+    reaching = F.exists(rows, lambda r: r.rlike(r"(?i)\browspan\b"))
+    return F.when(reaching, _filled(F.transform(rows, _row_cells))).otherwise(F.transform(rows, lambda r: _texts(_row_cells(r))))
+
+
+def table_contents(html: Column) -> Column:
+    """array<string>: what lies within each table, in the order of the start tags.
+
+    A depth is counted over the start and end tags, so a table ends at its own end tag. Tables inside a
+    table are entries of their own, and bare text where they stand, as part of their cell.
+    """
+    visible = F.regexp_replace(html, r"(?is)<!--.*?-->|<script\b.*?</script\s*>", "")
+
+    def opens(piece: Column) -> Column:
+        return piece.rlike(r"(?i)^<table\b")
+
+    def depths(pieces: Column) -> Column:
+        def step(done: Column, piece: Column) -> Column:
+            last = F.coalesce(F.get(done, F.size(done) - 1), F.lit(0))
+            closed = F.when(piece.rlike(r"(?i)^</table"), F.greatest(last - 1, F.lit(0))).otherwise(last)
+            return F.array_append(done, F.when(opens(piece), last + 1).otherwise(closed))
+
+        return F.aggregate(pieces, F.array().cast("array<int>"), step)
+
+    def contents(both: Column) -> Column:
+        pieces, levels = both["pieces"], both["levels"]
+
+        def content(at: Column) -> Column:
+            level = F.get(levels, at)
+            ends = F.array_position(F.transform(F.slice(levels, at + 2, F.size(levels)), lambda x: x < level), F.lit(True))
+            length = F.when(ends > 0, ends.cast("int")).otherwise(F.size(levels) - at)
+            own = F.zip_with(
+                F.slice(pieces, at + 1, length),
+                F.slice(levels, at + 1, length),
+                lambda piece, x: F.when(x == level, piece).otherwise(F.regexp_replace(piece, r"<[^>]*>", "")),
+            )
+            return F.regexp_replace(F.array_join(own, ""), r"(?is)^<table\b[^>]*>", "")
+
+        starts = F.filter(F.sequence(F.lit(0), F.size(pieces) - 1), lambda i: opens(F.get(pieces, i)))
+        return F.transform(starts, content)
+
+    pieces = F.split(visible, r"(?i)(?=<table\b|</table\s*>)")
+    return _let(pieces, lambda p: _let(F.struct(p.alias("pieces"), depths(p).alias("levels")), contents))
+
+
+def table_parts(html: Column) -> Column:
+    """array<struct<header array<string>, body array<string>>> of a page: header texts and unread rows.
 
     The header is the first row in ``<thead>``, whatever its cells; without one it is the first row
     if that has ``<th>`` cells only, else empty. Further rows in ``<thead>`` and rows of ``<th>`` cells
-    only are dropped. Columns that a cell spans are filled; ``rowspan`` is not looked at.
+    only are dropped. Columns that a cell spans are filled.
     """
-    visible = F.regexp_replace(html, r"(?is)<!--.*?-->|<script\b.*?</script\s*>", "")
-    tables = _each(visible, r"(?is)<table\b[^>]*>(.*?)(?:</table\s*>|\z)")
 
     def is_header(row: Column) -> Column:
         return row.rlike(r"(?i)<th\b") & ~row.rlike(r"(?i)<td\b")
 
-    def table(content: Column) -> Column:
+    def parts(content: Column) -> Column:
         top = r"(?is)<thead\b[^>]*>(.*?)(?:</thead\s*>|(?=<tbody\b)|\z)"
         head = _each(F.regexp_extract(content, top, 1), _element("tr", "tr"))
         rows = _each(F.regexp_replace(content, top, ""), _element("tr", "tr"))
         first = F.get(rows, F.lit(0))
         header = F.when(F.size(head) > 0, F.get(head, F.lit(0))).when(is_header(first), first)
-        body = F.filter(rows, lambda r: ~is_header(r))
         empty = F.array().cast("array<string>")
         return F.struct(
-            F.coalesce(_cells(header), empty).alias("header"),
-            F.transform(body, _cells).alias("rows"),
+            F.coalesce(_texts(_row_cells(header)), empty).alias("header"),
+            F.filter(rows, lambda r: ~is_header(r)).alias("body"),
         )
 
-    return F.transform(tables, table)
+    return F.transform(table_contents(html), parts)
 
 
-def find_table(
-    pages: DataFrame,
-    keep: Sequence[str],
-    html: str = "html",
-    signature: Sequence[str] = SIGNATURE,
-    third_table_fallback: bool = False,
-) -> DataFrame:
-    """One row per page: ``keep``, ``status``, ``n_tables``, ``header`` and ``rows``.
+def parsed_tables(html: Column) -> Column:
+    """array<struct<header array<string>, rows array<array<string>>>> of a page; see ``table_parts``."""
+    return F.transform(table_parts(html), lambda t: F.struct(t["header"].alias("header"), _body_rows(t["body"]).alias("rows")))
 
-    The table is the first whose header contains every signature text, ignoring
-    case. ``status`` is ``ok``, ``no_tables`` or ``signature_missing``. With the
-    fallback, a page with more than two tables yields its third one instead.
-    """
+
+def _judged(pages: DataFrame, keep: Sequence[str], html: str, signature: Sequence[str], third_table_fallback: bool) -> DataFrame:
+    """``keep``, ``status``, ``n_tables``, and ``header`` and unread ``body`` of the table that is looked for."""
 
     def has_column(table: Column, text: str) -> Column:
         return F.exists(table["header"], lambda h: F.contains(F.lower(h), F.lit(text.lower())))
@@ -136,7 +232,7 @@ def find_table(
     def matches(table: Column) -> Column:
         return reduce(lambda a, b: a & b, [has_column(table, text) for text in signature])
 
-    parsed = computed_once(parsed_tables(F.col(html)))
+    parsed = computed_once(table_parts(F.col(html)))
     tables = pages.select(*keep, parsed.alias("tables"))
     chosen = F.get(F.filter("tables", matches), F.lit(0))
     if third_table_fallback:
@@ -147,14 +243,32 @@ def find_table(
         .when(F.col("chosen").isNull(), "signature_missing")
         .otherwise("ok")
     )
-    return found.select(*keep, status.alias("status"), "n_tables", "chosen.header", "chosen.rows")
+    return found.select(*keep, status.alias("status"), "n_tables", "chosen.header", "chosen.body")
+
+
+def find_table(
+    pages: DataFrame,
+    keep: Sequence[str],
+    html: str = "html",
+    signature: Sequence[str] = SIGNATURE,
+    third_table_fallback: bool = False,
+) -> DataFrame:
+    """One row per page: ``keep``, ``status``, ``n_tables``, ``header`` and ``rows``.
+
+    The table is the first whose header contains every signature text, ignoring
+    case. ``status`` is ``ok``, ``no_tables`` or ``signature_missing``. With the
+    fallback, a page with more than two tables yields its third one instead. Cells are
+    read of that table only.
+    """
+    judged = _judged(pages, keep, html, signature, third_table_fallback)
+    return judged.select(*keep, "status", "n_tables", "header", computed_once(_body_rows(F.col("body"))).alias("rows"))
 
 
 def drift_status(
     pages: DataFrame, keep: Sequence[str], html: str = "html", signature: Sequence[str] = SIGNATURE
 ) -> DataFrame:
-    """``keep`` and the page's status."""
-    return find_table(pages, keep, html, signature).select(*keep, "status")
+    """``keep`` and the page's status, from the headers alone."""
+    return _judged(pages, keep, html, signature, False).select(*keep, "status")
 
 
 def require_table(found: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
@@ -70,10 +71,15 @@ def table_path(layer_root: str, table: str) -> str:
 
 def partition_path(layer_root: str, table: str, date: dt.date | None = None) -> str:
     date = date or dt.datetime.now(dt.UTC).date()
-    return f"{table_path(layer_root, table)}/{DATE_COLUMN}={date:%Y-%m-%d}"
+    return f"{table_path(layer_root, table)}/{date_partition(date)}"
 
 
-def _writer(df: DataFrame, compression: str, dictionary: bool, row_group_bytes: int | None = None):
+def date_partition(date: dt.date) -> str:
+    return f"{DATE_COLUMN}={date:%Y-%m-%d}"
+
+
+def table_writer(df: DataFrame, compression: str = "snappy", dictionary: bool = True, row_group_bytes: int | None = None):
+    """A Parquet writer with a codec, dictionaries or none, and a row group size."""
     if compression not in CODECS:
         raise ValueError(f"compression must be one of {CODECS}")
     options = {"compression": compression, "parquet.enable.dictionary": str(dictionary).lower()}
@@ -95,8 +101,8 @@ def write_partition(
     The partition's own folder is overwritten, so an empty frame empties it.
     """
     date = date or dt.datetime.now(dt.UTC).date()
-    writer = _writer(df.drop(DATE_COLUMN), compression, dictionary, row_group_bytes)
-    writer.mode("overwrite").parquet(f"{root.rstrip('/')}/{DATE_COLUMN}={date:%Y-%m-%d}")
+    writer = table_writer(df.drop(DATE_COLUMN), compression, dictionary, row_group_bytes)
+    writer.mode("overwrite").parquet(f"{root.rstrip('/')}/{date_partition(date)}")
 
 
 def read_table(spark: SparkSession, root: str, schema: T.StructType | None = None) -> DataFrame:
@@ -115,11 +121,15 @@ def read_partition(
 
 
 def read_with_row_id(spark: SparkSession, path: str, name: str = "row_id") -> DataFrame:
-    """A Parquet table with a row id from file and position, the same on every read.
+    """A Parquet table with a row id; see ``with_row_id``."""
+    return with_row_id(spark.read.parquet(path), name)
+
+
+def with_row_id(df: DataFrame, name: str = "row_id") -> DataFrame:
+    """A frame that reads files, with a row id from file and position, the same on every read.
 
     Tells identical rows apart, which a hash of the values cannot.
     """
-    df = spark.read.parquet(path)
     row = F.xxhash64(F.col("_metadata.file_path"), F.col("_metadata.row_index"))
     return df.select(*df.columns, row.alias(name))
 
@@ -130,11 +140,23 @@ def write_full_refresh(
     """Replace a table, unless ``given`` is passed and empty. Returns whether it wrote.
 
     ``given`` is the raw input: testing that reads one row, whereas testing a
-    joined result would run its shuffles a second time.
+    joined result would run its shuffles a second time. The new table is written beside the old one, which is
+    there until the new one is complete; ``commits`` replaces several tables in one step.
     """
     if given is not None and given.isEmpty():
         return False
-    _writer(df, compression, True).mode("overwrite").parquet(path)
+    spark = df.sparkSession
+    fresh, old = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (f"{path.rstrip('/')}.{uuid.uuid4().hex}", path))
+    fs = old.getFileSystem(spark._jsc.hadoopConfiguration())
+    try:
+        table_writer(df, compression).parquet(fresh.toString())
+        fs.delete(old, True)
+        if not fs.rename(fresh, old):
+            raise OSError(f"{fresh.toString()} could not be renamed to {path}")
+    except BaseException:
+        if fs.exists(old):  # otherwise the new table is all there is
+            fs.delete(fresh, True)
+        raise
     return True
 
 

@@ -16,7 +16,7 @@ from pavilion.operators.reshape import flatten_balls, flatten_matches, flatten_w
 from pavilion.plans.daily import conform_audited
 from pavilion.schemas import BRONZE_BATTING, MATCH_DOCUMENT, WEATHER_DOCUMENT, with_key
 from pavilion.session import materialize, new_folder
-from pavilion.sources import archives, enrich, html, tables
+from pavilion.sources import archives, commits, enrich, html, infer, tables
 from pavilion.workload.ctes import with_tables
 from pavilion.workload.registry import query
 
@@ -230,6 +230,60 @@ def write_full_refresh(src):
     return src.spark.read.schema(orders.schema).parquet(path)
 
 
+@query(
+    "commit_of_tables",
+    f"""select 'orders' as name, {_ORDERS} from orders union all select 'revised', {_REVISED} from orders
+    union all select 'by date', {_ORDERS} from orders where o_orderkey % 2 = 1 union all select 'by date', {_REVISED} from orders""",
+)
+def commit_of_tables(src):
+    """Three tables of one commit, of which the next run replaces a date of one; a third run dies after its first table."""
+    root, orders = new_folder(src.spark, "commits"), _orders(src)
+    names = [f"{root}/{name}" for name in ("orders", "revised", "by date")]
+    with commits.Run(src.spark, f"{root}/log") as run:
+        run.write(names[0], orders)
+        run.write(names[1], _revised(orders))
+        for date in (DAY1, DAY2):
+            run.write(names[2], orders, date)
+        run.publish()
+    with commits.Run(src.spark, f"{root}/log") as run:
+        run.write(names[2], _revised(orders), DAY1)
+        run.write(names[2], orders.where("o_orderkey % 2 = 1"), DAY2)
+        run.publish()
+    try:
+        with commits.Run(src.spark, f"{root}/log") as run:
+            run.write(names[0], orders.limit(0))
+            raise InterruptedError
+    except InterruptedError:
+        pass
+    seen = commits.published(src.spark, f"{root}/log")
+    parts = [commits.read(src.spark, f"{root}/log", n, orders.schema, manifest=seen).drop(tables.DATE_COLUMN) for n in names]
+    named = [p.select(F.lit(n.rsplit("/", 1)[1]).alias("name"), *orders.columns) for n, p in zip(names, parts, strict=True)]
+    return named[0].unionByName(named[1]).unionByName(named[2])
+
+
+@query(
+    "quarantine_one_pass",
+    """select o_orderkey, o_totalprice, null::varchar as reasons from orders where o_totalprice < 200000 and o_orderkey % 7 <> 0
+    union all select o_orderkey, o_totalprice, concat_ws(',', case when o_orderkey % 7 = 0 then 'o_orderkey:sevenths' end, case when not o_totalprice < 200000 then 'o_totalprice:price' end)
+    from orders where not (o_totalprice < 200000 and o_orderkey % 7 <> 0)""",
+)
+def quarantine_one_pass(src):
+    """Valid and rejected orders, both read from one write that is split by the verdict."""
+    root = new_folder(src.spark, "split")
+    checks = [
+        quality.Check("sevenths", "o_orderkey", F.col("o_orderkey") % 7 == 0),
+        quality.Check("price", "o_totalprice", F.col("o_totalprice") >= 200000),
+    ]
+    orders = src["orders"].select("o_orderkey", "o_totalprice")
+    with commits.Run(src.spark, f"{root}/log") as run:
+        run.write_split(f"{root}/valid", f"{root}/rejected", orders, checks, DAY1)
+        run.publish()
+    valid = commits.read(src.spark, f"{root}/log", f"{root}/valid", orders.schema)
+    bad = commits.read(src.spark, f"{root}/log", f"{root}/rejected", orders.schema)
+    reasons = F.concat_ws(",", "reasons").alias("reasons")
+    return valid.select(*orders.columns, F.lit(None).cast("string").alias("reasons")).unionByName(bad.select(*orders.columns, reasons))
+
+
 @query(
     "row_audit",
     with_tables(
@@ -383,3 +437,75 @@ def html_headers_and_references(src):
     return html.table_rows(found, ["page_id"]).select(
         "page_id", F.get("header", F.lit(0)).alias("first_header"), "row_idx", F.array_join("cells", "|").alias("cells")
     )
+
+
+_SPANS = """(select page_id, unnest([
+  {'table_no': 0, 'row_idx': 0, 'cells': 'outer|first a1 a2b1|' || page_id},
+  {'table_no': 0, 'row_idx': 1, 'cells': 'outer|second|' || page_id},
+  {'table_no': 0, 'row_idx': 2, 'cells': 'tail|tail|last'},
+  {'table_no': 0, 'row_idx': 3, 'cells': 'last'},
+  {'table_no': 1, 'row_idx': 0, 'cells': 'a1|a2'},
+  {'table_no': 1, 'row_idx': 1, 'cells': 'b1|a2'}]) as r from pages)"""
+
+
+@query("html_spans_and_nested", f"select page_id, r.table_no, r.row_idx, r.cells from {_SPANS}")
+def html_spans_and_nested(src):
+    """Every page has a table with cells over several rows and columns, and a table inside a cell."""
+    inner = "<TABLE><tr><td>a1<td rowspan=2> a2</tr><tr><td>b1</table>"
+    page = F.concat(
+        F.lit(f"<p><table class=x><tr><td rowspan='2'>outer</td><td>first {inner}</td><td rowspan=2>"),
+        F.col("page_id").cast("string"),
+        F.lit("</td></tr><tr><td>second</td></tr><tr><td colspan=2>tail</td><td rowspan=2>last</td></tr></table></table>"),
+    )
+    tables = F.posexplode(html.parsed_tables(F.col("html"))).alias("table_no", "t")
+    parsed = src.spread("pages").select("page_id", page.alias("html")).select("page_id", tables)
+    rows = parsed.select("page_id", "table_no", F.posexplode("t.rows").alias("row_idx", "row"))
+    return rows.select("page_id", "table_no", "row_idx", F.array_join("row", "|").alias("cells"))
+
+
+_CELLS = """cells as (
+  select o_orderkey::varchar as id, o_totalprice::varchar as price, (o_orderkey % 2 = 0)::varchar as even,
+    strftime(o_orderdate, '%Y-%m-%d') as day, strftime(o_orderdate, '%Y-%m-%d') || ' 12:30:00' as noon,
+    case when o_orderkey = (select max(o_orderkey) from orders) then 'n/k' else o_custkey::varchar end as late,
+    case when o_orderkey % 3 = 0 then 'NA' else (o_orderkey * 2)::varchar end as gaps,
+    case when o_orderkey = (select min(o_orderkey) from orders) then '2.5' else o_orderkey::varchar end as half, 'NULL' as nothing from orders)"""
+
+
+def _cells_file(src) -> str:
+    """A CSV file of every type; one column turns to text by its very last cell."""
+    path = new_folder(src.spark, "csv")
+    low, high = src["orders"].agg(F.min("o_orderkey"), F.max("o_orderkey")).first()
+    rows = src["orders"].select(
+        F.expr("cast(o_orderkey as string)").alias("id"),
+        F.expr("cast(o_totalprice as string)").alias("price"),
+        F.expr("initcap(cast(o_orderkey % 2 = 0 as string))").alias("even"),
+        F.expr("date_format(o_orderdate, 'yyyy-MM-dd')").alias("day"),
+        F.expr("concat(date_format(o_orderdate, 'yyyy-MM-dd'), ' 12:30:00')").alias("noon"),
+        F.expr(f"if(o_orderkey = {high}, 'n/k', cast(o_custkey as string))").alias("late"),
+        F.expr("if(o_orderkey % 3 = 0, 'NA', concat(' ', o_orderkey * 2))").alias("gaps"),
+        F.expr(f"if(o_orderkey = {low}, '2.5', cast(o_orderkey as string))").alias("half"),
+        F.lit("NULL").alias("nothing"),
+    )
+    rows.write.option("header", True).option("ignoreLeadingWhiteSpace", False).csv(path)
+    return path
+
+
+@query(
+    "infer_types",
+    f"""with {_CELLS}, n as (select count(*) as n, count(*) filter (gaps <> 'NA') as g from cells)
+    select * from (select unnest(['id', 'price', 'even', 'day', 'noon', 'late', 'gaps', 'half', 'nothing']) as column_name,
+      unnest(['bigint', 'double', 'boolean', 'date', 'timestamp', 'string', 'bigint', 'double', 'string']) as data_type,
+      unnest([n, n, n, n, n, n, g, n, 0]) as n_values from n)""",
+)
+def infer_types(src):
+    return infer.column_types(src.spark.read.option("header", True).csv(_cells_file(src)))
+
+
+@query(
+    "scan_csv_typed",
+    f"""with {_CELLS} select id::bigint as id, price::double as price, even::boolean as even, day, noon, late,
+      try_cast(gaps as bigint) as gaps, half::double as half, null::varchar as nothing from cells""",
+)
+def scan_csv_typed(src):
+    rows = infer.scan_csv_typed(src.spark, _cells_file(src))
+    return rows.withColumns({"day": F.date_format("day", "yyyy-MM-dd"), "noon": F.date_format("noon", "yyyy-MM-dd HH:mm:ss")})

@@ -11,13 +11,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from pavilion.config import GateRule, MartRule, RoleRule
-from pavilion.operators.quality import QualityGateFailure, TableTest
+from pavilion.operators.quality import Check, QualityGateFailure, TableTest
 from pavilion.operators.reshape import distinct_values, unpivot_metrics
 from pavilion.plans import daily, marts, refit, serving, staging
 from pavilion.plans.contracts import batting_contract, bowling_contract
 from pavilion.schemas import MATCH_DOCUMENT, WEATHER_DOCUMENT
 from pavilion.session import materialize, shared_folder
-from pavilion.sources import tables
+from pavilion.sources import commits, tables
 from pavilion.workload import models
 
 DAY = dt.date(2024, 6, 15)
@@ -64,7 +64,7 @@ def documents(spark):
 
 
 def gold(spark, layers, name):
-    return spark.read.parquet(f"{layers.gold}/{name}")
+    return daily.published(spark, layers, f"{layers.gold}/{name}")
 
 
 def test_daily_run(spark, layers):
@@ -85,7 +85,7 @@ def test_daily_run(spark, layers):
     assert serving.rankings_bowlers(bowlers, 1).first()["primary_metric"] == 152
     wide = gold(spark, layers, "player_stats")
     assert wide.count() == 40 and wide.where("bowl_wickets is not null").count() == 19
-    broken = tables.read_partition(spark, f"{layers.rejects}/matches", DAY).collect()
+    broken = daily.published(spark, layers, f"{layers.rejects}/matches").collect()
     assert [(r["match_id"], r["reasons"]) for r in broken] == [("4", ["document:json"])]
     fact = gold(spark, layers, "fact_ball_by_ball")
     assert fact.count() == 6 and fact.agg(F.sum("is_wicket")).first()[0] == 3
@@ -102,7 +102,8 @@ def test_daily_run(spark, layers):
 def test_gate_halts_before_silver(spark, layers):
     with pytest.raises(QualityGateFailure, match="row_count"):
         daily.run_daily(spark, layers, DAY, contracts=contracts(30))
-    assert not os.path.exists(layers.gold) and not os.path.exists(f"{layers.silver}/batting")
+    assert commits.published(spark, layers.commits) == commits.Manifest()
+    assert not [f for _, _, files in os.walk(layers.silver) for f in files] and not os.path.exists(layers.gold)
 
 
 def test_a_failed_test_leaves_the_tables_of_the_day_before(spark, layers, monkeypatch):
@@ -127,12 +128,77 @@ def test_rejected_rows_are_published_as_quarantine(spark, layers):
     tables.write_partition(rows.unionByName(bad), root, DAY)
     audits = daily.run_daily(spark, layers, DAY, contracts=contracts(10))
     assert (audits[0].rows_in, audits[0].rows_out, audits[0].quarantined) == (41, 40, 1)
-    (row,) = tables.read_partition(spark, f"{layers.rejects}/batting", DAY).collect()
+    (row,) = daily.published(spark, layers, f"{layers.rejects}/batting").collect()
     assert (row["player"], row["reasons"]) == ("too many", ["runs:le"])
     # The same day without the bad row empties the quarantine.
     tables.write_partition(rows, root, DAY)
     daily.run_daily(spark, layers, DAY, contracts=contracts(10))
-    assert tables.read_partition(spark, f"{layers.rejects}/batting", DAY).count() == 0
+    assert daily.published(spark, layers, f"{layers.rejects}/batting").count() == 0
+    assert daily.silver_tables(spark, layers)["batting"].count() == 40
+
+
+def contents(spark, layers):
+    """All rows of all published tables, by name."""
+    manifest = commits.published(spark, layers.commits)
+    return {t: sorted(map(str, daily.published(spark, layers, t, manifest=manifest).collect())) for t in manifest.tables}
+
+
+def repeated_match(spark, number):
+    """Documents of which one match comes twice, in its matches or its weather."""
+    frames = list(documents(spark))
+    frames[number] = frames[number].unionByName(frames[number].where("match_id = '1'"))
+    return frames
+
+
+@pytest.mark.parametrize("number", [0, 1])
+def test_a_repeated_match_changes_no_table(spark, layers, number):
+    docs, weather = documents(spark)
+    daily.run_daily(spark, layers, DAY, contracts=contracts(10), documents=docs, weather=weather)
+    before = contents(spark, layers)
+    assert {f"{layers.gold}/fact_ball_by_ball", f"{layers.silver}/balls", f"{layers.gold}/dim_player", f"{layers.rejects}/batting"} <= set(before)
+    docs, weather = repeated_match(spark, number)
+    with pytest.raises(QualityGateFailure, match="match_id: unique"):
+        daily.run_daily(spark, layers, DAY, contracts=contracts(10), documents=docs, weather=weather)
+    assert contents(spark, layers) == before
+
+
+@pytest.mark.parametrize("failing", [2, 5, 9])
+def test_a_run_that_dies_between_two_tables_changes_none(spark, layers, monkeypatch, failing):
+    docs, weather = documents(spark)
+    options = {"contracts": contracts(10), "documents": docs, "weather": weather}
+    daily.run_daily(spark, layers, DAY, **options)
+    before, count, write = contents(spark, layers), [0], commits.Run.write
+
+    def dying(self, *args, **kw):
+        count[0] += 1
+        if count[0] == failing:
+            raise OSError("the disk is gone")
+        return write(self, *args, **kw)
+
+    monkeypatch.setattr(commits.Run, "write", dying)
+    with pytest.raises(OSError, match="gone"):
+        daily.run_daily(spark, layers, DAY, **options)
+    assert contents(spark, layers) == before and commits.versions(spark, layers.commits) == [1]
+    monkeypatch.setattr(commits.Run, "write", write)
+    daily.run_daily(spark, layers, DAY, **options)
+    assert contents(spark, layers) == before and commits.versions(spark, layers.commits) == [1, 2]
+
+
+def test_valid_and_rejected_rows_are_one_write(spark, layers):
+    """The input is scanned once, and rows are counted in the same job."""
+    checks = [Check("positive", "n", F.col("n") <= 0)]
+    path = f"{layers.bronze}/numbers"
+    spark.range(-2, 5).withColumnRenamed("id", "n").write.parquet(path)
+    with commits.Run(spark, layers.commits) as run:
+        jobs = spark.sparkContext.statusTracker()
+        spark.sparkContext.setJobGroup("split", "split")
+        run.write_split(f"{layers.silver}/n", f"{layers.rejects}/n", spark.read.parquet(path), checks, DAY)
+        assert len(jobs.getJobIdsForGroup("split")) == 2  # the schema of the input, and the write
+        spark.sparkContext.setJobGroup("other", "other")
+        run.publish()
+    assert sorted(r["n"] for r in daily.published(spark, layers, f"{layers.silver}/n").collect()) == [1, 2, 3, 4]
+    bad = daily.published(spark, layers, f"{layers.rejects}/n").collect()
+    assert sorted((r["n"], *r["reasons"]) for r in bad) == [(-2, "n:positive"), (-1, "n:positive"), (0, "n:positive")]
 
 
 def test_days_meet_themselves_only(spark, layers):

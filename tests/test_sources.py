@@ -16,7 +16,7 @@ from pavilion import session
 from pavilion.operators import quality
 from pavilion.operators.reshape import flatten_balls, flatten_matches, flatten_weather
 from pavilion.schemas import BRONZE_BATTING, GEOCODE_DOCUMENT, MATCH_DOCUMENT, WEATHER_DOCUMENT
-from pavilion.sources import archives, enrich, html, tables
+from pavilion.sources import archives, enrich, html, infer, tables
 
 DAY1, DAY2 = dt.date(2024, 6, 15), dt.date(2024, 6, 16)
 
@@ -304,10 +304,76 @@ def test_drift(spark):
     assert {r["id"] for r in third.where("status = 'ok'").collect()} == {0, 5}
 
 
+SPANNED = [
+    # (rows of a table, its cells), as they are read by eye.
+    ("<tr><td rowspan=2>a<td>b<tr><td>c", [["a", "b"], ["a", "c"]]),
+    ("<tr><td>a<td rowspan=3>b<tr><td>c<tr><td>d", [["a", "b"], ["c", "b"], ["d", "b"]]),
+    ("<tr><td rowspan=2 colspan=2>x<td>y<tr><td>z", [["x", "x", "y"], ["x", "x", "z"]]),
+    ("<tr><td rowspan=2>a<td rowspan=2>b<tr><tr><td>c", [["a", "b"], ["a", "b"], ["c"]]),
+    ("<tr><td>a<td rowspan=3>b", [["a", "b"], ["b"], ["b"]]),  # beyond the last row
+    ("<tr><td>a<td>b<td rowspan=2>c<tr><td>d", [["a", "b", "c"], ["d", "c"]]),  # a row too short to reach the cell
+    ("<tr><td rowspan=0>a<td rowspan=x>b<td rowspan='1'>c", [["a", "b", "c"]]),
+    ("", []),
+]
+
+
+@pytest.mark.parametrize(("rows", "cells"), SPANNED)
+def test_cells_over_several_rows(spark, rows, cells):
+    df = pages(spark, f"<table>{rows}</table>").select(html.parsed_tables(F.col("html")).alias("t"))
+    (found,) = df.first()["t"]
+    assert found["rows"] == cells
+
+
+def test_tables_inside_tables(spark):
+    deepest = "<table id=c><tr><td>deep<td>2</table>"
+    inner = f"<table id=b><thead><tr><th>Player<th>Runs</thead><tr><td>in {deepest}<td>1</table>"
+    page = f"</table><table id=a><tr><td>x {inner}</td><td>y</td></tr><tr><td>z</table><table><tr><td>last"
+    found = pages(spark, page, "no table", "<table>", None).select("id", html.parsed_tables(F.col("html")).alias("t")).collect()
+    tables = [(t["header"], t["rows"]) for t in found[0]["t"]]
+    assert tables == [
+        ([], [["x PlayerRunsin deep21", "y"], ["z"]]),
+        (["Player", "Runs"], [["in deep2", "1"]]),
+        ([], [["deep", "2"]]),
+        ([], [["last"]]),
+    ]
+    assert [None if r["t"] is None else len(r["t"]) for r in found[1:]] == [0, 1, None]
+    assert tuple(html.find_table(pages(spark, page), ["id"]).select("status", "n_tables").first()) == ("ok", 4)
+
+
+KINDS = [
+    # (cells, type that all of them fit, cells that are values)
+    (["true", "FALSE", None, " True "], "boolean", 3), (["1", "-2", "+3", "007"], "bigint", 4), (["1", "2.5", "1e3"], "double", 3),
+    (["9223372036854775807", "9223372036854775808"], "double", 2), (["2024-02-29", "NA"], "date", 1), (["2024-02-30"], "string", 1),
+    (["2024-01-01", "2024-01-01 10:00:00"], "timestamp", 2), (["1", "true"], "string", 2), (["", "NULL", None, " "], "string", 0),
+    (["1"] * 50 + ["x"], "string", 51), (["12d"], "string", 1), (["-"], "string", 1),
+]
+
+
+def test_inferred_types(spark):
+    names = [f"c.{i}" for i in range(len(KINDS))]
+    rows = [tuple(cells[r] if r < len(cells) else None for cells, _, _ in KINDS) for r in range(51)]
+    df = spark.createDataFrame(rows, ", ".join(f"`{n}` string" for n in names)).repartition(4)
+    found = {r["column_name"]: (r["data_type"], r["n_values"]) for r in infer.column_types(df).collect()}
+    assert found == {n: (kind, values) for n, (_, kind, values) in zip(names, KINDS, strict=True)}
+    schema = infer.infer_types(df)
+    typed = infer.typed(df, schema)
+    assert [t for _, t in typed.dtypes] == [kind for _, kind, _ in KINDS]
+    assert list(typed.agg(*[F.count(f"`{n}`") for n in names]).first()) == [values for _, _, values in KINDS]
+
+
+def test_inference_is_one_scan_without_text_shuffles(spark, tmp_path):
+    path = str(tmp_path / "csv")
+    spark.range(100).selectExpr("string(id) as a", "string(id / 2) as b").write.option("header", True).csv(path)
+    plan = infer.column_types(spark.read.option("header", True).csv(path))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan csv") == 1 and plan.count("Exchange") == 1 and "SinglePartition" in plan
+    assert infer.scan_csv_typed(spark, path).dtypes == [("a", "bigint"), ("b", "double")]
+    assert infer.column_types(spark.createDataFrame([], "a string")).first()["data_type"] == "string"
+
+
 def test_pages_are_parsed_once(spark):
     found = html.find_table(pages(spark, PAGE), ["id"]).where("status = 'ok'")
     plan = html.table_rows(found, ["id"])._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count(r"<table\b") == 1
+    assert plan.count("<!--") == 1
 
 
 def test_pages_until_the_first_empty_one(spark):
