@@ -18,6 +18,7 @@ import itertools
 import math
 import os
 import re
+from array import array
 from collections.abc import Iterator, Sequence
 from typing import NamedTuple
 
@@ -31,11 +32,11 @@ from pyspark.sql.pandas.types import to_arrow_type
 from pavilion.session import discard, materialize, new_folder
 
 #: Characters and documents after which a chunk is full; a longer text makes a chunk of its own.
-CHUNK_CHARS, CHUNK_DOCS = 1 << 22, 1 << 15
+CHUNK_CHARS, CHUNK_DOCS = 1 << 21, 1 << 15
 #: Characters encoded at once, and those of the words whose ids a task keeps.
-_PACK_CHARS, _KNOWN_CHARS = 1 << 19, 1 << 22
+_PACK_CHARS, _KNOWN_CHARS = 1 << 18, 1 << 21
 #: Links made at once; a group of more than the second number is counted by distinct ids.
-_LINKS, _WIDE_GROUP = 1 << 21, 1 << 12
+_LINKS, _WIDE_GROUP = 1 << 19, 1 << 12
 #: Records of a run read at once, and runs merged in one task.
 _BLOCK, MERGE_RUNS = 1 << 15, 64
 
@@ -102,8 +103,8 @@ class Encoders:
         self.known: dict[str, int] = {}
         self.chars = 0
         self.good: list[bool] = []
-        self.ids: tuple[list[int], list[int]] = ([], [])
-        self.bounds: tuple[list[int], list[int]] = ([0], [0])
+        self.ids = array("i"), array("i")
+        self.bounds = array("q", [0]), array("q", [0])
 
     def learn(self, words: Sequence[str]) -> None:
         """Encode words that are not known, each as space and word, and see whether the bytes of both are those."""
@@ -141,11 +142,11 @@ class Encoders:
         codes, of = codes[good[of]], of[good[of]]
         out = []
         for ids, bounds in zip(self.ids, self.bounds, strict=True):
-            bounds = np.array(bounds, np.int64)
+            bounds, ids = np.array(bounds, np.int64), np.array(ids, np.int64)
             sizes = bounds[codes + 1] - bounds[codes]
             first = np.concatenate([[0], np.cumsum(sizes)])[:-1]
             at = np.arange(int(sizes.sum())) + np.repeat(bounds[codes] - first, sizes)
-            out += [np.array(ids, np.int64)[at], np.repeat(of, sizes)]
+            out += [ids[at], np.repeat(of, sizes)]
         return tuple(out)
 
 
