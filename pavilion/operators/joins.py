@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from pavilion.config import SALT_BUCKETS
 
@@ -63,12 +64,48 @@ def salted_join(
     return salted_left.join(_hinted(salted_right, hint), [on, _SALT], how).drop(_SALT)
 
 
+# Key types that Spark's frequent-items sketch takes; others are counted exactly.
+_SKETCHED = (T.StringType, T.NumericType, T.BooleanType, T.DateType, T.TimestampType)
+# Fixed values of that sketch: its error is 3.5 rows in as many as its table has places, a power of two, of
+# which three quarters are used; it takes at most a million keys.
+_SKETCH_ERROR, _SKETCH_MOST = 3.5, 1_000_000
+_SKETCH_GROUPS = 64  # sketches are combined in two steps, so that no task combines those of all others
+
+
+def frequent_keys(df: DataFrame, on: str, at_least: int) -> DataFrame | None:
+    """Keys of which some have more than ``at_least`` rows, and none that has is missing; None where that would not fit a sketch.
+
+    A sketch per task, combined in two steps; no key is shuffled by itself. A key is reported if it surely has more
+    rows than the sketch's error, and the sketch is made large enough for that to be half of
+    ``at_least``. So there are at most twice as many keys as tasks of ``at_least`` rows.
+    """
+    if not isinstance(df.schema[on].dataType, _SKETCHED):
+        return None
+    places = 2 * _SKETCH_ERROR * df.count() / max(at_least, 1)  # from the files' own counts where the frame is stored
+    tracked = max(64, math.ceil(places))
+    if tracked > _SKETCH_MOST:
+        return None
+    keys = df.where(F.col(on).isNotNull()).select(F.col(on).alias("__key"))
+    group = F.pmod(F.spark_partition_id(), F.lit(_SKETCH_GROUPS)).alias("__group")
+    sketches = keys.groupBy(group).agg(F.expr(f"approx_top_k_accumulate(__key, {tracked})").alias("__sketch"))
+    # Grouped, by a constant: without a key, tasks that have no sketch would hand on an empty one, which cannot be combined.
+    combined = sketches.groupBy(F.lit(0).alias("__all")).agg(F.expr("approx_top_k_combine(__sketch)").alias("__sketch"))
+    found = combined.select(F.explode(F.expr(f"approx_top_k_estimate(__sketch, {tracked})")).alias("__found"))
+    return found.select(F.col("__found.item").alias(on))
+
+
 def hot_keys(df: DataFrame, on: str, rows_per_task: int) -> DataFrame:
     """Keys with more than ``rows_per_task`` rows and the number of salts each needs.
 
-    Counts are combined before the shuffle and only the key column is read.
+    A sketch names the candidates, and only their rows are counted, exactly. Where a sketch would have to be too large
+    all keys are counted, combined before the shuffle. Only the key column is read.
     """
-    counts = df.where(F.col(on).isNotNull()).groupBy(on).agg(F.count(F.lit(1)).alias("__rows"))
+    keys = df.where(F.col(on).isNotNull()).select(on)
+    candidates = frequent_keys(df, on, rows_per_task)
+    if candidates is not None:
+        # Bounded: at most twice as many keys as tasks of rows_per_task rows.
+        keys = keys.join(F.broadcast(candidates), on, "left_semi")
+    counts = keys.groupBy(on).agg(F.count(F.lit(1)).alias("__rows"))
     salts = F.ceil(F.col("__rows") / F.lit(rows_per_task)).cast("int")
     return counts.where(F.col("__rows") > rows_per_task).select(on, salts.alias(_SALTS))
 
@@ -85,8 +122,8 @@ def hot_key_join(
     """Join that salts hot keys only, with as many salts as their row counts ask for.
 
     Right rows of ordinary keys are not copied. Null keys match nothing, so left
-    rows with a null key take any salt and do not pile up in one task. The left side
-    is read twice, once for its key counts, so pass a stored table. All hot keys are
+    rows with a null key take any salt and do not pile up in one task. The left side's
+    key is read twice more, for a sketch and for the candidates' counts, so pass a stored table. All hot keys are
     salted, however many there are; Spark's own size check decides how their list is
     joined. ``rows_per_task`` sets what is hot, never what is returned. ``hint`` names
     the strategy of the last join.

@@ -283,6 +283,13 @@ def gate_reports(
     return reduce(DataFrame.unionByName, reports)
 
 
+def require_reports(reports: Mapping[str, DataFrame]) -> None:
+    """Raise once with the violations of the first failing layer of every table's report."""
+    failures = ["\n".join(found) for found in map(first_failing_layer, reports.values()) if found]
+    if failures:
+        raise QualityGateFailure(f"quality gate failed for {len(failures)} table(s):\n" + "\n---\n".join(failures))
+
+
 def run_gate(
     tables: Mapping[str, DataFrame],
     contracts: Mapping[str, tuple[Contract, GateRule]],

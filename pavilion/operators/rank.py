@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from pavilion.config import RANKING_LIMIT
-from pavilion.session import materialize
+from pavilion.session import materialize, new_folder
 
 _POSITION = "__position"
 _SLICE = "__slice"
@@ -71,18 +72,62 @@ def newest(df: DataFrame, by: str, limit: int) -> DataFrame:
     return df.orderBy(F.col(by).desc()).limit(limit)
 
 
+def write_ranked(df: DataFrame, order: Sequence[Column], path: str) -> None:
+    """Write ``df`` in ``order`` to ``path/rows`` with a rank directory beside it, in ``path/directory``.
+
+    ``order`` must tell all rows apart. The directory has a row per written slice: its file, its number of rows, the rows
+    before it and its first row. Pages are then found without sorting or counting; see ``ranked_page``.
+    """
+    spark = df.sparkSession
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    ranged.withColumn(_POSITION, F.monotonically_increasing_id()).write.option("compression", "zstd").parquet(f"{path}/rows")
+    stored = spark.read.parquet(f"{path}/rows")
+    first = F.min_by(F.struct(*[F.col(c) for c in df.columns]), _POSITION)
+    slices = stored.groupBy(F.shiftright(_POSITION, _ROW_BITS).alias("slice"), F.col("_metadata.file_path").alias("file")).agg(
+        F.min(_POSITION).alias("position"), F.count(F.lit(1)).alias("n_rows"), first.alias("first_row")
+    )
+    # One row per slice: the window is bounded by the partition count.
+    earlier = Window.orderBy("position").rowsBetween(Window.unboundedPreceding, -1)
+    slices.withColumn("n_before", F.coalesce(F.sum("n_rows").over(earlier), F.lit(0))).write.parquet(f"{path}/directory")
+
+
+def ranked_page(spark: SparkSession, path: str, limit: int, offset: int, name: str = "rank") -> DataFrame:
+    """Rows ``offset`` to ``offset + limit`` of what ``write_ranked`` wrote, with their rank and the ``total`` of rows.
+
+    Reads the directory, of which only the page's slices reach the driver, and the files of these slices.
+    """
+    if limit < 1 or offset < 0:
+        raise ValueError("limit must be positive and offset not negative")
+    directory = spark.read.parquet(f"{path}/directory")
+    total = directory.agg(F.coalesce(F.sum("n_rows"), F.lit(0)).alias("n")).first()["n"]
+    here = (F.col("n_before") < offset + limit) & (F.col("n_before") + F.col("n_rows") > offset)
+    slices = directory.where(here).select("file", "position", "n_before", "n_rows").collect()
+    schema = spark.read.parquet(f"{path}/rows").schema
+    files = sorted({s["file"] for s in slices})
+    rows = spark.read.schema(schema).parquet(*files) if files else spark.createDataFrame([], schema)
+    place, rank, wanted = F.col(_POSITION), F.lit(None).cast("bigint"), F.lit(False)
+    for s in slices:
+        # A slice's rows are numbered on; which of them the page takes is known, so files are skipped inside too.
+        low = s["position"] + max(0, offset - s["n_before"])
+        high = s["position"] + min(s["n_rows"], offset + limit - s["n_before"])
+        inside = (place >= low) & (place < high)
+        wanted = wanted | inside
+        rank = F.when(inside, place - s["position"] + s["n_before"] + 1).otherwise(rank)
+    columns = [c for c in schema.names if c != _POSITION]
+    return rows.where(wanted).select(rank.alias(name), *columns, F.lit(total).cast("bigint").alias("total"))
+
+
 def page(df: DataFrame, order: Sequence[Column], limit: int, offset: int, folder: str | None = None) -> DataFrame:
     """Rows ``offset`` to ``offset + limit`` in order, each with the frame's row count.
 
-    ``order`` must tell all rows apart. Rows are ranked by ``global_rank`` and written once, so a deep
-    page costs what the first one does, and the count comes from the written rows.
+    Sorts and writes the frame for this one page; a table that is read page by page is written
+    once by ``write_ranked``.
     """
     if limit < 1 or offset < 0:
         raise ValueError("limit must be positive and offset not negative")
-    ranked = global_rank(df, *order, name="__rank", folder=folder)
-    total = ranked.agg(F.count(F.lit(1))).first()[0]
-    here = (F.col("__rank") > offset) & (F.col("__rank") <= offset + limit)
-    return ranked.where(here).drop("__rank").withColumn("total", F.lit(total).cast("bigint"))
+    path = f"{folder or new_folder(df.sparkSession, 'page')}/ranked-{uuid.uuid4().hex}"
+    write_ranked(df, order, path)
+    return ranked_page(df.sparkSession, path, limit, offset, "__rank").drop("__rank")
 
 
 def page_after(df: DataFrame, keys: Sequence[str], last: Sequence[Any], limit: int) -> DataFrame:

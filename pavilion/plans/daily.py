@@ -17,7 +17,8 @@ from typing import Any
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from pavilion.config import GateRule, MartRule, RoleRule
-from pavilion.operators.quality import Contract, contract_checks, quarantine, require_tests, run_gate, sound_document
+from pavilion.operators import profiles
+from pavilion.operators.quality import Contract, contract_checks, quarantine, require_reports, require_tests, sound_document
 from pavilion.operators.reshape import flatten_balls, flatten_matches, flatten_weather
 from pavilion.plans import conform, marts, staging
 from pavilion.plans.contracts import ball_tests, model_tests, silver_ball_tests, silver_contracts, source_tests
@@ -112,18 +113,28 @@ def conform_split(run: commits.Run, bronze: DataFrame, source: str, table: str,
 
 
 def bronze_to_silver(run: commits.Run, layers: Layers, date: dt.date, settings: Settings) -> list[Audit]:
-    """Conform the day's career tables and gate them."""
-    audits, built = [], {}
+    """Conform the day's career tables, profile them and gate them by their profiles.
+
+    Profiles are kept by date; ``table_profile`` adds them up.
+    """
+    audits, built, reports = [], {}, {}
     for source, schema in _SILVER.items():
         bronze = tables.read_partition(run.spark, tables.table_path(layers.bronze, source), date)
         table, contract = f"{layers.silver}/{source}", settings.contracts[source][0]
         audits.append(conform_split(run, bronze.drop(tables.DATE_COLUMN), source, table, f"{layers.rejects}/{source}", date, contract))
         built[source] = run.read(table, schema, [date]).drop(tables.DATE_COLUMN)
-    run_gate(built, settings.contracts, settings.fixtures)
+        profiled = run.write(f"{table}_profile", profiles.profile(built[source], contract).coalesce(1), date)
+        reports[source] = profiles.profile_report(profiled, built[source].schema, *settings.contracts[source], settings.fixtures)
+    require_reports(reports)
     require_tests(built, source_tests())
     return audits
 
 
+def table_profile(spark: SparkSession, layers: Layers, source: str) -> DataFrame:
+    """The profile of a career table over all published dates, from its dates' profiles."""
+    return profiles.merged(published(spark, layers, f"{layers.silver}/{source}_profile"))
+
+
 def documents_to_silver(run: commits.Run, docs: DataFrame, weather: DataFrame | None, layers: Layers, date: dt.date, folder: str) -> list[Audit]:
     """Flatten match and weather documents into full-refresh Silver tables; broken ones go to quarantine.
 

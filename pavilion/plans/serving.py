@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from pavilion.config import RANKING_LIMIT, RANKING_LIMIT_MAX
 from pavilion.functions.text import contains_text, same_text
-from pavilion.operators.rank import page, top_ranked
+from pavilion.operators.rank import page, ranked_page, top_ranked, write_ranked
 from pavilion.plans.marts import best_first
 
 
@@ -47,10 +47,23 @@ def player_stats(dim: DataFrame, player: str) -> DataFrame:
     return dim.where(same_text(F.col("player"), player)).select(*_PLAYER_COLUMNS)
 
 
+def _player_order() -> list[Column]:
+    return [F.col("player").asc_nulls_last(), F.col("career_start_year").asc_nulls_last()]
+
+
 def players_page(dim: DataFrame, limit: int, offset: int) -> DataFrame:
-    """One page of the player dimension, with the total number of players."""
-    order = [F.col("player").asc_nulls_last(), F.col("career_start_year").asc_nulls_last()]
-    return page(dim, order, limit, offset).select("total", *_PLAYER_COLUMNS)
+    """One page of the player dimension, with the total number of players; sorts it for this page."""
+    return page(dim, _player_order(), limit, offset).select("total", *_PLAYER_COLUMNS)
+
+
+def write_players(dim: DataFrame, path: str) -> None:
+    """The player dimension in page order with its rank directory, for ``read_players``."""
+    write_ranked(dim, _player_order(), path)
+
+
+def read_players(spark: SparkSession, path: str, limit: int, offset: int) -> DataFrame:
+    """One page of what ``write_players`` wrote, from the files that hold it."""
+    return ranked_page(spark, path, limit, offset).select("rank", "total", *_PLAYER_COLUMNS)
 
 
 def player_context(

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import itertools
 import math
+import re
 import struct
 import sys
 import zipfile
@@ -20,7 +22,14 @@ from pavilion.sources.tables import parsed_documents
 _BATCH_BYTES = 8 << 20
 _SLICE = 10_000
 _ENTRY = ["archive", "entry", "start", "packed", "method", "crc"]
-_LOCAL_HEADER = "<4s5H3L2H"  # fixed layout of a zip entry's local header
+_RANGE = 1 << 20  # bytes of a directory read at once
+
+# Layouts and marks of the zip format. An entry's local header, its header in the directory, the
+# directory's end, and the 64-bit record of the end with its locator.
+_LOCAL_HEADER = "<4s5H3L2H"
+_ENTRY_HEADER, _ENTRY_SIZE, _ENTRY_MARK = "<4s6H3L5H2L", 46, b"PK\x01\x02"
+_END, _END_SIZE, _COMMENT_MAX = b"PK\x05\x06", 22, 0xFFFF
+_END64, _LOCATOR64 = b"PK\x06\x06", b"PK\x06\x07"
 
 # Send these functions to the executors by value, so the package need not be installed there.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -32,20 +41,91 @@ def _open(path: str):
     return filesystem.open_input_file(inner)
 
 
+def directory_place(file, size: int) -> tuple[int, int, int]:
+    """Where an archive's directory starts and ends, and what to add to the offsets it names.
+
+    Read from the end of the file, the 64-bit record of large archives included. Bytes put before an
+    archive move everything by their number.
+    """
+    before = max(0, size - _END_SIZE - _COMMENT_MAX)
+    tail = file.read_at(size - before, before)
+    # The comment may hold the mark too; the record's own says how long the comment is.
+    marks = [m.start() for m in re.finditer(re.escape(_END), tail) if len(tail) - m.start() >= _END_SIZE]
+    ends = {m: struct.unpack_from("<4s4H2LH", tail, m) for m in marks}
+    exact = [m for m in marks if m + _END_SIZE + ends[m][-1] == len(tail)]
+    if not marks:
+        raise zipfile.BadZipFile("the end of the archive's directory was not found")
+    at = max(exact or marks)
+    *_, entries, length, start, _ = ends[at]
+    end = before + at
+    locator = file.read_at(20, end - 20) if end >= 20 else b""
+    if locator[:4] == _LOCATOR64 and (entries == 0xFFFF or 0xFFFFFFFF in (length, start)):
+        named = struct.unpack("<8xQ4x", locator)[0]
+        # The record lies right before its locator; where it is named tells what was put before the archive.
+        found = file.read_at(56, named) if named + 56 <= size else b""
+        if found[:4] != _END64:
+            found = file.read_at(56, end - 20 - 56)
+        if found[:4] != _END64:
+            raise zipfile.BadZipFile("the 64-bit end of the archive's directory was not found")
+        length, start = struct.unpack("<40x2Q", found)
+        end = end - 20 - (12 + struct.unpack("<4xQ", found[:12])[0])
+    moved = end - length - start
+    if moved < 0:
+        raise zipfile.BadZipFile("the archive's directory does not fit into the file")
+    return start + moved, end, moved
+
+
+def directory_entries(file, start: int, end: int, moved: int, range_bytes: int = _RANGE) -> Iterator[tuple[str, int, int, int, int]]:
+    """(name, offset, packed size, method, checksum) of an archive's entries, read range by range.
+
+    Only one range is held, and what of an entry it cuts off.
+    """
+    left, at = b"", start
+    while at < end or left:
+        data = left + file.read_at(min(range_bytes, end - at), at) if at < end else left
+        at, place = min(end, at + range_bytes), 0
+        while len(data) - place >= _ENTRY_SIZE:
+            head = struct.unpack_from(_ENTRY_HEADER, data, place)
+            signature, flags, method, crc, packed, plain, name_length, extra_length, comment_length, offset = (head[i] for i in (0, 3, 4, 7, 8, 9, 10, 11, 12, 16))
+            if signature != _ENTRY_MARK:
+                raise zipfile.BadZipFile("the archive's directory is damaged")
+            whole = _ENTRY_SIZE + name_length + extra_length + comment_length
+            if len(data) - place < whole:
+                break
+            first = place + _ENTRY_SIZE
+            name = data[first : first + name_length].decode("utf-8" if flags & 0x800 else "cp437")
+            extra = data[first + name_length : first + name_length + extra_length]
+            packed, offset = _wide(extra, plain, packed, offset)
+            yield name, offset + moved, packed, method, crc
+            place += whole
+        left = data[place:]
+        if at >= end and left:
+            raise zipfile.BadZipFile("the archive's directory ends inside an entry")
+
+
+def _wide(extra: bytes, plain: int, packed: int, offset: int) -> tuple[int, int]:
+    """Packed size and offset, taken from the 64-bit field where the short ones are full."""
+    at = 0
+    while len(extra) - at >= 4:
+        kind, size = struct.unpack_from("<2H", extra, at)
+        if kind == 1:
+            wide = iter(struct.unpack_from(f"<{size // 8}Q", extra, at + 4))
+            if plain == 0xFFFFFFFF:
+                next(wide, None)
+            packed = next(wide, packed) if packed == 0xFFFFFFFF else packed
+            offset = next(wide, offset) if offset == 0xFFFFFFFF else offset
+        at += 4 + size
+    return packed, offset
+
+
 def _list_entries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         for path in batch["archive"]:
-            # The zip reader holds one archive's directory; it is passed on in slices.
-            with _open(path) as file, zipfile.ZipFile(file) as archive:
-                entries = archive.infolist()
-                for first in range(0, len(entries), _SLICE):
-                    rows = [
-                        (path, e.filename, e.header_offset, e.compress_size, e.compress_type, e.CRC)
-                        for e in entries[first : first + _SLICE]
-                        if e.filename.endswith(".json")
-                    ]
-                    if rows:
-                        yield pd.DataFrame(rows, columns=_ENTRY)
+            with _open(path) as file:
+                found = directory_entries(file, *directory_place(file, file.size()))
+                rows = ((path, *entry) for entry in found if entry[0].endswith(".json"))
+                while slice_ := list(itertools.islice(rows, _SLICE)):
+                    yield pd.DataFrame(slice_, columns=_ENTRY)
 
 
 def _read_entry(file, start: int, packed: int, method: int, crc: int) -> str:
@@ -87,12 +167,12 @@ def _read_entries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def scan_zip_entries(spark: SparkSession, path: str, chunk_bytes: int = 128 << 20) -> DataFrame:
     """(archive, entry, text) of every ``*.json`` entry of the archives under ``path``.
 
-    One step reads only the archives' directories; the entries are then spread in
+    One step reads only the archives' directories, range by range; the entries are then spread in
     chunks of neighbouring entries, so that one large archive is read by many
     tasks and no archive is ever held whole. The number of tasks follows the
     archives' sizes: the shuffled entry list is far smaller than the data behind
-    it, and Spark would merge its partitions if left to choose. Only the directory of one
-    archive at a time is held in a task. An entry whose checksum does not fit fails the job.
+    it, and Spark would merge its partitions if left to choose. A task holds a range of a
+    directory and a slice of entries, whatever the number of entries. An entry whose checksum does not fit fails the job.
     Archives are opened by Arrow's file systems: local or mounted paths, HDFS and S3.
     """
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(path)

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F, types as T
 
 from pavilion.config import GateRule
-from pavilion.operators import quality
+from pavilion.operators import profiles, quality
 from pavilion.operators.quality import FieldRule
 from pavilion.plans import contracts, marts, staging
-from pavilion.session import materialize
+from pavilion.session import materialize, new_folder
+from pavilion.sources import tables
 from pavilion.workload import inputs
 from pavilion.workload.ctes import SILVER_BATTING, SILVER_BOWLING, with_tables
 from pavilion.workload.registry import query
@@ -245,6 +248,19 @@ def _contracts():
     }
 
 
+@query("profile_gate", with_tables(_GATE_BAT, "silver_batting"))
+def profile_gate(src):
+    """The gate's report from the profiles of three parts, which are written and merged; the table is not read again."""
+    contract, rule = _contracts()["batting"]
+    rows = materialize(src.silver_batting, "batting")
+    root = new_folder(src.spark, "profiles")
+    for i in range(3):
+        part = rows.where(F.pmod(F.xxhash64("player"), F.lit(3)) == i)
+        tables.write_partition(profiles.profile(part, contract), root, dt.date(2024, 6, 1 + i))
+    merged = profiles.merged(tables.read_table(src.spark, root))
+    return profiles.profile_report(merged, rows.schema, contract, rule)
+
+
 @query("gate_report", with_tables(_GATE_BAT, "silver_batting"))
 def gate_report(src):
     return quality.gate_report(src.silver_batting, *_contracts()["batting"])

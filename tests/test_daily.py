@@ -213,6 +213,8 @@ def test_days_meet_themselves_only(spark, layers):
     assert daily.silver_tables(spark, layers)["batting"].count() == 120
     assert gold(spark, layers, "dim_player").count() == 40
     assert gold(spark, layers, "player_stats").count() == 120
+    profiled = {r["column_name"]: r for r in daily.table_profile(spark, layers, "batting").where("check_name is null").collect()}
+    assert profiled["player"]["n_rows"] == 120 and profiled["runs"]["high"]["whole"] == 3900
 
 
 def test_ball_by_ball_without_partners(spark):

@@ -119,3 +119,33 @@ def test_full_outer_null_safe(spark):
     )
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+@pytest.mark.parametrize("rows_per_task", [40, 300, 2000])
+def test_sketched_keys_are_the_counted_ones(sides, rows_per_task):
+    left, _ = sides
+    exact = left.where("k is not null").groupBy("k").count().where(F.col("count") > rows_per_task)
+    salts = exact.select("k", F.ceil(F.col("count") / rows_per_task).cast("int").alias("__salts"))
+    assert joins.frequent_keys(left, "k", rows_per_task) is not None
+    assert same_rows(joins.hot_keys(left.repartition(7), "k", rows_per_task), salts)
+
+
+def test_keys_are_not_shuffled_to_find_the_hot_ones(spark, tmp_path):
+    """100,000 keys of one row, one of a third of all: a handful of rows is exchanged."""
+    path = str(tmp_path / "keys")
+    spark.range(0, 150_000, 1, 6).selectExpr("if(id % 3 = 0, 'hot', string(id)) as k").write.parquet(path)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        found = joins.hot_keys(spark.read.parquet(path), "k", 10_000)
+        assert [tuple(r) for r in found.collect()] == [("hot", 5)]
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert plan.index("Exchange hashpartitioning(k") < plan.index("BroadcastHashJoin")  # the join cuts the rows first
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_keys_that_no_sketch_takes_are_counted(spark, monkeypatch):
+    left = spark.range(100).selectExpr("array(id % 3) as a", "id % 3 as k")
+    assert joins.frequent_keys(left, "a", 10) is None
+    monkeypatch.setattr(joins, "_SKETCH_MOST", 10)
+    assert joins.frequent_keys(left, "k", 10) is None and joins.hot_keys(left, "k", 10).count() == 3

@@ -86,3 +86,32 @@ def test_walking_through_pages(spark):
 def test_newest(spark):
     names = spark.createDataFrame([(n,) for n in ("3.json", "1.json", "2.json")], "n string")
     assert [r["n"] for r in rank.newest(names, "n", 2).collect()] == ["3.json", "2.json"]
+
+
+def test_stored_ranks(spark, scores, tmp_path):
+    """Pages of a written table: right rows, no sort, and no more files than hold them."""
+    path = str(tmp_path / "ranked")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        rank.write_ranked(scores.repartition(6), order(), path)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    expected = [(r["rank"], r["k"]) for r in rank.global_rank(scores, *order()).orderBy("rank").select("rank", "k").collect()]
+    n_files = len(spark.read.parquet(f"{path}/rows").inputFiles())
+    assert n_files >= 6
+    for limit, offset in ((10, 0), (10, 2500), (1200, 1000), (500, 4990), (5, 5000), (9000, 0)):
+        found = rank.ranked_page(spark, path, limit, offset)
+        rows = sorted((r["rank"], r["k"]) for r in found.collect())
+        assert rows == expected[offset : offset + limit]
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "Sort" not in plan and "Exchange" not in plan
+        if limit == 10:
+            assert 1 <= len(found.inputFiles()) <= 2
+    assert rank.ranked_page(spark, path, 10, 0).first()["total"] == 5000
+    with pytest.raises(ValueError, match="limit"):
+        rank.ranked_page(spark, path, 0, 0)
+
+
+def test_stored_ranks_of_nothing(spark, scores, tmp_path):
+    rank.write_ranked(scores.where("s < -1"), order(), str(tmp_path / "none"))
+    assert rank.ranked_page(spark, str(tmp_path / "none"), 5, 0).collect() == []

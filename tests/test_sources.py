@@ -6,8 +6,10 @@ import datetime as dt
 import glob
 import json
 import os
+import tracemalloc
 import zipfile
 
+import pandas as pd
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
@@ -413,3 +415,65 @@ def test_enrichment_list(spark):
         ("1", "A", 12.97, 77.59, "d1", "d1"),
         ("2", "A", 12.97, 77.59, "d2", "d2"),
     ]
+
+
+# ------------------------------------------------------------------- archive directories
+
+
+def directory(path, range_bytes=1 << 20):
+    with archives._open(f"file://{path}") as file:
+        place = archives.directory_place(file, file.size())
+        return list(archives.directory_entries(file, *place, range_bytes=range_bytes))
+
+
+def listed(path):
+    """What the standard library's reader says."""
+    with zipfile.ZipFile(path) as archive:
+        return [(e.filename, e.header_offset, e.compress_size, e.compress_type, e.CRC) for e in archive.infolist()]
+
+
+@pytest.mark.parametrize("range_bytes", [50, 97, 1 << 20])
+def test_directories_are_read_by_ranges(tmp_path, range_bytes):
+    plain, wide, late, none = (tmp_path / f"{n}.zip" for n in ("plain", "wide", "late", "none"))
+    with zipfile.ZipFile(plain, "w", zipfile.ZIP_DEFLATED) as archive:
+        for i in range(60):
+            archive.writestr(f"é/{i}.json", "x" * i)
+    with zipfile.ZipFile(wide, "w") as archive:
+        with archive.open(zipfile.ZipInfo("big.json"), "w", force_zip64=True) as entry:
+            entry.write(b"123")
+        archive.writestr("small.json", "1")
+    late.write_bytes(b"#!/bin/sh\n" * 9 + wide.read_bytes())  # an archive behind other bytes
+    zipfile.ZipFile(none, "w").close()
+    for path in (plain, wide, late, none):
+        assert directory(path, range_bytes) == listed(path)
+    with zipfile.ZipFile(plain, "a") as archive:
+        expected = listed(plain)
+        archive.comment = b"a comment with the mark PK\x05\x06 and thirty bytes behind it."
+    assert directory(plain, range_bytes) == expected
+
+
+def test_a_directory_of_many_entries_is_not_held(spark, tmp_path):
+    """200,000 entries, so the 64-bit record counts them; a task holds a range and a slice."""
+    path = tmp_path / "many.zip"
+    with zipfile.ZipFile(path, "w") as archive:
+        for i in range(200_000):
+            archive.writestr(f"m/{i:06d}.json" if i % 2 else f"m/{i}.txt", "")
+    tracemalloc.start()
+    try:
+        slices = [len(s) for s in archives._list_entries(iter([pd.DataFrame({"archive": [f"file://{path}"]})]))]
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert slices == [10_000] * 10 and peak < 30 << 20
+    assert archives.scan_zip_entries(spark, str(tmp_path)).count() == 100_000
+
+
+def test_broken_directories_fail(tmp_path):
+    path = tmp_path / "a.zip"
+    with zipfile.ZipFile(path, "w") as archive:
+        archive.writestr("a.json", "{}")
+    sound = path.read_bytes()
+    for broken in (sound[:-22], b"", sound[:-60] + b"?" * 38 + sound[-22:]):
+        path.write_bytes(broken)
+        with pytest.raises(zipfile.BadZipFile):
+            directory(path)
