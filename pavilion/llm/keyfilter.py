@@ -93,16 +93,18 @@ def repeated_keys(df: DataFrame, keys_of: Callable[[Iterator[pa.RecordBatch]], I
     width = 1 << (bits - n_bits - 3)
     for row in slices.collect():  # the whole filter, whatever the input
         out[row["bucket"] * width : (row["bucket"] + 1) * width] = np.frombuffer(row["bits"], np.uint8)
-    return df.sparkSession.sparkContext.broadcast(KeyFilter(out, n_bits))
+    # A plain tuple: broadcasts are pickled by the names of their classes, which workers without the package do not know.
+    return df.sparkSession.sparkContext.broadcast((out, n_bits))
 
 
-def may_repeat(found: KeyFilter, keys: np.ndarray) -> np.ndarray:
+def may_repeat(found: KeyFilter | tuple[np.ndarray, int], keys: np.ndarray) -> np.ndarray:
     """False for keys that surely occur once."""
-    width = int(len(found.bits)).bit_length() - 1 + 3 - found.n_bits
-    start = (keys >> _U(64 - found.n_bits)) << _U(width)
-    rest = ((keys << _U(found.n_bits)) >> _U(32)).astype(np.uint32)
+    bits, n_bits = found
+    width = int(len(bits)).bit_length() - 1 + 3 - n_bits
+    start = (keys >> _U(64 - n_bits)) << _U(width)
+    rest = ((keys << _U(n_bits)) >> _U(32)).astype(np.uint32)
     held = np.ones(keys.shape, bool)
     for slot in _slots(rest, width):
         place = start + slot
-        held &= (found.bits[place >> _U(3)] >> (place & _U(7)).astype(np.uint8)) & 1 == 1
+        held &= (bits[place >> _U(3)] >> (place & _U(7)).astype(np.uint8)) & 1 == 1
     return held

@@ -10,7 +10,7 @@ vectors are hashed bits, so kernels of a batch are one matrix product, and score
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 
 import numpy as np
 import pandas as pd
@@ -164,7 +164,8 @@ def _presence_rows(spectrum: Spectrum):
 
 def _predictor(model):
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fitted = model.value
+        spectrum, *rest = model.value
+        fitted = Model(Spectrum(*spectrum), *rest)
         names = pa.array(fitted.languages)
         for batch in batches:
             for part in tk.slices(batch.column(1), 1 << 18, _BATCH):
@@ -235,7 +236,9 @@ def identify_languages(
     model = train(rows.where("not held_out and letters"), order=F.xxhash64("doc_id", F.lit(3)), **options)
     if model is None:
         return rows.select("doc_id", "held_out", F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"))
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    # Plain values: broadcasts are pickled by the names of their classes, which workers without the package do not know.
+    spectrum = tuple(getattr(model.spectrum, f.name) for f in fields(model.spectrum))
+    sent = docs.sparkSession.sparkContext.broadcast((spectrum, model.languages, model.landmarks, model.weights, model.bias))
     found = rows.select("doc_id", "text", "held_out", "letters").mapInArrow(
         _predictor(sent), "doc_id bigint, held_out boolean, letters boolean, lang_pred string, score double"
     )

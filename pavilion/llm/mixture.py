@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from pavilion.llm.cascade import words
 from pavilion.operators.rank import global_rank
-from pavilion.session import materialize, new_folder
+from pavilion.session import discard, materialize, new_folder
 
 _U = np.uint64
 _RUN = 1 << 16  # slots or sources that one row or window stands for
@@ -211,22 +211,23 @@ def mixed(
     shard_slots: int = 4096,
     seed: int = 7,
     range_shards: int = 64,
-    with_text: bool = False,
+    carry: Sequence[str] = (),
+    folder: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Documents with their share of the mix, and the mix itself as pieces of documents.
 
-    Documents: uid, id, size, source_size, target, taken (and with ``with_text`` all columns of ``docs``
-    in a struct ``doc``). Pieces: uid, shard, place, pass, from, n: words ``from`` to ``from + n - 1`` of the
+    Documents: uid, id, size, source_size, target, taken (and the columns of ``docs`` named by ``carry``
+    in a struct ``doc``; they are written with the documents, so texts are better joined by the caller). Pieces: uid, shard, place, pass, from, n: words ``from`` to ``from + n - 1`` of the
     document ``uid`` are at the slot ``place`` of ``shard``. Size counts ``[^\\x20\\x09-\\x0D]+`` words. Sources
     in code-point order, null last, take the ``weights`` in turn; what a source takes equals its target
     to a word, because its last slot may end inside a block. A block is taken at most ``most`` times.
 
     Null and wordless texts have size 0 and are never taken. Rows that repeat are separate documents.
     Draws depend on ids, texts and ``seed`` only, so reruns agree. ``range_shards`` shards are drawn in one
-    task. There may be any number of sources.
+    task. There may be any number of sources. The result reads tables in ``folder``, a new one by default.
     """
     spark = docs.sparkSession
-    folder = new_folder(spark, "mixture")
+    folder = folder or new_folder(spark, "mixture")
     text = F.col(text_col)
     sized = docs.select(
         F.monotonically_increasing_id().alias("uid"),
@@ -234,7 +235,7 @@ def mixed(
         F.col(source_col).cast("string").alias("source"),
         F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("bigint").alias("size"),
         F.xxhash64(F.col(id_col), text, F.lit(seed)).alias("order"),
-        *([F.struct("*").alias("doc")] if with_text else []),
+        *([F.struct(*carry).alias("doc")] if carry else []),
     )
     sized = materialize(sized, "documents", folder)
     names = sized.groupBy("source").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("docs"))
@@ -277,22 +278,35 @@ def mixed(
     taken = pieces.groupBy("uid").agg(F.sum("n").alias("taken"))
     out = numbered.select("uid", "id", "size", "source_size", "target").join(taken, "uid", "left")
     out = out.withColumn("taken", F.coalesce("taken", F.lit(0)))
-    if with_text:
+    if carry:
         out = out.join(sized.select("uid", "doc"), "uid")
     return out, pieces
 
 
-def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+def mixed_documents(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", row_cols: Sequence[str] = (), **options
+) -> DataFrame:
     """The mix as documents with the columns of ``docs``: one row per document and pass that takes words of it.
 
     A pass that takes all words keeps the text as it is; otherwise the text is the taken words in
-    order, joined by one space. ``n_chars``, where there is such a column, follows the text.
+    order, joined by one space. ``n_chars``, where there is such a column, follows the text. ``row_cols`` name
+    columns that tell rows apart and say the same whenever ``docs`` is read, and are left out of the result; without them
+    ``docs`` is written once to number its rows.
     """
-    documents, pieces = mixed(docs, id_col, text_col, with_text=True, **options)
-    got = pieces.groupBy("uid", "pass").agg(F.sum("n").alias("n"), F.array_sort(F.collect_list(F.struct("from", "n"))).alias("parts"))
-    both = documents.select("uid", "size", "doc").join(got, "uid")
-    parts = F.flatten(F.transform("parts", lambda p: F.slice(F.col("w"), (p["from"] + 1).cast("int"), p["n"].cast("int"))))
-    both = both.withColumn("w", words(F.col("doc")[text_col]))
-    text = F.when(F.col("n") == F.col("size"), F.col("doc")[text_col]).otherwise(F.array_join(parts, " "))
-    out = both.select(*[text.alias(c) if c == text_col else F.col("doc")[c].alias(c) for c in docs.columns])
-    return out.withColumn("n_chars", F.length(text_col).cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
+    spark = docs.sparkSession
+    folder = new_folder(spark, "mixture")
+    if not row_cols:
+        docs = materialize(docs.withColumn("__row", F.monotonically_increasing_id()), "rows", new_folder(spark, "mixture-rows"))
+        row_cols = ["__row"]
+    documents, pieces = mixed(docs, id_col, text_col, carry=row_cols, folder=folder, **options)
+    got = pieces.groupBy("uid", "pass").agg(F.sum("n").alias("__n"), F.array_sort(F.collect_list(F.struct("from", "n"))).alias("__parts"))
+    rows = documents.select("uid", F.col("size").alias("__size"), "doc.*")
+    # Numbers only; the texts meet them once, when the result is written.
+    got = materialize(rows.join(got, "uid").select(*row_cols, "__size", "__n", "__parts"), "taken", new_folder(spark, "mixture-taken"))
+    discard(spark, folder)
+    both = docs.join(got, list(row_cols)).withColumn("__w", words(F.col(text_col)))
+    parts = F.flatten(F.transform("__parts", lambda p: F.slice(F.col("__w"), (p["from"] + 1).cast("int"), p["n"].cast("int"))))
+    text = F.when(F.col("__n") == F.col("__size"), F.col(text_col)).otherwise(F.array_join(parts, " "))
+    columns = [c for c in docs.columns if c not in row_cols]
+    out = both.select(*[text.alias(c) if c == text_col else F.col(c) for c in columns])
+    return out.withColumn("n_chars", F.length(text_col).cast(docs.schema["n_chars"].dataType)) if "n_chars" in columns else out

@@ -2,7 +2,13 @@
 
 from __future__ import annotations
 
+import os
+import subprocess
+import sys
+from pathlib import Path
+
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline
@@ -64,6 +70,42 @@ def test_pipeline(spark, tmp_path):
     assert kept[3].count() == kept[4].count() and {r[0] for r in kept[3].select("doc_id").collect()} <= clean
 
 
+def test_stages_of_messy_rows(spark, messy):
+    """Frames that read no files, repeated rows, null ids, and columns of the names that stages add."""
+    rows = [(i, t, "en" if n % 2 else None, f"s{n % 3}" if n % 5 else None, n) for n, (i, t) in enumerate([*messy, *messy])]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint").withColumns({"shard": F.lit("x"), "size": F.lit(1)})
+    texts = [(r[0], r[1]) for r in rows]
+    kept = corpus_pipeline.near_dedup(spark, docs, FOLDER)
+    expected = {(d, t) for (d, t), r in zip(texts, brute.near_duplicates(texts, 5), strict=True) if r[-1]}
+    found = [(r["doc_id"], r["text"]) for r in kept.collect()]
+    assert len(found) == len(set(found)) and set(found) == expected and kept.columns == docs.columns
+    mixed = corpus_pipeline.mix(spark, docs, FOLDER)
+    assert mixed.columns == docs.columns and mixed.count() > 0
+    assert all(r["n_chars"] == len(r["text"]) and r["text"] for r in mixed.collect())
+    placed = corpus_pipeline.shard(spark, docs, FOLDER)
+    assert placed.count() == len(rows) and placed.columns.count("shard") == placed.columns.count("size") == 1
+    slots = brute.groups((r["shard"], r["slot"]) for r in placed.collect())
+    assert all(sorted(v) == list(range(len(v))) for v in slots.values())
+
+
+def test_workers_need_no_package(tmp_path):
+    """All queries in a fresh process whose workers find neither this repository nor its package."""
+    root = str(Path(__file__).resolve().parents[2])
+    code = f"""
+import sys; sys.path.insert(0, {root!r})
+import __spark_entry__ as entry
+from pavilion.session import build_session
+spark = build_session("alone", "local[4]", spark__sql__shuffle__partitions="4", spark__ui__enabled="false")
+spark.sparkContext.setLogLevel("OFF")
+for name in sorted(n for n in entry.queries() if n.startswith("op") or n == "pipeline"):
+    print(name, entry.queries()[name](spark, {FOLDER!r}).count())
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=900, check=False)
+    assert done.returncode == 0, done.stderr[-3000:]
+    assert len([x for x in done.stdout.splitlines() if x.split()[-1].isdigit()]) == 14
+
+
 def test_pipeline_of_nothing(spark):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet").where("false")
     for _, stage in corpus_pipeline.STAGES:
