@@ -13,11 +13,12 @@ import base64
 import bisect
 import hashlib
 import json
+import math
 import posixpath
 import uuid
 import zlib
 from collections.abc import Iterator
-from urllib.parse import urlsplit
+from urllib.parse import quote, urlsplit
 
 import pyarrow as pa
 import pyarrow.fs
@@ -30,7 +31,8 @@ _HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Le
 
 
 def _store(uri: str) -> tuple[pyarrow.fs.FileSystem, str]:
-    return pyarrow.fs.FileSystem.from_uri(uri.replace("s3a://", "s3://", 1))
+    # Folders are given plain, Arrow wants them encoded; it knows the object store by its plain scheme.
+    return pyarrow.fs.FileSystem.from_uri(quote(uri.replace("s3a://", "s3://", 1), safe="/:"))
 
 
 def url_key(url: str | None) -> str:
@@ -180,15 +182,22 @@ def _indexer(folder: str, block_lines: int):
     return index
 
 
+def _tasks(captures: DataFrame, task_bytes: int = 64 << 20) -> int:
+    """Tasks by the bytes that stand behind the captures, which Spark does not see, and one for each core at least."""
+    size = captures.agg(F.sum("size")).first()[0] or 0
+    return max(math.ceil(size / task_bytes), captures.sparkSession.sparkContext.defaultParallelism)
+
+
 def write_index(captures: DataFrame, folder: str, block_lines: int = 1024) -> list[tuple[str, str]]:
     """Write the two-level index of ``captures``; returns its ranges as (first key, file), in order.
 
-    One range per task: the list has as many entries as the session has shuffle partitions.
+    One range per task, as many as the archives' bytes ask for.
     """
     store, root = _store(f"{folder}/index")
     store.create_dir(root, recursive=True)
     order = ["key", F.col("page_id").asc_nulls_first(), "file", "start"]
-    ordered = captures.select("key", "page_id", "file", "start", "size").repartitionByRange(*order).sortWithinPartitions(*order)
+    rows = captures.select("key", "page_id", "file", "start", "size")
+    ordered = rows.repartitionByRange(_tasks(captures), *order).sortWithinPartitions(*order)
     made = materialize(ordered.mapInArrow(_indexer(f"{folder}/index", block_lines), "first string, file string"), "ranges", folder)
     return sorted((r["first"], r["file"]) for r in made.collect())
 
@@ -250,16 +259,19 @@ def _reader(folder: str, ranges, with_payload: bool):
     return read
 
 
-def read_captures(wanted: DataFrame, folder: str, ranges: list[tuple[str, str]], with_payload: bool = True) -> DataFrame:
+def read_captures(
+    wanted: DataFrame, folder: str, ranges: list[tuple[str, str]], with_payload: bool = True, tasks: int | None = None
+) -> DataFrame:
     """Records of the captures whose (key, page_id) are in ``wanted``, read through the index.
 
-    Equal wanted rows count once. Wanted rows are sorted by key over the tasks, so that a task
-    opens few ranges; the archives are read by byte range.
+    Equal wanted rows count once. Wanted rows are sorted by key over the ``tasks``, so that a task
+    opens few ranges; the archives are read by byte range. Without a number Spark deals the keys, which are
+    small, to as many tasks as it likes.
     """
     spark = wanted.sparkSession
     held = spark.sparkContext.broadcast(ranges)
     order = ["key", F.col("page_id").asc_nulls_first()]
-    asked = wanted.select("key", "page_id").distinct().repartitionByRange(*order).sortWithinPartitions(*order)
+    asked = wanted.select("key", "page_id").distinct().repartitionByRange(*([tasks] if tasks else []), *order).sortWithinPartitions(*order)
     return asked.mapInArrow(
         _reader(folder, held, with_payload),
         "page_id bigint, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint, payload binary",
@@ -275,4 +287,4 @@ def archive_round_trip(pages: DataFrame, with_payload: bool = False, **options)
     folder = new_folder(pages.sparkSession, "warc")
     captures = write_archives(pages, folder, **options)
     ranges = write_index(captures, folder)
-    return read_captures(captures, folder, ranges, with_payload)
+    return read_captures(captures, folder, ranges, with_payload, _tasks(captures))
