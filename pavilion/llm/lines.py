@@ -189,7 +189,7 @@ def deduplicate_lines(
     docs: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
-    min_words: int = 10,
+    min_words: int = 5,
     filter_bits: int = 27,
     with_text: bool = True,
 ) -> DataFrame:

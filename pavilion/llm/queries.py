@@ -169,11 +169,11 @@ k as (select doc_id, i, w, array_to_string(w, ' ') as k, len(w) as n from w wher
 f as (select k, any_value(w) as w, any_value(n) as n, min(struct_pack(d := doc_id, i := i)) as f from k group by k),
 v as (
   select k, f, n, p, md5(array_to_string(w[1:p - 1] || w[p + 1:n], ' ')) as v
-  from (select *, unnest(range(1, n + 1)) as p from f where n >= 10)),
+  from (select *, unnest(range(1, n + 1)) as p from f where n >= 5)),
 near as (
   select k from (select k, f, min(f) over (partition by v, p, n) as m from v) where m < f
-  union select v.k from v join f on md5(f.k) = v.v and f.n = v.n - 1 where f.n >= 10 and f.f < v.f
-  union select f.k from f join v on md5(f.k) = v.v and f.n = v.n - 1 where f.n >= 10 and v.f < f.f),
+  union select v.k from v join f on md5(f.k) = v.v and f.n = v.n - 1 where f.n >= 5 and f.f < v.f
+  union select f.k from f join v on md5(f.k) = v.v and f.n = v.n - 1 where f.n >= 5 and v.f < f.f),
 stay as (select f.f.d as doc_id, f.f.i as i from f where k not in (select k from near)),
 o as (select w.doc_id, w.i, w.l, len(w.w) > 0 as filled, len(w.w) = 0 or stay.i is not null as kept from w left join stay on stay.doc_id = w.doc_id and stay.i = w.i)
 select doc_id, count(*) filter (filled)::bigint as n_lines, count(*) filter (not kept)::bigint as n_removed,
