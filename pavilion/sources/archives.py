@@ -35,9 +35,14 @@ _END64, _LOCATOR64 = b"PK\x06\x06", b"PK\x06\x07"
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
-def _open(path: str):
+def file_system(path: str) -> tuple[pyarrow.fs.FileSystem, str]:
+    """The file system of a path as Spark names it, and the path in it."""
     # File listings give plain paths, Arrow wants them encoded; it knows the object store by its plain scheme.
-    filesystem, inner = pyarrow.fs.FileSystem.from_uri(quote(path.replace("s3a://", "s3://", 1), safe="/:"))
+    return pyarrow.fs.FileSystem.from_uri(quote(path.replace("s3a://", "s3://", 1), safe="/:"))
+
+
+def _open(path: str):
+    filesystem, inner = file_system(path)
     return filesystem.open_input_file(inner)
 
 

@@ -7,7 +7,6 @@ import zipfile
 from collections.abc import Iterator
 
 import pandas as pd
-import pyarrow.fs
 from pyspark.sql import DataFrame, functions as F
 
 from pavilion.operators import quality
@@ -80,7 +79,7 @@ def loose_documents(src):
     text = F.to_json(F.struct(info.alias("info")), {"pretty": "true"})
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        filesystem, inner = pyarrow.fs.FileSystem.from_uri(folder)
+        filesystem, inner = archives.file_system(folder)
         filesystem.create_dir(inner, recursive=True)
         for batch in batches:
             for row in batch.itertuples(index=False):
@@ -109,7 +108,7 @@ def pack_texts(texts: DataFrame, folder: str) -> int:
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
 
-        filesystem, inner = pyarrow.fs.FileSystem.from_uri(folder)
+        filesystem, inner = archives.file_system(folder)
         filesystem.create_dir(inner, recursive=True)
         part = TaskContext.get().partitionId()
         count = 0
