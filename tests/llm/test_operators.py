@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.classic.dataframe import DataFrame
@@ -55,6 +56,46 @@ def test_factors_and_text(spark):
     assert rows[2]["kept_text"] == "" and rows[2]["n_removed"] == 40
 
 
+def test_parse_against_a_block():
+    draw = np.random.Generator(np.random.PCG64(11))
+    texts = [draw.integers(0, 3, n).tolist() for n in (60, 1, 0, 45)] + [[7] * 30, [8, 9] * 12, [5]]
+    texts.append(texts[0][10:50] + texts[3][:20])
+    copies = [1, 1, 1, 1, 1, 1, 3, 1]
+    ends = np.cumsum([len(t) + 1 for t in texts]) - 1
+    starts = ends - [len(t) for t in texts]
+
+    def longest(t, p):
+        if copies[t] > 1:
+            return len(texts[t]) - p
+        most = 0
+        for u, other in enumerate(texts):
+            for q in range(len(other)):
+                n = 0
+                while (t, p) != (u, q) and p + n < len(texts[t]) and q + n < len(other) and texts[t][p + n] == other[q + n]:
+                    n += 1
+                most = max(most, n)
+        return most
+
+    symbols = [x for t, text in enumerate(texts) for x in [*(v + len(texts) for v in text), t]]
+    found = rlz.longest_elsewhere(np.array(symbols))
+    own = [longest(t, p) for t in range(len(texts)) if copies[t] == 1 for p in range(len(texts[t]))]
+    assert own == [int(found[starts[t] + p]) for t in range(len(texts)) if copies[t] == 1 for p in range(len(texts[t]))]
+    # The greedy factors of each text, by a plain walk.
+    places, sizes = rlz.greedy_factors(found, starts, ends)
+    factors = sorted(zip(places.tolist(), sizes.tolist(), strict=True))
+    walked = []
+    for s, e in zip(starts.tolist(), ends.tolist(), strict=True):
+        while s < e:
+            walked.append((s, int(found[s])))
+            s += max(int(found[s]), 1)
+    assert factors == walked and len(walked) > len(texts)
+    for window in (1, 4, 9):
+        block = pa.table({"part": range(len(texts)), "content": [np.array(t, np.uint64).tobytes() for t in texts], "lo": [0] * len(texts), "n": copies})
+        runs = rlz.parsed_windows(window)(block)
+        got = [{i for r in ranges if r["n"] > 1 for i in range(r["a"], r["b"])} for ranges in runs["ranges"].to_pylist()]
+        assert got == [{p for p in range(len(text)) if longest(t, p) >= window} for t, text in enumerate(texts)]
+
+
 def test_repeated_bytes(docs, messy, empty):
     columns = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
     found = rindex.remove_repeated_bytes(docs, **SMALL)
