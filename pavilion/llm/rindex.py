@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from pavilion.llm.repeats import Shape, joined_runs, ranges, repeated_windows, window_runs
+from pavilion.llm.repeats import Shape, joined_runs, ranges, repeated_windows, row_key, window_runs
 from pavilion.session import discard, materialize, new_folder, release_shuffles
 
 _U = np.uint64
@@ -184,7 +184,7 @@ def remove_repeated_bytes(
         raise ValueError("the window must hold its seed and 16 bytes")
     spark = docs.sparkSession
     folder = new_folder(spark, "rindex")
-    docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).withColumn("row", F.xxhash64("id", "text"))
+    docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).withColumn("row", row_key("id", "text"))
     pieces = repeated_windows(docs.where("id is not null"), Shape(window, seed_bytes, words=False, within=False), least_documents(window), folder, filter_bits, seed_rows)
     start = F.col("start")
     whole = F.array(F.struct(start.alias("a"), (start + F.col("n")).alias("b")))

@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from pavilion.llm.repeats import Shape, joined_runs, ranges, repeated_windows, window_runs
+from pavilion.llm.repeats import Shape, joined_runs, ranges, repeated_windows, row_key, window_runs
 from pavilion.session import discard, materialize, new_folder, release_shuffles
 
 
@@ -182,7 +182,7 @@ def remove_repeats(
     spark = docs.sparkSession
     folder = new_folder(spark, "rlz")
     docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    docs = docs.withColumn("row", F.xxhash64("id", "text"))
+    docs = docs.withColumn("row", row_key("id", "text"))
     pieces = repeated_windows(docs, Shape(window, seed_words, words=True, within=True), parsed_windows(window), folder, filter_bits, seed_rows)
     whole = F.array(F.struct(F.col("start").alias("a"), (F.col("start") + F.col("n")).alias("b")))
     held = F.filter("parts", lambda p: p["n"] > 1)

@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
+
 UPPER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
@@ -239,3 +242,73 @@ def manifest(rows, arity=3):
             root = top[-1][0]
             out.append((r[0], leaf, trees[s][-1][0], root, sha("".join(b + a for b, a in steps)), own, own == root))
     return out
+
+
+def hilbert_walk(dims, bits):
+    """The place of every cell along the curve, from each place's cell: bits dealt to the axes, Gray code undone, turns undone."""
+    places = {}
+    for place in range(1 << dims * bits):
+        x = [0] * dims
+        for i in range(dims * bits):
+            x[i % dims] = x[i % dims] << 1 | place >> (dims * bits - 1 - i) & 1
+        carry = x[-1] >> 1
+        for i in range(dims - 1, 0, -1):
+            x[i] ^= x[i - 1]
+        x[0] ^= carry
+        for level in range(1, bits):
+            for i in range(dims - 1, -1, -1):
+                low = (1 << level) - 1
+                if x[i] >> level & 1:
+                    x[0] ^= low
+                else:
+                    swap = (x[0] ^ x[i]) & low
+                    x[0] ^= swap
+                    x[i] ^= swap
+        places[tuple(x)] = place
+    return places
+
+
+def shards(rows, n_shards, bits=4):
+    """(doc_id, shard, slot) of rows (doc_id, text, source, lang), in the order of the curve."""
+    axes = []
+    for values in ([r[2] for r in rows], [r[3] for r in rows], [len((r[1] or "").encode()) + 8 for r in rows]):
+        code = {v: i for i, v in enumerate(sorted({v for v in values if v is not None}), 1)}
+        ranks = sorted(code[v] for v in values if v is not None)
+        cuts = [ranks[-(-i * len(ranks) // (1 << bits)) - 1] for i in range(1, 1 << bits)] if ranks else []
+        axes.append([sum(code[v] > c for c in cuts) if v is not None else 0 for v in values])
+    walk = hilbert_walk(len(axes), bits)
+    at = [(walk[cell], zlib.crc32((r[1] or "").encode()), r[0]) for r, cell in zip(rows, zip(*axes, strict=True), strict=True)]
+    out, sizes = [], Counter()
+    for rank, (_, _, doc_id) in enumerate(sorted(at)):
+        shard = rank * n_shards // len(rows)
+        out.append((doc_id, shard, sizes[shard]))
+        sizes[shard] += 1
+    return out
+
+
+def languages(learned, texts, ridge=1e-2, bits=13):
+    """(language, score) of each text by kernel ridge regression on all ``learned`` (text, lang), as many of each language."""
+
+    def grams(text):
+        data = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in text.encode())
+        found = set()
+        for n in (2, 3, 4):
+            for i in range(len(data) - n + 1):
+                found.add((n, (int.from_bytes(data[i : i + n], "big") * 0x9E3779B1 & 0xFFFFFFFF) >> 32 - bits))
+        return found
+
+    def likeness(a, b):
+        return len(a & b) / (max(len(a), 1) * max(len(b), 1)) ** 0.5
+
+    known, names = [grams(t) for t, _ in learned], sorted({lang for _, lang in learned})
+    gram = np.array([[likeness(a, b) for b in known] for a in known])
+    target = np.array([[1.0 if lang == name else -1.0 for name in names] for _, lang in learned])
+    middle = np.eye(len(known)) - 1 / len(known)
+    dual = np.linalg.solve(middle @ gram @ middle + ridge * np.eye(len(known)), middle @ target)
+    out = []
+    for text in texts:
+        own = grams(text)
+        row = middle @ (np.array([likeness(own, b) for b in known]) - gram.mean(1))
+        scores = row @ dual + target.mean(0)
+        out.append((names[int(scores.argmax())], min(max((scores.max() + 1) / 2, 0), 1)))
+    return out

@@ -222,6 +222,19 @@ def test_language(spark, empty):
     assert langid.identify_languages(docs.where("false")).count() == 0
 
 
+def test_language_scores_are_those_of_kernel_regression(spark):
+    rows = []
+    for i in range(80):
+        lang = i // 20
+        own = prose(100 + lang, 60)
+        rows.append((i, " ".join(own[j] for j in np.random.Generator(np.random.PCG64(i)).integers(0, 60, 12)) + " Ö9", f"l{lang}"))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(3)
+    got = {r["doc_id"]: r for r in langid.identify_languages(docs, held_out=F.col("doc_id") % 4 == 3, landmarks=500).collect()}
+    wanted = brute.languages([(t, lang) for i, t, lang in rows if i % 4 != 3], [t for _, t, _ in rows])
+    for (i, _, _), (lang, score) in zip(rows, wanted, strict=True):
+        assert got[i]["lang_pred"] == lang and abs(got[i]["score"] - score) < 1e-5
+
+
 def test_held_out_language_is_not_learned(spark):
     """A text whose only labels are held out does not move the model."""
     rows = [(i, "abc abd " * 5 if i % 2 else "xyz xyw " * 5, "a" if i % 2 else "x") for i in range(40)]
@@ -355,6 +368,25 @@ def test_shards(spark, messy, empty):
     assert hilbert.shard_documents(docs.where("false"), 7).count() == 0
 
 
+def test_shards_along_a_plain_walk(spark):
+    for dims, bits in ((2, 3), (3, 2)):
+        walk = brute.hilbert_walk(dims, bits)
+        cells = sorted(walk)
+        assert [walk[c] for c in cells] == hilbert.hilbert_index(list(np.array(cells).T), bits).tolist()
+    draw = np.random.Generator(np.random.PCG64(3))
+    rows = [(i, "é" * int(draw.integers(0, 90)) if i % 9 else None, f"s{draw.integers(0, 40)}" if i % 7 else None, f"l{draw.integers(0, 5)}") for i in range(500)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string, lang string").repartition(5)
+    assert sorted_rows(hilbert.shard_documents(docs, 7), "doc_id", "shard", "slot") == sorted(brute.shards(rows, 7))
+
+
+def test_very_long_texts(spark):
+    rows = [(1, " ".join(prose(1, 150_000, 100_000))), (2, "a b"), (3, None), (4, "\n".join([" ".join(prose(2, 30)), ""] * 2000))]
+    docs = spark.createDataFrame([(*r, "s", "en") for r in rows], "doc_id bigint, text string, source string, lang string")
+    columns = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
+    assert sorted_rows(cascade.quality_report(docs), *columns) == brute.quality(rows)
+    assert sorted_rows(hilbert.shard_documents(docs, 3), "doc_id", "shard", "slot") == sorted(brute.shards([(*r, "s", "en") for r in rows], 3))
+
+
 @pytest.mark.parametrize("total", [90_000_000, 100_000_000, 3_000_000_000])
 def test_slots_of_large_tables(spark, total):
     for rank in (0, total // 2, total - 1):

@@ -48,6 +48,8 @@ def test_shards_of_the_table(spark):
     slots = brute.groups((r["shard"], r["slot"]) for r in got)
     assert sorted(slots) == list(range(24)) and all(sorted(v) == list(range(len(v))) for v in slots.values())
     assert max(map(len, slots.values())) - min(map(len, slots.values())) <= 1
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text", "source", "lang").collect()
+    assert sorted((r["doc_id"], r["shard"], r["slot"]) for r in got) == sorted(brute.shards([tuple(d) for d in docs], 24))
 
 
 def test_pipeline(spark, tmp_path):
