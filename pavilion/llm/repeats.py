@@ -267,23 +267,16 @@ def _single_windows(shape: Shape):
     return split
 
 
-#: What tells rows, classes and parts apart: two 64-bit keys made in different ways.
-KEY = "struct<a:bigint,b:bigint>"
-_PART = f"class {KEY}, n bigint, lo bigint, offset bigint, seed bigint, part bigint, content binary"
+def same_row(a: DataFrame, b: DataFrame) -> Column:
+    """Whether rows of two frames are one row: its key and its id, so that keys only part texts of one id."""
+    return (a["row"] == b["row"]) & a["id"].eqNullSafe(b["id"])
 
 
-def row_key(*columns: str) -> Column:
-    """A ``KEY`` of some columns, nulls included."""
-    return F.struct(F.xxhash64(*columns).alias("a"), F.xxhash64(F.lit(1), *columns).alias("b"))
-
-
-def _with_content(name: str) -> Column:
-    """The ``KEY`` of a key of contents that was made in a task, and of the content itself."""
-    return F.struct(F.col(name).alias("a"), F.xxhash64("content").alias("b"))
+_PART = "class bigint, n bigint, lo bigint, offset bigint, seed bigint, part bigint, content binary"
 
 
 def repeated_windows(docs: DataFrame, shape: Shape, index: Index, folder: str, filter_bits: int, seed_rows: int) -> DataFrame:
-    """Pieces of ``docs`` (row, a ``KEY``, id, text) with windows that may repeat: row, id, start, n, copies, lo, parts.
+    """Pieces of ``docs`` (row, id, text) with windows that may repeat: row, id, start, n, copies, lo, parts.
 
     ``start`` and ``n`` number the piece's windows in its text, ``copies`` and ``lo`` are the
     count and least id of its class, and ``parts`` (null where there are none) lists the windows
@@ -292,8 +285,7 @@ def repeated_windows(docs: DataFrame, shape: Shape, index: Index, folder: str, f
     spark = docs.sparkSession
     docs = docs.select("row", "id", "text")
     seeds = repeated_keys(docs.select("text"), _text_seeds(shape), filter_bits)
-    pieces = docs.mapInArrow(_piece_finder(shape, seeds), f"row {KEY}, id bigint, start bigint, n bigint, class bigint, content binary")
-    pieces = pieces.withColumn("class", _with_content("class"))
+    pieces = docs.mapInArrow(_piece_finder(shape, seeds), "row bigint, id bigint, start bigint, n bigint, class bigint, content binary")
     # Tables with contents are deleted as soon as what follows needs only their keys.
     pieces = materialize(pieces, "pieces", f"{folder}/pieces")
     classes = pieces.groupBy("class", "content").agg(F.count(F.lit(1)).alias("copies"), F.min("id").alias("lo"))
@@ -307,7 +299,7 @@ def repeated_windows(docs: DataFrame, shape: Shape, index: Index, folder: str, f
     parts = classes.select("class", "content", "copies", "lo").mapInArrow(
         _part_finder(shape, shared, windows), _PART
     )
-    parts = materialize(parts.withColumn("part", _with_content("part")), "parts", f"{folder}/parts")
+    parts = materialize(parts, "parts", f"{folder}/parts")
     discard(spark, f"{folder}/classes")
     release_shuffles(spark)
     hot = parts.groupBy("seed").agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > seed_rows).select("seed")
@@ -315,7 +307,7 @@ def repeated_windows(docs: DataFrame, shape: Shape, index: Index, folder: str, f
     if not hot.isEmpty():
         # Parts of a very common seed are spread: each of their windows goes where its own key belongs.
         common = parts.join(hot, "seed", "left_semi").select("class", "n", "lo", "offset", "content")
-        spread = common.mapInArrow(_single_windows(shape), _PART).withColumn("part", _with_content("part"))
+        spread = common.mapInArrow(_single_windows(shape), _PART)
         parts = materialize(parts.join(hot, "seed", "left_anti").select(*spread.columns).unionByName(spread), "spread", f"{folder}/parts")
     texts = parts.groupBy("seed", "part", "content").agg(F.sum("n").alias("n"), F.min("lo").alias("lo"))
     texts = materialize(texts, "texts", f"{folder}/texts")
@@ -328,7 +320,7 @@ def repeated_windows(docs: DataFrame, shape: Shape, index: Index, folder: str, f
     indexed = (
         texts.withColumn("block", F.pmod(F.xxhash64("seed"), F.lit(blocks)))
         .groupBy("block")
-        .applyInArrow(index, f"part {KEY}, ranges array<struct<a:int,b:int,lo:bigint,n:bigint>>")
+        .applyInArrow(index, "part bigint, ranges array<struct<a:int,b:int,lo:bigint,n:bigint>>")
     )
     moved = F.transform("ranges", lambda r: F.struct((r["a"] + F.col("offset")).alias("a"), (r["b"] + F.col("offset")).alias("b"), r["lo"], r["n"]))
     indexed = materialize(indexed, "indexed", folder)

@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from pavilion.llm.repeats import Shape, joined_runs, ranges, repeated_windows, row_key, window_runs
+from pavilion.llm.repeats import Shape, joined_runs, ranges, repeated_windows, same_row, window_runs
 from pavilion.session import discard, materialize, new_folder, release_shuffles
 
 _U = np.uint64
@@ -184,18 +184,18 @@ def remove_repeated_bytes(
         raise ValueError("the window must hold its seed and 16 bytes")
     spark = docs.sparkSession
     folder = new_folder(spark, "rindex")
-    docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).withColumn("row", row_key("id", "text"))
+    docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).withColumn("row", F.xxhash64("id", "text"))
     pieces = repeated_windows(docs.where("id is not null"), Shape(window, seed_bytes, words=False, within=False), least_documents(window), folder, filter_bits, seed_rows)
     start = F.col("start")
     whole = F.array(F.struct(start.alias("a"), (start + F.col("n")).alias("b")))
     held = F.filter("parts", lambda p: p["lo"] < F.col("id"))
     some = F.transform(held, lambda p: F.struct((start + p["a"]).alias("a"), (start + p["b"]).alias("b")))
-    spans = pieces.where("lo < id or parts is not null").select("row", F.when(F.col("lo") < F.col("id"), whole).otherwise(some).alias("spans"))
-    spans = spans.where("size(spans) > 0").groupBy("row").agg(F.flatten(F.collect_list("spans")).alias("spans"))
+    spans = pieces.where("lo < id or parts is not null").select("row", "id", F.when(F.col("lo") < F.col("id"), whole).otherwise(some).alias("spans"))
+    spans = spans.where("size(spans) > 0").groupBy("row", "id").agg(F.flatten(F.collect_list("spans")).alias("spans"))
     spans = materialize(spans, "spans", new_folder(spark, "rindex-spans"))
     discard(spark, folder)
     release_shuffles(spark)
-    return docs.join(spans, "row", "left").select("id", "text", "spans").mapInArrow(
+    return docs.join(spans, same_row(docs, spans), "left").select(docs["id"], "text", "spans").mapInArrow(
         _cutter(window, with_text),
         "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept_bytes binary, spans array<struct<start:bigint,n_bytes:bigint>>",
     )

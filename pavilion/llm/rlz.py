@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from pavilion.llm.repeats import Shape, joined_runs, ranges, repeated_windows, row_key, window_runs
+from pavilion.llm.repeats import Shape, joined_runs, ranges, repeated_windows, same_row, window_runs
 from pavilion.session import discard, materialize, new_folder, release_shuffles
 
 
@@ -182,17 +182,17 @@ def remove_repeats(
     spark = docs.sparkSession
     folder = new_folder(spark, "rlz")
     docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    docs = docs.withColumn("row", row_key("id", "text"))
+    docs = docs.withColumn("row", F.xxhash64("id", "text"))
     pieces = repeated_windows(docs, Shape(window, seed_words, words=True, within=True), parsed_windows(window), folder, filter_bits, seed_rows)
     whole = F.array(F.struct(F.col("start").alias("a"), (F.col("start") + F.col("n")).alias("b")))
     held = F.filter("parts", lambda p: p["n"] > 1)
     some = F.transform(held, lambda p: F.struct((F.col("start") + p["a"]).alias("a"), (F.col("start") + p["b"]).alias("b")))
-    spans = pieces.select("row", F.when(F.col("copies") > 1, whole).otherwise(some).alias("spans"))
-    spans = spans.where("size(spans) > 0").groupBy("row").agg(F.flatten(F.collect_list("spans")).alias("spans"))
+    spans = pieces.select("row", "id", F.when(F.col("copies") > 1, whole).otherwise(some).alias("spans"))
+    spans = spans.where("size(spans) > 0").groupBy("row", "id").agg(F.flatten(F.collect_list("spans")).alias("spans"))
     spans = materialize(spans, "spans", new_folder(spark, "rlz-spans"))
     discard(spark, folder)
     release_shuffles(spark)
-    cut = docs.join(spans, "row", "left").select("id", "text", "spans").mapInArrow(
+    cut = docs.join(spans, same_row(docs, spans), "left").select(docs["id"], "text", "spans").mapInArrow(
         _cutter(window, with_text),
         "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string, kept_text string, factors array<struct<start:bigint,n_words:bigint>>",
     )
