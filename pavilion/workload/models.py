@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import numpy as np
 from pyspark.sql import functions as F
 
 from pavilion.operators import dedupe, joins, quality
@@ -392,35 +391,28 @@ def dedupe_max(src):
     return _with_day(dedupe.dedupe_max(_items(src), ["k"], "l_quantity"))
 
 
+# Squarings of the correlations: 4,096 steps of power iteration.
+_SQUARINGS = 12
 _FEATURES = ["runs", "average", "strike_rate", "fours", "sixes", "hundreds", "fifties"]
 
 
 def _refit_sql() -> str:
-    number = {f: f"(case when abs({f}::double) < 'inf'::double then {f}::double else 0 end)" for f in _FEATURES}
-    return " union all ".join(
-        f"select '{a}' as feature, '{b}' as other, round(corr({number[a]}, {number[b]}), 6) as correlation, true as solved from stg_batting"
-        for a in _FEATURES for b in _FEATURES
-    )
-
-
-def _solved(correlation: np.ndarray, weights: np.ndarray, positive: int) -> np.ndarray:
-    """For each feature whether unit ``weights``, positive at ``positive``, solve the equation of the largest eigenvalue."""
-    largest = np.linalg.eigvalsh(correlation)[-1]
-    sound = weights[positive] > 0 and abs(weights @ weights - 1) < 1e-6
-    return (np.abs(correlation @ weights - largest * weights) < 1e-6) & sound
+    """The weights by squaring the correlation matrix, until the largest eigenvalue alone is left."""
+    numbers = ", ".join(f"case when abs({f}::double) < 'inf'::double then {f}::double else 0 end as {f}" for f in _FEATURES)
+    pairs = " union all ".join(f"select '{a}' as a, '{b}' as b, corr({a}, {b}) as r from numbers" for a in _FEATURES for b in _FEATURES)
+    infinite = " union all ".join(f"select '{f}' as feature, count(*) filter (abs({f}::double) = 'inf'::double) as undefined from stg_batting" for f in _FEATURES)
+    squared = ", ".join(
+        f"""power_{i + 1} as materialized (select a, b, s / max(abs(s)) over () as r
+          from (select x.a, y.b, sum(x.r * y.r) as s from power_{i} x join power_{i} y on x.b = y.a group by x.a, y.b))"""
+        for i in range(_SQUARINGS)
+    )
+    return f"""select feature, weight, undefined from (
+        with numbers as materialized (select {numbers} from stg_batting), power_0 as materialized ({pairs}), {squared}
+        select a as feature, round(r / sqrt(sum(r * r) over ()), 6) as weight from power_{_SQUARINGS} where b = 'runs')
+      join ({infinite}) using (feature)"""
 
 
 @query("refit_weights", with_tables(_refit_sql(), "stg_batting"))
 def refit_weights(src):
-    """The correlations, and whether the refit is right in each feature's row (``_solved``)."""
-    batting = materialize(src.stg_batting, "batting")
-    fitted = {r["feature"]: r for r in refit.refit_weights(batting, _FEATURES, positive="runs").collect()}
-    numbers = batting.select(*[refit.finite_or_zero(F.col(f)).alias(f) for f in _FEATURES])
-    row = numbers.agg(*[F.corr(a, b).alias(f"{a}__{b}") for a in _FEATURES for b in _FEATURES]).first()
-    infinite = batting.select(*[F.expr(f"count_if(double({f}) in (double('inf'), double('-inf')))").alias(f) for f in _FEATURES]).first()
-    correlation = np.array([[row[f"{a}__{b}"] for b in _FEATURES] for a in _FEATURES])
-    weights = np.array([fitted[f]["weight"] for f in _FEATURES])
-    counted = np.array([fitted[f]["undefined"] == infinite[f] for f in _FEATURES])
-    solved = dict(zip(_FEATURES, _solved(correlation, weights, _FEATURES.index("runs")) & counted, strict=True))
-    rows = [(a, b, round(row[f"{a}__{b}"], 6), bool(solved[a])) for a in _FEATURES for b in _FEATURES]
-    return src.spark.createDataFrame(rows, "feature string, other string, correlation double, solved boolean")
+    fitted = refit.refit_weights(src.stg_batting, _FEATURES, positive="runs")
+    return fitted.select("feature", F.round("weight", 6).alias("weight"), "undefined")

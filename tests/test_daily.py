@@ -340,12 +340,3 @@ def test_refit_finds_the_common_direction(spark):
     assert weights["a"] > 0 and weights["b"] > 0 > weights["c"]
     undefined = {r["feature"]: r["undefined"] for r in refit.refit_weights(df, ["a", "b", "c", "d"], "a").collect()}
     assert undefined == {"a": 0, "b": 0, "c": 0, "d": 1}
-
-
-def test_only_the_first_component_with_its_sign_counts_as_solved():
-    correlation = np.array([[1.0, 0.6, 0.2], [0.6, 1.0, 0.3], [0.2, 0.3, 1.0]])
-    vectors = np.linalg.eigh(correlation)[1]
-    first = vectors[:, 2] * np.sign(vectors[0, 2])
-    assert models._solved(correlation, first, 0).all()
-    for wrong in (-first, 2 * first, *(v * np.sign(v[0]) for v in vectors.T[:2])):
-        assert not models._solved(correlation, wrong, 0).all()

@@ -56,3 +56,12 @@ def test_plan_has_no_all_pairs_join_or_python(spark, name):
 def test_scans_read_only_what_they_need(spark):
     plan = QUERIES["test_range"](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(l_returnflag,A)" in plan and "l_extendedprice" not in plan
+
+
+def test_refit_sql_tells_signs_and_counts(spark):
+    folder = "/root/testdata/sf0.001"
+    found = spark.createDataFrame(QUERIES["refit_weights"](spark, folder).collect(), "feature string, weight double, undefined bigint")
+    connection, sql = connect(folder), ORACLES["refit_weights"]
+    assert compare(found, connection, sql) == ""
+    assert compare(found.withColumn("weight", -found["weight"]), connection, sql) != ""
+    assert compare(found.withColumn("undefined", found["undefined"] + 1), connection, sql) != ""
