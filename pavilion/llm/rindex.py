@@ -1,12 +1,17 @@
 """Duplicate byte substrings by a run-length index.
 
 Each block of repeated passages (``repeats``) is indexed by its run-compressed Burrows-Wheeler
-transform: the runs' symbols, first rows and mapped rows, with the text positions of the rows
-at both ends of every run. All texts of the block are streamed backwards through the index at once,
-one symbol a step, which gives each suffix its row. What decides is the block's plain suffix array:
-neighbouring rows with equal first ``window`` bytes form an interval, which knows the least document that the
-string starts in. Memory follows the block's bytes, not its runs; the run ends are not read and no
-matching statistics are computed.
+transform: the runs' symbols, first rows and mapped rows, and samples at the run ends: where the suffix
+before the mapped row starts (one symbol before the end of the last run with the same symbol), and how
+many bytes the two share. The suffix array is built for this and not kept.
+
+All texts of the block are streamed backwards through the index at once, one symbol a step, with
+their matching statistics: the length of the match with the suffix in the row before, and where that
+one starts. Inside a run both grow by the step's symbol, because the row before has the same symbol in
+front; at a run's head they are read from the samples. A window whose match is as long as itself points to an
+equal window in this way, and the chains of such pointers, followed to their ends, give the least
+document that a window starts in. The index follows the runs; a block's texts and the streamed matches,
+sixteen bytes a window, follow its bytes, about a megabyte.
 """
 
 from __future__ import annotations
@@ -61,23 +66,45 @@ def suffix_order(symbols: np.ndarray) -> np.ndarray:
         width *= 2
 
 
+def shared_bytes(data: np.ndarray, a: np.ndarray, b: np.ndarray, most: np.ndarray) -> np.ndarray:
+    """How many bytes from ``a`` and ``b`` on are equal, up to ``most``; eight more bytes must follow the last."""
+    words = np.ndarray(len(data) - 7, "<u8", data, 0, (1,))
+    size = np.zeros(len(a), np.int64)
+    live = np.flatnonzero(most > 0)
+    while len(live):
+        differ = words[a[live] + size[live]] ^ words[b[live] + size[live]]
+        lowest = np.maximum(differ & (~differ + _U(1)), _U(1))
+        more = np.where(differ == 0, 8, np.log2(lowest).astype(np.int64) // 8)
+        size[live] += more
+        live = live[(more == 8) & (size[live] < most[live])]
+    return np.minimum(size, most)
+
+
 class RunIndex(NamedTuple):
-    """Run-compressed transform: of each run its first row, symbol, the row that its first
-    row maps to, and the text positions of its first and last row."""
+    """Run-compressed transform: of each run its first row, its symbol and the row that its first row maps to.
+
+    ``above`` and ``shared`` sample the run ends: where the suffix in the row before the mapped one starts, and
+    how many bytes the two share.
+    """
 
     head: np.ndarray
     symbol: np.ndarray
     mapped: np.ndarray
-    first_at: np.ndarray
-    last_at: np.ndarray
+    above: np.ndarray
+    shared: np.ndarray
 
-    def back(self, row: np.ndarray) -> np.ndarray:
-        """Row of the suffix that is longer by one symbol."""
+    def back(self, row: np.ndarray, length: np.ndarray, source: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Row of the suffix that is longer by one symbol, its match with the row before, and where that one starts."""
         run = np.searchsorted(self.head, row, "right") - 1
-        return self.mapped[run] + row - self.head[run]
+        past = row - self.head[run]
+        length = np.where(past == 0, self.shared[run], length + 1)
+        source = np.where(past == 0, self.above[run], source - 1)
+        return self.mapped[run] + past, length, source
 
 
-def run_index(symbols: np.ndarray, order: np.ndarray) -> RunIndex:
+def run_index(symbols: np.ndarray, data: np.ndarray) -> RunIndex:
+    """Index of texts of symbols 1.., each ended by a 0; ``data`` holds them as bytes, and eight bytes more."""
+    order = suffix_order(symbols)
     last = symbols[order - 1]
     head = np.flatnonzero(np.concatenate([[True], last[1:] != last[:-1]]))
     size = np.diff(np.concatenate([head, [len(last)]]))
@@ -85,52 +112,61 @@ def run_index(symbols: np.ndarray, order: np.ndarray) -> RunIndex:
     by = np.argsort(symbol, kind="stable")
     mapped = np.empty(len(head), np.int64)
     mapped[by] = np.concatenate([[0], np.cumsum(size[by])[:-1]])
-    return RunIndex(head, symbol, mapped, order[head], order[head + size - 1])
-
-
-def _same_window(data: np.ndarray, a: np.ndarray, b: np.ndarray, window: int) -> np.ndarray:
-    """Whether the windows at ``a`` and ``b`` are equal, byte for byte."""
-    words = np.ndarray(len(data) - 7, "<u8", data, 0, (1,))
-    same = np.ones(len(a), bool)
-    for j in [*range(0, window - 8, 8), window - 8]:
-        left = np.flatnonzero(same)
-        same[left] = words[a[left] + j] == words[b[left] + j]
-    return same
+    # Matches stop at the ends of their texts; the first row has none before it and is an end itself.
+    at, above = order[mapped], order[mapped - 1]
+    ends = np.flatnonzero(symbols == 0)
+    left = np.minimum(ends[np.searchsorted(ends, at)] - at, ends[np.searchsorted(ends, above)] - above)
+    return RunIndex(head, symbol, mapped, above, shared_bytes(data, at, above, left))
+
+
+def matches(index: RunIndex, size: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """Matching statistics of all windows of the indexed texts, of ``size`` bytes each: length of the match and
+    the position where it starts, in the texts one after another, each followed by its end."""
+    ends = np.cumsum(size + 1) - 1
+    lists = np.concatenate([[0], np.cumsum(np.maximum(size - window + 1, 0))])
+    lengths, sources = np.zeros(lists[-1], np.int64), np.empty(lists[-1], np.int64)
+    # The texts' ends are the first rows, in their order, and share nothing.
+    live, row = np.arange(len(size)), np.arange(len(size))
+    length, source = np.zeros(len(size), np.int64), np.concatenate([[-1], ends])[: len(size)]
+    for step in range(1, int(size.max(initial=0)) + 1):
+        if len(live) and (size[live] < step).any():
+            going = size[live] >= step
+            live, row, length, source = live[going], row[going], length[going], source[going]
+        row, length, source = index.back(row, length, source)
+        if step >= window:
+            at = lists[live] + size[live] - step
+            lengths[at], sources[at] = length, source
+    return lengths, sources
 
 
 def least_documents(window: int):
-    """Index of a block of texts: for each window of each text its least document and its count."""
+    """Index of a block of texts: for each window of each text its least document."""
 
     def index(block: pa.Table) -> pa.Table:
         texts = block.column("content").combine_chunks()
-        lo, count = block.column("lo").to_numpy(), block.column("n").to_numpy()
+        lo = block.column("lo").to_numpy()
         size = np.fromiter((len(x.as_buffer()) for x in texts), np.int64)
         ends = np.cumsum(size + 1) - 1
-        starts = ends - size
         data = np.frombuffer(b"\0".join(x.as_buffer() for x in texts) + bytes(9), np.uint8)
         symbols = data[: ends[-1] + 1].astype(np.int16) + 1
         symbols[ends] = 0
-        order = suffix_order(symbols)
-        index = run_index(symbols, order)
-        text = np.searchsorted(ends, order)
-        whole = ends[text] - order >= window
-        joined = np.zeros(len(order), bool)
-        near = np.flatnonzero(whole[1:] & whole[:-1]) + 1
-        joined[near] = _same_window(data, order[near], order[near - 1], window)
-        heads = np.flatnonzero(~joined)
-        least, total = np.minimum.reduceat(lo[text], heads), np.add.reduceat(count[text], heads)
-        # Stream: all texts at once, from their ends, which are the first rows.
-        lists = np.concatenate([[0], np.cumsum(np.maximum(size - window + 1, 0))])
-        los, counts = np.empty(lists[-1], np.int64), np.empty(lists[-1], np.int64)
-        live, row = np.arange(len(size)), np.arange(len(size))
-        for length in range(1, int(size.max(initial=0)) + 1):
-            going = size[live] >= length
-            live, row = live[going], index.back(row[going])
-            if length >= window:
-                group = np.searchsorted(heads, row, "right") - 1
-                at = lists[live] + size[live] - length
-                los[at], counts[at] = least[group], total[group]
-        return ranges(block.column("part"), lists, los, counts)
+        lengths, sources = matches(run_index(symbols, data), size, window)
+        windows = np.maximum(size - window + 1, 0)
+        lists = np.concatenate([[0], np.cumsum(windows)])
+        # Equal windows are neighbouring rows, so their pointers make one chain, which ends at its first row.
+        first = np.arange(lists[-1])
+        long = np.flatnonzero(lengths >= window)
+        text = np.searchsorted(ends, sources[long])
+        first[long] = lists[text] + sources[long] - (ends - size)[text]
+        while len(long):
+            further = first[first[long]]
+            moved = further != first[long]
+            first[long] = further
+            long = long[moved]
+        own = np.repeat(lo, windows)
+        least = own.copy()
+        np.minimum.at(least, first, own)
+        return ranges(block.column("part"), lists, least[first], np.zeros(len(first), np.int64))
 
     return index
 

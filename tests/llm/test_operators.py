@@ -113,21 +113,80 @@ def test_repeated_bytes_of_random_texts(spark):
     assert sorted_rows(found, "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == in_order(brute.repeated_bytes(rows, 16))
 
 
+def run_length_block(texts):
+    """A block's texts as bytes with their ends, as symbols, and their sizes."""
+    size = np.array([len(t) for t in texts])
+    data = np.frombuffer(b"\0".join(texts) + bytes(9), np.uint8)
+    symbols = data[: size.sum() + len(texts)].astype(np.int16) + 1
+    symbols[np.cumsum(size + 1) - 1] = 0
+    return data, symbols, size
+
+
 def test_run_length_index():
-    texts = [b"banana", b"bandana", b"anan", b"", b"banana"]
-    symbols = np.concatenate([np.append(np.frombuffer(t, np.uint8).astype(np.int16) + 1, 0) for t in texts])
+    texts = [b"banana", b"bandana", b"anan", b"", b"banana", b"\0\0a", b"b" * 30, b"nab" + b"b" * 21]
+    data, symbols, size = run_length_block(texts)
     order = rindex.suffix_order(symbols)
     ends = np.flatnonzero(symbols == 0)
     suffixes = [(*symbols[i : ends[np.searchsorted(ends, i)]], 0, int(np.searchsorted(ends, i))) for i in order]
     assert suffixes == sorted(suffixes)
-    index = rindex.run_index(symbols, order)
+    index = rindex.run_index(symbols, data)
     rank = np.argsort(order)
+    same = [next(k for k, (x, y) in enumerate(zip(a, b)) if x != y or x == 0) for a, b in zip(suffixes, suffixes[1:])]
     for at in range(1, len(symbols)):
         if symbols[at - 1]:  # the row before the text's first symbol is never asked for
-            assert index.back(np.array([rank[at]]))[0] == rank[at - 1]
+            before = [np.array([x]) for x in (rank[at], same[rank[at] - 1] if rank[at] else 0, order[rank[at] - 1])]
+            row, length, source = (int(x[0]) for x in index.back(*before))
+            assert row == rank[at - 1] and length == same[row - 1] and source == order[row - 1]
     assert len(index.head) < len(symbols)
 
 
+@pytest.mark.parametrize("window", [1, 3, 8])
+def test_matching_statistics(window):
+    """Of every window the match with the suffix in the row before, and the least document of its string."""
+    draw = np.random.Generator(np.random.PCG64(31))
+    for _ in range(60):
+        texts = [draw.integers(0, 2, draw.integers(0, 40), dtype=np.uint8).tobytes() for _ in range(draw.integers(1, 9))]
+        texts += [texts[0][3:20], b"\1" * 25]
+        data, symbols, size = run_length_block(texts)
+        order = rindex.suffix_order(symbols)
+        rank, starts = np.argsort(order), np.cumsum(size + 1) - size - 1
+        places = [(t, p) for t, text in enumerate(texts) for p in range(len(text) - window + 1)]
+        lengths, sources = rindex.matches(rindex.run_index(symbols, data), size, window)
+        for (t, p), length, source in zip(places, lengths.tolist(), sources.tolist(), strict=True):
+            row = rank[starts[t] + p]
+            other = int(np.searchsorted(starts, order[row - 1], "right") - 1)
+            rest = texts[other][order[row - 1] - starts[other] :]
+            common = next((k for k, (x, y) in enumerate(zip(texts[t][p:], rest)) if x != y), min(len(rest), len(texts[t]) - p))
+            assert (length, source) == (common, order[row - 1])
+        lo = draw.integers(0, 50, len(texts))
+        block = pa.table({"part": range(len(texts)), "content": texts, "lo": lo, "n": [1] * len(texts)})
+        got = [[r["lo"] for r in ranges for _ in range(r["a"], r["b"])] for ranges in rindex.least_documents(window)(block)["ranges"].to_pylist()]
+        least: dict[bytes, int] = {}
+        for t, p in places:
+            string = texts[t][p : p + window]
+            least[string] = min(least.get(string, 99), int(lo[t]))
+        assert got == [[least[text[p : p + window]] for p in range(len(text) - window + 1)] for text in texts]
+
+
+def test_index_size_follows_the_runs():
+    """Copies of a text, each with one byte changed, add runs for the changes and not for the text."""
+    draw = np.random.Generator(np.random.PCG64(7))
+    base = draw.integers(97, 101, 2000, dtype=np.uint8)
+    held, nbytes = [], []
+    for copies in (10, 200):
+        texts = []
+        for _ in range(copies):
+            text = base.copy()
+            text[draw.integers(2000)] = 122
+            texts.append(text.tobytes())
+        data, symbols, _ = run_length_block(texts)
+        index = rindex.run_index(symbols, data)
+        held.append(len(index.head))
+        nbytes.append(sum(x.nbytes for x in index) / len(symbols))
+    assert held[0] < 2000 + 10 * 50 and held[1] < 2000 + 200 * 50
+    assert nbytes[1] < nbytes[0] / 5 and nbytes[1] < 2
+
+
 @pytest.mark.parametrize("k", [2, 5])
 def test_near_duplicates(docs, messy, empty, k):
     found = neardup.near_duplicates(docs, shingle_words=k, bands=60, rows=5, **SMALL)
