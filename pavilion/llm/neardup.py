@@ -7,10 +7,12 @@ documents' full shingle sets.
 
 Documents with equal sets are one class from the start, so copies cost one row each. In a
 bucket all classes are first checked against one of its classes, which joins most of a group of near
-copies with one check per member. Pairs that lie in one bucket but not yet in one component
+copies with one check per member. Buckets that stay larger than a block are checked against further classes
+of theirs, round after round, as long as that empties them. Pairs that lie in one bucket but not yet in one component
 are checked after that, so no link between components is left out. They are never listed as rows:
-classes that are connected through such buckets are dealt to blocks of bounded size, and each pair of
-blocks is compared in one task, which reports links only.
+classes that are connected through such buckets are a family, and families are dealt to blocks of bounded size, where tasks
+compare them and report links only. A family of more blocks than its classes have buckets is dealt by bucket, so a row is
+copied at most once a bucket, however large the family, and a pair is compared where its least common bucket goes.
 """
 
 from __future__ import annotations
@@ -137,6 +139,9 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def _block_linker(percent: int):
     def link(block: pa.Table) -> pa.Table:
         first, second = block.column("i")[0].as_py(), block.column("j")[0].as_py()
+        # The buckets whose pairs this block compares, all where rows were not dealt by bucket; a row may come for several.
+        home = block.column("home").drop_null().to_numpy()
+        block = block.take(np.unique(block.column("class").to_numpy(), return_index=True)[1])
         chunk = block.column("chunk").to_numpy()
         component, size = block.column("component").to_numpy(), block.column("n").to_numpy()
         lists = block.column("buckets").combine_chunks()
@@ -145,10 +150,16 @@ def _block_linker(percent: int):
         order = np.argsort(bucket, kind="stable")
         bucket, member = bucket[order], member[order]
         heads = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
+        own = np.isin(bucket[heads], home) | (len(home) == 0)
+        # Buckets in ascending order, so that the first one that a pair shares is its least.
         met = np.zeros((len(size), len(size)), bool)
-        for a, b in zip(heads, np.append(heads[1:], len(bucket)), strict=True):
+        seen = met if own.all() else np.zeros_like(met)
+        for a, b, here in zip(heads, np.append(heads[1:], len(bucket)), own, strict=True):
             if b - a > 1:
-                met[np.ix_(member[a:b], member[a:b])] = True
+                pairs = np.ix_(member[a:b], member[a:b])
+                if here:
+                    met[pairs] |= ~seen[pairs]
+                seen[pairs] = True
         contents = [np.frombuffer(x.as_buffer(), np.uint64) for x in block.column("shingles").combine_chunks()]
         found: list[tuple[int, int]] = []
         name = block.column("class").to_numpy()
@@ -173,23 +184,53 @@ def _block_linker(percent: int):
 def _compared_in_blocks(rest: DataFrame, percent: int, block_bytes: int, block_rows: int) -> DataFrame:
     """Links (a, b) between classes of one family and bucket but of different components.
 
-    A family larger than a block is cut into chunks by class, and every two chunks make a block;
-    small families share one.
+    Small families share a block. A larger one is cut into chunks by class, and every two chunks make a block; where a
+    class would go to more blocks so than it has buckets, each bucket is dealt to blocks in the same way instead.
     """
     # A row's share of a block, by bytes or by rows, whichever is larger.
     share = F.greatest((F.octet_length("shingles") + 8 * F.size("buckets")) / block_bytes, F.lit(1 / block_rows))
-    sizes = rest.groupBy("family").agg(F.ceil(F.sum(share)).cast("int").alias("chunks"), F.sum(share).alias("share"))
+    rest = rest.withColumn("share", share)
+    families = rest.groupBy("family").agg((F.ceil(F.sum("share")) > F.avg(F.size("buckets"))).alias("split"))
+    whole = F.array(F.lit(None).cast("bigint"))
+    rest = rest.join(families, "family").withColumn("home", F.explode(F.when(F.col("split"), F.col("buckets")).otherwise(whole)))
+    rest = rest.withColumn("unit", F.coalesce("home", "family"))
+    sizes = rest.groupBy("split", "unit").agg(F.ceil(F.sum("share")).cast("int").alias("chunks"), F.sum("share").alias("share"))
     bins = int(sizes.where("chunks = 1").agg(F.sum("share")).first()[0] or 0) + 1
-    place = F.when(F.col("chunks") == 1, F.pmod(F.xxhash64("family"), F.lit(bins))).otherwise(F.col("family"))
-    dealt = rest.join(sizes.select("family", "chunks"), "family").withColumns(
+    place = F.when(F.col("chunks") == 1, F.pmod(F.xxhash64("unit"), F.lit(bins))).otherwise(F.col("unit"))
+    dealt = rest.join(sizes.select("split", "unit", "chunks"), ["split", "unit"]).withColumns(
         {"chunk": F.pmod(F.xxhash64("class"), F.col("chunks")).cast("int"), "place": place}
     )
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     dealt = dealt.select(
-        "class", "component", "n", "buckets", "shingles", "chunk", "place", (F.col("chunks") > 1).alias("large"),
+        "class", "component", "n", "buckets", "shingles", "home", "chunk", "split", "place", (F.col("chunks") > 1).alias("large"),
         F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"),
     )
-    return dealt.groupBy("large", "place", "i", "j").applyInArrow(_block_linker(percent), "a bigint, b bigint")
+    return dealt.groupBy("split", "large", "place", "i", "j").applyInArrow(_block_linker(percent), "a bigint, b bigint")
+
+
+def _hub_links(members: DataFrame, sets: DataFrame, percent: int, turn: int) -> DataFrame:
+    """Links (a, b) of one class of each bucket, another one every turn, to all classes of other components in it."""
+    hub = F.min(F.struct(F.xxhash64("class", F.lit(turn)), "class", "n", "component"))
+    stars = members.join(members.groupBy("bucket").agg(hub.alias("hub")), "bucket").where("component <> hub.component").select(
+        F.col("hub.class").alias("a"), F.col("hub.n").alias("na"), F.col("class").alias("b"), F.col("n").alias("nb")
+    )
+    # Sizes alone may rule a pair out.
+    stars = stars.where(f"100 * least(na, nb) >= {percent} * greatest(na, nb)")
+    return _confirmed(stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), sets, percent)
+
+
+def _labels(links: DataFrame, folder: str) -> DataFrame:
+    return components(links, folder).select(F.col("node").alias("class"), "component")
+
+
+def _still_open(members: DataFrame, labels: DataFrame, folder: str) -> DataFrame:
+    """Rows of buckets that hold several components, with their components, the bucket's least class and its rows."""
+    named = members.join(labels, "class", "left").withColumn("component", F.coalesce("component", "class"))
+    named = materialize(named, "named", folder)
+    buckets = named.groupBy("bucket").agg(
+        F.min("component").alias("lo"), F.max("component").alias("hi"), F.min("class").alias("a"), F.count(F.lit(1)).alias("rows")
+    )
+    return materialize(named.join(buckets.where("lo < hi").select("bucket", "a", "rows"), "bucket"), "open", folder)
 
 
 def near_duplicates(
@@ -238,30 +279,25 @@ def near_duplicates(
     sets = texts.mapInArrow(_set_reader(shingle_words), "class bigint, shingles binary")
     sets = materialize(sets.join(wanted, "class", "left_semi").dropDuplicates(["class"]), "sets", folder)
     # In every bucket all classes meet one of them.
-    hub = F.min(F.struct(F.xxhash64("class"), "class", "n"))
-    hubs = members.groupBy("bucket").agg(hub.alias("hub"))
-    stars = members.join(hubs, "bucket").where("class <> hub.class").select(
-        F.col("hub.class").alias("a"), F.col("hub.n").alias("na"), F.col("class").alias("b"), F.col("n").alias("nb")
-    )
-    # Sizes alone may rule a pair out.
-    stars = stars.where(f"100 * least(na, nb) >= {percent} * greatest(na, nb)")
-    stars = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    links = materialize(_confirmed(stars, sets, percent), "links", folder)
-    labels = components(links, folder).select(F.col("node").alias("class"), "component")
-    labels = materialize(labels, "labels", folder)
+    links = materialize(_hub_links(members.withColumn("component", F.col("class")), sets, percent, 0), "links", folder)
+    labels = materialize(_labels(links, folder), "labels", folder)
+    named = _still_open(members, labels, folder)
+    # Buckets larger than a block meet further classes, as long as a tenth of their rows goes with each turn.
+    large, turn, before = named.where(F.col("rows") > block_rows), 1, None
+    while (left := large.count()) and (before is None or left < 0.9 * before):
+        links = links.unionByName(materialize(_hub_links(large, sets, percent, turn), "links", folder))
+        labels = materialize(_labels(links, folder), "labels", folder)
+        named = _still_open(named.select("class", "n", "bucket"), labels, folder)
+        large, turn, before = named.where(F.col("rows") > block_rows), turn + 1, left
 
     # Buckets that still hold several components are compared in blocks.
-    named = members.join(labels, "class", "left").withColumn("component", F.coalesce("component", "class"))
-    named = materialize(named, "named", folder)
-    open_ = named.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.min("class").alias("a"))
-    named = materialize(named.join(open_.where("lo < hi").select("bucket", "a"), "bucket"), "open", folder)
     families = components(named.select("a", F.col("class").alias("b")).distinct(), folder)
     families = families.select(F.col("node").alias("class"), F.col("component").alias("family"))
-    rest = named.groupBy("class", "component", "n").agg(F.collect_list("bucket").alias("buckets"))
+    rest = named.groupBy("class", "component", "n").agg(F.sort_array(F.collect_list("bucket")).alias("buckets"))
     rest = rest.join(families, "class").join(sets, "class")
     more = materialize(_compared_in_blocks(materialize(rest, "rest", folder), percent, block_bytes, block_rows), "more", folder)
     if not more.isEmpty():
-        labels = components(links.unionByName(more), folder).select(F.col("node").alias("class"), "component")
+        labels = _labels(links.unionByName(more), folder)
     rooted = classes.join(labels, "class", "left").withColumn("component", F.coalesce("component", "class"))
     roots = rooted.groupBy("component").agg(F.min("rep").alias("component_id"))
     named = materialize(rooted.join(roots, "component").select("class", "component_id"), "roots", folder)

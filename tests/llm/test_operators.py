@@ -199,11 +199,34 @@ def test_chains_of_near_duplicates(spark):
     base = prose(1, 100, 5000)
     rows = [(50 - i, " ".join([f"c{j}" if j < 4 * i else w for j, w in enumerate(base)])) for i in range(12)]
     rows += [(100 + i, " ".join([*base[:i], f"v{i}", *base[i + 1 :]])) for i in range(0, 100, 3)] + [(100, rows[3][1])]
-    for size in (4096, 8 << 20):  # several blocks for a family, and one for all
-        found = neardup.near_duplicates(frame(spark, rows), shingle_words=2, bands=60, rows=5, block_bytes=size, **SMALL)
+    # Several blocks for a family, one for all, and buckets larger than a block.
+    for bounds in ({"block_bytes": 4096}, {}, {"block_rows": 2}):
+        found = neardup.near_duplicates(frame(spark, rows), shingle_words=2, bands=60, rows=5, **bounds, **SMALL)
         assert sorted_rows(found, "doc_id", "n_shingles", "component_id", "kept") == in_order(brute.near_duplicates(rows, 2))
 
 
+@pytest.mark.parametrize("block_rows", [1, 3, 40, 4096])
+def test_blocks_of_open_buckets(spark, block_rows):
+    """A long chain of small buckets, a bucket of every second class and a small family, in blocks of any size."""
+    draw = np.random.Generator(np.random.PCG64(3))
+    classes = []
+    for c in range(120):
+        near = draw.integers(0, 1000, 20) + 5000 * (c % 7)
+        buckets = {c // 3, (c + 1) // 3, 1000 + c % 2} if c < 110 else {2000}
+        classes.append((c, c // 2 if c % 3 else c, sorted(set(near.tolist()) | set(range(70))), sorted(buckets), 0 if c < 110 else 110))
+    rows = [(c, comp, len(held), buckets, family, bytearray(np.array(held, np.uint64).tobytes())) for c, comp, held, buckets, family in classes]
+    rest = spark.createDataFrame(rows, "class bigint, component bigint, n bigint, buckets array<bigint>, family bigint, shingles binary")
+    found = [tuple(sorted((r["a"], r["b"]))) for r in neardup._compared_in_blocks(rest, 63, 8 << 20, block_rows).collect()]
+    wanted = {
+        (a[0], b[0])
+        for i, a in enumerate(classes)
+        for b in classes[i + 1 :]
+        if a[4] == b[4] and a[1] != b[1] and set(a[3]) & set(b[3]) and 100 * len(set(a[2]) & set(b[2])) >= 63 * len(set(a[2]) | set(b[2]))
+    }
+    assert sorted(found) == sorted(wanted)  # each pair once
+    assert 100 < len(wanted) < 5000
+
+
 def test_components(spark):
     chain = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 140)] + [(7, 7), (200, 201), (201, 200)]
     links = spark.createDataFrame(chain, "a bigint, b bigint")
