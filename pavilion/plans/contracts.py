@@ -145,9 +145,14 @@ def model_tests() -> list[TableTest]:
     ]
 
 
+def match_tests() -> list[TableTest]:
+    """Tests of the matches: one row per match."""
+    return [*_not_null("matches", "match_id"), *_unique("matches", "match_id")]
+
+
 def silver_ball_tests() -> list[TableTest]:
     """Tests of the tables that the balls are joined with: one row per match."""
-    return [*_not_null("matches", "match_id"), *_unique("matches", "match_id"), *_unique("weather", "match_id")]
+    return [*match_tests(), *_unique("weather", "match_id")]
 
 
 def ball_tests() -> list[TableTest]:

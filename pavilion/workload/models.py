@@ -50,6 +50,7 @@ query("dim_venue", _all("dim_venue"))(lambda src: marts.dim_venue(src.matches))
     ),
 )
 def ball_tests(src):
+    """The key of the matches and the ball-by-ball tables that are built with it."""
     built = {
         "matches": src.matches,
         "dim_player_source": marts.dim_player_source(src.balls),
@@ -57,7 +58,7 @@ def ball_tests(src):
         "dim_weather": src.dim_weather,
         "fact_ball_by_ball": src.fact_ball,
     }
-    return quality.run_tests(built, contracts.ball_tests())
+    return quality.run_tests(built, [*contracts.match_tests(), *contracts.ball_tests()])
 
 
 @query(

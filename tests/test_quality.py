@@ -12,6 +12,7 @@ from pavilion.operators import quality
 from pavilion.operators.quality import FieldRule, QualityGateFailure, TableTest
 from pavilion.plans import contracts
 from pavilion.schemas import SILVER_BATTING, SILVER_BOWLING
+from pavilion.workload import QUERIES
 
 
 def batting(spark, n=60):
@@ -220,3 +221,12 @@ def test_references_and_keys(spark):
     found = {(r["column_name"], r["check_name"]): r["violations"] for r in quality.run_tests({"f": facts, "d": dims}, tests).collect()}
     assert found == {("k", "references"): 1, ("n", "unique"): 1, ("k", "unique"): 0}
     assert [r["k"] for r in quality.orphans(facts, "k", dims, "id").collect()] == [9]
+
+
+def test_repeated_match_is_reported(spark, tmp_path):
+    tables = "/root/testdata/sf0.001"
+    orders = spark.read.parquet(f"{tables}/orders.parquet")
+    orders.union(orders.where("o_orderkey < 3")).write.parquet(f"{tmp_path}/orders.parquet")
+    spark.read.parquet(f"{tables}/lineitem.parquet").write.parquet(f"{tmp_path}/lineitem.parquet")
+    rows = QUERIES["ball_tests"](spark, str(tmp_path)).where("table_name = 'matches'").collect()
+    assert {(r["column_name"], r["check_name"]): r["violations"] for r in rows} == {("match_id", "not_null"): 0, ("match_id", "unique"): 3}
