@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 from functools import cached_property, lru_cache
 
@@ -14,6 +15,7 @@ from pavilion.workload.rules import ROLES
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+_ROWS_PER_TASK = 20_000  # of a table that is dealt out; parsing a page takes up to a millisecond
 
 
 class Source:
@@ -25,6 +27,7 @@ class Source:
     def __init__(self, spark: SparkSession, folder: str) -> None:
         self.spark, self.folder = spark, folder
         self._tables: dict[str, DataFrame] = {}
+        self._spread: dict[str, DataFrame] = {}
 
     def path(self, name: str) -> str:
         return f"{self.folder}/{name}.parquet"
@@ -35,8 +38,16 @@ class Source:
         return self._tables[name]
 
     def spread(self, name: str) -> DataFrame:
-        """The table dealt out by its first column, since one small file is one task."""
-        return self[name].repartition(self[name].columns[0])
+        """The table dealt out by its first column, since one small file is one task.
+
+        The number of tasks follows the rows. Left to choose, Spark would merge them by the bytes shuffled,
+        which are a few per row where documents or pages are made from a key.
+        """
+        if name not in self._spread:
+            table = self[name]
+            tasks = max(math.ceil(table.count() / _ROWS_PER_TASK), self.spark.sparkContext.defaultParallelism)
+            self._spread[name] = table.repartition(tasks, table.columns[0])
+        return self._spread[name]
 
     @cached_property
     def bat_raw(self) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from pavilion.workload import ORACLES, QUERIES
@@ -58,6 +59,13 @@ def test_scans_read_only_what_they_need(spark):
     assert "EqualTo(l_returnflag,A)" in plan and "l_extendedprice" not in plan
 
 
+@pytest.mark.parametrize("name", ["html_headers_and_references", "html_spans_and_nested", "page_drift_mixed"])
+def test_pages_are_parsed_by_many_tasks(spark, name):
+    """The bytes shuffled are a few per page, so Spark merged the pages into one task."""
+    tasks = QUERIES[name](spark, FOLDER).select(F.spark_partition_id().alias("p")).distinct().count()
+    assert tasks >= 8
+
+
 def test_refit_sql_tells_signs_and_counts(spark):
     folder = "/root/testdata/sf0.001"
     found = spark.createDataFrame(QUERIES["refit_weights"](spark, folder).collect(), "feature string, weight double, undefined bigint")
