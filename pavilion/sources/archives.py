@@ -21,6 +21,7 @@ from pavilion.sources.tables import parsed_documents
 
 _BATCH_BYTES = 8 << 20
 _SLICE = 10_000
+_PIECES = 32  # pieces of neighbouring entries that a task reads on average, so that the tasks come out alike
 _ENTRY = ["archive", "entry", "start", "packed", "method", "crc"]
 _RANGE = 1 << 20  # bytes of a directory read at once
 
@@ -169,14 +170,15 @@ def _read_entries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         file.close()
 
 
-def scan_zip_entries(spark: SparkSession, path: str, chunk_bytes: int = 128 << 20) -> DataFrame:
+def scan_zip_entries(spark: SparkSession, path: str, chunk_bytes: int = 32 << 20) -> DataFrame:
     """(archive, entry, text) of every ``*.json`` entry of the archives under ``path``.
 
     One step reads only the archives' directories, range by range; the entries are then spread in
-    chunks of neighbouring entries, so that one large archive is read by many
+    pieces of neighbouring entries, so that one large archive is read by many
     tasks and no archive is ever held whole. The number of tasks follows the
-    archives' sizes: the shuffled entry list is far smaller than the data behind
-    it, and Spark would merge its partitions if left to choose. A task holds a range of a
+    archives' sizes, one for ``chunk_bytes``: the shuffled entry list is far smaller than the data behind
+    it, and Spark would merge its partitions if left to choose. A piece is a small part of a chunk: whole
+    chunks, hashed, would leave tasks with several and others with none. A task holds a range of a
     directory and a slice of entries, whatever the number of entries. An entry whose checksum does not fit fails the job.
     Archives are opened by Arrow's file systems: local or mounted paths, HDFS and S3.
     """
@@ -186,8 +188,8 @@ def scan_zip_entries(spark: SparkSession, path: str, chunk_bytes: int = 128 << 2
     entries = files.select(F.col("path").alias("archive")).mapInPandas(
         _list_entries, "archive string, entry string, start bigint, packed bigint, method int, crc bigint"
     )
-    chunk = F.floor(F.col("start") / F.lit(chunk_bytes))
-    spread = entries.repartition(tasks, "archive", chunk).sortWithinPartitions("archive", "start")
+    piece = F.floor(F.col("start") / F.lit(max(chunk_bytes // _PIECES, 1)))
+    spread = entries.repartition(tasks, "archive", piece).sortWithinPartitions("archive", "start")
     return spread.mapInPandas(_read_entries, "archive string, entry string, text string")
 
 

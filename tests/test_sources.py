@@ -195,6 +195,18 @@ def test_archives_are_split_by_entry(spark, tmp_path):
     assert flatten_balls(docs).count() == 2 * sum(i % 4 for i in range(40))
 
 
+def test_tasks_read_alike(spark, tmp_path):
+    """Archives of one chunk each: hashed whole, some tasks would read several of them and others none."""
+    for part in range(16):
+        with zipfile.ZipFile(tmp_path / f"a{part}.zip", "w", zipfile.ZIP_STORED) as archive:
+            for i in range(320):
+                archive.writestr(f"{i:03d}.json", "0" * 65)  # 103 bytes each with the local header
+    size = (tmp_path / "a0.zip").stat().st_size
+    entries = archives.scan_zip_entries(spark, str(tmp_path), chunk_bytes=size)
+    read = entries.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert sum(r["count"] for r in read) == 16 * 320 and max(r["count"] for r in read) < 2 * 320
+
+
 def test_damaged_archives_are_noticed(spark, tmp_path):
     folder = tmp_path / "with blank"
     folder.mkdir()
