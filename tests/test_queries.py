@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import zipfile
+
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from pavilion.workload import ORACLES, QUERIES
+from pavilion.workload import ORACLES, QUERIES, ingest, registry
 from tests.compare import compare, connect
 
 FOLDER = "/root/testdata/sf0.001"
@@ -66,6 +68,15 @@ def test_pages_are_parsed_by_many_tasks(spark, name):
     assert tasks >= 8
 
 
+def test_documents_are_packed_by_rows(spark, monkeypatch, tmp_path):
+    """A task holds the directory of its archive till the end, so the rows of a task are bounded."""
+    monkeypatch.setattr(registry, "_ROWS_PER_TASK", 100)
+    src = registry.Source(spark, FOLDER)
+    ingest.write_archives(src.docs, str(tmp_path))
+    held = [len(zipfile.ZipFile(path).namelist()) - 1 for path in tmp_path.glob("*.zip")]
+    assert sum(held) == src["orders"].count() and len(held) == 15 and max(held) < 200
+
+
 def test_refit_sql_tells_signs_and_counts(spark):
     folder = "/root/testdata/sf0.001"
     found = spark.createDataFrame(QUERIES["refit_weights"](spark, folder).collect(), "feature string, weight double, undefined bigint")
