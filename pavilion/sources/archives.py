@@ -9,10 +9,11 @@ import struct
 import sys
 import zipfile
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from urllib.parse import quote
 
 import pandas as pd
+import pyarrow as pa
 import pyarrow.fs
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -23,14 +24,17 @@ _BATCH_BYTES = 8 << 20
 _SLICE = 10_000
 _PIECES = 32  # pieces of neighbouring entries that a task reads on average, so that the tasks come out alike
 _ENTRY = ["archive", "entry", "start", "packed", "method", "crc"]
-_RANGE = 1 << 20  # bytes of a directory read at once
+_RANGE = 1 << 20  # bytes of a directory, or of neighbouring entries, read at once
+_GAP = 4 << 10  # bytes between two entries that are read rather than skipped
+_SLACK = 256  # bytes before an entry's content that its line of the directory does not tell: long letters, extra fields
 
 # Layouts and marks of the zip format. An entry's local header, its header in the directory, the
 # directory's end, and the 64-bit record of the end with its locator.
-_LOCAL_HEADER = "<4s5H3L2H"
+_LOCAL_HEADER, _LOCAL_SIZE, _LOCAL_MARK = "<4s5H3L2H", 30, b"PK\x03\x04"
 _ENTRY_HEADER, _ENTRY_SIZE, _ENTRY_MARK = "<4s6H3L5H2L", 46, b"PK\x01\x02"
 _END, _END_SIZE, _COMMENT_MAX = b"PK\x05\x06", 22, 0xFFFF
 _END64, _LOCATOR64 = b"PK\x06\x06", b"PK\x06\x07"
+_UTF8, _DATE = 0x800, 0x21  # the flag of names in UTF-8, and the first day of 1980
 
 # Send these functions to the executors by value, so the package need not be installed there.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -92,7 +96,7 @@ def directory_entries(file, start: int, end: int, moved: int, range_bytes: int =
         at, place = min(end, at + range_bytes), 0
         while len(data) - place >= _ENTRY_SIZE:
             head = struct.unpack_from(_ENTRY_HEADER, data, place)
-            signature, flags, method, crc, packed, plain, name_length, extra_length, comment_length, offset = (head[i] for i in (0, 3, 4, 7, 8, 9, 10, 11, 12, 16))
+            signature, _, _, flags, method, _, _, crc, packed, plain, name_length, extra_length, comment_length, *_, offset = head
             if signature != _ENTRY_MARK:
                 raise zipfile.BadZipFile("the archive's directory is damaged")
             whole = _ENTRY_SIZE + name_length + extra_length + comment_length
@@ -134,38 +138,56 @@ def _list_entries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     yield pd.DataFrame(slice_, columns=_ENTRY)
 
 
-def _read_entry(file, start: int, packed: int, method: int, crc: int) -> str:
-    file.seek(start)
-    size = struct.calcsize(_LOCAL_HEADER)
-    *_, name_length, extra_length = struct.unpack(_LOCAL_HEADER, file.read(size))
-    file.seek(start + size + name_length + extra_length)
-    data = file.read(packed)
+def _run(rows: Sequence[tuple], first: int) -> tuple[int, int]:
+    """The row behind the run of neighbouring entries that starts at row ``first``, and the run's bytes."""
+    archive, _, at, *_ = rows[first]
+    end, i = at, first
+    while i < len(rows):
+        other, entry, start, packed, *_ = rows[i]
+        reach = start + _LOCAL_SIZE + len(entry) + packed + _SLACK
+        if i > first and (other != archive or not at <= start <= end + _GAP or reach - at > _RANGE):
+            break
+        end, i = max(end, reach), i + 1
+    return i, end - at
+
+
+def _read_entry(file, data: bytes, at: int, start: int, packed: int, method: int, crc: int) -> str:
+    """An entry's content; ``data`` is what of the file lies from ``at`` on."""
+    name_length, extra_length = struct.unpack_from("<26x2H", data, start - at)
+    first = start - at + _LOCAL_SIZE + name_length + extra_length
+    content = data[first : first + packed]
+    if len(content) < packed:
+        content = file.read_at(packed, at + first)
     if method == zipfile.ZIP_DEFLATED:
-        data = zlib.decompress(data, -zlib.MAX_WBITS)
+        content = zlib.decompress(content, -zlib.MAX_WBITS)
     elif method != zipfile.ZIP_STORED:
         raise ValueError(f"zip method {method} is not supported")
-    if zlib.crc32(data) != crc:
+    if zlib.crc32(content) != crc:
         raise zipfile.BadZipFile("an entry's content does not match its checksum")
-    return data.decode("utf-8")
+    return content.decode("utf-8")
 
 
-def _read_entries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _read_entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     current, file = None, None
     for batch in batches:
-        rows, size = [], 0
-        for row in batch.itertuples(index=False):
-            if row.archive != current:
+        rows = list(batch.to_pandas()[_ENTRY].itertuples(index=False, name=None))
+        names = [batch.column("archive"), batch.column("entry")]
+        texts, size, sent, behind = [], 0, 0, 0
+        for i, (archive, _, start, *packing) in enumerate(rows):
+            if archive != current:
                 if file is not None:
                     file.close()
-                current, file = row.archive, _open(row.archive)
-            text = _read_entry(file, row.start, row.packed, row.method, row.crc)
-            rows.append((row.archive, row.entry, text))
+                current, file = archive, _open(archive)
+            if i == behind:
+                behind, length = _run(rows, i)
+                data, at = file.read_at(length, start), start
+            text = _read_entry(file, data, at, start, *packing)
+            texts.append(text)
             size += len(text)
-            if size >= _BATCH_BYTES:
-                yield pd.DataFrame(rows, columns=["archive", "entry", "text"])
-                rows, size = [], 0
-        if rows:
-            yield pd.DataFrame(rows, columns=["archive", "entry", "text"])
+            if size >= _BATCH_BYTES or i + 1 == len(rows):
+                columns = [*(n.slice(sent, len(texts)) for n in names), pa.array(texts, pa.string())]
+                yield pa.RecordBatch.from_arrays(columns, ["archive", "entry", "text"])
+                texts, size, sent = [], 0, i + 1
     if file is not None:
         file.close()
 
@@ -179,7 +201,8 @@ def scan_zip_entries(spark: SparkSession, path: str, chunk_bytes: int = 32 << 20
     archives' sizes, one for ``chunk_bytes``: the shuffled entry list is far smaller than the data behind
     it, and Spark would merge its partitions if left to choose. A piece is a small part of a chunk: whole
     chunks, hashed, would leave tasks with several and others with none. A task holds a range of a
-    directory and a slice of entries, whatever the number of entries. An entry whose checksum does not fit fails the job.
+    directory and a slice of entries, whatever the number of entries, and reads entries that lie side by side at once, a
+    range at a time. An entry whose checksum does not fit fails the job.
     Archives are opened by Arrow's file systems: local or mounted paths, HDFS and S3.
     """
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(path)
@@ -190,7 +213,7 @@ def scan_zip_entries(spark: SparkSession, path: str, chunk_bytes: int = 32 << 20
     )
     piece = F.floor(F.col("start") / F.lit(max(chunk_bytes // _PIECES, 1)))
     spread = entries.repartition(tasks, "archive", piece).sortWithinPartitions("archive", "start")
-    return spread.mapInPandas(_read_entries, "archive string, entry string, text string")
+    return spread.mapInArrow(_read_entries, "archive string, entry string, text string")
 
 
 def scan_zip_json(
@@ -203,3 +226,36 @@ def scan_zip_json(
     entries = scan_zip_entries(spark, path)
     base = F.regexp_replace(F.element_at(F.split("entry", "/"), -1), r"\.json$", "")
     return parsed_documents(entries, "text", schema, base.alias(key))
+
+
+def write_zip(out, entries: Iterable[tuple[str, bytes]], start: int = 0) -> int:
+    """Write (name, content) entries as one archive, deflated, and return their number.
+
+    For small documents the standard library's writer takes longer than the compression. Held are a range
+    of the archive and its directory in bytes. All entries have the same date, so a retried task writes the same
+    archive. ``start`` is where in ``out`` the archive begins.
+    """
+    buffer, directory, written, count = bytearray(), bytearray(), start, 0
+    for name, content in entries:
+        encoded, packed = name.encode(), zlib.compress(content, wbits=-zlib.MAX_WBITS)
+        sizes = zlib.crc32(content), len(packed), len(content), len(encoded)
+        fields = 20, _UTF8, zipfile.ZIP_DEFLATED, 0, _DATE, *sizes
+        at = written + len(buffer)
+        wide = struct.pack("<2HQ", 1, 8, at) if at >= 0xFFFFFFFF else b""
+        directory += struct.pack(_ENTRY_HEADER, _ENTRY_MARK, 20, *fields, len(wide), 0, 0, 0, 0, min(at, 0xFFFFFFFF))
+        directory += encoded + wide
+        buffer += struct.pack(_LOCAL_HEADER, _LOCAL_MARK, *fields, 0) + encoded + packed
+        count += 1
+        if len(buffer) >= _RANGE:
+            out.write(bytes(buffer))
+            written += len(buffer)
+            buffer.clear()
+    at, size = written + len(buffer), len(directory)
+    out.write(bytes(buffer))
+    out.write(bytes(directory))
+    if count >= 0xFFFF or at >= 0xFFFFFFFF or size >= 0xFFFFFFFF:
+        out.write(struct.pack("<4sQ2H2L4Q", _END64, 44, 45, 45, 0, 0, count, count, size, at))
+        out.write(struct.pack("<4sLQL", _LOCATOR64, 0, at + size, 1))
+    short = min(count, 0xFFFF)
+    out.write(struct.pack("<4s4H2LH", _END, 0, 0, short, short, min(size, 0xFFFFFFFF), min(at, 0xFFFFFFFF), 0))
+    return count

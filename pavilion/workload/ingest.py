@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import datetime as dt
-import zipfile
+import itertools
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from pavilion.operators import quality
@@ -104,24 +105,26 @@ def scan_json_docs(src):
 
 def pack_texts(texts: DataFrame, folder: str) -> int:
     """Pack (match_id, text) into one zip per partition; a retried task replaces its own archive."""
+    file_system, write_zip = archives.file_system, archives.write_zip
 
-    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def documents(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, bytes]]:
+        for batch in batches:
+            columns = batch.column("match_id"), batch.column("text").cast(pa.binary())
+            # One call turns a whole column into Python's objects; to_pylist goes cell by cell.
+            for key, body in zip(*(c.to_numpy(zero_copy_only=False) for c in columns), strict=True):
+                yield f"matches/{key}.json", body
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        filesystem, inner = archives.file_system(folder)
+        filesystem, inner = file_system(folder)
         filesystem.create_dir(inner, recursive=True)
         part = TaskContext.get().partitionId()
-        count = 0
         with filesystem.open_output_stream(f"{inner}/part-{part:05d}.zip") as out:
-            with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as archive:
-                archive.writestr("README.txt", "not a document")
-                for batch in batches:
-                    for row in batch.itertuples(index=False):
-                        archive.writestr(f"matches/{row.match_id}.json", row.text)
-                        count += 1
-        yield pd.DataFrame({"n": [count]})
-
-    return texts.mapInPandas(pack, "n bigint").agg(F.sum("n")).first()[0]
+            count = write_zip(out, itertools.chain([("README.txt", b"not a document")], documents(batches)))
+        yield pa.RecordBatch.from_pydict({"n": [count - 1]})
+
+    return texts.mapInArrow(pack, "n bigint").agg(F.sum("n")).first()[0]
 
 
 def write_archives(docs: DataFrame, folder: str) -> int:

@@ -140,21 +140,22 @@ def balls(lineitem: DataFrame) -> DataFrame:
 
 def match_docs(orders: DataFrame) -> DataFrame:
     """A nested match document per order, built from the order's own row."""
+    # The lambdas are evaluated node by node, so a delivery's number d is kept in s, k + i + j + d, which most fields ask for.
+    number = "(s - i - j)"  # k + d
     wickets = (
-        "case (k + i + j + d) % 10 "
-        "when 0 then array(struct('bowled' as kind, concat('P', (k + d) % 200) as player_out)) "
-        "when 1 then array(struct('caught' as kind, concat('Q', (k + d) % 200) as player_out), "
+        "if(s % 10 > 2, null, case s % 10 "
+        f"when 0 then array(struct('bowled' as kind, concat('P', {number} % 200) as player_out)) "
+        f"when 1 then array(struct('caught' as kind, concat('Q', {number} % 200) as player_out), "
         "struct('run out' as kind, 'second' as player_out)) "
-        "when 2 then array() end"
+        "when 2 then array() end)"
     )
     delivery = (
-        "struct(concat('P', (k + i * 7 + d) % 200) as batter, concat('S', (k + j) % 50) as bowler, "
-        "struct((k + i + j + d) % 7 as batter, (k + d) % 2 as extras, "
-        f"(k + i + j + d) % 7 + (k + d) % 2 as total) as runs, {wickets} as wickets)"
+        "struct(concat('P', (s + i * 6 - j) % 200) as batter, concat('S', (k + j) % 50) as bowler, "
+        f"struct(s % 7 as batter, {number} % 2 as extras, s % 7 + {number} % 2 as total) as runs, {wickets} as wickets)"
     )
     deliveries = (
         "if((k + j) % 11 = 0, array(), "
-        f"transform(sequence(bigint(1), 1 + (k + i + j) % 4), d -> {delivery}))"
+        f"transform(sequence(k + i + j + 1, k + i + j + 1 + (k + i + j) % 4), s -> {delivery}))"
     )
     overs = (
         "if((k + i) % 7 = 0, null, transform(sequence(bigint(1), 1 + k % 3), "

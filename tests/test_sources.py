@@ -10,6 +10,7 @@ import tracemalloc
 import zipfile
 
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
@@ -489,3 +490,69 @@ def test_broken_directories_fail(tmp_path):
         path.write_bytes(broken)
         with pytest.raises(zipfile.BadZipFile):
             directory(path)
+
+
+# ----------------------------------------------------------------- entries of archives
+
+
+class Counted:
+    """A file that counts what is asked of it."""
+
+    def __init__(self, file):
+        self.file, self.calls = file, 0
+
+    def __getattr__(self, name):
+        def call(*args):
+            self.calls += 1
+            return getattr(self.file, name)(*args)
+
+        return call
+
+
+def contents(path, monkeypatch):
+    """What the reader finds in an archive, and how often it asks the file."""
+    names = ["archive", "entry", "start", "packed", "method", "crc"]
+    columns = zip(*((f"file://{path}", *entry) for entry in directory(path)), strict=True)
+    rows = pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
+    files, opened = [], archives._open
+    monkeypatch.setattr(archives, "_open", lambda name: files.append(Counted(opened(name))) or files[-1])
+    found = pa.Table.from_batches(archives._read_entries(iter([rows]))).to_pylist()
+    monkeypatch.undo()
+    return {r["entry"]: r["text"] for r in found}, sum(f.calls for f in files)
+
+
+def test_neighbouring_entries_are_read_at_once(tmp_path, monkeypatch):
+    """Four calls for each entry before; now one for a range of neighbours."""
+    texts = {f"é/{i}.json": json.dumps(match(city="Zoë" * (i % 50))) for i in range(3000)}
+    with zipfile.ZipFile(tmp_path / "a.zip", "w", zipfile.ZIP_DEFLATED) as archive:
+        for name, text in texts.items():
+            archive.writestr(name, text)
+    found, calls = contents(tmp_path / "a.zip", monkeypatch)
+    assert found == texts and calls < 10
+
+
+def test_entries_apart_and_behind_long_fields_are_read(tmp_path, monkeypatch):
+    """Gaps that are skipped, entries larger than a range, and extra fields longer than the reader allows for."""
+    texts = {"1.json": "a", "2.json": "b" * (3 << 20), "3.json": "", "4.json": "ü" * 9, "5.json": "c" * 20_000}
+    with zipfile.ZipFile(tmp_path / "a.zip", "w", zipfile.ZIP_STORED) as archive:
+        for name, text in texts.items():
+            entry = zipfile.ZipInfo(name)
+            entry.extra = b"\x99\x99\x00\x20" + bytes(0x2000)
+            archive.writestr(entry, text)
+    assert contents(tmp_path / "a.zip", monkeypatch)[0] == texts
+
+
+def test_archives_written_are_sound(tmp_path, monkeypatch):
+    """Read by the standard library and by our reader: empty, large and many entries, and offsets beyond 4 GiB."""
+    small = {"a/ü.json": "Zoë", "b.json": "", "c.json": "x" * (3 << 20), "d.json": "".join(map(chr, range(0x100, 0x4000)))}
+    many = {f"{i}.json": str(i) for i in range(70_000)}
+    for start, texts in ((0, {}), (0, small), (0, many), (5 << 30, small)):
+        path = tmp_path / f"{start}-{len(texts)}.zip"
+        with open(path, "wb") as out:
+            out.seek(start)  # a hole, which takes no disk
+            assert archives.write_zip(out, ((n, t.encode()) for n, t in texts.items()), start) == len(texts)
+        with zipfile.ZipFile(path) as archive:
+            assert archive.testzip() is None and {n: archive.read(n).decode() for n in archive.namelist()} == texts
+        assert directory(path) == listed(path)
+        if texts:
+            assert contents(path, monkeypatch)[0] == texts
