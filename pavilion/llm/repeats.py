@@ -1,18 +1,21 @@
 """Windows of words or bytes that occur more than once in a corpus, found by seeds.
 
 A window of W units has a seed: its least key among its runs of k units. Equal windows have
-equal seeds, and neighbouring windows mostly share theirs, so seeds are few. The steps:
+equal seeds, and neighbouring windows mostly share theirs, so seeds are few. A long seed is seldom
+in unequal windows by chance; it tells which windows may repeat. A short one tells where windows
+meet. The steps:
 
-1. keys of all seeds that repeat, as a filter of fixed size (``keyfilter``);
-2. windows whose seed may repeat, joined into pieces that are cut at some seeds, so that copies
+1. keys of all long seeds that repeat, as a filter of bounded size (``keyfilter``);
+2. windows whose long seed may repeat, joined into pieces that are cut at some seeds, so that copies
    of a passage are cut alike; equal pieces become one class with a count and a least document;
-3. inside the classes, windows that classes share (two more filters), as small parts that are
-   gathered by seed into blocks;
+3. inside the classes, windows whose still longer seed several classes share (one more filter), as small parts
+   that are gathered by short seed into blocks;
 4. an index of each block finds, for every window of a part, how often it occurs and in which
    least document. The index is the operator's own (``rlz``, ``rindex``).
 
 What a copy costs after step 2 is one short row, and a passage that a third of all documents
-share is one class. Nothing is gathered by a key whose rows are unbounded: blocks hold distinct
+share is one class. Texts are read once for the classes and once more for the places of their pieces, so that
+contents are not stored beside their own shuffle. Nothing is gathered by a key whose rows are unbounded: blocks hold distinct
 texts of windows that repeat, and a seed with too many of them is split into single windows, which
 are spread by their own keys. Filters only drop windows that surely occur once.
 """
@@ -31,6 +34,8 @@ from pavilion.llm.keyfilter import may_repeat, repeated_keys
 from pavilion.session import discard, materialize, release_shuffles
 
 _U = np.uint64
+# Filters that large corpora would fill grow to ``2**_GROWTH`` times their size.
+_GROWTH = 2
 
 
 @dataclass(frozen=True)
@@ -45,6 +50,16 @@ class Shape:
     words: bool
     within: bool
 
+    @property
+    def long_seed(self) -> int:
+        """Units of the seeds of texts that go into the filter: half way from seed to window, one for ten of op4's windows."""
+        return (self.window + self.seed) // 2
+
+    @property
+    def class_seed(self) -> int:
+        """The same for classes, which are fewer: half way again, so that fewer windows beside repeated ones share one."""
+        return (self.window + self.long_seed) // 2
+
     def units(self, keyer: tk.Keyer, part: tk.Slice) -> tuple[np.ndarray, np.ndarray]:
         """Keys of the units of some texts, and the texts' bounds."""
         if self.words:
@@ -58,11 +73,11 @@ class Shape:
             return np.frombuffer(part.data.tobytes(), np.uint64), part.offsets // 8
         return tk.byte_keys(part), part.offsets
 
-    def runs(self, keyer: tk.Keyer, values: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Runs of windows with one seed: first window, last one plus 1, seed, and, where repeats
+    def runs(self, keyer: tk.Keyer, values: np.ndarray, bounds: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Runs of windows with one seed of ``size`` units: first window, last one plus 1, seed, and, where repeats
         inside a document count, whether the seed lies in the run twice, so that windows may repeat in it."""
-        w = self.window - self.seed + 1
-        x = keyer.rolling(values, self.seed)
+        w = self.window - size + 1
+        x = keyer.rolling(values, size)
         least = tk.window_min(x, w)
         n = len(least)
         ok = tk.inside_one(bounds, self.window, n)
@@ -88,7 +103,7 @@ def _text_seeds(shape: Shape):
         keyer = tk.Keyer()
         for batch in batches:
             for part in tk.slices(batch.column(0)):
-                _, _, seed, twice = shape.runs(keyer, *shape.units(keyer, part))
+                _, _, seed, twice = shape.runs(keyer, *shape.units(keyer, part), shape.long_seed)
                 yield np.concatenate([seed, seed[twice]])
 
     return seeds
@@ -99,7 +114,7 @@ def _class_seeds(shape: Shape):
         keyer = tk.Keyer()
         for batch in batches:
             for part in tk.slices(batch.column(0)):
-                _, _, seed, twice = shape.runs(keyer, *shape.content(part))
+                _, _, seed, twice = shape.runs(keyer, *shape.content(part), shape.class_seed)
                 yield np.concatenate([seed, seed[twice]])
 
     return seeds
@@ -111,19 +126,6 @@ def _chosen(first: np.ndarray, last: np.ndarray) -> np.ndarray:
     return np.repeat(last - np.cumsum(size), size) + np.arange(int(size.sum()))
 
 
-def _class_windows(shape: Shape, seeds):
-    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
-        keyer = tk.Keyer()
-        for batch in batches:
-            for part in tk.slices(batch.column(0)):
-                values, bounds = shape.content(part)
-                first, last, seed, _ = shape.runs(keyer, values, bounds)
-                keep = may_repeat(seeds.value, seed)
-                yield keyer.rolling(values, shape.window)[_chosen(first[keep], last[keep])]
-
-    return windows
-
-
 def _blobs(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.Array:
     """Byte ranges of ``data`` as a binary column."""
     size = end - start
@@ -132,55 +134,51 @@ def _blobs(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(start), [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(data[take]))])
 
 
-def _piece_finder(shape: Shape, seeds):
+def _piece_finder(shape: Shape, seeds, with_content: bool):
+    """Pieces of texts: either id, class and content, or row, id, start, n and class."""
+
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keyer = tk.Keyer()
         for batch in batches:
             for part in tk.slices(batch.column(2)):
                 values, bounds = shape.units(keyer, part)
-                first, last, seed, _ = shape.runs(keyer, values, bounds)
+                first, last, seed, _ = shape.runs(keyer, values, bounds, shape.long_seed)
                 keep = may_repeat(seeds.value, seed)
                 first, last, seed = first[keep], last[keep], seed[keep]
                 if not len(first):
                     continue
-                # A piece ends where the runs do, and before every eighth seed.
-                new = np.concatenate([[True], (last[:-1] != first[1:]) | (seed[1:] & _U(7) == 0)])
+                # A piece ends where the runs do, and before every sixteenth seed.
+                new = np.concatenate([[True], (last[:-1] != first[1:]) | (seed[1:] & _U(15) == 0)])
                 heads = np.flatnonzero(new)
                 start, end = first[heads], last[np.concatenate([heads[1:], [len(first)]]) - 1]
                 text = np.searchsorted(bounds, start, "right") - 1
                 upto = end + shape.window - 1
-                raw, unit = (values.view(np.uint8), 8) if shape.words else (part.data, 1)
                 rows = pa.array(text + part.first)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).take(rows),
-                        batch.column(1).take(rows),
-                        pa.array(start - bounds[text], pa.int64()),
-                        pa.array(end - start, pa.int64()),
-                        pa.array(keyer.runs(values, start, upto).view(np.int64)),
-                        _blobs(raw, start * unit, upto * unit),
-                    ],
-                    ["row", "id", "start", "n", "class", "content"],
-                )
+                row, ids = (batch.column(i).take(rows) for i in (0, 1))
+                key = pa.array(keyer.runs(values, start, upto).view(np.int64))
+                if with_content:
+                    raw, unit = (values.view(np.uint8), 8) if shape.words else (part.data, 1)
+                    yield pa.RecordBatch.from_arrays([ids, key, _blobs(raw, start * unit, upto * unit)], ["id", "class", "content"])
+                else:
+                    places = pa.array(start - bounds[text], pa.int64()), pa.array(end - start, pa.int64())
+                    yield pa.RecordBatch.from_arrays([row, ids, *places, key], ["row", "id", "start", "n", "class"])
 
     return find
 
 
-def _part_finder(shape: Shape, seeds, windows):
+def _part_finder(shape: Shape, shared):
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keyer = tk.Keyer()
         for batch in batches:
             for part in tk.slices(batch.column(1)):
                 values, bounds = shape.content(part)
-                first, last, seed, _ = shape.runs(keyer, values, bounds)
-                keep = may_repeat(seeds.value, seed)
-                first, last, seed = first[keep], last[keep], seed[keep]
-                at = _chosen(first, last)
-                run = np.repeat(np.arange(len(first)), last - first)
-                ok = may_repeat(windows.value, keyer.rolling(values, shape.window)[at])
-                at, run = at[ok], run[ok]
+                first, last, seed, _ = shape.runs(keyer, values, bounds, shape.class_seed)
+                keep = may_repeat(shared.value, seed)
+                at = _chosen(first[keep], last[keep])
                 if not len(at):
                     continue
+                first, _, seed, _ = shape.runs(keyer, values, bounds, shape.seed)
+                run = np.searchsorted(first, at, "right") - 1
                 new = np.concatenate([[True], (run[1:] != run[:-1]) | (at[1:] != at[:-1] + 1)])
                 heads = np.flatnonzero(new)
                 start, end = at[heads], at[np.concatenate([heads[1:], [len(at)]]) - 1] + 1
@@ -284,22 +282,19 @@ def repeated_windows(docs: DataFrame, shape: Shape, index: Index, folder: str, f
     """
     spark = docs.sparkSession
     docs = docs.select("row", "id", "text")
-    seeds = repeated_keys(docs.select("text"), _text_seeds(shape), filter_bits)
-    pieces = docs.mapInArrow(_piece_finder(shape, seeds), "row bigint, id bigint, start bigint, n bigint, class bigint, content binary")
+    seeds = repeated_keys(docs.select("text"), _text_seeds(shape), filter_bits, _GROWTH)
+    release_shuffles(spark)
+    classes = docs.mapInArrow(_piece_finder(shape, seeds, True), "id bigint, class bigint, content binary")
+    classes = classes.groupBy("class", "content").agg(F.count(F.lit(1)).alias("copies"), F.min("id").alias("lo"))
     # Tables with contents are deleted as soon as what follows needs only their keys.
-    pieces = materialize(pieces, "pieces", f"{folder}/pieces")
-    classes = pieces.groupBy("class", "content").agg(F.count(F.lit(1)).alias("copies"), F.min("id").alias("lo"))
     classes = materialize(classes, "classes", f"{folder}/classes")
-    pieces = materialize(pieces.drop("content"), "places", folder)
+    release_shuffles(spark)
+    pieces = docs.mapInArrow(_piece_finder(shape, seeds, False), "row bigint, id bigint, start bigint, n bigint, class bigint")
+    pieces = materialize(pieces, "places", folder)
     described = materialize(classes.drop("content"), "described", folder)
-    discard(spark, f"{folder}/pieces")
+    shared = repeated_keys(classes.select("content"), _class_seeds(shape), filter_bits, _GROWTH)
     release_shuffles(spark)
-    shared = repeated_keys(classes.select("content"), _class_seeds(shape), filter_bits)
-    windows = repeated_keys(classes.select("content"), _class_windows(shape, shared), filter_bits)
-    parts = classes.select("class", "content", "copies", "lo").mapInArrow(
-        _part_finder(shape, shared, windows), _PART
-    )
-    parts = materialize(parts, "parts", f"{folder}/parts")
+    parts = materialize(classes.select("class", "content", "copies", "lo").mapInArrow(_part_finder(shape, shared), _PART), "parts", f"{folder}/parts")
     discard(spark, f"{folder}/classes")
     release_shuffles(spark)
     hot = parts.groupBy("seed").agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > seed_rows).select("seed")

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.classic.dataframe import DataFrame
 
-from pavilion.llm import cascade, decontaminate, hilbert, langid, lines, mixture, neardup, rindex, rlz, textkeys, warc
+from pavilion.llm import cascade, decontaminate, hilbert, keyfilter, langid, lines, mixture, neardup, repeats, rindex, rlz, textkeys, warc
 from pavilion.llm.graph import components
 from pavilion.session import new_folder
 from tests.llm import brute
@@ -105,6 +105,37 @@ def test_repeated_bytes(docs, messy, empty):
         rindex.remove_repeated_bytes(docs, window=10)
 
 
+def test_repeated_bytes_of_large_corpora(spark, monkeypatch):
+    """What filters and tables hold follows the passages: few keys, room for them, and no contents of copies."""
+    draw = np.random.Generator(np.random.PCG64(17))
+    own = ["".join(draw.choice(list("abcdefgh"), 2000)) for _ in range(20)]
+    rows = [(i, t) for i, t in enumerate(own)] + [(100 + i, own[i][:1700] + "x" + own[i - 1][:250]) for i in range(20)]
+    rows += [(200 + i, own[0]) for i in range(60)]
+    tables, keys = {}, []
+
+    def written(df, label, *more, f=repeats.materialize):
+        tables[label] = f(df, label, *more)
+        if "content" in df.columns:
+            contents[label] = tables[label].selectExpr("count(*)", "sum(octet_length(content))").first()
+        return tables[label]
+
+    def counted(df, keys_of, *more, f=repeats.repeated_keys):
+        dealt = df.mapInArrow(lambda batches: (pa.RecordBatch.from_arrays([pa.array([len(k)])], ["n"]) for k in keys_of(batches)), "n bigint")
+        keys.append(dealt.agg(F.sum("n")).first()[0])
+        return f(df, keys_of, *more)
+
+    contents = {}
+    monkeypatch.setattr(repeats, "materialize", written)
+    monkeypatch.setattr(repeats, "repeated_keys", counted)
+    found = rindex.remove_repeated_bytes(frame(spark, rows), filter_bits=12)
+    assert sorted_rows(found, "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == in_order(brute.repeated_bytes(rows, 50))
+    once = sum(len(t) for _, t in rows[:40])
+    assert sum(keys[1:]) < once / 8
+    # The 60 copies of one text are there once: every table with contents stays near the other texts' size.
+    assert {label for label, (_, n) in contents.items() if n > 1.7 * once} <= {"parts", "texts"}
+    assert contents["parts"][1] < 5 * once and contents["texts"][1] < 5 * once
+
+
 def test_repeated_bytes_of_random_texts(spark):
     draw = np.random.Generator(np.random.PCG64(5))
     rows = [(int(i), "".join(draw.choice(list("ab"), 300))) for i in draw.permutation(12)]
@@ -558,3 +589,20 @@ def test_key_filter(spark):
     passed = keyfilter.may_repeat(found, keys)
     assert passed[:2000].all() and passed[2000:].mean() < 0.01
     assert not keyfilter.may_repeat(found, textkeys.mix(np.arange(50_000, 51_000, dtype=np.uint64))).mean() > 0.02
+
+
+def test_key_filter_grows(spark):
+    """A filter that its keys would fill grows where it may, loses no key, and keeps others out."""
+    keys = textkeys.mix(np.arange(40_000, dtype=np.uint64))
+    df = spark.createDataFrame([(int(k),) for k in keys[:30_000].view(np.int64)], "k bigint")
+    keys_of = lambda batches: (k for b in batches for k in [b.column(0).to_numpy().view(np.uint64)] * 2)
+    passed = [keyfilter.may_repeat(keyfilter.repeated_keys(df, keys_of, 15, more).value, keys) for more in (0, 1, 3)]
+    assert all(p[:30_000].all() for p in passed)
+    full, half, open_ = (p[30_000:].mean() for p in passed)
+    assert full > 0.7 > half > 0.4 and open_ < 0.1
+    # Slices that have grown and slices that have not make one filter.
+    mixed = np.packbits([1, 0, 0, 1, 0, 1, 0, 0], bitorder="little")
+    assert np.unpackbits(keyfilter._widened(mixed, 2), bitorder="little").tolist() == [1, 1, 0, 0, 0, 0, 1, 1, 0, 0, 1, 1, 0, 0, 0, 0]
+    few = spark.createDataFrame([(int(k),) for k in keys[keys >> np.uint64(63) == 0].view(np.int64)], "k bigint")
+    passed = keyfilter.may_repeat(keyfilter.repeated_keys(few, keys_of, 15, 3).value, keys)
+    assert passed[keys >> np.uint64(63) == 0].all() and not passed[keys >> np.uint64(63) == 1].any()
