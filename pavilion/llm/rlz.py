@@ -176,8 +176,8 @@ def remove_repeats(
 
     A null or wordless text has no words and keeps the empty text. Rows repeated with id and
     text count as copies of each other, also those without an id. Other columns are not read.
-    ``filter_bits`` sets the size of the seed filters, ``2**filter_bits / 8`` bytes each; eight
-    bits per repeated seed keep false candidates near a tenth.
+    ``filter_bits`` sets the size of the seed filters, ``2**filter_bits / 8`` bytes each, or up to four
+    times that below five bits per repeated seed, where false candidates are near a tenth.
     """
     spark = docs.sparkSession
     folder = new_folder(spark, "rlz")
